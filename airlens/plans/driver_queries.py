@@ -18,8 +18,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import weekday_flags
 from ..functions.predicates import Box, Period
+from ..operators.align import align_on_time, pair_first
 from ..operators.profile import profile
+from ..operators.series import SeriesIndex
+from ..schemas import WEEKDAY_COLUMNS
+from ..sources.weather import explode_points
 from .report import region_readings, region_report, report_lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,3 +114,119 @@ UNION ALL SELECT attribute, 'std', attribute || ' standard deviation: ' || print
 def q_report_lines(spark, sf):
     li = table(spark, sf, "lineitem")
     return report_lines(region_report(li, LI_BOX, LI_PERIOD, attributes=LI_ATTRS, **LI_GEO))
+
+
+# --- pairing and time alignment --------------------------------------------
+@register("entity_pairing", """
+SELECT o.o_orderkey, o.o_custkey, o.o_totalprice, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity
+FROM orders o JOIN (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn
+  FROM lineitem) l ON o.o_orderkey = l.l_orderkey AND l.rn = 1""")
+def q_entity_pairing(spark, sf):
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    li = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+        F.struct("l_linenumber", "l_partkey", "l_suppkey").alias("_group"))
+    return pair_first(orders, li, "o_orderkey", "_group").drop("_group")
+
+
+_ALIGN_SQL = """
+WITH l AS (SELECT date_trunc('{unit}', ts) AS h, event_id AS left_id, value AS left_value,
+                  row_number() OVER (PARTITION BY date_trunc('{unit}', ts) ORDER BY event_id) AS k
+           FROM events WHERE event_type = 'click'),
+     r AS (SELECT date_trunc('{unit}', ts) AS h, event_id AS right_id, value AS right_value,
+                  row_number() OVER (PARTITION BY date_trunc('{unit}', ts) ORDER BY event_id) AS k
+           FROM events WHERE event_type = 'view')
+SELECT h, k, left_id, left_value, right_id, right_value FROM l JOIN r USING (h, k)"""
+
+
+def _trunc(unit: str, c: str = "ts"):
+    return F.date_trunc(unit, F.col(c)).cast("timestamp_ntz")
+
+
+@register("time_align_join", _ALIGN_SQL.format(unit="hour"))
+def q_time_align_join(spark, sf):
+    ev = table(spark, sf, "events")
+    left = ev.where(F.col("event_type") == "click").select(
+        _trunc("hour").alias("h"), F.col("event_id").alias("left_id"), F.col("value").alias("left_value"))
+    right = ev.where(F.col("event_type") == "view").select(
+        _trunc("hour").alias("h"), F.col("event_id").alias("right_id"), F.col("value").alias("right_value"))
+    out = align_on_time(left, right, ["h"], ["left_id"], ["right_id"], k="k")
+    return out.select("h", "k", "left_id", "left_value", "right_id", "right_value")
+
+
+# --- as-of lookups and interpolation against a sparse series ----------------
+SERIES_TYPES = ["click", "error", "purchase", "signup", "view"]
+
+
+def _series_index(spark, sf):
+    ev = table(spark, sf, "events")
+    return SeriesIndex(ev.select(F.col("event_type").alias("measurement"), "ts", "value"))
+
+
+def _points_sql(kind: str) -> str:
+    return f"(SELECT ts AS pt, value AS pv FROM events WHERE event_type = '{kind}')"
+
+
+def _asof_sql(kind: str, out: str, how: str) -> str:
+    p = _points_sql(kind)
+    first = f"(SELECT pv FROM {p} ORDER BY pt, pv LIMIT 1)"
+    last = f"(SELECT pv FROM {p} ORDER BY pt DESC, pv DESC LIMIT 1)"
+    if how == "backward":
+        return (f"SELECT e.event_id, e.ts, coalesce(b.pv, {first}) AS {out} "
+                f"FROM events e ASOF LEFT JOIN {p} b ON e.ts >= b.pt")
+    if how == "forward":
+        return (f"SELECT e.event_id, e.ts, coalesce(f.pv, {last}) AS {out} "
+                f"FROM events e ASOF LEFT JOIN {p} f ON e.ts <= f.pt")
+    c1 = "(date_diff('microsecond', e.ts, f.pt) / 1000000.0)"
+    c2 = "(date_diff('microsecond', b.pt, e.ts) / 1000000.0)"
+    return (f"SELECT e.event_id, e.ts, round(CASE WHEN b.pt IS NULL THEN {first} WHEN f.pt IS NULL THEN {last} "
+            f"WHEN b.pt = e.ts THEN b.pv ELSE ({c1} * b.pv + {c2} * f.pv) / ({c1} + {c2}) END, 6) AS {out} "
+            f"FROM events e ASOF LEFT JOIN {p} b ON e.ts >= b.pt ASOF LEFT JOIN {p} f ON e.ts <= f.pt")
+
+
+def _asof_query(how: str, out: str):
+    def q(spark, sf):
+        idx = _series_index(spark, sf)
+        ev = table(spark, sf, "events").select("event_id", "ts")
+        res = idx.lookup(ev, "ts", "purchase", out, how)
+        return res.select("event_id", "ts", rnd(out, 6).alias(out) if how == "interpolate" else out)
+    return q
+
+
+register("asof_backward", _asof_sql("purchase", "asof_value", "backward"))(_asof_query("backward", "asof_value"))
+register("asof_forward", _asof_sql("purchase", "asof_value", "forward"))(_asof_query("forward", "asof_value"))
+register("interpolate", _asof_sql("purchase", "interp_value", "interpolate"))(
+    _asof_query("interpolate", "interp_value"))
+
+
+def _wide_sql() -> str:
+    ctes = ",\n".join(f"w_{k} AS ({_asof_sql(k, 'v_' + k, 'interpolate')})" for k in SERIES_TYPES)
+    cols = ", ".join(f"w_{k}.v_{k}" for k in SERIES_TYPES)
+    joins = " ".join(f"JOIN w_{k} USING (event_id)" for k in SERIES_TYPES[1:])
+    return f"WITH {ctes}\nSELECT w_{SERIES_TYPES[0]}.event_id, w_{SERIES_TYPES[0]}.ts, {cols} FROM w_{SERIES_TYPES[0]} {joins}"
+
+
+@register("weather_wide", _wide_sql())
+def q_weather_wide(spark, sf):
+    idx = _series_index(spark, sf)
+    ev = table(spark, sf, "events").select("event_id", "ts")
+    res = idx.attach(ev, "ts", {k: f"v_{k}" for k in SERIES_TYPES})
+    return res.select("event_id", "ts", *[rnd(f"v_{k}", 6).alias(f"v_{k}") for k in SERIES_TYPES])
+
+
+@register("json_points", """
+SELECT event_id, key, CAST(json_extract_string(props, '$."' || key || '"') AS DOUBLE) AS value
+FROM (SELECT event_id, props, unnest(json_keys(props)) AS key FROM events)
+WHERE coalesce(trim(json_extract_string(props, '$."' || key || '"')), '') <> ''""")
+def q_json_points(spark, sf):
+    ev = table(spark, sf, "events")
+    return explode_points(ev, "props", ["event_id"], key_is_time=False)
+
+
+@register("weekday_onehot", "SELECT o_orderkey, o_orderdate, " + ", ".join(
+    f"CAST(isodow(o_orderdate) = {i + 1} AS INTEGER) AS {n}" for i, n in enumerate(WEEKDAY_COLUMNS))
+    + " FROM orders")
+def q_weekday_onehot(spark, sf):
+    o = table(spark, sf, "orders")
+    return o.select("o_orderkey", "o_orderdate", *weekday_flags("o_orderdate", WEEKDAY_COLUMNS))
