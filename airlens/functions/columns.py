@@ -44,9 +44,9 @@ def to_double(c, mode: str = "fail") -> Column:
     return parsed
 
 
-def to_int(c, mode: str = "fail") -> Column:
+def to_int(c, mode: str = "fail", type_name: str = "int") -> Column:
     c = _c(c)
-    parsed = c.try_cast("int")
+    parsed = c.try_cast(type_name)
     if mode == "fail":
         return F.when(parsed.isNull() & c.isNotNull(),
                       F.raise_error(F.concat(F.lit("not an integer: "), c))).otherwise(parsed)
@@ -71,8 +71,8 @@ def to_ts(c, fmt: str, mode: str = "fail") -> Column:
 def parse(c, type_name: str, mode: str = "fail") -> Column:
     if type_name == "double":
         return to_double(c, mode)
-    if type_name == "int":
-        return to_int(c, mode)
+    if type_name in ("int", "long"):
+        return to_int(c, mode, type_name)
     if type_name == "string":
         return _c(c)
     raise ValueError(f"unsupported field type {type_name!r}")

@@ -23,8 +23,10 @@ from ..functions.predicates import Box, Period
 from ..operators.align import align_on_time, pair_first
 from ..operators.profile import profile
 from ..operators.series import SeriesIndex
-from ..schemas import WEEKDAY_COLUMNS
+from ..schemas import ISO_TS_FORMAT, POLLUTION_TS_FORMAT, WEEKDAY_COLUMNS, Layout
+from ..sources.records import read_records, read_traffic
 from ..sources.weather import explode_points
+from .staging import spread, stage_named_files, stage_table
 from .report import region_readings, region_report, report_lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -230,3 +232,58 @@ def q_json_points(spark, sf):
 def q_weekday_onehot(spark, sf):
     o = table(spark, sf, "orders")
     return o.select("o_orderkey", "o_orderdate", *weekday_flags("o_orderdate", WEEKDAY_COLUMNS))
+
+
+# --- file readers over staged copies of driver tables -----------------------
+ORDERS_LAYOUT = Layout(
+    fields=((0, "o_orderkey", "long"), (1, "o_custkey", "long"), (2, "o_totalprice", "double"),
+            (3, "o_orderstatus", "string"), (4, "o_orderpriority", "string")),
+    ts=(-1, "ts", POLLUTION_TS_FORMAT), header_field=-1)
+ORDERS_HEADER = "o_orderkey,o_custkey,o_totalprice,o_orderstatus,o_orderpriority,timestamp"
+TRAFFIC_HEADER = "c0,c1,speed,c3,c4,TIMESTAMP,vehicles,c7"
+
+
+def _order_fields():
+    return [F.col("o_orderkey"), F.col("o_custkey"), F.col("o_totalprice"), F.col("o_orderstatus"),
+            F.col("o_orderpriority"), F.date_format("o_orderdate", POLLUTION_TS_FORMAT)]
+
+
+def stage_orders(spark, sf, files: int = 3) -> str:
+    o = table(spark, sf, "orders")
+    return stage_table(spark, o, _order_fields(), ORDERS_HEADER, "o_orderkey",
+                       spread(F.col("o_orderkey"), files), files, "orders-csv")
+
+
+def stage_traffic(spark, sf, files: int = 4) -> str:
+    li = table(spark, sf, "lineitem")
+    fields = [F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_extendedprice"), F.col("l_returnflag"),
+              F.col("l_linestatus"), F.date_format("l_shipdate", ISO_TS_FORMAT),
+              F.col("l_quantity").cast("int"), F.col("l_suppkey")]
+    pos = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    return stage_table(spark, li.withColumn("_p", pos), fields, TRAFFIC_HEADER, "_p",
+                       spread(F.col("l_orderkey"), files), files, "traffic-csv")
+
+
+_ORDERS_SQL = ("SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus, o_orderpriority, "
+               "o_orderdate AS ts FROM orders")
+
+
+@register("csv_scan_headers", _ORDERS_SQL)
+def q_csv_scan_headers(spark, sf):
+    return read_records(spark, stage_orders(spark, sf), ORDERS_LAYOUT)
+
+
+@register("traffic_scan", """
+SELECT l_extendedprice AS average_speed, CAST(l_quantity AS INTEGER) AS vehicle_count, l_shipdate AS ts
+FROM lineitem""")
+def q_traffic_scan(spark, sf):
+    return read_traffic(spark, stage_traffic(spark, sf))
+
+
+@register("path_entity_id", "SELECT CAST(year(o_orderdate) AS VARCHAR) AS sensor_id, o_orderkey, o_custkey, "
+          "o_totalprice, o_orderstatus, o_orderpriority, o_orderdate AS ts FROM orders")
+def q_path_entity_id(spark, sf):
+    o = table(spark, sf, "orders")
+    root = stage_named_files(spark, o, _order_fields(), ORDERS_HEADER, "o_orderkey",
+                             F.year("o_orderdate"), "orders", "orders-by-year")
+    return read_records(spark, root, ORDERS_LAYOUT, entity_pattern=r"(\d+)\.csv")

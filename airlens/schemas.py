@@ -44,14 +44,14 @@ class Layout:
     """Positional layout of a delimited text record."""
 
     fields: tuple[tuple[int, str, str], ...]
-    ts: tuple[int, str, str]               # (position, column name, datetime pattern)
+    ts: tuple[int, str, str] | None        # (position, column name, datetime pattern)
     header_field: int                      # position tested for the header marker
     sep: str = ","
     extra: dict = field(default_factory=dict, compare=False)
 
     @property
     def columns(self) -> list[str]:
-        return [n for _, n, _ in self.fields] + [self.ts[1]]
+        return [n for _, n, _ in self.fields] + ([self.ts[1]] if self.ts else [])
 
 
 POLLUTION = Layout(

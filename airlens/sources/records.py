@@ -50,9 +50,10 @@ def parse_records(lines: DataFrame, layout: Layout, bad_rows: str = "fail",
     body = lines.where(~is_blank(line))
     body = body.where(~F.coalesce(is_header(field_at(parts, layout.header_field, strict=False)), F.lit(False)))
 
-    pos, ts_name, fmt = layout.ts
     typed: list[Column] = [parse(field_at(parts, p, strict), t, mode).alias(n) for p, n, t in layout.fields]
-    typed.append(to_ts(field_at(parts, pos, strict), fmt, mode).alias(ts_name))
+    if layout.ts:
+        pos, ts_name, fmt = layout.ts
+        typed.append(to_ts(field_at(parts, pos, strict), fmt, mode).alias(ts_name))
     out = body.select(*keep, *typed, line.alias("_line"))
     if bad_rows == "fail":
         return out.drop("_line")
