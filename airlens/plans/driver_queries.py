@@ -23,9 +23,11 @@ from ..functions.predicates import Box, Period
 from ..operators.align import align_on_time, pair_first
 from ..operators.profile import profile
 from ..operators.series import SeriesIndex
-from ..schemas import ISO_TS_FORMAT, POLLUTION_TS_FORMAT, WEEKDAY_COLUMNS, Layout
-from ..sources.records import read_records, read_traffic
+from ..schemas import ISO_TS_FORMAT, MERGED_HEADER, POLLUTION_TS_FORMAT, WEEKDAY_COLUMNS, Layout
+from ..session import scratch_path
+from ..sources.records import read_merged, read_records, read_traffic
 from ..sources.weather import explode_points
+from .merge import merge_files, write_merged
 from .staging import spread, stage_named_files, stage_table
 from .report import region_readings, region_report, report_lines
 
@@ -287,3 +289,94 @@ def q_path_entity_id(spark, sf):
     root = stage_named_files(spark, o, _order_fields(), ORDERS_HEADER, "o_orderkey",
                              F.year("o_orderdate"), "orders", "orders-by-year")
     return read_records(spark, root, ORDERS_LAYOUT, entity_pattern=r"(\d+)\.csv")
+
+
+# --- the merge job end to end over staged sensor / traffic / weather files --
+# weather measurement -> events type providing its points
+WEATHER_STANDIN = {"dewptm": "purchase", "hum": "signup", "pressurem": "error",
+                   "tempm": "click", "wdird": "view", "wspdm": "purchase"}
+POLLUTION_HEADER = "ozone,particulate_matter,carbon_monoxide,sulfur_dioxide,nitrogen_dioxide,longitude,latitude,timestamp"
+
+
+def stage_sensor_files(spark, sf) -> str:
+    """pollution<user>.csv from clicks, traffic<user>.csv from views (day
+    resolution, so a user has duplicate times), and <measurement>.txt JSON
+    lines from the event series (values below 1 written as missing)."""
+    ev = table(spark, sf, "events").withColumn("k", F.get_json_object("props", "$.k").cast("double"))
+    day = F.date_trunc("day", "ts").cast("timestamp_ntz")
+    root = scratch_path(spark, "sensors")
+    clicks = ev.where(F.col("event_type") == "click")
+    stage_named_files(spark, clicks,
+                      [F.col("value"), F.col("k"), F.col("event_id"), F.col("user_id"), F.hour("ts"),
+                       F.col("k"), F.col("value"), F.date_format(day, POLLUTION_TS_FORMAT)],
+                      POLLUTION_HEADER, "event_id", F.col("user_id"), "pollution", "pollution",
+                      root=root + "/pollution")
+    views = ev.where(F.col("event_type") == "view")
+    stage_named_files(spark, views,
+                      [F.col("event_id"), F.col("user_id"), F.col("value"), F.lit("x"), F.lit("x"),
+                       F.date_format(day, ISO_TS_FORMAT), F.col("k").cast("int"), F.lit("x")],
+                      TRAFFIC_HEADER, "event_id", F.col("user_id"), "traffic", "traffic", root=root + "/traffic")
+    by_type: dict[str, list[str]] = {}
+    for m, e in WEATHER_STANDIN.items():
+        by_type.setdefault(e, []).append(m)
+    ms = F.create_map(*[x for e, names in by_type.items() for x in (F.lit(e), F.array(*map(F.lit, names)))])
+    pts = ev.where(F.col("event_type").isin(list(by_type))).select(
+        F.explode(ms[F.col("event_type")]).alias("measurement"), "event_id",
+        F.to_json(F.create_map(F.date_format("ts", ISO_TS_FORMAT),
+                               F.when(F.col("value") < 1, F.lit("")).otherwise(F.col("value").cast("string"))))
+        .alias("json"))
+    stage_named_files(spark, pts, F.col("json"), None, "event_id", F.col("measurement"), "", "weather",
+                      ext=".txt", root=root + "/weather")
+    return root
+
+
+def _merged_sql() -> str:
+    def interp(kind):
+        pts = (f"(SELECT date_trunc('second', ts) AS pt, min(value) AS pf, max(value) AS pl FROM ev "
+               f"WHERE event_type = '{kind}' AND value >= 1 GROUP BY 1)")
+        first = f"(SELECT pf FROM {pts} ORDER BY pt LIMIT 1)"
+        last = f"(SELECT pl FROM {pts} ORDER BY pt DESC LIMIT 1)"
+        c1 = "(date_diff('microsecond', m.t, f.pt) / 1000000.0)"
+        c2 = "(date_diff('microsecond', b.pt, m.t) / 1000000.0)"
+        return (f"SELECT m.sensor_id, m.t, m.rk, round(CASE WHEN b.pt IS NULL THEN {first} "
+                f"WHEN f.pt IS NULL THEN {last} WHEN b.pt = m.t THEN b.pl "
+                f"ELSE ({c1} * b.pl + {c2} * f.pf) / ({c1} + {c2}) END, 6) AS v "
+                f"FROM m ASOF LEFT JOIN {pts} b ON m.t >= b.pt ASOF LEFT JOIN {pts} f ON m.t <= f.pt")
+    wcols = dict(zip(WEATHER_STANDIN, MERGED_HEADER[12:18]))
+    ctes = ",\n".join(f"w_{m} AS ({interp(e)})" for m, e in WEATHER_STANDIN.items())
+    joins = " ".join(f"JOIN w_{m} USING (sensor_id, t, rk)" for m in WEATHER_STANDIN)
+    flags = ", ".join(f"CAST(isodow(t) = {i + 1} AS INTEGER) AS {n}" for i, n in enumerate(WEEKDAY_COLUMNS))
+    return f"""
+WITH ev AS (SELECT *, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k, date_trunc('day', ts) AS d FROM events),
+p AS (SELECT CAST(user_id AS VARCHAR) AS sensor_id, d AS t, value AS lat, k AS lon, value AS o3, k AS pm,
+             CAST(event_id AS DOUBLE) AS co, CAST(user_id AS DOUBLE) AS so2, CAST(hour(ts) AS DOUBLE) AS no2,
+             row_number() OVER (PARTITION BY user_id, d ORDER BY event_id) AS rk
+      FROM ev WHERE event_type = 'click'),
+tr AS (SELECT CAST(user_id AS VARCHAR) AS sensor_id, d AS t, value AS speed, CAST(CAST(k AS INTEGER) AS DOUBLE) AS cars,
+              row_number() OVER (PARTITION BY user_id, d ORDER BY event_id) AS rk
+       FROM ev WHERE event_type = 'view'),
+m AS (SELECT * FROM p JOIN tr USING (sensor_id, t, rk)),
+{ctes}
+SELECT sensor_id, t AS Timestamp, lat AS Latitude, lon AS Longitude, speed AS Average_speed, cars AS Vehicle_count,
+       {flags}, {", ".join(f"w_{m}.v AS {c}" for m, c in wcols.items())},
+       o3 AS Ozone, pm AS Particulate_matter, co AS Carbon_monoxide, so2 AS Sulfur_dioxide, no2 AS Nitrogen_dioxide
+FROM m {joins}"""
+
+
+def _round_weather(df):
+    return df.select(*[rnd(c, 6).alias(c) if c in MERGED_HEADER[12:18] else F.col(c) for c in df.columns])
+
+
+@register("merged_rows", _merged_sql())
+def q_merged_rows(spark, sf):
+    root = stage_sensor_files(spark, sf)
+    return _round_weather(merge_files(spark, root + "/pollution", root + "/traffic", root + "/weather"))
+
+
+@register("merged_roundtrip", _merged_sql())
+def q_merged_roundtrip(spark, sf):
+    root = stage_sensor_files(spark, sf)
+    merged = merge_files(spark, root + "/pollution", root + "/traffic", root + "/weather")
+    out = scratch_path(spark, "merged")
+    write_merged(merged, out)
+    return _round_weather(read_merged(spark, out))

@@ -56,9 +56,9 @@ def spread(key: Column, files: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(files)).cast("int")
 
 
-def flatten_to_named_files(spark: SparkSession, src: str, dst: str, prefix: str) -> str:
+def flatten_to_named_files(spark: SparkSession, src: str, dst: str, prefix: str, ext: str = ".csv") -> str:
     """Move the single part file of each ``src/_file=<id>/`` directory to
-    ``dst/<prefix><id>.csv`` (the naming the sensor readers expect).
+    ``dst/<prefix><id><ext>`` (the naming the sensor readers expect).
 
     Only file-system metadata operations on the driver; one per file.
     """
@@ -70,20 +70,27 @@ def flatten_to_named_files(spark: SparkSession, src: str, dst: str, prefix: str)
     for st in fs.globStatus(jvm.org.apache.hadoop.fs.Path(src + "/_file=*/part-*.csv")):
         p = st.getPath()
         ident = p.getParent().getName().split("=", 1)[1]
-        fs.rename(p, jvm.org.apache.hadoop.fs.Path(f"{dst}/{prefix}{ident}.csv"))
+        fs.rename(p, jvm.org.apache.hadoop.fs.Path(f"{dst}/{prefix}{ident}{ext}"))
     return dst
 
 
-def stage_named_files(spark: SparkSession, df: DataFrame, fields: Sequence[Column], header: str,
-                      order: str, ident: Column, prefix: str, name: str) -> str:
-    """One file per ``ident`` value named ``<prefix><ident>.csv``, header first."""
+def stage_named_files(spark: SparkSession, df: DataFrame, fields: Sequence[Column] | Column, header: str | None,
+                      order: str, ident: Column, prefix: str, name: str, ext: str = ".csv",
+                      root: str | None = None) -> str:
+    """One file per ``ident`` value named ``<prefix><ident><ext>``, header
+    first.  ``fields`` is a list of columns joined by commas, or one column
+    holding the whole line."""
+    line = fields if isinstance(fields, Column) else F.concat_ws(",", *[f.cast("string") for f in fields])
     rows = df.select(ident.cast("string").alias("_file"), F.col(order).cast("double").alias("_pos"),
-                     F.concat_ws(",", *[f.cast("string") for f in fields]).alias(LINE))
-    heads = rows.select("_file").distinct().select("_file", F.lit(-1.0).alias("_pos"), F.lit(header).alias(LINE))
+                     line.alias(LINE))
+    if header is not None:
+        heads = rows.select("_file").distinct().select("_file", F.lit(-1.0).alias("_pos"),
+                                                        F.lit(header).alias(LINE))
+        rows = rows.unionByName(heads)
     tmp = scratch_path(spark, name + "-parts")
-    (rows.unionByName(heads).repartition("_file").sortWithinPartitions("_file", "_pos")
+    (rows.repartition("_file").sortWithinPartitions("_file", "_pos")
      .select("_file", LINE).write.mode("overwrite").partitionBy("_file")
      .option("sep", "\u0001").option("quote", "").option("escape", "")
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .csv(tmp))
-    return flatten_to_named_files(spark, tmp, scratch_path(spark, name), prefix)
+    return flatten_to_named_files(spark, tmp, root or scratch_path(spark, name), prefix, ext)

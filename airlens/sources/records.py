@@ -98,11 +98,13 @@ def read_traffic(spark: SparkSession, path, **kw) -> DataFrame:
     return read_records(spark, path, TRAFFIC, **kw)
 
 
-def read_merged(spark: SparkSession, path, glob: str | None = None, **kw) -> DataFrame:
-    """Merged training rows written by :func:`airlens.sinks.files.write_merged`
+def read_merged(spark: SparkSession, path, glob: str | None = None, partitioned: bool = True,
+                **kw) -> DataFrame:
+    """Merged training rows written by :func:`airlens.plans.merge.write_merged`
     (or by hand with the same ``", "`` layout).  Files in ``sensor_id=...``
-    sub-directories are found through partition discovery."""
-    reader = spark.read
+    sub-directories are found through partition discovery; the id stays text
+    so leading zeros survive."""
+    reader = spark.read.schema("value string, sensor_id string") if partitioned else spark.read
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     lines = reader.text(path)
