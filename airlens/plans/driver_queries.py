@@ -22,8 +22,11 @@ from ..functions.columns import weekday_flags
 from ..functions.predicates import Box, Period
 from ..operators.align import align_on_time, pair_first
 from ..operators.profile import profile
+from ..operators.regression import (compare, feature_label, fit_linear, linear_coefficients, load_linear, load_pa,
+                                    pa_fit, pa_fit_groups, pa_weights_frame, predict_linear, predict_pa, save_linear,
+                                    save_pa)
 from ..operators.series import SeriesIndex
-from ..schemas import ISO_TS_FORMAT, MERGED_HEADER, POLLUTION_TS_FORMAT, WEEKDAY_COLUMNS, Layout
+from ..schemas import FEATURES, ISO_TS_FORMAT, MERGED_HEADER, POLLUTION_TS_FORMAT, WEEKDAY_COLUMNS, Layout
 from ..session import scratch_path
 from ..sources.records import read_merged, read_records, read_traffic
 from ..sources.weather import explode_points
@@ -380,3 +383,125 @@ def q_merged_roundtrip(spark, sf):
     out = scratch_path(spark, "merged")
     write_merged(merged, out)
     return _round_weather(read_merged(spark, out))
+
+
+# --- models: features/label, least squares, passive-aggressive, comparison -
+ML_FEATURES = ["x1", "x2"]
+_ML_SQL = ("SELECT user_id, event_id, value / 100.0::DOUBLE AS x1, "
+           "CAST(json_extract_string(props, '$.k') AS DOUBLE) / 100.0::DOUBLE AS x2, "
+           "hour(ts) / 10.0::DOUBLE AS label FROM events")
+
+
+def ml_frame(spark, sf):
+    """events as a regression table: two features and a label per event."""
+    ev = table(spark, sf, "events")
+    return ev.select("user_id", "event_id", (F.col("value") / 100.0).alias("x1"),
+                     (F.get_json_object("props", "$.k").cast("double") / 100.0).alias("x2"),
+                     (F.hour("ts") / 10.0).alias("label"))
+
+
+_OLS_SQL = f"""
+d AS ({_ML_SQL}),
+s AS (SELECT covar_pop(x1, x1) AS a, covar_pop(x1, x2) AS b, covar_pop(x2, x2) AS c,
+             covar_pop(x1, label) AS e, covar_pop(x2, label) AS f, avg(x1) AS m1, avg(x2) AS m2, avg(label) AS my FROM d),
+ols AS (SELECT (c * e - b * f) / (a * c - b * b) AS b1, (a * f - b * e) / (a * c - b * b) AS b2, m1, m2, my FROM s),
+coef AS (SELECT my - b1 * m1 - b2 * m2 AS b0, b1, b2 FROM ols)"""
+
+_PA_SQL = f"""
+pd AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM ({_ML_SQL})),
+fold AS (
+  SELECT user_id, CAST(0 AS BIGINT) AS rn, 0.0::DOUBLE AS w1, 0.0::DOUBLE AS w2, 0.0::DOUBLE AS b
+  FROM (SELECT DISTINCT user_id FROM pd)
+  UNION ALL
+  SELECT user_id, rn, w1 + step * x1, w2 + step * x2, b + step FROM (
+    SELECT f.user_id, d.rn, f.w1, f.w2, f.b, d.x1, d.x2,
+           least(1.0, greatest(0.0, abs(d.label - ((f.w1 * d.x1 + f.w2 * d.x2) + f.b)) - 0.1)
+                      / ((d.x1 * d.x1 + d.x2 * d.x2) + 1.0))
+             * sign(d.label - ((f.w1 * d.x1 + f.w2 * d.x2) + f.b)) AS step
+    FROM fold f JOIN pd d ON d.user_id = f.user_id AND d.rn = f.rn + 1)),
+paw AS (SELECT user_id, arg_max(w1, rn) AS w1, arg_max(w2, rn) AS w2, arg_max(b, rn) AS b, max(rn) AS n
+        FROM fold GROUP BY user_id)"""
+
+
+def _linear_model(spark, sf):
+    return fit_linear(ml_frame(spark, sf), ML_FEATURES)
+
+
+def _pa_groups(spark, sf):
+    return pa_fit_groups(ml_frame(spark, sf), "user_id", ["event_id"], ML_FEATURES)
+
+
+@register("feature_label", "SELECT sensor_id, Timestamp, " + ", ".join(f"CAST({f} AS DOUBLE) AS {f}" for f in FEATURES)
+          + ", Ozone AS label FROM (" + _merged_sql() + ")")
+def q_feature_label(spark, sf):
+    root = stage_sensor_files(spark, sf)
+    merged = _round_weather(merge_files(spark, root + "/pollution", root + "/traffic", root + "/weather"))
+    return feature_label(merged, 0, keep=["sensor_id", "Timestamp"])
+
+
+@register("linear_fit", f"""WITH {_OLS_SQL}
+SELECT round(b0, 4) AS intercept, round(b1, 4) AS coef_x1, round(b2, 4) AS coef_x2 FROM coef""")
+def q_linear_fit(spark, sf):
+    model = _linear_model(spark, sf)
+    path = scratch_path(spark, "linear-model")
+    save_linear(model, path)
+    c = linear_coefficients(load_linear(path), ML_FEATURES)
+    return spark.createDataFrame([tuple(round(c[k], 4) for k in ("intercept", "coef_x1", "coef_x2"))],
+                                 "intercept double, coef_x1 double, coef_x2 double")
+
+
+@register("linear_predict", f"""WITH {_OLS_SQL}
+SELECT event_id, label, round(b0 + b1 * x1 + b2 * x2, 4) AS linear_prediction FROM d, coef""")
+def q_linear_predict(spark, sf):
+    out = predict_linear(_linear_model(spark, sf), ml_frame(spark, sf), ML_FEATURES)
+    return out.select("event_id", "label", rnd("linear_prediction").alias("linear_prediction"))
+
+
+@register("pa_fit_entity", f"""WITH RECURSIVE {_PA_SQL}
+SELECT user_id, round(w1, 4) AS w1, round(w2, 4) AS w2, round(b, 4) AS b, n FROM paw""")
+def q_pa_fit_entity(spark, sf):
+    w = _pa_groups(spark, sf)
+    return w.select("user_id", rnd(F.element_at("w", 1)).alias("w1"), rnd(F.element_at("w", 2)).alias("w2"),
+                    rnd("b").alias("b"), "n")
+
+
+@register("pa_predict", f"""WITH RECURSIVE {_PA_SQL}
+SELECT d.event_id, d.label, round((paw.w1 * d.x1 + paw.w2 * d.x2) + paw.b, 4) AS pa_prediction
+FROM pd d JOIN paw USING (user_id)""")
+def q_pa_predict(spark, sf):
+    weights = _pa_groups(spark, sf)
+    path = scratch_path(spark, "pa-weights")
+    save_pa(weights, path)
+    out = predict_pa(ml_frame(spark, sf), load_pa(spark, path), ML_FEATURES, entity="user_id")
+    return out.select("event_id", "label", rnd("pa_prediction").alias("pa_prediction"))
+
+
+@register("pa_fit_mixed", None)
+def q_pa_fit_mixed(spark, sf):
+    w, b, n = pa_fit(ml_frame(spark, sf), ML_FEATURES, order=["event_id"], epochs=3)
+    return pa_weights_frame(spark, w, b, n)
+
+
+def _scored(spark, sf):
+    data = ml_frame(spark, sf)
+    scored = predict_linear(_linear_model(spark, sf), data, ML_FEATURES)
+    return predict_pa(scored, _pa_groups(spark, sf), ML_FEATURES, entity="user_id")
+
+
+@register("model_compare", f"""WITH RECURSIVE {_OLS_SQL}, {_PA_SQL}
+SELECT d.event_id, d.label, round((paw.w1 * d.x1 + paw.w2 * d.x2) + paw.b, 4) AS pa_prediction,
+       round(b0 + b1 * d.x1 + b2 * d.x2, 4) AS linear_prediction
+FROM pd d JOIN paw USING (user_id), coef""")
+def q_model_compare(spark, sf):
+    return _scored(spark, sf).select("event_id", "label", rnd("pa_prediction").alias("pa_prediction"),
+                                     rnd("linear_prediction").alias("linear_prediction"))
+
+
+@register("rmse", f"""WITH RECURSIVE {_OLS_SQL}, {_PA_SQL}
+SELECT count(*)::BIGINT AS elements,
+       round(sqrt(avg(pow(d.label - ((paw.w1 * d.x1 + paw.w2 * d.x2) + paw.b), 2))), 4) AS rmse_pa,
+       round(sqrt(avg(pow(d.label - (b0 + b1 * d.x1 + b2 * d.x2), 2))), 4) AS rmse_linear
+FROM pd d JOIN paw USING (user_id), coef""")
+def q_rmse(spark, sf):
+    r = compare(_scored(spark, sf))
+    return r.select("elements", rnd("rmse_pa").alias("rmse_pa"), rnd("rmse_linear").alias("rmse_linear"))
