@@ -28,10 +28,15 @@ from ..operators.regression import (compare, feature_label, fit_linear, linear_c
 from ..operators.series import SeriesIndex
 from ..schemas import FEATURES, ISO_TS_FORMAT, MERGED_HEADER, POLLUTION_TS_FORMAT, WEEKDAY_COLUMNS, Layout
 from ..session import scratch_path
-from ..sources.records import read_merged, read_records, read_traffic
+from ..sinks.results import create_result_table, latest_results
+from ..sources.records import parse_records, read_merged, read_records, read_traffic
 from ..sources.weather import explode_points
 from .merge import merge_files, write_merged
-from .staging import spread, stage_named_files, stage_table
+from .staging import spread, stage_named_files, stage_stream_chunks, stage_table
+from ..streaming.replay import replay
+from ..streaming.report import stream_region_report, stream_window_profile
+from ..streaming.score import stream_score
+from ..streaming.sources import decode, file_lines
 from .report import region_readings, region_report, report_lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -505,3 +510,114 @@ FROM pd d JOIN paw USING (user_id), coef""")
 def q_rmse(spark, sf):
     r = compare(_scored(spark, sf))
     return r.select("elements", rnd("rmse_pa").alias("rmse_pa"), rnd("rmse_linear").alias("rmse_linear"))
+
+
+# --- streaming ----------------------------------------------------------------
+EVENT_TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+EVENTS_LAYOUT = Layout(
+    fields=((0, "value", "double"), (1, "k", "double"), (2, "user_id", "double"),
+            (3, "longitude", "double"), (4, "latitude", "double")),
+    ts=(-1, "ts", EVENT_TS_FORMAT), header_field=-1)
+EV_ATTRS = ["value", "k", "user_id"]
+EV_BOX = Box(min_lat=10.0, max_lat=400.0, min_long=5.0, max_long=95.0)
+EV_PERIOD = Period.of("2024-01-03", "2024-01-28")
+CHUNK_ROWS = 2500
+ML_LAYOUT = Layout(
+    fields=((0, "user_id", "long"), (1, "event_id", "long"), (2, "x1", "double"), (3, "x2", "double"),
+            (4, "label", "double")),
+    ts=None, header_field=-1)
+
+_EV_SQL = ("(SELECT *, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events) ev "
+           "WHERE value BETWEEN 10.0 AND 400.0 AND k BETWEEN 5.0 AND 95.0 "
+           "AND ts BETWEEN TIMESTAMP '2024-01-03 00:00:00' AND TIMESTAMP '2024-01-28 00:00:00'")
+
+
+def _chunk(c: str = "event_id"):
+    return F.floor(F.col(c) / F.lit(CHUNK_ROWS)).cast("long")
+
+
+def stage_event_chunks(spark, sf) -> str:
+    ev = table(spark, sf, "events").withColumn("k", F.get_json_object("props", "$.k").cast("double"))
+    fields = [F.col("value"), F.col("k"), F.col("user_id"), F.col("k"), F.col("value"),
+              F.date_format("ts", EVENT_TS_FORMAT)]
+    return stage_stream_chunks(spark, ev, fields, "event_id", _chunk(), "event-chunks", header=EVENT_HEADER)
+
+
+EVENT_HEADER = "value,k,user_id,longitude,latitude,timestamp"
+
+
+def _stream_profile_sql(group: str, key_alias: str) -> str:
+    parts = []
+    for a in EV_ATTRS:
+        parts.append(f"SELECT {group} AS {key_alias}, '{a}' AS substance, count(*)::BIGINT AS elements, "
+                     f"round(min({a})::DOUBLE, 4) AS min, round(max({a})::DOUBLE, 4) AS max, "
+                     f"round(avg({a}), 4) AS mean, round(stddev_pop({a}), 4) AS std FROM {_EV_SQL} GROUP BY 1")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _run_stream_profile(spark, sf):
+    readings = decode(file_lines(spark, stage_event_chunks(spark, sf), "*.csv", max_files_per_trigger=1),
+                      EVENTS_LAYOUT, bad_rows="fail")
+    name = "analysis_info_" + scratch_path(spark, "t").rsplit("-", 1)[1]
+    create_result_table(spark, name, scratch_path(spark, "analysis-info"))
+    q = stream_region_report(readings, EV_BOX, EV_PERIOD, name, scratch_path(spark, "ck-profile"),
+                             attributes=EV_ATTRS, is_table=True)
+    q.awaitTermination()
+    return name
+
+
+@register("stream_profile", _stream_profile_sql(f"CAST(event_id // {CHUNK_ROWS} AS BIGINT)", "batch_id"))
+def q_stream_profile(spark, sf):
+    name = _run_stream_profile(spark, sf)
+    return spark.table(name).select("batch_id", "substance", "elements",
+                                    *[rnd(c).alias(c) for c in ("min", "max", "mean", "std")])
+
+
+@register("latest_results", f"""
+SELECT substance, batch_id, row_number() OVER (ORDER BY batch_id DESC) AS recency, elements, min, max, mean, std
+FROM ({_stream_profile_sql(f"CAST(event_id // {CHUNK_ROWS} AS BIGINT)", "batch_id")}) WHERE substance = 'value'""")
+def q_latest_results(spark, sf):
+    name = _run_stream_profile(spark, sf)
+    res = latest_results(spark, name, "value", is_table=True)
+    return res.select("substance", "batch_id", F.col("recency").cast("long").alias("recency"), "elements",
+                      *[rnd(c).alias(c) for c in ("min", "max", "mean", "std")])
+
+
+@register("stream_replay", _ORDERS_SQL)
+def q_stream_replay(spark, sf):
+    src = stage_orders(spark, sf)
+    out = scratch_path(spark, "replayed")
+    replay(spark, src, scratch_path(spark, "ck-replay"), sink="files", path=out).awaitTermination()
+    return parse_records(spark.read.text(out), ORDERS_LAYOUT)
+
+
+@register("stream_score", f"""WITH RECURSIVE {_OLS_SQL}, {_PA_SQL}
+SELECT CAST(d.event_id // {CHUNK_ROWS} AS BIGINT) AS batch_id, count(*)::BIGINT AS elements,
+       round(sqrt(avg(pow(d.label - ((paw.w1 * d.x1 + paw.w2 * d.x2) + paw.b), 2))), 4) AS rmse_pa,
+       round(sqrt(avg(pow(d.label - (b0 + b1 * d.x1 + b2 * d.x2), 2))), 4) AS rmse_linear
+FROM pd d JOIN paw USING (user_id), coef GROUP BY 1""")
+def q_stream_score(spark, sf):
+    data = ml_frame(spark, sf)
+    linear = fit_linear(data, ML_FEATURES)
+    weights = pa_fit_groups(data, "user_id", ["event_id"], ML_FEATURES).checkpoint(eager=True)
+    src = stage_stream_chunks(spark, data, [F.col(c) for c in ("user_id", "event_id", "x1", "x2", "label")],
+                              "event_id", _chunk(), "ml-chunks")
+    records = decode(file_lines(spark, src, "*.csv", max_files_per_trigger=1), ML_LAYOUT, bad_rows="fail")
+    target = scratch_path(spark, "scores")
+    stream_score(records, target, scratch_path(spark, "ck-score"), linear=linear, pa_weights=weights,
+                 features=ML_FEATURES, entity="user_id").awaitTermination()
+    return spark.read.parquet(target).select(F.col("batch_id").cast("long"), "elements",
+                                             rnd("rmse_pa").alias("rmse_pa"), rnd("rmse_linear").alias("rmse_linear"))
+
+
+@register("stream_window_profile",
+          _stream_profile_sql("date_trunc('day', ts)", "window_start").replace("substance", "attribute"))
+def q_stream_window_profile(spark, sf):
+    readings = decode(file_lines(spark, stage_event_chunks(spark, sf), "*.csv", max_files_per_trigger=1),
+                      EVENTS_LAYOUT, bad_rows="fail")
+    target = scratch_path(spark, "window-profile")
+    stream_window_profile(readings, EV_BOX, EV_PERIOD, target, scratch_path(spark, "ck-window"),
+                          attributes=EV_ATTRS, labels=EV_ATTRS).awaitTermination()
+    out = spark.read.parquet(target)
+    return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "attribute", "elements",
+                      *[rnd(c).alias(c) for c in ("min", "max", "mean", "std")])

@@ -94,3 +94,21 @@ def stage_named_files(spark: SparkSession, df: DataFrame, fields: Sequence[Colum
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .csv(tmp))
     return flatten_to_named_files(spark, tmp, root or scratch_path(spark, name), prefix, ext)
+
+
+def stage_stream_chunks(spark: SparkSession, df: DataFrame, fields: Sequence[Column] | Column, order: str,
+                        chunk: Column, name: str, header: str | None = None) -> str:
+    """One ``chunkNNNNNN.csv`` file per chunk number, with modification times
+    increasing with the chunk number: a file stream source taking one file
+    per trigger then sees chunk ``i`` as micro-batch ``i``."""
+    root = stage_named_files(spark, df, fields, header, order, F.lpad(chunk.cast("string"), 6, "0"),
+                             "chunk", name)
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(conf)
+    names = sorted(st.getPath().toString() for st in fs.listStatus(path) if st.getPath().getName().endswith(".csv"))
+    base = 1_500_000_000_000
+    for i, p in enumerate(names):
+        fs.setTimes(jvm.org.apache.hadoop.fs.Path(p), base + i * 1000, -1)
+    return root
