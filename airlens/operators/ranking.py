@@ -44,11 +44,13 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> tuple[DataFra
     sample = df.sample(withReplacement=False, fraction=fraction, seed=17) if fraction < 1.0 else df
     est = (sample.groupBy(*keys).agg((F.count(F.lit(1)) / F.lit(fraction)).alias("_est"))
            .where(F.col("_est") > hot_rows))
-    est = est.checkpoint(eager=True)
-    top = est.agg(F.max("_est").alias("m")).first()["m"]
-    if top is None:
+    # common case: nothing is hot, and one small job proves it
+    top = est.orderBy(F.desc("_est")).limit(1).collect()
+    if not top:
         return None, 0
-    return est, int(min(MAX_SLICES, max(2, math.ceil(2 * top / hot_rows))))
+    # freeze the (sampled) hot set so every later use sees the same keys
+    est = est.checkpoint(eager=True)
+    return est, int(min(MAX_SLICES, max(2, math.ceil(2 * top[0]["_est"] / hot_rows))))
 
 
 def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence, out: str = "rank",

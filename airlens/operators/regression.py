@@ -149,8 +149,9 @@ def pa_fit(df: DataFrame, features: Sequence[str] = FEATURES, label: str = "labe
             total = sum(r["n"] for r in parts)
             if total == 0:
                 break
-            w = [sum(r["w"][i] * r["n"] for r in parts) / total for i in range(len(feats))]
-            b = sum(r["b"] * r["n"] for r in parts) / total
+            share = [r["n"] / total for r in parts]   # exactly 1.0 for a single partition
+            w = [sum(s * r["w"][i] for s, r in zip(share, parts)) for i in range(len(feats))]
+            b = sum(s * r["b"] for s, r in zip(share, parts))
     finally:
         if epochs > 1:
             data.unpersist()

@@ -52,6 +52,22 @@ def register(name: str, sql: str | None):
     return deco
 
 
+_STAGED: dict[tuple[str, str, str], str] = {}
+
+
+def staged(fn):
+    """Stage a fixture once per application and scale: the files are a pure
+    function of the driver table, so queries sharing them reuse the folder."""
+    def wrapper(spark, sf, *args):
+        key = (spark.sparkContext.applicationId, sf.rstrip("/"), fn.__name__ + repr(args))
+        if key not in _STAGED:
+            _STAGED[key] = fn(spark, sf, *args)
+        return _STAGED[key]
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -258,12 +274,14 @@ def _order_fields():
             F.col("o_orderpriority"), F.date_format("o_orderdate", POLLUTION_TS_FORMAT)]
 
 
+@staged
 def stage_orders(spark, sf, files: int = 3) -> str:
     o = table(spark, sf, "orders")
     return stage_table(spark, o, _order_fields(), ORDERS_HEADER, "o_orderkey",
                        spread(F.col("o_orderkey"), files), files, "orders-csv")
 
 
+@staged
 def stage_traffic(spark, sf, files: int = 4) -> str:
     li = table(spark, sf, "lineitem")
     fields = [F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_extendedprice"), F.col("l_returnflag"),
@@ -306,6 +324,7 @@ WEATHER_STANDIN = {"dewptm": "purchase", "hum": "signup", "pressurem": "error",
 POLLUTION_HEADER = "ozone,particulate_matter,carbon_monoxide,sulfur_dioxide,nitrogen_dioxide,longitude,latitude,timestamp"
 
 
+@staged
 def stage_sensor_files(spark, sf) -> str:
     """pollution<user>.csv from clicks, traffic<user>.csv from views (day
     resolution, so a user has duplicate times), and <measurement>.txt JSON
@@ -536,6 +555,7 @@ def _chunk(c: str = "event_id"):
     return F.floor(F.col(c) / F.lit(CHUNK_ROWS)).cast("long")
 
 
+@staged
 def stage_event_chunks(spark, sf) -> str:
     ev = table(spark, sf, "events").withColumn("k", F.get_json_object("props", "$.k").cast("double"))
     fields = [F.col("value"), F.col("k"), F.col("user_id"), F.col("k"), F.col("value"),

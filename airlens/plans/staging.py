@@ -88,7 +88,9 @@ def stage_named_files(spark: SparkSession, df: DataFrame, fields: Sequence[Colum
                                                         F.lit(header).alias(LINE))
         rows = rows.unionByName(heads)
     tmp = scratch_path(spark, name + "-parts")
-    (rows.repartition("_file").sortWithinPartitions("_file", "_pos")
+    # an explicit partition count keeps AQE from coalescing the many small
+    # per-file outputs into one serial task
+    (rows.repartition(spark.sparkContext.defaultParallelism, "_file").sortWithinPartitions("_file", "_pos")
      .select("_file", LINE).write.mode("overwrite").partitionBy("_file")
      .option("sep", "\u0001").option("quote", "").option("escape", "")
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
