@@ -83,6 +83,20 @@ def micros_between(start, end) -> Column:
     return F.timestamp_diff("MICROSECOND", _c(start), _c(end))
 
 
+_EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def ntz_as_instant(c) -> Column:
+    """NTZ wall clock -> TIMESTAMP instant with the same digits in UTC,
+    independent of the session time zone (for windows and watermarks)."""
+    return F.timestamp_micros(micros_between(F.lit(_EPOCH_NTZ).cast("timestamp_ntz"), c))
+
+
+def instant_as_ntz(c) -> Column:
+    """Inverse of :func:`ntz_as_instant`."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_c(c)), F.lit(_EPOCH_NTZ).cast("timestamp_ntz"))
+
+
 def seconds_between(start, end) -> Column:
     return micros_between(start, end) / F.lit(1_000_000.0)
 

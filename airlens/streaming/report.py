@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.columns import instant_as_ntz, ntz_as_instant
 from ..functions.predicates import Box, Period, in_region
 from ..operators.profile import profile
 from ..plans.report import region_report
@@ -55,10 +56,10 @@ def window_profile(readings: DataFrame, box: Box, period: Period, *, every: str
                    watermark: str = "1 day", attributes: Sequence[str] = POLLUTANTS,
                    lat: str = "latitude", long: str = "longitude", ts: str = "ts") -> DataFrame:
     """Streaming aggregate: one wide row per window (``window_start`` plus
-    ``elements`` and ``_min<i>/_max<i>/_mean<i>/_std<i>``).  Event time is cast
-    to TIMESTAMP because watermarks need it; the session time zone should be
-    UTC so the cast is the identity."""
-    et = F.col(ts).cast("timestamp")
+    ``elements`` and ``_min<i>/_max<i>/_mean<i>/_std<i>``).  Watermarks need a
+    TIMESTAMP, so the NTZ reading time is mapped to the instant with the same
+    UTC digits and back (no dependence on the session time zone)."""
+    et = ntz_as_instant(F.col(ts))
     r = (readings.where(in_region(box, period, lat, long, ts)).withColumn("_et", et)
          .withWatermark("_et", watermark))
     aggs = [F.count(F.lit(1)).alias("elements")]
@@ -67,7 +68,7 @@ def window_profile(readings: DataFrame, box: Box, period: Period, *, every: str
         aggs += [F.min(c).alias(f"_min{i}"), F.max(c).alias(f"_max{i}"),
                  F.avg(c).alias(f"_mean{i}"), F.stddev_pop(c).alias(f"_std{i}")]
     return r.groupBy(F.window("_et", every).alias("w")).agg(*aggs).select(
-        F.col("w.start").cast("timestamp_ntz").alias("window_start"), *[a for a in [
+        instant_as_ntz(F.col("w.start")).alias("window_start"), *[a for a in [
             "elements"] + [f"_{k}{i}" for i in range(len(attributes)) for k in ("min", "max", "mean", "std")]])
 
 
