@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.columns import field_at, is_blank, is_header
-from .report import _trigger
+from .report import _trigger, start
 from .sources import file_lines
 
 
@@ -29,7 +29,8 @@ def replay_lines(lines: DataFrame, header_field: int = -1, sep: str = ",") -> Da
 
 def replay(spark: SparkSession, source: str, checkpoint: str, *, sink: str = "files", path: str | None = None,
            bootstrap_servers: str | None = None, topic: str | None = None, glob: str = "*.csv",
-           files_per_batch: int | None = 1, header_field: int = -1, trigger=None) -> StreamingQuery:
+           files_per_batch: int | None = 1, header_field: int = -1, trigger=None,
+           partitions="auto") -> StreamingQuery:
     """Start the replay into ``path`` (text files) or a Kafka ``topic``."""
     msgs = replay_lines(file_lines(spark, source, glob, files_per_batch), header_field)
     if sink == "files":
@@ -43,4 +44,4 @@ def replay(spark: SparkSession, source: str, checkpoint: str, *, sink: str = "fi
              .option("kafka.bootstrap.servers", bootstrap_servers).option("topic", topic))
     else:
         raise ValueError("sink must be 'files' or 'kafka'")
-    return _trigger(w.option("checkpointLocation", checkpoint), trigger).start()
+    return start(_trigger(w.option("checkpointLocation", checkpoint), trigger), spark, partitions)

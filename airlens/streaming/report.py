@@ -35,12 +35,36 @@ def _trigger(writer, trigger):
     return writer.trigger(processingTime=str(trigger))
 
 
+def start(writer, session, partitions="auto") -> StreamingQuery:
+    """Start a query with its own shuffle width.
+
+    A streaming query copies the session's SQL settings when it starts, and a
+    stateful operator fixes its number of state partitions in the checkpoint
+    on the first start.  ``partitions="auto"`` uses the cluster's default
+    parallelism (total executor cores) for both the per-batch shuffles and the
+    state store; an int sets it; ``None`` keeps the session's setting.  The
+    session's own value is restored right after the start.
+    """
+    if partitions is None:
+        return writer.start()
+    n = session.sparkContext.defaultParallelism if partitions == "auto" else int(partitions)
+    key = "spark.sql.shuffle.partitions"
+    previous = session.conf.get(key)
+    session.conf.set(key, str(n))
+    try:
+        return writer.start()
+    finally:
+        session.conf.set(key, previous)
+
+
 def stream_region_report(readings: DataFrame, box: Box, period: Period, target: str, checkpoint: str, *,
                          trigger=None, attributes: Sequence[str] = POLLUTANTS,
                          labels: Sequence[str] | None = None, is_table: bool = False,
-                         lat: str = "latitude", long: str = "longitude", ts: str = "ts") -> StreamingQuery:
+                         lat: str = "latitude", long: str = "longitude", ts: str = "ts",
+                         partitions="auto") -> StreamingQuery:
     """Start the per-batch report.  ``trigger``: seconds between batches, a
-    processing-time string, or ``None`` for one pass over available data."""
+    processing-time string, or ``None`` for one pass over available data;
+    ``partitions``: see :func:`start`."""
     if labels is None:
         labels = POLLUTANT_LABELS if list(attributes) == POLLUTANTS else list(attributes)
 
@@ -49,7 +73,7 @@ def stream_region_report(readings: DataFrame, box: Box, period: Period, target:
         write_results(result_rows(rep, batch_id), target, is_table)
 
     w = readings.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
-    return _trigger(w, trigger).start()
+    return start(_trigger(w, trigger), readings.sparkSession, partitions)
 
 
 def window_profile(readings: DataFrame, box: Box, period: Period, *, every: str = "1 day",
@@ -85,7 +109,7 @@ def unpivot_window_profile(wide: DataFrame, labels: Sequence[str]) -> DataFrame:
 def stream_window_profile(readings: DataFrame, box: Box, period: Period, target: str, checkpoint: str, *,
                           every: str = "1 day", watermark: str = "1 day", trigger=None,
                           attributes: Sequence[str] = POLLUTANTS, labels: Sequence[str] | None = None,
-                          output_mode: str = "update", **geo) -> StreamingQuery:
+                          output_mode: str = "update", partitions="auto", **geo) -> StreamingQuery:
     """Keep ``target`` (parquet, partitioned by window) up to date with the
     windowed profile.  In ``update`` mode each batch rewrites only the
     windows it changed; ``append`` emits a window once the watermark passes."""
@@ -98,7 +122,7 @@ def stream_window_profile(readings: DataFrame, box: Box, period: Period, target:
          .option("partitionOverwriteMode", "dynamic").partitionBy("window_start").parquet(target))
 
     w = wide.writeStream.outputMode(output_mode).foreachBatch(each_batch).option("checkpointLocation", checkpoint)
-    return _trigger(w, trigger).start()
+    return start(_trigger(w, trigger), readings.sparkSession, partitions)
 
 
 __all__ = ["stream_region_report", "window_profile", "unpivot_window_profile", "stream_window_profile", "profile"]

@@ -22,7 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.regression import compare, predict_linear, predict_pa
 from ..schemas import FEATURES
-from .report import _trigger
+from .report import _trigger, start
 
 
 def score(records: DataFrame, linear: LinearRegressionModel | None = None, pa_weights: DataFrame | None = None,
@@ -39,7 +39,7 @@ def score(records: DataFrame, linear: LinearRegressionModel | None = None, pa_we
 def stream_score(records: DataFrame, target: str, checkpoint: str, *, linear: LinearRegressionModel | None = None,
                  pa_weights: DataFrame | None = None, features: Sequence[str] = FEATURES,
                  entity: str | None = None, rows_target: str | None = None, keep: Sequence[str] = (),
-                 trigger=None) -> StreamingQuery:
+                 trigger=None, partitions="auto") -> StreamingQuery:
     if linear is None and pa_weights is None:
         raise ValueError("at least one model is required")
     preds = [p for p, m in (("pa_prediction", pa_weights), ("linear_prediction", linear)) if m is not None]
@@ -60,4 +60,4 @@ def stream_score(records: DataFrame, target: str, checkpoint: str, *, linear: Li
             scored.unpersist()
 
     w = records.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
-    return _trigger(w, trigger).start()
+    return start(_trigger(w, trigger), records.sparkSession, partitions)
