@@ -32,7 +32,7 @@ from ..functions.columns import micros_between
 from .ranking import rank_within
 
 BROADCAST_ROWS_CONF = "airlens.series.broadcastRows"
-DEFAULT_BROADCAST_ROWS = 4_000_000
+DEFAULT_BROADCAST_ROWS = 1_000_000   # about 60-80 MB of segment rows
 HOW = ("interpolate", "backward", "forward")
 
 

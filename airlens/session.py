@@ -15,7 +15,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
     UTC session time so that NTZ <-> TIMESTAMP casts are identities, AQE on so
     joins/aggregations re-plan on runtime sizes and skewed shuffle partitions
-    get split, and the UI off.
+    get split, co-partitioned joins allowed on a subset of the join keys, and
+    the UI off.
     """
     b = SparkSession.builder.appName(app_name)
     if master:
@@ -25,6 +26,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
           .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+          # joins on (sensor, time, position) may reuse the window's hash
+          # partitioning on (sensor, time): high-cardinality keys, and groups
+          # are bounded by the hot-key split of rank_within
+          .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
           .config("spark.ui.enabled", "false")
           .config("spark.ui.showConsoleProgress", "false"))
     if shuffle_partitions:
