@@ -113,5 +113,7 @@ def fixed10(c) -> Column:
 
 
 def entity_from_path(pattern: str = r"(\d+)\.csv") -> Column:
-    """First match of ``pattern`` in the source file path (kept as text)."""
-    return F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
+    """First match of ``pattern`` in the source file path (kept as text);
+    null when the path does not match, so such files pair with nothing."""
+    path = F.col("_metadata.file_path")
+    return F.when(path.rlike(pattern), F.regexp_extract(path, pattern, 1))

@@ -152,3 +152,10 @@ def test_merge_files_default_weather_names(spark, write_files):
     t = write_files({"traffic1.csv": TRAFFIC}, "t")
     w = write_files({f"{m}.txt": WEATHER for m in ("dewptm", "hum", "pressurem", "tempm", "wdird", "wspdm")}, "w")
     assert merge_files(spark, p, t, w).count() == 2
+
+
+def test_file_without_id_pairs_with_nothing(spark, write_files):
+    from airlens.plans import merge as M
+    p = write_files({"pollution.csv": POLLUTION, "pollution5.csv": POLLUTION}, "p2")
+    ids = {r["sensor_id"] for r in M.read_pollution(spark, p, entity_pattern=M.ID_PATTERN).collect()}
+    assert ids == {None, "5"}
