@@ -53,6 +53,19 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> tuple[DataFra
     return est, int(min(MAX_SLICES, max(2, math.ceil(2 * top[0]["_est"] / hot_rows))))
 
 
+def order_slices(df: DataFrame, keys: Sequence[str], first, slices: int, out: str = "_slice") -> DataFrame:
+    """Cut every ``keys`` group into about ``slices`` order-preserving slices
+    at approximate quantiles of ``first``: rows with a smaller ``first`` never
+    land in a later slice, and equal values share a slice.  The cut table is
+    one row per group (meant for the few hot groups), hence broadcast."""
+    first = F.col(first) if isinstance(first, str) else first
+    cuts = [i / slices for i in range(1, slices)]
+    bounds = df.groupBy(*keys).agg(F.percentile_approx(first, cuts, 10_000).alias("_cuts"))
+    return (df.join(F.broadcast(bounds), list(keys))
+            .withColumn(out, F.size(F.filter("_cuts", lambda b: b < first)))
+            .drop("_cuts"))
+
+
 def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence, out: str = "rank",
                 hot_rows: int | None = None) -> DataFrame:
     """``df`` plus ``out``: 1-based position of each row inside its ``keys``
@@ -73,12 +86,7 @@ def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence, out: str =
     cold = tagged.where(F.col("_hot").isNull()).drop("_hot").withColumn(out, F.row_number().over(plain).cast("long"))
     hot_rows_df = tagged.where(F.col("_hot")).drop("_hot")
 
-    first = order[0]
-    cuts = [i / slices for i in range(1, slices)]
-    bounds = hot_rows_df.groupBy(*keys).agg(F.percentile_approx(first, cuts, 10_000).alias("_cuts"))
-    sliced = (hot_rows_df.join(F.broadcast(bounds), keys)
-              .withColumn("_slice", F.size(F.filter("_cuts", lambda b: b < first)))
-              .drop("_cuts"))
+    sliced = order_slices(hot_rows_df, keys, order[0], slices)
     counts = sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))

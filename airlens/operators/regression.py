@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import FEATURES, LABELS
+from .ranking import DEFAULT_HOT_ROWS, HOT_ROWS_CONF, hot_keys, order_slices
 
 PA_C = 1.0
 PA_EPSILON = 0.1
@@ -158,38 +159,78 @@ def pa_fit(df: DataFrame, features: Sequence[str] = FEATURES, label: str = "labe
     return w, b, total
 
 
-def pa_fit_groups(df: DataFrame, entity: str, order: Sequence[str], features: Sequence[str] = FEATURES,
-                  label: str = "label", c: float = PA_C, epsilon: float = PA_EPSILON) -> DataFrame:
-    """One exact sequential PA fold per entity: ``(entity, w, b, n)``.
-
-    Rows are clustered by entity and sorted by ``(entity, order)`` inside each
-    partition; ``mapInPandas`` streams the sorted partition and carries only
-    the current entity's weights, emitting them when the entity changes
-    (memory O(features), never a whole group).  The fold of one entity is
-    inherently sequential, so an entity's rows are processed by one task.
-    """
-    feats = list(features)
-    data = (df.select(entity, *order, *feats, label).repartition(entity)
-            .sortWithinPartitions(entity, *order).select(entity, *feats, label))
-    etype = df.schema[entity].dataType.simpleString()
+def _fold_groups(data: DataFrame, groups: Sequence[str], order: Sequence[str], feats: list[str], label: str,
+                 c: float, epsilon: float) -> DataFrame:
+    """Sequential PA fold per ``groups`` value over rows clustered by the
+    groups and sorted by ``order``: ``(groups..., w, b, n)``."""
+    groups = list(groups)
+    data = (data.select(*groups, *order, *feats, label).repartition(*groups)
+            .sortWithinPartitions(*groups, *order).select(*groups, *feats, label))
+    schema = ", ".join(f"{g} {data.schema[g].dataType.simpleString()}" for g in groups)
+
+    def emit(key, w, b, n):
+        cols = {g: [v] for g, v in zip(groups, key)}
+        cols.update({"w": [w], "b": [b], "n": [n]})
+        return pd.DataFrame(cols)
 
     def fold(batches):
         cur, w, b, n = None, None, 0.0, 0
         for pdf in batches:
-            keys = pdf[entity].tolist()
+            keys = list(zip(*[pdf[g].tolist() for g in groups]))
             xs = pdf[feats].to_numpy(dtype="float64").tolist()
             ys = pdf[label].to_numpy(dtype="float64").tolist()
             for key, x, y in zip(keys, xs, ys):
                 if key != cur:
                     if cur is not None:
-                        yield pd.DataFrame({entity: [cur], "w": [w], "b": [b], "n": [n]})
+                        yield emit(cur, w, b, n)
                     cur, w, b, n = key, [0.0] * len(feats), 0.0, 0
                 w, b = pa_step(w, b, x, y, c, epsilon)
                 n += 1
         if cur is not None:
-            yield pd.DataFrame({entity: [cur], "w": [w], "b": [b], "n": [n]})
+            yield emit(cur, w, b, n)
+
+    return data.mapInPandas(fold, f"{schema}, w array<double>, b double, n long")
+
 
-    return data.mapInPandas(fold, f"{entity} {etype}, w array<double>, b double, n long")
+def _mix(parts: DataFrame, entity: str) -> DataFrame:
+    """Row-weighted average of slice models per entity."""
+    per_i = (parts.select(entity, "n", F.posexplode("w").alias("i", "wi"))
+             .groupBy(entity, "i").agg((F.sum(F.col("wi") * F.col("n")) / F.sum("n")).alias("wi")))
+    w = (per_i.groupBy(entity).agg(F.sort_array(F.collect_list(F.struct("i", "wi"))).alias("_w"))
+         .select(entity, F.col("_w.wi").alias("w")))
+    bn = parts.groupBy(entity).agg((F.sum(F.col("b") * F.col("n")) / F.sum("n")).alias("b"),
+                                   F.sum("n").alias("n"))
+    return w.join(bn, entity).select(entity, "w", "b", "n")
+
+
+def pa_fit_groups(df: DataFrame, entity: str, order: Sequence[str], features: Sequence[str] = FEATURES,
+                  label: str = "label", c: float = PA_C, epsilon: float = PA_EPSILON,
+                  hot_rows: int | None = None) -> DataFrame:
+    """One PA model per entity: ``(entity, w, b, n)``.
+
+    Ordinary entities get the exact sequential fold: rows are clustered by
+    entity and sorted by ``(entity, order)`` inside each partition, and
+    ``mapInPandas`` streams the sorted partition carrying only the current
+    entity's weights (memory O(features), never a whole group).
+
+    An entity larger than ``hot_rows`` (default ``airlens.rank.hotGroupRows``,
+    found by the same sampled probe as :func:`rank_within`) would make one task
+    fold a huge group serially.  Such an entity is instead cut into
+    order-preserving slices that are folded in parallel and mixed by
+    row-weighted averaging (one epoch of parameter mixing).
+    """
+    feats = list(features)
+    base = df.select(entity, *order, *feats, label)
+    if hot_rows is None:
+        hot_rows = int(df.sparkSession.conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))
+    hot, slices = hot_keys(base, [entity], hot_rows)
+    if hot is None:
+        return _fold_groups(base, [entity], order, feats, label, c, epsilon)
+    tagged = base.join(F.broadcast(hot.select(entity, F.lit(True).alias("_hot"))), entity, "left")
+    cold = _fold_groups(tagged.where(F.col("_hot").isNull()).drop("_hot"), [entity], order, feats, label, c, epsilon)
+    hot_df = order_slices(tagged.where(F.col("_hot")).drop("_hot"), [entity], order[0], slices)
+    parts = _fold_groups(hot_df, [entity, "_slice"], order, feats, label, c, epsilon)
+    return cold.unionByName(_mix(parts, entity))
 
 
 def pa_weights_frame(spark, w: Sequence[float], b: float, n: int) -> DataFrame:

@@ -8,6 +8,8 @@ its partition; newest first is an ordinary sort.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -42,29 +44,36 @@ def _sql_str(v: str) -> str:
     return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def write_results(rows: DataFrame, target: str, is_table: bool = False) -> None:
+def _batch_partitions(spark: SparkSession, root: str, batch_id: int) -> list[str]:
+    """``substance=...`` directory names that hold ``batch_id`` (a listing)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/substance=*/batch_id={batch_id}")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(path) or []
+    return [st.getPath().getParent().getName() for st in found]
+
+
+def write_results(rows: DataFrame, target: str, is_table: bool = False, batch_id: int | None = None) -> None:
     """Idempotent append of one batch's rows to a table name or a folder.
 
-    Rows go to ``<location>/substance=../batch_id=..`` with dynamic partition
-    overwrite (a retried batch replaces its own partitions only); for a
-    catalog table the new partitions are then registered.  A batch without
-    rows writes and registers nothing.
+    One write job: rows go to ``<location>/substance=../batch_id=..`` with
+    dynamic partition overwrite, so a retried batch replaces its own
+    partitions only and an empty batch writes nothing.  For a catalog table,
+    the partitions the write produced are found by listing and registered.
     """
-    rows = rows.select(*RESULT_COLUMNS).persist()
-    try:
-        keys = rows.select("substance", "batch_id").distinct().collect()  # <= number of attributes
-        if not keys:
-            return
-        spark = rows.sparkSession
-        path = table_location(spark, target) if is_table else target
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("substance", "batch_id").parquet(path))
-        if is_table:
-            parts = " ".join(f"PARTITION (substance = {_sql_str(k['substance'])}, batch_id = {int(k['batch_id'])})"
-                             for k in keys)
+    spark = rows.sparkSession
+    path = table_location(spark, target) if is_table else target
+    (rows.select(*RESULT_COLUMNS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("substance", "batch_id").parquet(path))
+    if is_table and batch_id is not None:
+        names = _batch_partitions(spark, path, batch_id)
+        if names:
+            parts = " ".join(
+                f"PARTITION (substance = {_sql_str(unquote(n.split('=', 1)[1]))}, batch_id = {int(batch_id)})"
+                for n in names)
             spark.sql(f"ALTER TABLE {target} ADD IF NOT EXISTS {parts}")
-    finally:
-        rows.unpersist()
+    elif is_table:
+        spark.sql(f"ALTER TABLE {target} RECOVER PARTITIONS")
 
 
 def latest_results(spark: SparkSession, source: str, substance: str, is_table: bool = False) -> DataFrame:

@@ -70,7 +70,7 @@ def stream_region_report(readings: DataFrame, box: Box, period: Period, target:
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         rep = region_report(batch, box, period, attributes=attributes, labels=labels, lat=lat, long=long, ts=ts)
-        write_results(result_rows(rep, batch_id), target, is_table)
+        write_results(result_rows(rep, batch_id), target, is_table, batch_id)
 
     w = readings.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
     return start(_trigger(w, trigger), readings.sparkSession, partitions)

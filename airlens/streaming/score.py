@@ -24,6 +24,8 @@ from ..operators.regression import compare, predict_linear, predict_pa
 from ..schemas import FEATURES
 from .report import _trigger, start
 
+WEIGHTS_BROADCAST_ROWS = 200_000   # 15 doubles each: about 30 MB at the limit
+
 
 def score(records: DataFrame, linear: LinearRegressionModel | None = None, pa_weights: DataFrame | None = None,
           features: Sequence[str] = FEATURES, entity: str | None = None) -> DataFrame:
@@ -47,6 +49,10 @@ def stream_score(records: DataFrame, target: str, checkpoint: str, *, linear: Li
         # a global model is one row of feature-count size: read it once
         row = pa_weights.select("w", "b").first()
         pa_weights = pa_weights.sparkSession.createDataFrame([(row["w"], row["b"])], "w array<double>, b double")
+    elif pa_weights is not None and pa_weights.count() <= WEIGHTS_BROADCAST_ROWS:
+        # micro-batch plans are not re-planned adaptively: broadcast the
+        # per-entity weights explicitly, but only after checking their size
+        pa_weights = F.broadcast(pa_weights)
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         scored = score(batch, linear, pa_weights, features, entity).withColumn("batch_id", F.lit(batch_id))

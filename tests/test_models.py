@@ -67,3 +67,16 @@ def test_feature_label_slices(spark):
     df = spark.createDataFrame([row])
     out = feature_label(df, 2)
     assert out.columns == FEATURES + ["label"] and out.first()["label"] == row[LABELS[2]]
+
+
+def test_hot_entity_is_sliced_and_mixed(spark):
+    from airlens.operators.regression import pa_step
+    rows = [("hot", i, float(i % 3), float(i % 5)) for i in range(60)] + [("cold", i, 1.0, 2.0) for i in range(4)]
+    df = spark.createDataFrame(rows, "e string, o long, x double, label double")
+    got = {r["e"]: r for r in pa_fit_groups(df, "e", ["o"], ["x"], hot_rows=20).collect()}
+    assert got["hot"]["n"] == 60 and got["cold"]["n"] == 4
+    w, b = [0.0], 0.0
+    for _, _, x, y in rows[60:]:
+        w, b = pa_step(w, b, [x], y)
+    assert got["cold"]["w"] == w and got["cold"]["b"] == b          # cold entity: exact fold
+    assert all(math.isfinite(v) for v in got["hot"]["w"] + [got["hot"]["b"]])
