@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.columns import field_at, is_blank, is_header
 from .report import _trigger, start
-from .sources import file_lines
+from .sources import file_lines, require_kafka
 
 
 def replay_lines(lines: DataFrame, header_field: int = -1, sep: str = ",") -> DataFrame:
@@ -40,6 +40,7 @@ def replay(spark: SparkSession, source: str, checkpoint: str, *, sink: str = "fi
     elif sink == "kafka":
         if not (bootstrap_servers and topic):
             raise ValueError("bootstrap_servers and topic are required for the kafka sink")
+        require_kafka(spark)
         w = (msgs.select(F.encode("value", "UTF-8").alias("value")).writeStream.format("kafka")
              .option("kafka.bootstrap.servers", bootstrap_servers).option("topic", topic))
     else:

@@ -20,6 +20,19 @@ def file_lines(spark: SparkSession, path: str, glob: str | None = "*.csv",
     return r.load(path)
 
 
+KAFKA_PROVIDER = "org.apache.spark.sql.kafka010.KafkaSourceProvider"
+
+
+def require_kafka(spark: SparkSession) -> None:
+    """Fail early, with a clear message, when the Kafka connector is absent."""
+    try:
+        spark.sparkContext._jvm.java.lang.Class.forName(
+            KAFKA_PROVIDER, False, spark.sparkContext._jvm.java.lang.Thread.currentThread().getContextClassLoader())
+    except Exception as e:  # noqa: BLE001 - py4j wraps ClassNotFoundException
+        raise RuntimeError("the Spark Kafka connector (spark-sql-kafka-0-10) is not on the classpath; "
+                           "add it with --packages, or use the folder source/sink") from e
+
+
 def topic_lines(spark: SparkSession, bootstrap_servers: str, topic: str, **options) -> DataFrame:
     """Record values of a Kafka topic as text, column ``value``.
 
@@ -27,6 +40,7 @@ def topic_lines(spark: SparkSession, bootstrap_servers: str, topic: str, **optio
     Offsets live in the query checkpoint, so a restart resumes where the
     last committed batch ended.
     """
+    require_kafka(spark)
     r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers)
          .option("subscribe", topic))
     for k, v in options.items():
