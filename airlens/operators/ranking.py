@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 HOT_ROWS_CONF = "airlens.rank.hotGroupRows"
 DEFAULT_HOT_ROWS = 2_000_000
 MAX_SLICES = 4096
+MAX_CUT_VALUES = 4_000_000   # hot keys x slices, i.e. at most 32 MB of cut points to broadcast
 SAMPLE_HITS = 200  # expected sample hits of a group at the hot threshold
 
 
@@ -35,10 +36,12 @@ def _order_cols(order: Sequence) -> list:
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> tuple[DataFrame | None, int]:
     """Keys whose group probably exceeds ``hot_rows`` rows, as a checkpointed
-    table ``(keys..., _est)``, and the number of slices for the largest one.
+    table ``(keys..., _est)``, and the number of slices to cut them into.
 
-    The table has at most ``count(df) / hot_rows`` rows (plus sampling noise),
-    which is what makes broadcasting it safe.
+    A key is hot when it has more than ``SAMPLE_HITS`` sampled rows, so the
+    table has at most ``sample size / SAMPLE_HITS`` (about ``count(df) /
+    hot_rows``) rows, which is what makes broadcasting it safe; the slice
+    count is lowered so that hot keys x slices stays under ``MAX_CUT_VALUES``.
     """
     fraction = min(1.0, SAMPLE_HITS / hot_rows)
     sample = df.sample(withReplacement=False, fraction=fraction, seed=17) if fraction < 1.0 else df
@@ -50,7 +53,9 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> tuple[DataFra
         return None, 0
     # freeze the (sampled) hot set so every later use sees the same keys
     est = est.checkpoint(eager=True)
-    return est, int(min(MAX_SLICES, max(2, math.ceil(2 * top[0]["_est"] / hot_rows))))
+    n_hot = est.count()
+    slices = min(MAX_SLICES, max(2, math.ceil(2 * top[0]["_est"] / hot_rows)))
+    return est, int(max(2, min(slices, MAX_CUT_VALUES // max(1, n_hot))))
 
 
 def order_slices(df: DataFrame, keys: Sequence[str], first, slices: int, out: str = "_slice") -> DataFrame:

@@ -10,9 +10,11 @@ from __future__ import annotations
 
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.ranking import rank_within
+
 RESULT_COLUMNS = ["timestamp", "elements", "min", "max", "mean", "std", "substance", "batch_id"]
 RESULT_DDL = ("timestamp TIMESTAMP, elements BIGINT, min DOUBLE, max DOUBLE, mean DOUBLE, std DOUBLE, "
               "substance STRING, batch_id BIGINT")
@@ -77,9 +79,12 @@ def write_results(rows: DataFrame, target: str, is_table: bool = False, batch_id
 
 
 def latest_results(spark: SparkSession, source: str, substance: str, is_table: bool = False) -> DataFrame:
-    """Rows of one substance, newest first, with ``recency`` (1 = newest)."""
+    """Rows of one substance, newest first, with ``recency`` (1 = newest).
+
+    The filter prunes to the substance's partitions; one substance gains a
+    row per batch forever, so the numbering uses the skew-safe
+    :func:`rank_within` rather than a single-task window."""
     df = spark.table(source) if is_table else spark.read.parquet(source)
-    newest = Window.partitionBy("substance").orderBy(F.desc("timestamp"), F.desc("batch_id"))
-    return (df.where(F.col("substance") == substance)
-            .withColumn("recency", F.row_number().over(newest))
+    newest_first = [-F.unix_micros("timestamp"), -F.col("batch_id")]
+    return (rank_within(df.where(F.col("substance") == substance), ["substance"], newest_first, out="recency")
             .orderBy("recency"))
