@@ -21,7 +21,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.columns import instant_as_ntz, ntz_as_instant
 from ..functions.predicates import Box, Period, in_region
-from ..operators.profile import profile
 from ..plans.report import region_report
 from ..schemas import POLLUTANT_LABELS, POLLUTANTS
 from ..sinks.results import result_rows, write_results
@@ -123,6 +122,3 @@ def stream_window_profile(readings: DataFrame, box: Box, period: Period, target:
 
     w = wide.writeStream.outputMode(output_mode).foreachBatch(each_batch).option("checkpointLocation", checkpoint)
     return start(_trigger(w, trigger), readings.sparkSession, partitions)
-
-
-__all__ = ["stream_region_report", "window_profile", "unpivot_window_profile", "stream_window_profile", "profile"]
