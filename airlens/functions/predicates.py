@@ -39,7 +39,8 @@ def _as_datetime(v) -> dt.datetime:
     return dt.datetime.strptime(s, "%Y-%m-%d %H:%M:%S" if " " in s else "%Y-%m-%d")
 
 
-def _ntz(v: dt.datetime) -> Column:
+def ntz_literal(v: dt.datetime) -> Column:
+    """A TIMESTAMP_NTZ literal (no session time zone involved)."""
     return F.lit(v.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
 
@@ -49,7 +50,7 @@ def in_box(box: Box, lat: str = "latitude", long: str = "longitude") -> Column:
 
 
 def in_period(period: Period, ts: str = "ts") -> Column:
-    return F.col(ts).between(_ntz(period.start), _ntz(period.end))
+    return F.col(ts).between(ntz_literal(period.start), ntz_literal(period.end))
 
 
 def in_region(box: Box, period: Period, lat: str = "latitude", long: str = "longitude",

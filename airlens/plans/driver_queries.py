@@ -35,6 +35,7 @@ from ..streaming.replay import replay
 from ..streaming.report import stream_region_report, stream_window_profile
 from ..streaming.score import stream_score
 from ..streaming.sources import decode, file_lines
+from .ingest import ingest_readings, read_ingested, region_report_ingested
 from .merge import merge_files, write_merged
 from .report import region_readings, region_report, report_lines
 from .staging import spread, stage_named_files, stage_stream_chunks, stage_table
@@ -639,3 +640,17 @@ def q_stream_window_profile(spark, sf):
     out = spark.read.parquet(target)
     return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "attribute", "elements",
                       *[rnd(c).alias(c) for c in ("min", "max", "mean", "std")])
+
+
+# --- ingested layout: the same report with partition pruning -----------------
+@staged
+def stage_ingested_lineitem(spark, sf) -> str:
+    out = scratch_path(spark, "lineitem-ingested")
+    ingest_readings(table(spark, sf, "lineitem"), out, ts="l_shipdate", lat="l_discount", long="l_tax")
+    return out
+
+
+@register("region_profile_ingested", _profile_sql(_BOX_SQL))
+def q_region_profile_ingested(spark, sf):
+    li = read_ingested(spark, stage_ingested_lineitem(spark, sf))
+    return _rounded_profile(region_report_ingested(li, LI_BOX, LI_PERIOD, attributes=LI_ATTRS, **LI_GEO))

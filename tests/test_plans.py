@@ -51,3 +51,13 @@ def test_alignment_join_reuses_window_partitioning(spark):
     # one hash exchange per side feeds both the window and the join
     assert plan.count("Exchange hashpartitioning") == 2
     assert "SortMergeJoin" in plan
+
+
+def test_ingested_report_prunes_partitions(spark):
+    df = D.QUERIES["region_profile_ingested"](spark, SF)
+    plan = plan_of(df)
+    assert "PartitionFilters: [isnotnull(month" in plan and "month#" in plan
+    assert "PushedFilters: [IsNotNull(l_discount)" in plan
+    rows = {r["attribute"]: r for r in df.collect()}
+    base = {r["attribute"]: r for r in D.QUERIES["region_profile"](spark, SF).collect()}
+    assert rows == base
