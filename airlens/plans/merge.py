@@ -22,7 +22,7 @@ from ..functions.columns import weekday_flags
 from ..operators.align import align_on_time, first_group
 from ..operators.series import SeriesIndex
 from ..schemas import MERGED_HEADER, MERGED_SEP, POLLUTANTS, WEATHER_COLUMNS, WEEKDAY_COLUMNS
-from ..sources.records import read_pollution, read_traffic
+from ..sources.records import first_file_per_entity, read_pollution, read_traffic
 from ..sources.weather import read_weather
 
 ID_PATTERN = r"(\d+)\.csv"
@@ -34,14 +34,16 @@ def with_position(df: DataFrame, col: str = "_pos") -> DataFrame:
 
 
 def merge(pollution: DataFrame, traffic: DataFrame, weather: DataFrame | SeriesIndex,
-          weather_columns: Mapping[str, str] = WEATHER_COLUMNS) -> DataFrame:
+          weather_columns: Mapping[str, str] = WEATHER_COLUMNS, traffic_is_first_file: bool = False) -> DataFrame:
     """Merged rows ``(sensor_id, Timestamp, ..., Nitrogen_dioxide)``.
 
     ``pollution``: ``sensor_id, ts, <5 pollutants>, latitude, longitude, _pos``;
     ``traffic``: ``sensor_id, file_path, ts, average_speed, vehicle_count, _pos``;
     ``weather``: ``(measurement, ts, value)`` points or a prepared SeriesIndex.
+    ``traffic_is_first_file``: the traffic rows already come from one file per
+    sensor (chosen from the listing), so the row-level first-file step is skipped.
     """
-    t = first_group(traffic, "sensor_id", "file_path")
+    t = traffic if traffic_is_first_file else first_group(traffic, "sensor_id", "file_path")
     left = pollution.select("sensor_id", "ts", F.col("_pos").alias("_lpos"),
                             *POLLUTANTS, "latitude", "longitude")
     right = t.select("sensor_id", "ts", F.col("_pos").alias("_rpos"), "average_speed", "vehicle_count")
@@ -70,11 +72,18 @@ def assemble(rows: DataFrame, weather_columns: Mapping[str, str] = WEATHER_COLUM
 
 def merge_files(spark: SparkSession, pollution_path: str, traffic_path: str, weather_path: str,
                 weather_files: Mapping[str, str] | None = None) -> DataFrame:
-    """The merge job from file locations (sensor id = digits before ``.csv``)."""
+    """The merge job from file locations (sensor id = digits before ``.csv``).
+
+    The first traffic file of each sensor is chosen from the file listing, so
+    only those files are read and no pairing shuffle is needed."""
     pollution = with_position(read_pollution(spark, pollution_path, entity_pattern=ID_PATTERN))
-    traffic = with_position(read_traffic(spark, traffic_path, entity_pattern=ID_PATTERN, with_path=True))
+    chosen = first_file_per_entity(spark, traffic_path, ID_PATTERN, glob="*csv")
+    if chosen:
+        traffic = read_traffic(spark, chosen, entity_pattern=ID_PATTERN, with_path=True)
+    else:
+        traffic = read_traffic(spark, traffic_path, entity_pattern=ID_PATTERN, with_path=True).where(F.lit(False))
     weather = read_weather(spark, weather_path, weather_files)
-    return merge(pollution, traffic, weather)
+    return merge(pollution, with_position(traffic), weather, traffic_is_first_file=True)
 
 
 def write_merged(merged: DataFrame, out: str, mode: str = "overwrite") -> None:

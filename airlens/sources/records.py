@@ -33,6 +33,19 @@ def read_lines(spark: SparkSession, path: str | Sequence[str], glob: str | None
     return reader.text(paths)
 
 
+def first_file_per_entity(spark: SparkSession, path, pattern: str, glob: str | None = "*.csv") -> list[str]:
+    """From the file listing only (no data is read): the first file, in path
+    order, of every entity id found by ``pattern``; files without an id are
+    left out.  Spark already holds this listing on the driver to plan the scan."""
+    listing = read_lines(spark, path, glob).inputFiles()
+    first: dict[str, str] = {}
+    for f in sorted(listing):
+        m = re.search(pattern, f)
+        if m and m.group(1) not in first:
+            first[m.group(1)] = f
+    return sorted(first.values())
+
+
 def parse_records(lines: DataFrame, layout: Layout, bad_rows: str = "fail",
                   keep: Sequence[str] = (), value_col: str = "value") -> DataFrame:
     """Typed columns from a column of delimited lines.

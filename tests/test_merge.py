@@ -159,3 +159,12 @@ def test_file_without_id_pairs_with_nothing(spark, write_files):
     p = write_files({"pollution.csv": POLLUTION, "pollution5.csv": POLLUTION}, "p2")
     ids = {r["sensor_id"] for r in M.read_pollution(spark, p, entity_pattern=M.ID_PATTERN).collect()}
     assert ids == {None, "5"}
+
+
+def test_first_traffic_file_from_listing(spark, write_files):
+    p = write_files({"pollution12.csv": POLLUTION}, "p3")
+    t = write_files({"traffic12.csv": TRAFFIC, "z_traffic12.csv": TRAFFIC.replace(",56,", ",99,"),
+                     "b_traffic12.csv": TRAFFIC.replace(",57,", ",98,"), "trafficX.csv": TRAFFIC}, "t3")
+    w = write_files({f"{m}.txt": WEATHER for m in ("dewptm", "hum", "pressurem", "tempm", "wdird", "wspdm")}, "w3")
+    rows = merge_files(spark, p, t, w).orderBy("Timestamp").collect()
+    assert [r["Average_speed"] for r in rows] == [56.0, 98.0]     # b_traffic12.csv: first id-12 path
