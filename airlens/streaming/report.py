@@ -21,6 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.columns import instant_as_ntz, ntz_as_instant
 from ..functions.predicates import Box, Period, in_region
+from ..operators.profile import profile_aggs, unpivot_profile, wide_columns
 from ..plans.report import region_report
 from ..schemas import POLLUTANT_LABELS, POLLUTANTS
 from ..sinks.results import result_rows, write_results
@@ -85,24 +86,13 @@ def window_profile(readings: DataFrame, box: Box, period: Period, *, every: str
     et = ntz_as_instant(F.col(ts))
     r = (readings.where(in_region(box, period, lat, long, ts)).withColumn("_et", et)
          .withWatermark("_et", watermark))
-    aggs = [F.count(F.lit(1)).alias("elements")]
-    for i, a in enumerate(attributes):
-        c = F.col(a).cast("double")
-        aggs += [F.min(c).alias(f"_min{i}"), F.max(c).alias(f"_max{i}"),
-                 F.avg(c).alias(f"_mean{i}"), F.stddev_pop(c).alias(f"_std{i}")]
-    return r.groupBy(F.window("_et", every).alias("w")).agg(*aggs).select(
-        instant_as_ntz(F.col("w.start")).alias("window_start"), *[a for a in [
-            "elements"] + [f"_{k}{i}" for i in range(len(attributes)) for k in ("min", "max", "mean", "std")]])
+    return r.groupBy(F.window("_et", every).alias("w")).agg(*profile_aggs(attributes)).select(
+        instant_as_ntz(F.col("w.start")).alias("window_start"), *wide_columns(len(attributes)))
 
 
 def unpivot_window_profile(wide: DataFrame, labels: Sequence[str]) -> DataFrame:
     """Wide window rows -> ``window_start, attribute, elements, min, max, mean, std``."""
-    rows = F.array(*[
-        F.struct(F.lit(label).alias("attribute"), F.col(f"_min{i}").alias("min"), F.col(f"_max{i}").alias("max"),
-                 F.col(f"_mean{i}").alias("mean"), F.col(f"_std{i}").alias("std"))
-        for i, label in enumerate(labels)])
-    return wide.select("window_start", "elements", F.inline(rows)).select(
-        "window_start", "attribute", "elements", "min", "max", "mean", "std")
+    return unpivot_profile(wide, labels, ["window_start"])
 
 
 def stream_window_profile(readings: DataFrame, box: Box, period: Period, target: str, checkpoint: str, *,
