@@ -36,3 +36,28 @@ def test_merge_train_replay_score(spark, tmp_path):
     res = spark.read.parquet(target).collect()
     assert sum(r["elements"] for r in res) == n
     assert all(math.isfinite(r["rmse_pa"]) and math.isfinite(r["rmse_linear"]) for r in res)
+
+
+def test_stream_jobs_from_folders(spark, tmp_path, write_files):
+    from airlens.functions.predicates import Box, Period
+    from airlens.plans.apps import stream_report_job, stream_score_job
+    from tests.test_report import HEADER, ROWS
+    src = write_files({"pollution1.csv": HEADER + ROWS}, "stream-in")
+    q = stream_report_job(spark, Box(56.1, 56.2, 10.1, 10.2), Period.of("2014-08-15", "2014-09-15"),
+                          "analysis_info_job", str(tmp_path / "ai"), str(tmp_path / "ck1"), folder=src)
+    q.awaitTermination()
+    rows = spark.table("analysis_info_job").where("substance = 'Ozone'").collect()
+    assert len(rows) == 1 and rows[0]["elements"] == 8
+
+    root = D.stage_sensor_files(spark, SF)
+    merged = merge_files(spark, root + "/pollution", root + "/traffic", root + "/weather")
+    out = str(tmp_path / "merged")
+    write_merged(merged, out)
+    train_files(spark, out, 1, str(tmp_path / "pa"), str(tmp_path / "lin"))
+    replayed = str(tmp_path / "replayed")
+    replay(spark, out + "/*", str(tmp_path / "ck-r"), sink="files", path=replayed, files_per_batch=None,
+           header_field=0).awaitTermination()
+    stream_score_job(spark, 1, str(tmp_path / "scores"), str(tmp_path / "ck2"), linear_path=str(tmp_path / "lin"),
+                     folder=replayed).awaitTermination()        # the "Spark model only" consumer
+    res = spark.read.parquet(str(tmp_path / "scores")).collect()
+    assert sum(r["elements"] for r in res) == merged.count() and "rmse_pa" not in res[0].asDict()
