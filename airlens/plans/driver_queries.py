@@ -395,16 +395,23 @@ def _round_weather(df):
     return df.select(*[rnd(c, 6).alias(c) if c in MERGED_HEADER[12:18] else F.col(c) for c in df.columns])
 
 
+@staged
+def merged_frame(spark, sf):
+    """The merge job's (lazy) result over the staged files, built once per
+    application: its eager parts (weather segments, hot-key probes) are shared
+    by the queries that start from merged rows, as a user would share them."""
+    root = stage_sensor_files(spark, sf)
+    return merge_files(spark, root + "/pollution", root + "/traffic", root + "/weather")
+
+
 @register("merged_rows", _merged_sql())
 def q_merged_rows(spark, sf):
-    root = stage_sensor_files(spark, sf)
-    return _round_weather(merge_files(spark, root + "/pollution", root + "/traffic", root + "/weather"))
+    return _round_weather(merged_frame(spark, sf))
 
 
 @register("merged_roundtrip", _merged_sql())
 def q_merged_roundtrip(spark, sf):
-    root = stage_sensor_files(spark, sf)
-    merged = merge_files(spark, root + "/pollution", root + "/traffic", root + "/weather")
+    merged = merged_frame(spark, sf)
     out = scratch_path(spark, "merged")
     write_merged(merged, out)
     return _round_weather(read_merged(spark, out))
@@ -459,9 +466,7 @@ def _pa_groups(spark, sf):
 @register("feature_label", "SELECT sensor_id, Timestamp, " + ", ".join(f"CAST({f} AS DOUBLE) AS {f}" for f in FEATURES)
           + ", Ozone AS label FROM (" + _merged_sql() + ")")
 def q_feature_label(spark, sf):
-    root = stage_sensor_files(spark, sf)
-    merged = _round_weather(merge_files(spark, root + "/pollution", root + "/traffic", root + "/weather"))
-    return feature_label(merged, 0, keep=["sensor_id", "Timestamp"])
+    return feature_label(_round_weather(merged_frame(spark, sf)), 0, keep=["sensor_id", "Timestamp"])
 
 
 @register("linear_fit", f"""WITH {_OLS_SQL}
