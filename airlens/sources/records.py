@@ -63,6 +63,13 @@ def parse_records(lines: DataFrame, layout: Layout, bad_rows: str = "fail",
     body = lines.where(~is_blank(line))
     body = body.where(~F.coalesce(is_header(field_at(parts, layout.header_field, strict=False)), F.lit(False)))
 
+    if bad_rows == "fail":
+        # an explicit arity check (a filter is always evaluated), independent of ANSI mode
+        positions = [p for p, _, _ in layout.fields] + ([layout.ts[0]] if layout.ts else [])
+        # fields counted from the end come after those counted from the start
+        needed = max([p + 1 for p in positions if p >= 0] or [0]) + max([-p for p in positions if p < 0] or [0])
+        body = body.where(F.when(F.size(parts) >= needed, F.lit(True)).otherwise(
+            F.raise_error(F.concat(F.lit(f"record has fewer than {needed} fields: "), line))))
     typed: list[Column] = [parse(field_at(parts, p, strict), t, mode).alias(n) for p, n, t in layout.fields]
     if layout.ts:
         pos, ts_name, fmt = layout.ts

@@ -82,3 +82,14 @@ def test_profile_is_one_aggregation(spark, write_files):
     df = read_pollution(spark, write_files({"p.csv": HEADER + ROWS}))
     plan = region_report(df, BOX, PERIOD)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") <= 1
+
+
+def test_short_record_fails_even_without_ansi(spark, write_files):
+    path = write_files({"p.csv": HEADER + ROWS + "1,2,2014-08-15 00:00:00\n"}, "short")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception, match="fewer than 8 fields"):
+            read_pollution(spark, path).collect()
+        assert report(spark, path, bad_rows="drop")["Ozone"]["elements"] == 8
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
