@@ -659,3 +659,34 @@ def stage_ingested_lineitem(spark, sf) -> str:
 def q_region_profile_ingested(spark, sf):
     li = read_ingested(spark, stage_ingested_lineitem(spark, sf))
     return _rounded_profile(region_report_ingested(li, LI_BOX, LI_PERIOD, attributes=LI_ATTRS, **LI_GEO))
+
+
+# --- skew: three keys, each a third of the table ----------------------------
+SKEW_HOT_ROWS = 1000   # every l_returnflag group is far above this: all take the sliced path
+
+
+@register("skewed_align", """
+WITH l AS (SELECT l_returnflag, l_orderkey AS left_order, l_linenumber AS left_line, l_partkey AS left_part,
+                  row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey * 8 + l_linenumber,
+                                     l_partkey, l_suppkey) AS k
+           FROM lineitem WHERE l_linestatus = 'O'),
+     r AS (SELECT l_returnflag, l_orderkey AS right_order, l_linenumber AS right_line, l_partkey AS right_part,
+                  row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey * 8 + l_linenumber,
+                                     l_partkey, l_suppkey) AS k
+           FROM lineitem WHERE l_linestatus = 'F')
+SELECT l_returnflag, k, left_order, left_line, left_part, right_order, right_line, right_part
+FROM l JOIN r USING (l_returnflag, k)""")
+def q_skewed_align(spark, sf):
+    li = table(spark, sf, "lineitem").withColumn("_p", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
+
+    def side(status, prefix):
+        return li.where(F.col("l_linestatus") == status).select(
+            "l_returnflag", F.col("_p").alias(f"_{prefix}p"), F.col("l_suppkey").alias(f"_{prefix}s"),
+            F.col("l_orderkey").alias(f"{prefix}_order"), F.col("l_linenumber").alias(f"{prefix}_line"),
+            F.col("l_partkey").alias(f"{prefix}_part"))
+
+    out = align_on_time(side("O", "left"), side("F", "right"), ["l_returnflag"],
+                        ["_leftp", "left_part", "_lefts"], ["_rightp", "right_part", "_rights"], k="k",
+                        hot_rows=SKEW_HOT_ROWS)
+    return out.select("l_returnflag", "k", "left_order", "left_line", "left_part",
+                      "right_order", "right_line", "right_part")
