@@ -55,10 +55,21 @@ def segments(points: DataFrame, series: str = "measurement", ts: str = "ts", val
 class SeriesIndex:
     """Segments of every series, checkpointed once, plus per-series bounds.
 
-    The bounds are one row per series (a handful), collected to the driver to
+    The bounds (one row per series) and the bucket levels present (one row per
+    series and level, a few dozen at most) are collected to the driver and
     become literals of the lookup expressions.
+
+    Bucketing is multi-level so that neither the explosion nor the candidates
+    per probe depend on how the points are spread: with ``w0`` the shortest
+    segment of a series, a segment of length ``len`` sits on level
+    ``L = floor(log_8(len / w0))`` and is exploded into the buckets of width
+    ``w0 * 8**L`` it overlaps (at most 9); as segments are disjoint and at
+    least one bucket long, a bucket of its own level meets at most two of
+    them.  A lookup probes one bucket on each level present.
     """
 
+    FANOUT = 8
+
     def __init__(self, points: DataFrame, series: str = "measurement", ts: str = "ts",
                  value: str = "value", broadcast_rows: int | None = None):
         spark = points.sparkSession
@@ -70,9 +81,39 @@ class SeriesIndex:
                 .agg(F.min("s_ts").alias("first_ts"), F.max("s_ts").alias("last_ts"),
                      F.count(F.lit(1)).alias("n"),
                      F.min_by("s_first", "s_ts").alias("first_v"),
-                     F.max_by("s_last", "s_ts").alias("last_v"))
+                     F.max_by("s_last", "s_ts").alias("last_v"),
+                     F.min(micros_between("s_ts", "e_ts")).alias("min_len"))
                 .collect())
         self.bounds = {r[series]: r for r in rows}
+        self.w0 = {k: max(1, int(r["min_len"] or 1)) for k, r in self.bounds.items()}
+        self.levels: dict = {}
+        self.exploded: dict = {}
+        if self.bounds:
+            per = F.col(series)
+            w0 = F.create_map(*[x for k, v in self.w0.items() for x in (F.lit(k), F.lit(v))])[per]
+            first = F.create_map(*[x for k, r in self.bounds.items() for x in (F.lit(k), _ntz(r["first_ts"]))])[per]
+            sized = (self._with_levels(self.seg, w0, first)
+                     .groupBy(series, "_lvl").agg(F.sum("_nb").alias("nb")))
+            for r in sized.collect():
+                self.levels.setdefault(r[series], []).append(int(r["_lvl"]))
+                self.exploded[r[series]] = self.exploded.get(r[series], 0) + int(r["nb"])
+            for k in self.levels:
+                self.levels[k].sort()
+
+    def _with_levels(self, seg: DataFrame, w0: Column, first: Column) -> DataFrame:
+        """``_lvl``, ``_w`` (bucket width in microseconds), ``_b0``/``_b1``
+        (first and last bucket overlapped, counted from the series' first
+        time ``first``) and ``_nb`` for every segment."""
+        k = float(self.FANOUT)
+        lvl = F.when(F.col("e_ts").isNull(), F.lit(0)).otherwise(
+            F.greatest(F.lit(0), F.floor(F.log(k, micros_between("s_ts", "e_ts") / w0)).cast("int")))
+        end = F.col("e_ts") - F.expr("INTERVAL 1 MICROSECOND")
+        return (seg.withColumn("_lvl", lvl)
+                .withColumn("_w", w0.cast("double") * F.pow(F.lit(k), F.col("_lvl")))
+                .withColumn("_b0", F.floor(micros_between(first, "s_ts") / F.col("_w")).cast("long"))
+                .withColumn("_b1", F.when(F.col("e_ts").isNull(), F.col("_b0"))
+                            .otherwise(F.floor(micros_between(first, end) / F.col("_w")).cast("long")))
+                .withColumn("_nb", F.col("_b1") - F.col("_b0") + 1))
 
     def lookup(self, rows: DataFrame, ts: str, name, out: str, how: str = "interpolate") -> DataFrame:
         """``rows`` plus column ``out``: the value of series ``name`` at ``rows[ts]``.
@@ -82,31 +123,39 @@ class SeriesIndex:
         b = self.bounds.get(name)
         if b is None:
             return rows.withColumn(out, F.lit(None).cast("double"))
-        first_ts, last_ts = b["first_ts"], b["last_ts"]
-        span = int((last_ts - first_ts) / dt.timedelta(microseconds=1))
-        width = max(1_000_000, span // max(1, b["n"]))
-        origin, last = _ntz(first_ts), _ntz(last_ts)
-
-        def bucket(c: Column) -> Column:
-            return F.floor(micros_between(origin, c) / F.lit(width)).cast("long")
+        origin, last = _ntz(b["first_ts"]), _ntz(b["last_ts"])
+        w0, k = self.w0[name], self.FANOUT
 
         p = f"__{out}_"
-        e_end = F.col("e_ts") - F.expr("INTERVAL 1 MICROSECOND")
-        seg = (self.seg.where(F.col(self.series) == F.lit(name))
-               .select(F.explode(F.sequence(bucket(F.col("s_ts")),
-                                            F.when(F.col("e_ts").isNull(), bucket(F.col("s_ts")))
-                                            .otherwise(bucket(e_end)))).alias(p + "b"),
-                       *[F.col(c).alias(p + c) for c in ("s_ts", "s_first", "s_last", "e_ts", "e_first")]))
-        if 2 * b["n"] + 2 <= self.broadcast_rows:
+        seg = self._with_levels(self.seg.where(F.col(self.series) == F.lit(name)), F.lit(w0), origin)
+        cols = ("s_ts", "s_first", "s_last", "e_ts", "e_first")
+        seg = seg.select(F.col("_lvl").alias(p + "l"), F.explode(F.sequence("_b0", "_b1")).alias(p + "b"),
+                         *[F.col(c).alias(p + c) for c in cols])
+        # one sentinel entry (level -1) answers rows whose time is null
+        sentinel = seg.limit(1).select(F.lit(-1).alias(p + "l"), F.lit(-1).cast("long").alias(p + "b"),
+                                       *[F.lit(None).cast(seg.schema[p + c].dataType).alias(p + c) for c in cols])
+        seg = seg.unionByName(sentinel)
+        if self.exploded.get(name, 0) + 1 <= self.broadcast_rows:
             seg = F.broadcast(seg)
 
         t = F.col(ts)
         tc = F.least(F.greatest(t, origin), last)
-        q = rows.withColumn(p + "t", tc).withColumn(p + "qb", bucket(F.col(p + "t")))
+        probes = F.when(t.isNull(), F.array(F.struct(F.lit(-1).alias("l"), F.lit(-1).cast("long").alias("b"))))
+        probes = probes.otherwise(F.array(*[
+            F.struct(F.lit(lv).alias("l"),
+                     F.floor(micros_between(origin, tc) / F.lit(float(w0 * k ** lv))).cast("long").alias("b"))
+            for lv in self.levels[name]]))
+        q = (rows.withColumn(p + "t", tc)
+             .withColumn(p + "probe", F.explode(probes))
+             .withColumn(p + "ql", F.col(p + "probe.l")).withColumn(p + "qb", F.col(p + "probe.b"))
+             .drop(p + "probe"))
         s_ts, e_ts = F.col(p + "s_ts"), F.col(p + "e_ts")
-        cond = ((F.col(p + "qb") == F.col(p + "b")) & (s_ts <= F.col(p + "t"))
-                & (e_ts.isNull() | (F.col(p + "t") < e_ts)))
-        j = q.join(seg, cond, "left")
+        hit = (s_ts <= F.col(p + "t")) & (e_ts.isNull() | (F.col(p + "t") < e_ts))
+        cond = ((F.col(p + "ql") == F.col(p + "l")) & (F.col(p + "qb") == F.col(p + "b"))
+                & (hit | (F.col(p + "ql") == -1)))
+        # exactly one segment holds the clamped time, on exactly one level
+        # (or the sentinel, for a null time): every input row comes out once
+        j = q.join(seg, cond, "inner")
 
         s_first, s_last, e_first = F.col(p + "s_first"), F.col(p + "s_last"), F.col(p + "e_first")
         if how == "backward":
@@ -118,7 +167,7 @@ class SeriesIndex:
             c2 = micros_between(s_ts, t) / F.lit(1_000_000.0)
             v = (F.when(t < origin, s_first).when(t > last, s_last).when(t == s_ts, s_last)
                  .otherwise((c1 * s_last + c2 * e_first) / (c1 + c2)))
-        return j.withColumn(out, v).drop(*[c for c in j.columns if c.startswith(p)])
+        return j.withColumn(out, F.when(t.isNotNull(), v)).select(*rows.columns, out)
 
     def attach(self, rows: DataFrame, ts: str, columns: Mapping, how: str = "interpolate") -> DataFrame:
         """One looked-up column per series: ``columns`` maps series -> column."""

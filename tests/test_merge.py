@@ -168,3 +168,9 @@ def test_first_traffic_file_from_listing(spark, write_files):
     w = write_files({f"{m}.txt": WEATHER for m in ("dewptm", "hum", "pressurem", "tempm", "wdird", "wspdm")}, "w3")
     rows = merge_files(spark, p, t, w).orderBy("Timestamp").collect()
     assert [r["Average_speed"] for r in rows] == [56.0, 98.0]     # b_traffic12.csv: first id-12 path
+
+
+def test_null_time_gives_null_and_keeps_row(spark, weather_index):
+    q = spark.createDataFrame([(1, ts("00:25")), (2, None)], "id int, ts timestamp_ntz")
+    got = {r["id"]: r["v"] for r in weather_index.lookup(q, "ts", "dewptm", "v").collect()}
+    assert got == {1: pytest.approx(11.0), 2: None}

@@ -96,3 +96,28 @@ def test_merged_rows_are_pollution_rows(spark):
     poll = Counter((str(r["user_id"]), r["d"]) for r in
                    ev.select("user_id", F.date_trunc("day", "ts").cast("timestamp_ntz").alias("d")).collect())
     assert all(n <= poll[k] for k, n in keys.items())
+
+
+def test_uneven_points_keep_index_small_and_exact(spark):
+    # a dense burst, a sparse tail and one point fifty years earlier
+    pts = [(-50 * 365 * 24 * 3600, 7.0)] + [(i, float(i % 13)) for i in range(0, 2000)] + \
+          [(2000 + 3600 * j, float(j)) for j in range(1, 50)]
+    df = spark.createDataFrame([("m", BASE + dt.timedelta(seconds=s), v) for s, v in pts],
+                               "measurement string, ts timestamp_ntz, value double")
+    idx = SeriesIndex(df)
+    assert idx.exploded["m"] <= 9 * len(pts)
+    queries = [-10**9, -5, 0, 1, 500, 1999, 2001, 2000 + 3600 * 7 + 100, 2000 + 3600 * 60]
+    rows = spark.createDataFrame([(i, BASE + dt.timedelta(seconds=q)) for i, q in enumerate(queries)],
+                                 "id int, ts timestamp_ntz")
+    got = {r["id"]: r["v"] for r in idx.lookup(rows, "ts", "m", "v").collect()}
+    srt = sorted(pts)
+    for i, q in enumerate(queries):
+        if q <= srt[0][0]:
+            want = srt[0][1]
+        elif q >= srt[-1][0]:
+            want = srt[-1][1]
+        else:
+            s = max(p for p in srt if p[0] <= q)
+            e = min(p for p in srt if p[0] >= q)
+            want = s[1] if s[0] == q else ((e[0] - q) * s[1] + (q - s[0]) * e[1]) / (e[0] - s[0])
+        assert got[i] == pytest.approx(want)
