@@ -10,9 +10,9 @@
 
   The update is sequential by definition.  ``pa_fit`` trains one global model
   by iterative parameter mixing (McDonald et al., NAACL 2010): every partition
-  folds its rows starting from the broadcast current weights, the driver
-  averages the per-partition weights (one small row per partition) weighted
-  by row count, and the next epoch starts from the average.  With one
+  folds its rows starting from the broadcast current weights, Spark averages
+  the per-partition weights weighted by row count (the driver receives one
+  row), and the next epoch starts from the average.  With one
   partition and one epoch it is exactly the sequential fold.
   ``pa_fit_groups`` runs one exact sequential fold per entity.
 
@@ -146,13 +146,20 @@ def pa_fit(df: DataFrame, features: Sequence[str] = FEATURES, label: str = "labe
                 lw, lb, n = _fold_batches(batches, feats, label, list(w0), b0, c, epsilon)
                 yield pd.DataFrame({"w": [lw], "b": [lb], "n": [n]})
 
-            parts = data.mapInPandas(local, "w array<double>, b double, n long").where("n > 0").collect()
-            total = sum(r["n"] for r in parts)
-            if total == 0:
-                break
-            share = [r["n"] / total for r in parts]   # exactly 1.0 for a single partition
-            w = [sum(s * r["w"][i] for s, r in zip(share, parts)) for i in range(len(feats))]
-            b = sum(s * r["b"] for s, r in zip(share, parts))
+            parts = (data.mapInPandas(local, "w array<double>, b double, n long").where("n > 0")
+                     .persist(StorageLevel.MEMORY_AND_DISK))   # one small row per partition
+            try:
+                total = parts.agg(F.sum("n").alias("t")).first()["t"] or 0
+                if total == 0:
+                    break
+                # row-weighted average reduced by Spark; the driver receives one row
+                share = F.col("n") / F.lit(float(total))   # exactly 1.0 for a single partition
+                row = parts.agg(
+                    F.array(*[F.sum(share * F.col("w")[i]) for i in range(len(feats))]).alias("w"),
+                    F.sum(share * F.col("b")).alias("b")).first()
+                w, b = list(row["w"]), row["b"]
+            finally:
+                parts.unpersist()
     finally:
         if epochs > 1:
             data.unpersist()
