@@ -40,6 +40,35 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def cluster_settings(total_cores: int, input_tb: float = 100.0) -> dict[str, str]:
+    """Settings for a large cluster (pass them to ``spark-submit --conf``).
+
+    * input splits of 256 MB: 100 TB -> ~400k scan tasks, each well inside an
+      executor core's memory share even after parsing text;
+    * the initial shuffle width is chosen so a 100 TB shuffle gives ~256 MB
+      partitions, then AQE coalesces toward 256 MB and splits skewed
+      partitions over 5x the median (and over 1 GB);
+    * broadcast only below 64 MB as measured at run time; the library's own
+      explicit broadcasts carry their own row-count checks.
+    """
+    shuffle = max(4 * total_cores, int(input_tb * 1024 * 1024 / 256))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.requireAllClusterKeysForCoPartition": "false",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables.
 
