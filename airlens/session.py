@@ -45,13 +45,13 @@ def cluster_settings(total_cores: int, input_tb: float = 100.0) -> dict[str, str
 
     * input splits of 256 MB: 100 TB -> ~400k scan tasks, each well inside an
       executor core's memory share even after parsing text;
-    * the initial shuffle width is chosen so a 100 TB shuffle gives ~256 MB
-      partitions, then AQE coalesces toward 256 MB and splits skewed
-      partitions over 5x the median (and over 1 GB);
+    * the initial shuffle width gives ~512 MB partitions for a shuffle as
+      large as the input (capped at 200k reducers), then AQE coalesces toward
+      256 MB and splits skewed partitions over 5x the median (and over 1 GB);
     * broadcast only below 64 MB as measured at run time; the library's own
       explicit broadcasts carry their own row-count checks.
     """
-    shuffle = max(4 * total_cores, int(input_tb * 1024 * 1024 / 256))
+    shuffle = min(200_000, max(4 * total_cores, int(input_tb * 1024 * 1024 / 512)))
     return {
         "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
         "spark.sql.shuffle.partitions": str(shuffle),
