@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 HOT_ROWS_CONF = "airlens.rank.hotGroupRows"
 DEFAULT_HOT_ROWS = 2_000_000
 MAX_SLICES = 4096
-MAX_CUT_VALUES = 4_000_000   # hot keys x slices, i.e. at most 32 MB of cut points to broadcast
+MAX_CUT_VALUES = 1_000_000   # hot keys x slices: bounds both broadcast tables (cut points, offsets)
 SAMPLE_HITS = 200  # expected sample hits of a group at the hot threshold
 
 

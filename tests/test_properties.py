@@ -121,3 +121,18 @@ def test_uneven_points_keep_index_small_and_exact(spark):
             e = min(p for p in srt if p[0] >= q)
             want = s[1] if s[0] == q else ((e[0] - q) * s[1] + (q - s[0]) * e[1]) / (e[0] - s[0])
         assert got[i] == pytest.approx(want)
+
+
+def test_series_index_with_hot_series_uses_time_slices(spark):
+    # every series is "hot": segments are numbered through timestamp quantile slices
+    pts = spark.createDataFrame([("m", BASE + dt.timedelta(minutes=3 * i), float(i)) for i in range(200)],
+                                "measurement string, ts timestamp_ntz, value double")
+    spark.conf.set(HOT_ROWS_CONF, "10")
+    try:
+        idx = SeriesIndex(pts)
+    finally:
+        spark.conf.unset(HOT_ROWS_CONF)
+    rows = spark.createDataFrame([(1, BASE + dt.timedelta(minutes=301)), (2, BASE + dt.timedelta(minutes=3 * 150))],
+                                 "id int, ts timestamp_ntz")
+    got = {r["id"]: r["v"] for r in idx.lookup(rows, "ts", "m", "v").collect()}
+    assert got[1] == pytest.approx(100 + 1 / 3) and got[2] == 150.0
