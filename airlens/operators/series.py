@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import micros_between
 from .ranking import rank_within
 
+MAX_CANDIDATES = 64   # segments one level-0 bucket may meet before the robust layout is used
 BROADCAST_ROWS_CONF = "airlens.series.broadcastRows"
 DEFAULT_BROADCAST_ROWS = 1_000_000   # about 60-80 MB of segment rows
 HOW = ("interpolate", "backward", "forward")
@@ -60,12 +61,15 @@ class SeriesIndex:
     become literals of the lookup expressions.
 
     Bucketing is multi-level so that neither the explosion nor the candidates
-    per probe depend on how the points are spread: with ``w0`` the shortest
-    segment of a series, a segment of length ``len`` sits on level
-    ``L = floor(log_8(len / w0))`` and is exploded into the buckets of width
-    ``w0 * 8**L`` it overlaps (at most 9); as segments are disjoint and at
-    least one bucket long, a bucket of its own level meets at most two of
-    them.  A lookup probes one bucket on each level present.
+    per probe depend on how the points are spread: a segment of length
+    ``len`` sits on level ``L = max(0, floor(log_8(len / w0)))`` and is
+    exploded into the buckets of width ``w0 * 8**L`` it overlaps (at most 9);
+    segments are disjoint, so a bucket of level ``L >= 1`` meets at most two
+    of them.  ``w0`` is the mean gap / 8 (few levels, so few probes), unless
+    some level-0 bucket would then meet more than ``MAX_CANDIDATES`` segments;
+    such a series uses ``w0`` = its shortest segment, where every bucket meets
+    at most two.  A lookup probes one bucket on each level present; both
+    layouts are exact.
     """
 
     FANOUT = 8
@@ -85,25 +89,47 @@ class SeriesIndex:
                      F.min(micros_between("s_ts", "e_ts")).alias("min_len"))
                 .collect())
         self.bounds = {r[series]: r for r in rows}
-        self.w0 = {k: max(1, int(r["min_len"] or 1)) for k, r in self.bounds.items()}
-        self.levels: dict = {}
-        self.exploded: dict = {}
-        if self.bounds:
-            per = F.col(series)
-            w0 = F.create_map(*[x for k, v in self.w0.items() for x in (F.lit(k), F.lit(v))])[per]
-            first = F.create_map(*[x for k, r in self.bounds.items() for x in (F.lit(k), _ntz(r["first_ts"]))])[per]
-            sized = (self._with_levels(self.seg, w0, first)
-                     .groupBy(series, "_lvl").agg(F.sum("_nb").alias("nb")))
-            for r in sized.collect():
-                self.levels.setdefault(r[series], []).append(int(r["_lvl"]))
-                self.exploded[r[series]] = self.exploded.get(r[series], 0) + int(r["nb"])
-            for k in self.levels:
-                self.levels[k].sort()
+        # start with w0 = mean gap / FANOUT (few levels on ordinary data); a
+        # series whose level-0 buckets then hold too many segments (a dense
+        # burst) falls back to w0 = its shortest segment, where every bucket
+        # meets at most two segments
+        robust = {k: max(1, int(r["min_len"] or 1)) for k, r in self.bounds.items()}
+        fast = {}
+        for k, r in self.bounds.items():
+            span = int((r["last_ts"] - r["first_ts"]) / dt.timedelta(microseconds=1))
+            fast[k] = max(robust[k], span // max(1, r["n"]) // self.FANOUT)
+        self.w0, self.levels, self.exploded = dict(fast), {}, {}
+        layout = self._layout(fast) if self.bounds else {}
+        dense = [k for k, (_, _, cand) in layout.items() if cand > MAX_CANDIDATES]
+        if dense:
+            layout.update(self._layout({k: robust[k] for k in dense}))
+            self.w0.update({k: robust[k] for k in dense})
+        for k, (levels, exploded, _) in layout.items():
+            self.levels[k], self.exploded[k] = levels, exploded
+
+    def _layout(self, w0s: dict) -> dict:
+        """Per series in ``w0s``: (levels present, index rows, most segments
+        met by one level-0 bucket) for bucket base width ``w0s[series]``."""
+        per = F.col(self.series)
+        w0 = F.create_map(*[x for k, v in w0s.items() for x in (F.lit(k), F.lit(v))])[per]
+        first = F.create_map(*[x for k in w0s for x in (F.lit(k), _ntz(self.bounds[k]["first_ts"]))])[per]
+        seg = self.seg.where(per.isin(list(w0s)))
+        cells = (self._with_levels(seg, w0, first)
+                 .select(self.series, "_lvl", F.explode(F.sequence("_b0", "_b1")).alias("_b"))
+                 .groupBy(self.series, "_lvl", "_b").agg(F.count(F.lit(1)).alias("c")))
+        out: dict = {}
+        for r in (cells.groupBy(self.series, "_lvl")
+                  .agg(F.sum("c").alias("rows"), F.max("c").alias("cand")).collect()):
+            levels, rows_, cand = out.get(r[self.series], ([], 0, 0))
+            levels = sorted(levels + [int(r["_lvl"])])
+            out[r[self.series]] = (levels, rows_ + int(r["rows"]),
+                                   max(cand, int(r["cand"]) if r["_lvl"] == 0 else 0))
+        return out
 
     def _with_levels(self, seg: DataFrame, w0: Column, first: Column) -> DataFrame:
-        """``_lvl``, ``_w`` (bucket width in microseconds), ``_b0``/``_b1``
+        """``_lvl``, ``_w`` (bucket width in microseconds) and ``_b0``/``_b1``
         (first and last bucket overlapped, counted from the series' first
-        time ``first``) and ``_nb`` for every segment."""
+        time ``first``) for every segment."""
         k = float(self.FANOUT)
         lvl = F.when(F.col("e_ts").isNull(), F.lit(0)).otherwise(
             F.greatest(F.lit(0), F.floor(F.log(k, micros_between("s_ts", "e_ts") / w0)).cast("int")))
@@ -112,8 +138,7 @@ class SeriesIndex:
                 .withColumn("_w", w0.cast("double") * F.pow(F.lit(k), F.col("_lvl")))
                 .withColumn("_b0", F.floor(micros_between(first, "s_ts") / F.col("_w")).cast("long"))
                 .withColumn("_b1", F.when(F.col("e_ts").isNull(), F.col("_b0"))
-                            .otherwise(F.floor(micros_between(first, end) / F.col("_w")).cast("long")))
-                .withColumn("_nb", F.col("_b1") - F.col("_b0") + 1))
+                            .otherwise(F.floor(micros_between(first, end) / F.col("_w")).cast("long"))))
 
     def lookup(self, rows: DataFrame, ts: str, name, out: str, how: str = "interpolate") -> DataFrame:
         """``rows`` plus column ``out``: the value of series ``name`` at ``rows[ts]``.
@@ -132,8 +157,7 @@ class SeriesIndex:
         seg = seg.select(F.col("_lvl").alias(p + "l"), F.explode(F.sequence("_b0", "_b1")).alias(p + "b"),
                          *[F.col(c).alias(p + c) for c in cols])
         # one sentinel entry (level -1) answers rows whose time is null
-        sentinel = seg.limit(1).select(F.lit(-1).alias(p + "l"), F.lit(-1).cast("long").alias(p + "b"),
-                                       *[F.lit(None).cast(seg.schema[p + c].dataType).alias(p + c) for c in cols])
+        sentinel = seg.sparkSession.createDataFrame([(-1, -1) + (None,) * len(cols)], seg.schema)
         seg = seg.unionByName(sentinel)
         if self.exploded.get(name, 0) + 1 <= self.broadcast_rows:
             seg = F.broadcast(seg)
