@@ -291,3 +291,23 @@ def compare(scored: DataFrame, label: str = "label",
     aggs = [F.count(F.lit(1)).alias("elements")]
     aggs += [rmse(label, p).alias("rmse_" + p.replace("_prediction", "")) for p in predictions]
     return scored.groupBy(*group_by).agg(*aggs).where(F.col("elements") > 0)
+
+
+def comparison_lines(scored: DataFrame, label: str = "label",
+                     predictions: Sequence[str] = ("pa_prediction", "linear_prediction")) -> DataFrame:
+    """Per-row text ``Real: %10f<TAB>PA: %10f<TAB>Linear: %10f`` (a column
+    ``line``; rows are rendered by the executors, nothing is collected)."""
+    names = {"pa_prediction": "PA", "linear_prediction": "Linear"}
+    fmt = "\t".join(["Real: %10f"] + [f"{names.get(p, p)}: %10f" for p in predictions])
+    return scored.select(F.format_string(fmt, F.col(label), *[F.col(p) for p in predictions]).alias("line"))
+
+
+def rmse_lines(summary: DataFrame, predictions: Sequence[str] = ("pa_prediction", "linear_prediction"),
+               keep: Sequence[str] = ()) -> DataFrame:
+    """``<model> - Root mean squared error: <value>`` rows from :func:`compare`."""
+    names = {"pa_prediction": "PA", "linear_prediction": "Linear"}
+    rows = F.array(*[F.concat(F.lit(f"{names.get(p, p)} - Root mean squared error: "),
+                              F.col("rmse_" + p.replace("_prediction", "")).cast("string"))
+                     for p in predictions])
+    return summary.select(*keep, F.explode(rows).alias("line"))
+

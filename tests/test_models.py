@@ -80,3 +80,11 @@ def test_hot_entity_is_sliced_and_mixed(spark):
         w, b = pa_step(w, b, [x], y)
     assert got["cold"]["w"] == w and got["cold"]["b"] == b          # cold entity: exact fold
     assert all(math.isfinite(v) for v in got["hot"]["w"] + [got["hot"]["b"]])
+
+
+def test_comparison_and_rmse_lines(spark):
+    from airlens.operators.regression import comparison_lines, rmse_lines
+    df = spark.createDataFrame([(1.0, 1.5, 2.0)], "label double, pa_prediction double, linear_prediction double")
+    assert comparison_lines(df).first()["line"] == "Real:   1.000000\tPA:   1.500000\tLinear:   2.000000"
+    lines = [r["line"] for r in rmse_lines(compare(df)).collect()]
+    assert lines == ["PA - Root mean squared error: 0.5", "Linear - Root mean squared error: 1.0"]
