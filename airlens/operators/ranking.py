@@ -66,9 +66,16 @@ def order_slices(df: DataFrame, keys: Sequence[str], first, slices: int, out: st
     first = F.col(first) if isinstance(first, str) else first
     cuts = [i / slices for i in range(1, slices)]
     bounds = df.groupBy(*keys).agg(F.percentile_approx(first, cuts, 10_000).alias("_cuts"))
-    return (df.join(F.broadcast(bounds), list(keys))
-            .withColumn(out, F.size(F.filter("_cuts", lambda b: b < first)))
-            .drop("_cuts"))
+    # slice = number of cut points below the value: a binary search over the
+    # sorted cuts in ceil(log2(slices)) steps, one column per step
+    sliced = df.join(F.broadcast(bounds), list(keys)).withColumn(out, F.lit(0))
+    step = 1 << max(0, (slices - 1).bit_length() - 1)
+    while step:
+        nxt = F.col(out) + F.lit(step)
+        sliced = sliced.withColumn(out, F.when((nxt <= F.size("_cuts")) & (F.try_element_at("_cuts", nxt) < first),
+                                               nxt).otherwise(F.col(out)))
+        step >>= 1
+    return sliced.drop("_cuts")
 
 
 def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence, out: str = "rank",

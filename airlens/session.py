@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "airlens") -> SparkSession:
+                  app_name: str = "airlens", driver_memory: str | None = None) -> SparkSession:
     """A session with the settings the library assumes.
 
     UTC session time so that NTZ <-> TIMESTAMP casts are identities, AQE on so
@@ -34,6 +34,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
           .config("spark.ui.showConsoleProgress", "false"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory:   # local mode: the executors live in the driver JVM
+        b = b.config("spark.driver.memory", driver_memory)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

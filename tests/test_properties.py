@@ -137,3 +137,16 @@ def test_series_index_with_hot_series_uses_time_slices(spark):
                                  "id int, ts timestamp_ntz")
     got = {r["id"]: r["v"] for r in idx.lookup(rows, "ts", "m", "v").collect()}
     assert got[1] == pytest.approx(100 + 1 / 3) and got[2] == 150.0
+
+
+@pytest.mark.parametrize("slices", [2, 3, 7, 16])
+def test_binary_search_slices_equal_cut_counts(spark, slices):
+    from airlens.operators.ranking import order_slices
+    rows = [("a", float(v)) for v in [5, 1, 1, 9, 3, 3, 3, 7, 2, 8, 0, 6, 4, 4, 10, 11, 12, 1]] + [("b", None), ("b", 2.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    out = order_slices(df, ["k"], "v", slices).collect()
+    cuts = {r["k"]: r["c"] for r in df.groupBy("k").agg(
+        F.percentile_approx("v", [i / slices for i in range(1, slices)], 10_000).alias("c")).collect()}
+    for r in out:
+        want = 0 if r["v"] is None else sum(1 for c in cuts[r["k"]] if c is not None and c < r["v"])
+        assert r["_slice"] == want
