@@ -99,12 +99,15 @@ def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence, out: str =
     hot_rows_df = tagged.where(F.col("_hot")).drop("_hot")
 
     sliced = order_slices(hot_rows_df, keys, order[0], slices)
-    counts = sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    # one shuffle on (keys, slice) feeds both the local numbering and the
+    # slice sizes; the offsets table (hot keys x slices) is derived from it
+    part = Window.partitionBy(*keys, "_slice")
+    numbered = (sliced.withColumn("_local", F.row_number().over(part.orderBy(*order)))
+                .withColumn("_n", F.count(F.lit(1)).over(part)))
+    counts = numbered.groupBy(*keys, "_slice").agg(F.max("_n").alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    local = Window.partitionBy(*keys, "_slice").orderBy(*order)
-    hot_ranked = (sliced.withColumn("_local", F.row_number().over(local))
-                  .join(F.broadcast(offsets), [*keys, "_slice"])
+    hot_ranked = (numbered.drop("_n").join(F.broadcast(offsets), [*keys, "_slice"])
                   .withColumn(out, F.col("_local") + F.col("_off"))
                   .drop("_slice", "_local", "_off"))
     return cold.unionByName(hot_ranked)
