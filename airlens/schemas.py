@@ -74,5 +74,5 @@ MERGED = Layout(
     + tuple((12 + i, n, "double") for i, n in enumerate(MERGED_HEADER[12:23])),
     ts=(0, "Timestamp", POLLUTION_TS_FORMAT),
     header_field=0,
-    sep=MERGED_SEP,
+    sep=",",   # written with ", "; read by splitting on the comma and trimming, so both forms parse
 )

@@ -174,3 +174,12 @@ def test_null_time_gives_null_and_keeps_row(spark, weather_index):
     q = spark.createDataFrame([(1, ts("00:25")), (2, None)], "id int, ts timestamp_ntz")
     got = {r["id"]: r["v"] for r in weather_index.lookup(q, "ts", "dewptm", "v").collect()}
     assert got == {1: pytest.approx(11.0), 2: None}
+
+
+def test_merged_reader_accepts_both_separators(spark, write_files):
+    from airlens.schemas import MERGED_HEADER
+    row = "2014-08-15 00:00:00, 56.1, 10.1, 56, 7, 0, 0, 0, 0, 1, 0, 0, 10.0, 10.0, 10.0, 10.0, 10.0, 10.0, 2, 10, 40, 50, 60"
+    d = write_files({"merged1.csv": ", ".join(MERGED_HEADER) + "\n" + row + "\n",
+                     "merged2.csv": ",".join(MERGED_HEADER) + "\n" + row.replace(", ", ",") + "\n"}, "mixed")
+    rows = read_merged(spark, d, partitioned=False).collect()
+    assert len(rows) == 2 and rows[0] == rows[1] and rows[0]["Nitrogen_dioxide"] == 60.0
