@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 from ..functions.columns import weekday_flags
 from ..operators.align import align_on_time, first_group
 from ..operators.series import SeriesIndex
-from ..schemas import MERGED_HEADER, MERGED_SEP, POLLUTANTS, WEATHER_COLUMNS, WEEKDAY_COLUMNS
-from ..sources.records import first_file_per_entity, read_pollution, read_traffic
+from ..schemas import MERGED_HEADER, MERGED_SEP, POLLUTANTS, TRAFFIC, WEATHER_COLUMNS, WEEKDAY_COLUMNS
+from ..functions.columns import entity_from_path
+from ..sources.records import first_file_per_entity, parse_records, read_lines, read_pollution, read_traffic
 from ..sources.weather import read_weather
 
 ID_PATTERN = r"(\d+)\.csv"
@@ -78,10 +79,16 @@ def merge_files(spark: SparkSession, pollution_path: str, traffic_path: str, wea
     only those files are read and no pairing shuffle is needed."""
     pollution = with_position(read_pollution(spark, pollution_path, entity_pattern=ID_PATTERN))
     chosen = first_file_per_entity(spark, traffic_path, ID_PATTERN, glob="*csv")
-    if chosen:
+    names = [c.rsplit("/", 1)[-1] for c in chosen]
+    if len(set(names)) == len(names):
+        # one scan of the folder; the file-name predicate prunes files while
+        # planning (only the chosen files are opened)
+        lines = read_lines(spark, traffic_path, "*csv").where(F.col("_metadata.file_name").isin(names))
+        traffic = parse_records(lines.withColumn("sensor_id", entity_from_path(ID_PATTERN))
+                                .withColumn("file_path", F.col("_metadata.file_path")),
+                                TRAFFIC, keep=["sensor_id", "file_path"])
+    else:   # the same file name in several folders: name the files one by one
         traffic = read_traffic(spark, chosen, entity_pattern=ID_PATTERN, with_path=True)
-    else:
-        traffic = read_traffic(spark, traffic_path, entity_pattern=ID_PATTERN, with_path=True).where(F.lit(False))
     weather = read_weather(spark, weather_path, weather_files)
     return merge(pollution, with_position(traffic), weather, traffic_is_first_file=True)
 
