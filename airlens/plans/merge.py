@@ -18,11 +18,10 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import weekday_flags
+from ..functions.columns import entity_from_path, weekday_flags
 from ..operators.align import align_on_time, first_group
 from ..operators.series import SeriesIndex
 from ..schemas import MERGED_HEADER, MERGED_SEP, POLLUTANTS, TRAFFIC, WEATHER_COLUMNS, WEEKDAY_COLUMNS
-from ..functions.columns import entity_from_path
 from ..sources.records import first_file_per_entity, parse_records, read_lines, read_pollution, read_traffic
 from ..sources.weather import read_weather
 
