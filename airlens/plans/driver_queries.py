@@ -28,7 +28,7 @@ from ..operators.regression import (compare, feature_label, fit_linear, linear_c
 from ..operators.series import SeriesIndex
 from ..schemas import FEATURES, ISO_TS_FORMAT, MERGED_HEADER, POLLUTION_TS_FORMAT, WEEKDAY_COLUMNS, Layout
 from ..session import scratch_path
-from ..sinks.results import create_result_table, latest_results
+from ..sinks.results import create_result_table, latest_results, read_results
 from ..sources.records import parse_records, read_merged, read_records, read_traffic
 from ..sources.weather import explode_points
 from ..streaming.replay import replay
@@ -593,7 +593,7 @@ def _run_stream_profile(spark, sf):
 @register("stream_profile", _stream_profile_sql(f"CAST(event_id // {CHUNK_ROWS} AS BIGINT)", "batch_id"))
 def q_stream_profile(spark, sf):
     name = _run_stream_profile(spark, sf)
-    return spark.table(name).select("batch_id", "substance", "elements",
+    return read_results(spark, name, is_table=True).select("batch_id", "substance", "elements",
                                     *[rnd(c).alias(c) for c in ("min", "max", "mean", "std")])
 
 

@@ -1,28 +1,32 @@
 """The analysis result table: one row per substance per non-empty batch.
 
-A parquet table partitioned by ``(substance, batch_id)``.  Each batch replaces
-exactly its own partitions (dynamic partition overwrite), so a batch retried
-after a failure leaves no duplicate rows.  Reading one substance prunes to
-its partition; newest first is an ordinary sort.
+Layout: ``<location>/batch_block=<batch_id // BLOCK>/batch-<batch_id>.parquet``.
+
+* Each batch writes exactly one file named by its id; a batch retried after a
+  failure replaces that file and never duplicates rows.
+* The catalog partitions by ``batch_block`` only, so partitions grow
+  ``BLOCK`` times slower than batches (one per batch would mean millions of
+  partitions a year at 5-second triggers).
+* ``substance`` is a data column: result rows are tiny, and a substance filter
+  still reaches the parquet scan.  Newest first is an ordinary sort.
 """
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ranking import rank_within
 
+BLOCK = 10_000
 RESULT_COLUMNS = ["timestamp", "elements", "min", "max", "mean", "std", "substance", "batch_id"]
 RESULT_DDL = ("timestamp TIMESTAMP, elements BIGINT, min DOUBLE, max DOUBLE, mean DOUBLE, std DOUBLE, "
-              "substance STRING, batch_id BIGINT")
+              "substance STRING, batch_id BIGINT, batch_block BIGINT")
 
 
 def create_result_table(spark: SparkSession, name: str, location: str) -> None:
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({RESULT_DDL}) USING parquet "
-              f"PARTITIONED BY (substance, batch_id) LOCATION '{location}'")
+              f"PARTITIONED BY (batch_block) LOCATION '{location}'")
 
 
 def drop_result_table(spark: SparkSession, name: str) -> None:
@@ -42,49 +46,55 @@ def table_location(spark: SparkSession, name: str) -> str:
     return rows[0]["data_type"]
 
 
-def _sql_str(v: str) -> str:
-    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def _batch_partitions(spark: SparkSession, root: str, batch_id: int) -> list[str]:
-    """``substance=...`` directory names that hold ``batch_id`` (a listing)."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/substance=*/batch_id={batch_id}")
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = fs.globStatus(path) or []
-    return [st.getPath().getParent().getName() for st in found]
+def batch_file(root: str, batch_id: int) -> str:
+    return f"{root.rstrip('/')}/batch_block={batch_id // BLOCK}/batch-{batch_id:012d}.parquet"
 
 
 def write_results(rows: DataFrame, target: str, is_table: bool = False, batch_id: int | None = None) -> None:
     """Idempotent append of one batch's rows to a table name or a folder.
 
-    One write job: rows go to ``<location>/substance=../batch_id=..`` with
-    dynamic partition overwrite, so a retried batch replaces its own
-    partitions only and an empty batch writes nothing.  For a catalog table,
-    the partitions the write produced are found by listing and registered.
+    One write job into a hidden staging folder, then the single part file is
+    moved to ``batch_block=<k>/batch-<id>.parquet``, replacing the file of an
+    earlier attempt of the same batch: a retry never duplicates rows.  For a
+    catalog table the block partition is registered (idempotent, cheap).
     """
     spark = rows.sparkSession
-    path = table_location(spark, target) if is_table else target
-    (rows.select(*RESULT_COLUMNS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("substance", "batch_id").parquet(path))
-    if is_table and batch_id is not None:
-        names = _batch_partitions(spark, path, batch_id)
-        if names:
-            parts = " ".join(
-                f"PARTITION (substance = {_sql_str(unquote(n.split('=', 1)[1]))}, batch_id = {int(batch_id)})"
-                for n in names)
-            spark.sql(f"ALTER TABLE {target} ADD IF NOT EXISTS {parts}")
-    elif is_table:
-        spark.sql(f"ALTER TABLE {target} RECOVER PARTITIONS")
+    if batch_id is None:
+        batch_id = int(rows.select(F.max("batch_id")).first()[0] or 0)
+    root = (table_location(spark, target) if is_table else target).rstrip("/")
+    staging = f"{root}/_staging/batch-{batch_id:012d}"
+    rows.select(*RESULT_COLUMNS).coalesce(1).write.mode("overwrite").parquet(staging)
+    jvm = spark.sparkContext._jvm
+    Path = jvm.org.apache.hadoop.fs.Path
+    fs = Path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    parts = [st.getPath() for st in fs.listStatus(Path(staging)) if st.getPath().getName().startswith("part-")]
+    target_file = Path(batch_file(root, batch_id))
+    fs.mkdirs(target_file.getParent())
+    if fs.exists(target_file):
+        fs.delete(target_file, False)
+    if parts:
+        fs.rename(parts[0], target_file)
+    fs.delete(Path(staging), True)
+    if is_table:
+        spark.sql(f"ALTER TABLE {target} ADD IF NOT EXISTS PARTITION (batch_block = {batch_id // BLOCK})")
+        spark.catalog.refreshTable(target)
+
+
+def read_results(spark: SparkSession, source: str, is_table: bool = False) -> DataFrame:
+    """The result table (catalog name or folder).  A table is refreshed first:
+    a running stream keeps adding files that a cached listing would miss."""
+    if is_table:
+        spark.catalog.refreshTable(source)
+        return spark.table(source)
+    return spark.read.parquet(source)
 
 
 def latest_results(spark: SparkSession, source: str, substance: str, is_table: bool = False) -> DataFrame:
     """Rows of one substance, newest first, with ``recency`` (1 = newest).
 
-    The filter prunes to the substance's partitions; one substance gains a
-    row per batch forever, so the numbering uses the skew-safe
-    :func:`rank_within` rather than a single-task window."""
-    df = spark.table(source) if is_table else spark.read.parquet(source)
+    One substance gains a row per batch forever, so the numbering uses the
+    skew-safe :func:`rank_within` rather than a single-task window."""
+    df = read_results(spark, source, is_table)
     newest_first = [-F.unix_micros("timestamp"), -F.col("batch_id")]
     return (rank_within(df.where(F.col("substance") == substance), ["substance"], newest_first, out="recency")
             .orderBy("recency"))

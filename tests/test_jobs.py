@@ -46,7 +46,8 @@ def test_stream_jobs_from_folders(spark, tmp_path, write_files):
     q = stream_report_job(spark, Box(56.1, 56.2, 10.1, 10.2), Period.of("2014-08-15", "2014-09-15"),
                           "analysis_info_job", str(tmp_path / "ai"), str(tmp_path / "ck1"), folder=src)
     q.awaitTermination()
-    rows = spark.table("analysis_info_job").where("substance = 'Ozone'").collect()
+    from airlens.sinks.results import read_results
+    rows = read_results(spark, "analysis_info_job", True).where("substance = 'Ozone'").collect()
     assert len(rows) == 1 and rows[0]["elements"] == 8
 
     root = D.stage_sensor_files(spark, SF)
