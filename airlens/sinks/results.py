@@ -80,6 +80,43 @@ def write_results(rows: DataFrame, target: str, is_table: bool = False, batch_id
         spark.catalog.refreshTable(target)
 
 
+def compact_block(spark: SparkSession, target: str, block: int, next_batch_id: int,
+                  is_table: bool = False) -> int:
+    """Rewrite a finished block's per-batch files as one file; returns the
+    number of files replaced.
+
+    ``next_batch_id`` (the stream's next batch) must lie beyond the block, so
+    no batch of it can still be retried.  The compacted file is moved in under
+    a hidden name, the batch files are removed, then it is renamed into place:
+    readers may briefly miss the block's rows but never see them twice.
+    """
+    if next_batch_id < (block + 1) * BLOCK:
+        raise ValueError(f"block {block} is not finished (next batch {next_batch_id})")
+    root = (table_location(spark, target) if is_table else target).rstrip("/")
+    jvm = spark.sparkContext._jvm
+    Path = jvm.org.apache.hadoop.fs.Path
+    fs = Path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    block_dir = Path(f"{root}/batch_block={block}")
+    if not fs.exists(block_dir):
+        return 0
+    batch_files = [st.getPath() for st in fs.listStatus(block_dir) if st.getPath().getName().startswith("batch-")]
+    if len(batch_files) <= 1:
+        return 0
+    staging = f"{root}/_staging/block-{block}"
+    (spark.read.parquet(*[p.toString() for p in batch_files]).select(*RESULT_COLUMNS)
+     .coalesce(1).write.mode("overwrite").parquet(staging))
+    part = [st.getPath() for st in fs.listStatus(Path(staging)) if st.getPath().getName().startswith("part-")][0]
+    hidden = Path(f"{root}/batch_block={block}/_block-{block:012d}.parquet")
+    fs.rename(part, hidden)
+    for f in batch_files:
+        fs.delete(f, False)
+    fs.rename(hidden, Path(f"{root}/batch_block={block}/block-{block:012d}.parquet"))
+    fs.delete(Path(staging), True)
+    if is_table:
+        spark.catalog.refreshTable(target)
+    return len(batch_files)
+
+
 def read_results(spark: SparkSession, source: str, is_table: bool = False) -> DataFrame:
     """The result table (catalog name or folder).  A table is refreshed first:
     a running stream keeps adding files that a cached listing would miss."""

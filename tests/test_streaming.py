@@ -81,3 +81,22 @@ def test_retried_batch_replaces_its_rows(spark, tmp_path):
     write_results(again, out, batch_id=7)          # the retry of batch 7
     rows = read_results(spark, out).collect()
     assert [(r["batch_id"], r["elements"]) for r in rows] == [(7, 2)]
+
+
+def test_compact_finished_block(spark, tmp_path):
+    import datetime as dt
+
+    import pytest
+    from airlens.sinks.results import BLOCK, RESULT_DDL, compact_block, write_results
+    schema = RESULT_DDL.replace(", batch_block BIGINT", "")
+    out = str(tmp_path / "results")
+    for b in range(3):
+        rows = spark.createDataFrame([(dt.datetime(2024, 1, 1), b + 1, 1.0, 2.0, 1.5, 0.5, s, b)
+                                      for s in ("Ozone", "Nitrogen dioxide")], schema)
+        write_results(rows, out, batch_id=b)
+    before = sorted(tuple(r) for r in read_results(spark, out).select("batch_id", "substance", "elements").collect())
+    with pytest.raises(ValueError):
+        compact_block(spark, out, 0, next_batch_id=3)
+    assert compact_block(spark, out, 0, next_batch_id=BLOCK) == 3
+    after = sorted(tuple(r) for r in read_results(spark, out).select("batch_id", "substance", "elements").collect())
+    assert after == before and len(list((tmp_path / "results" / "batch_block=0").glob("*.parquet"))) == 1
