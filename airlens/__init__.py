@@ -27,13 +27,13 @@ from .streaming.score import stream_score
 from .streaming.sources import decode, file_lines, topic_lines
 
 __all__ = [
-    "Box", "Period", "SeriesIndex", "compact_block", "read_results", "align_on_time", "build_session", "cluster_settings", "compare",
-    "comparison_lines", "create_result_table", "decode", "drop_result_table", "ensure_checkpoint_dir",
-    "feature_label", "file_lines", "first_group", "fit_linear", "ingest_readings", "latest_results", "load_linear",
-    "load_models", "load_pa", "merge", "merge_files", "pa_fit", "pa_fit_groups", "pair_first", "predict_linear",
-    "predict_pa", "profile", "rank_within", "read_ingested", "read_merged", "read_pollution", "read_records",
-    "read_traffic", "read_weather", "region_readings", "region_report", "region_report_ingested", "replay",
-    "report_lines", "rmse_lines", "save_linear", "save_pa", "stream_region_report", "stream_report_job",
-    "stream_score", "stream_score_job", "stream_window_profile", "topic_lines", "train", "train_files",
-    "write_merged",
+    "align_on_time", "Box", "build_session", "cluster_settings", "compact_block", "compare", "comparison_lines",
+    "create_result_table", "decode", "drop_result_table", "ensure_checkpoint_dir", "feature_label",
+    "file_lines", "first_group", "fit_linear", "ingest_readings", "latest_results", "load_linear",
+    "load_models", "load_pa", "merge", "merge_files", "pa_fit", "pa_fit_groups", "pair_first", "Period",
+    "predict_linear", "predict_pa", "profile", "rank_within", "read_ingested", "read_merged", "read_pollution",
+    "read_records", "read_results", "read_traffic", "read_weather", "region_readings", "region_report",
+    "region_report_ingested", "replay", "report_lines", "rmse_lines", "save_linear", "save_pa", "SeriesIndex",
+    "stream_region_report", "stream_report_job", "stream_score", "stream_score_job", "stream_window_profile",
+    "topic_lines", "train", "train_files", "write_merged",
 ]
