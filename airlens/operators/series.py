@@ -28,7 +28,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import micros_between
+from ..functions.columns import micros_between, seconds_between
 from .ranking import rank_within
 
 MAX_CANDIDATES = 64   # segments one level-0 bucket may meet before the robust layout is used
@@ -187,8 +187,8 @@ class SeriesIndex:
         elif how == "forward":
             v = F.when(t > last, s_last).when(t <= s_ts, s_first).otherwise(e_first)
         else:
-            c1 = micros_between(t, e_ts) / F.lit(1_000_000.0)
-            c2 = micros_between(s_ts, t) / F.lit(1_000_000.0)
+            c1 = seconds_between(t, e_ts)
+            c2 = seconds_between(s_ts, t)
             v = (F.when(t < origin, s_first).when(t > last, s_last).when(t == s_ts, s_last)
                  .otherwise((c1 * s_last + c2 * e_first) / (c1 + c2)))
         return j.withColumn(out, F.when(t.isNotNull(), v)).select(*rows.columns, out)

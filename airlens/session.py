@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -102,12 +101,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/airlens/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for code that must use the local filesystem."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def is_local(path: str) -> bool:
-    return path.startswith("file:") or path.startswith("/") or os.sep == path[:1]
