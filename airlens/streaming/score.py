@@ -53,6 +53,13 @@ def stream_score(records: DataFrame, target: str, checkpoint: str, *, linear: Li
         # micro-batch plans are not re-planned adaptively: broadcast the
         # per-entity weights explicitly, but only after checking their size
         pa_weights = F.broadcast(pa_weights)
+    elif pa_weights is not None:
+        # too large to broadcast: hash-partition the weights once, as wide as
+        # the stream's shuffles, and keep them, so every micro-batch shuffles
+        # only its own rows against an already partitioned side
+        width = (records.sparkSession.sparkContext.defaultParallelism if partitions in (None, "auto")
+                 else int(partitions))
+        pa_weights = pa_weights.repartition(width, entity).persist()
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         scored = score(batch, linear, pa_weights, features, entity).withColumn("batch_id", F.lit(batch_id))

@@ -100,3 +100,25 @@ def test_compact_finished_block(spark, tmp_path):
     assert compact_block(spark, out, 0, next_batch_id=BLOCK) == 3
     after = sorted(tuple(r) for r in read_results(spark, out).select("batch_id", "substance", "elements").collect())
     assert after == before and len(list((tmp_path / "results" / "batch_block=0").glob("*.parquet"))) == 1
+
+
+def test_stream_score_large_weights_path_matches_broadcast(spark, tmp_path, monkeypatch):
+    import airlens.streaming.score as S
+    from airlens.operators.regression import pa_fit_groups
+    rows = [(u, i, float(i % 5) / 5, float(i % 3) / 3, float(i % 7)) for u in range(6) for i in range(20)]
+    data = spark.createDataFrame(rows, "user_id long, event_id long, x1 double, x2 double, label double")
+    weights = pa_fit_groups(data, "user_id", ["event_id"], ["x1", "x2"]).checkpoint()
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.csv").write_text("\n".join(",".join(str(v) for v in r) for r in rows) + "\n")
+    from airlens.schemas import Layout
+    layout = Layout(fields=((0, "user_id", "long"), (1, "event_id", "long"), (2, "x1", "double"),
+                            (3, "x2", "double"), (4, "label", "double")), ts=None, header_field=-1)
+    out = {}
+    for limit in (10**6, 0):
+        monkeypatch.setattr(S, "WEIGHTS_BROADCAST_ROWS", limit)
+        target = str(tmp_path / f"scores{limit}")
+        S.stream_score(decode(file_lines(spark, str(src)), layout), target, str(tmp_path / f"ck{limit}"),
+                       pa_weights=weights, features=["x1", "x2"], entity="user_id").awaitTermination()
+        out[limit] = [tuple(r) for r in spark.read.parquet(target).select("elements", "rmse_pa").collect()]
+    assert out[0] == out[10**6] and out[0][0][0] == len(rows)
