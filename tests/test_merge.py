@@ -183,3 +183,11 @@ def test_merged_reader_accepts_both_separators(spark, write_files):
                      "merged2.csv": ",".join(MERGED_HEADER) + "\n" + row.replace(", ", ",") + "\n"}, "mixed")
     rows = read_merged(spark, d, partitioned=False).collect()
     assert len(rows) == 2 and rows[0] == rows[1] and rows[0]["Nitrogen_dioxide"] == 60.0
+
+
+def test_weather_malformed_line_fails_or_is_dropped(spark, write_files):
+    d = write_files({"dewptm.txt": WEATHER + "\n" + '{"2014-08-15T01:00:00": "3"\n'}, "badweather")
+    with pytest.raises(Exception):
+        read_weather(spark, d, {"dewptm": "dewptm.txt"}).collect()
+    ok = read_weather(spark, d, {"dewptm": "dewptm.txt"}, mode="drop").collect()
+    assert sorted(r["value"] for r in ok) == [10.0, 16.0]
