@@ -117,6 +117,30 @@ def compact_block(spark: SparkSession, target: str, block: int, next_batch_id: i
     return len(batch_files)
 
 
+def write_batch_files(rows: DataFrame, root: str, batch_id: int, by: str) -> None:
+    """One file per value of ``by`` for this batch:
+    ``<root>/<by>=<v>/batch-<id>.parquet``, replacing an earlier attempt's
+    files, so a retried batch never duplicates rows and partitions grow with
+    the values of ``by`` (e.g. days), not with batches."""
+    spark = rows.sparkSession
+    root = root.rstrip("/")
+    staging = f"{root}/_staging/batch-{batch_id:012d}"
+    rows.coalesce(1).write.mode("overwrite").partitionBy(by).parquet(staging)
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = Path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for d in fs.listStatus(Path(staging)):
+        if not d.isDirectory() or not d.getPath().getName().startswith(f"{by}="):
+            continue
+        for st in fs.listStatus(d.getPath()):
+            if st.getPath().getName().startswith("part-"):
+                dest = Path(f"{root}/{d.getPath().getName()}/batch-{batch_id:012d}.parquet")
+                fs.mkdirs(dest.getParent())
+                if fs.exists(dest):
+                    fs.delete(dest, False)
+                fs.rename(st.getPath(), dest)
+    fs.delete(Path(staging), True)
+
+
 def read_results(spark: SparkSession, source: str, is_table: bool = False) -> DataFrame:
     """The result table (catalog name or folder).  A table is refreshed first:
     a running stream keeps adding files that a cached listing would miss."""

@@ -24,7 +24,7 @@ from ..functions.predicates import Box, Period, in_region
 from ..operators.profile import profile_aggs, unpivot_profile, wide_columns
 from ..plans.report import region_report
 from ..schemas import POLLUTANT_LABELS, POLLUTANTS
-from ..sinks.results import result_rows, write_results
+from ..sinks.results import result_rows, write_batch_files, write_results
 
 
 def _trigger(writer, trigger):
@@ -99,16 +99,26 @@ def stream_window_profile(readings: DataFrame, box: Box, period: Period, target:
                           every: str = "1 day", watermark: str = "1 day", trigger=None,
                           attributes: Sequence[str] = POLLUTANTS, labels: Sequence[str] | None = None,
                           output_mode: str = "update", partitions="auto", **geo) -> StreamingQuery:
-    """Keep ``target`` (parquet, partitioned by window) up to date with the
-    windowed profile.  In ``update`` mode each batch rewrites only the
-    windows it changed; ``append`` emits a window once the watermark passes."""
+    """Keep ``target`` (parquet) up to date with the windowed profile.
+
+    ``update`` (default): partitioned by window, each batch rewrites only the
+    windows it changed.  ``append``: a window is written once, after the
+    watermark passes it, as one file per batch inside day partitions, which
+    suits short windows (partitions grow per day, not per window)."""
     if labels is None:
         labels = POLLUTANT_LABELS if list(attributes) == POLLUTANTS else list(attributes)
     wide = window_profile(readings, box, period, every=every, watermark=watermark, attributes=attributes, **geo)
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        (unpivot_window_profile(batch, labels).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("window_start").parquet(target))
+        rows = unpivot_window_profile(batch, labels)
+        if output_mode == "append":
+            # every window arrives once, after the watermark: one file per
+            # batch inside day partitions (idempotent, bounded partitions)
+            write_batch_files(rows.withColumn("day", F.to_date("window_start")), target, batch_id, "day")
+        else:
+            # update mode re-emits changed windows: each batch replaces them
+            (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("window_start").parquet(target))
 
     w = wide.writeStream.outputMode(output_mode).foreachBatch(each_batch).option("checkpointLocation", checkpoint)
     return start(_trigger(w, trigger), readings.sparkSession, partitions)
