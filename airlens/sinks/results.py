@@ -46,35 +46,20 @@ def table_location(spark: SparkSession, name: str) -> str:
     return rows[0]["data_type"]
 
 
-def batch_file(root: str, batch_id: int) -> str:
-    return f"{root.rstrip('/')}/batch_block={batch_id // BLOCK}/batch-{batch_id:012d}.parquet"
-
-
 def write_results(rows: DataFrame, target: str, is_table: bool = False, batch_id: int | None = None) -> None:
     """Idempotent append of one batch's rows to a table name or a folder.
 
-    One write job into a hidden staging folder, then the single part file is
-    moved to ``batch_block=<k>/batch-<id>.parquet``, replacing the file of an
-    earlier attempt of the same batch: a retry never duplicates rows.  For a
+    One write job; the batch's single file lands at
+    ``batch_block=<id // BLOCK>/batch-<id>.parquet``, replacing the file of an
+    earlier attempt of the same batch (see :func:`write_batch_files`).  For a
     catalog table the block partition is registered (idempotent, cheap).
     """
     spark = rows.sparkSession
     if batch_id is None:
         batch_id = int(rows.select(F.max("batch_id")).first()[0] or 0)
     root = (table_location(spark, target) if is_table else target).rstrip("/")
-    staging = f"{root}/_staging/batch-{batch_id:012d}"
-    rows.select(*RESULT_COLUMNS).coalesce(1).write.mode("overwrite").parquet(staging)
-    jvm = spark.sparkContext._jvm
-    Path = jvm.org.apache.hadoop.fs.Path
-    fs = Path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    parts = [st.getPath() for st in fs.listStatus(Path(staging)) if st.getPath().getName().startswith("part-")]
-    target_file = Path(batch_file(root, batch_id))
-    fs.mkdirs(target_file.getParent())
-    if fs.exists(target_file):
-        fs.delete(target_file, False)
-    if parts:
-        fs.rename(parts[0], target_file)
-    fs.delete(Path(staging), True)
+    block = rows.select(*RESULT_COLUMNS).withColumn("batch_block", F.lit(batch_id // BLOCK).cast("long"))
+    write_batch_files(block, root, batch_id, "batch_block")
     if is_table:
         spark.sql(f"ALTER TABLE {target} ADD IF NOT EXISTS PARTITION (batch_block = {batch_id // BLOCK})")
         spark.catalog.refreshTable(target)
