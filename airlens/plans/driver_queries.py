@@ -188,7 +188,10 @@ def q_time_align_join(spark, sf):
 SERIES_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 
+@staged
 def _series_index(spark, sf):
+    """The events series index, built once per application (a user builds it
+    once and runs every lookup against it)."""
     ev = table(spark, sf, "events")
     return SeriesIndex(ev.select(F.col("event_type").alias("measurement"), "ts", "value"))
 
