@@ -458,12 +458,16 @@ paw AS (SELECT user_id, arg_max(w1, rn) AS w1, arg_max(w2, rn) AS w2, arg_max(b,
         FROM fold GROUP BY user_id)"""
 
 
+@staged
 def _linear_model(spark, sf):
+    """Trained once per application and shared by the queries that use it."""
     return fit_linear(ml_frame(spark, sf), ML_FEATURES)
 
 
+@staged
 def _pa_groups(spark, sf):
-    return pa_fit_groups(ml_frame(spark, sf), "user_id", ["event_id"], ML_FEATURES)
+    """Per-user PA weights, folded once per application (checkpointed)."""
+    return pa_fit_groups(ml_frame(spark, sf), "user_id", ["event_id"], ML_FEATURES).checkpoint(eager=True)
 
 
 @register("feature_label", "SELECT sensor_id, Timestamp, " + ", ".join(f"CAST({f} AS DOUBLE) AS {f}" for f in FEATURES)
@@ -625,8 +629,7 @@ SELECT CAST(d.event_id // {CHUNK_ROWS} AS BIGINT) AS batch_id, count(*)::BIGINT
 FROM pd d JOIN paw USING (user_id), coef GROUP BY 1""")
 def q_stream_score(spark, sf):
     data = ml_frame(spark, sf)
-    linear = fit_linear(data, ML_FEATURES)
-    weights = pa_fit_groups(data, "user_id", ["event_id"], ML_FEATURES).checkpoint(eager=True)
+    linear, weights = _linear_model(spark, sf), _pa_groups(spark, sf)
     src = stage_stream_chunks(spark, data, [F.col(c) for c in ("user_id", "event_id", "x1", "x2", "label")],
                               "event_id", _chunk(), "ml-chunks")
     records = decode(file_lines(spark, src, "*.csv", max_files_per_trigger=1), ML_LAYOUT, bad_rows="fail")
