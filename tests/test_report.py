@@ -93,3 +93,15 @@ def test_short_record_fails_even_without_ansi(spark, write_files):
         assert report(spark, path, bad_rows="drop")["Ozone"]["elements"] == 8
     finally:
         spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_ingested_layout_gives_the_same_report(spark, write_files, tmp_path):
+    from airlens.plans.ingest import ingest_readings, read_ingested, region_report_ingested
+    df = read_pollution(spark, write_files({"p.csv": HEADER + ROWS}, "ing"))
+    out = str(tmp_path / "ingested")
+    ingest_readings(df, out)
+    months = sorted(p.name for p in (tmp_path / "ingested").glob("month=*"))
+    assert months == ["month=2014-08-01", "month=2014-09-01"]
+    got = {r["attribute"]: tuple(r) for r in region_report_ingested(read_ingested(spark, out), BOX, PERIOD).collect()}
+    want = {r["attribute"]: tuple(r) for r in region_report(df, BOX, PERIOD).collect()}
+    assert got == want
