@@ -135,7 +135,7 @@ def q_profile_by_entity(spark, sf):
 
 @register("report_lines", f"""
 WITH p AS ({_profile_sql(_BOX_SQL, digits=None)})
-SELECT attribute, 'count' AS kind, 'Total number of elements: ' || elements || '.' AS line FROM p
+SELECT DISTINCT NULL::VARCHAR AS attribute, 'count' AS kind, 'Total number of elements: ' || elements || '.' AS line FROM p
 UNION ALL SELECT attribute, 'range', attribute || ' range: [' || printf('%10f', min) || ', ' || printf('%10f', max) || '].' FROM p
 UNION ALL SELECT attribute, 'mean', attribute || ' mean: ' || printf('%10f', mean) || '.' FROM p
 UNION ALL SELECT attribute, 'std', attribute || ' standard deviation: ' || printf('%10f', std) || '.' FROM p

@@ -36,14 +36,15 @@ def region_report(readings: DataFrame, box: Box, period: Period, *,
 def report_lines(report: DataFrame) -> DataFrame:
     """The printed report as text rows ``(attribute, kind, line)``.
 
-    ``kind`` is one of ``count``, ``range``, ``mean``, ``std``; numbers are
-    rendered ``%10f``.
+    One ``count`` line (no attribute: the count is the same for all), then per
+    attribute a ``range``, ``mean`` and ``std`` line; numbers are rendered
+    ``%10f``.  An empty report gives no lines.
     """
     a = F.col("attribute")
+    count = report.select(F.lit(None).cast("string").alias("attribute"), F.lit("count").alias("kind"),
+                          F.concat(F.lit("Total number of elements: "), F.col("elements").cast("string"),
+                                   F.lit(".")).alias("line")).distinct()
     rows = F.array(
-        F.struct(F.lit("count").alias("kind"),
-                 F.concat(F.lit("Total number of elements: "), F.col("elements").cast("string"),
-                          F.lit(".")).alias("line")),
         F.struct(F.lit("range").alias("kind"),
                  F.concat(a, F.lit(" range: ["), fixed10("min"), F.lit(", "), fixed10("max"),
                           F.lit("].")).alias("line")),
@@ -52,4 +53,4 @@ def report_lines(report: DataFrame) -> DataFrame:
         F.struct(F.lit("std").alias("kind"),
                  F.concat(a, F.lit(" standard deviation: "), fixed10("std"), F.lit(".")).alias("line")),
     )
-    return report.select("attribute", F.inline(rows))
+    return count.unionByName(report.select("attribute", F.inline(rows)))
