@@ -39,16 +39,17 @@ def pair_first(left: DataFrame, right: DataFrame, entity: str | Sequence[str], g
 
 
 def align_on_time(left: DataFrame, right: DataFrame, keys: Sequence[str], left_order: Sequence,
-                  right_order: Sequence, k: str = "_k", hot_rows: int | None = None) -> DataFrame:
+                  right_order: Sequence, k: str = "_k", small_groups: bool = False) -> DataFrame:
     """Join ``left`` and ``right`` on ``keys`` pairing duplicates by position.
 
     ``left_order`` / ``right_order`` state the order of duplicates on each side
     (file position in the reference).  Non-key column names must not clash.
-    Rows without a partner at the same key and position are dropped.
-    ``hot_rows`` overrides the group size above which a key is numbered
-    through slices (see :func:`rank_within`).
+    Rows without a partner at the same key and position are dropped, and so
+    are rows with a null key (they have no partner).  ``small_groups``: no key
+    has many rows, so a plain window numbers them (see :func:`rank_within`).
     """
     keys = list(keys)
-    lr = rank_within(left, keys, left_order, out=k, hot_rows=hot_rows)
-    rr = rank_within(right, keys, right_order, out=k, hot_rows=hot_rows)
+    left, right = left.dropna(subset=keys), right.dropna(subset=keys)
+    lr = rank_within(left, keys, left_order, out=k, small_groups=small_groups)
+    rr = rank_within(right, keys, right_order, out=k, small_groups=small_groups)
     return lr.join(rr, [*keys, k], "inner")

@@ -1,113 +1,64 @@
 """Row number inside a group, safe for groups of any size.
 
 ``row_number() OVER (PARTITION BY keys ORDER BY ...)`` sends a whole group to
-one task.  That is fine for ordinary groups and a straggler (or worse) when one
-key holds a large share of the data.  ``rank_within`` therefore splits the
-work in two:
-
-* keys found hot in a small sample go through a sliced path: each hot group
-  is cut into order-preserving slices at approximate quantiles of the first
-  order column, slices are numbered independently in parallel, and each slice
-  gets the row count of the slices before it added (a tiny table);
-* all other keys use the plain window.
-
-Both paths are exact; only the split between them is estimated, so a wrong
-guess costs time, never correctness.
+one task: fine for ordinary groups, a straggler (or worse) when one key holds a
+large share of the data.  ``rank_within`` therefore range-partitions on the
+full ``(keys, order)`` tuple, so that a hot group, ties in its first order
+columns and null keys included, spreads over as many partitions as its size
+asks for.  Rows are numbered inside their partition and a group that goes on
+from an earlier partition gets the count of its rows there added: one row per
+partition, the only thing that is broadcast.  No probe, no size switch: every
+group takes the same path.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_ROWS_CONF = "airlens.rank.hotGroupRows"
-DEFAULT_HOT_ROWS = 2_000_000
-MAX_SLICES = 4096
-MAX_CUT_VALUES = 1_000_000   # hot keys x slices: bounds both broadcast tables (cut points, offsets)
-SAMPLE_HITS = 200  # expected sample hits of a group at the hot threshold
+from ..session import scratch_path
+
+_POS_BITS = 33   # monotonically_increasing_id(): partition above, row number below
 
 
 def _order_cols(order: Sequence) -> list:
     return [F.col(o) if isinstance(o, str) else o for o in order]
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> tuple[DataFrame | None, int]:
-    """Keys whose group probably exceeds ``hot_rows`` rows, as a checkpointed
-    table ``(keys..., _est)``, and the number of slices to cut them into.
-
-    A key is hot when it has more than ``SAMPLE_HITS`` sampled rows, so the
-    table has at most ``sample size / SAMPLE_HITS`` (about ``count(df) /
-    hot_rows``) rows, which is what makes broadcasting it safe; the slice
-    count is lowered so that hot keys x slices stays under ``MAX_CUT_VALUES``.
-    """
-    fraction = min(1.0, SAMPLE_HITS / hot_rows)
-    sample = df.sample(withReplacement=False, fraction=fraction, seed=17) if fraction < 1.0 else df
-    est = (sample.groupBy(*keys).agg((F.count(F.lit(1)) / F.lit(fraction)).alias("_est"))
-           .where(F.col("_est") > hot_rows))
-    # common case: nothing is hot, and one small job proves it
-    top = est.orderBy(F.desc("_est")).limit(1).collect()
-    if not top:
-        return None, 0
-    # freeze the (sampled) hot set so every later use sees the same keys
-    est = est.checkpoint(eager=True)
-    n_hot = est.count()
-    slices = min(MAX_SLICES, max(2, math.ceil(2 * top[0]["_est"] / hot_rows)))
-    return est, int(max(2, min(slices, MAX_CUT_VALUES // max(1, n_hot))))
-
-
-def order_slices(df: DataFrame, keys: Sequence[str], first, slices: int, out: str = "_slice") -> DataFrame:
-    """Cut every ``keys`` group into about ``slices`` order-preserving slices
-    at approximate quantiles of ``first``: rows with a smaller ``first`` never
-    land in a later slice, and equal values share a slice.  The cut table is
-    one row per group (meant for the few hot groups), hence broadcast."""
-    first = F.col(first) if isinstance(first, str) else first
-    cuts = [i / slices for i in range(1, slices)]
-    bounds = df.groupBy(*keys).agg(F.percentile_approx(first, cuts, 10_000).alias("_cuts"))
-    # slice = number of cut points below the value: a binary search over the
-    # sorted cuts in ceil(log2(slices)) steps, one column per step
-    sliced = df.join(F.broadcast(bounds), list(keys)).withColumn(out, F.lit(0))
-    step = 1 << max(0, (slices - 1).bit_length() - 1)
-    while step:
-        nxt = F.col(out) + F.lit(step)
-        sliced = sliced.withColumn(out, F.when((nxt <= F.size("_cuts")) & (F.try_element_at("_cuts", nxt) < first),
-                                               nxt).otherwise(F.col(out)))
-        step >>= 1
-    return sliced.drop("_cuts")
-
-
 def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence, out: str = "rank",
-                hot_rows: int | None = None) -> DataFrame:
+                small_groups: bool = False) -> DataFrame:
     """``df`` plus ``out``: 1-based position of each row inside its ``keys``
-    group following ``order`` (ascending).  ``order`` should be a total order
-    within each group for a deterministic result; its first column must be
-    numeric or a timestamp (it is cut at quantiles for hot groups)."""
-    keys = list(keys)
-    order = _order_cols(order)
-    spark = df.sparkSession
-    if hot_rows is None:
-        hot_rows = int(spark.conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))
-    plain = Window.partitionBy(*keys).orderBy(*order)
-    hot, slices = hot_keys(df, keys, hot_rows)
-    if hot is None:
-        return df.withColumn(out, F.row_number().over(plain).cast("long"))
+    group following ``order``.  ``order`` should be a total order within each
+    group for a deterministic result.  Null keys form a group of their own.
 
-    tagged = df.join(F.broadcast(hot.select(*keys, F.lit(True).alias("_hot"))), keys, "left")
-    cold = tagged.where(F.col("_hot").isNull()).drop("_hot").withColumn(out, F.row_number().over(plain).cast("long"))
-    hot_rows_df = tagged.where(F.col("_hot")).drop("_hot")
-
-    sliced = order_slices(hot_rows_df, keys, order[0], slices)
-    # one shuffle on (keys, slice) feeds both the local numbering and the
-    # slice sizes; the offsets table (hot keys x slices) is derived from it
-    part = Window.partitionBy(*keys, "_slice")
-    numbered = (sliced.withColumn("_local", F.row_number().over(part.orderBy(*order)))
-                .withColumn("_n", F.count(F.lit(1)).over(part)))
-    counts = numbered.groupBy(*keys, "_slice").agg(F.max("_n").alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    hot_ranked = (numbered.drop("_n").join(F.broadcast(offsets), [*keys, "_slice"])
-                  .withColumn(out, F.col("_local") + F.col("_off"))
-                  .drop("_slice", "_local", "_off"))
-    return cold.unionByName(hot_ranked)
+    ``small_groups``: the caller states that no group is large (for example
+    readings of one sensor at one instant); a plain window then does.
+    Otherwise the sorted rows are written once below the shared checkpoint
+    folder, so that every later read sees the same partition boundaries.
+    """
+    keys, order = list(keys), _order_cols(order)
+    if small_groups:
+        return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long"))
+    spark = df.sparkSession
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, "ranked")
+    (df.repartitionByRange(width, *keys, *order).sortWithinPartitions(*keys, *order)
+       .withColumn("_pos", F.monotonically_increasing_id()).write.parquet(path))
+    rows = spark.read.parquet(path).withColumn("_pid", F.shiftright("_pos", _POS_BITS))
+
+    local = Window.partitionBy("_pid", *keys).orderBy("_pos")
+    numbered = rows.withColumn("_local", F.row_number().over(local))
+    # at most two groups of a partition go over its edge: its first and its last
+    groups = (rows.groupBy("_pid", *keys)
+                  .agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"), F.max("_pos").alias("_last")))
+    ends = rows.groupBy("_pid").agg(F.max("_pos").alias("_end"))
+    edges = (groups.join(F.broadcast(ends), "_pid")   # one row per partition
+                   .where((F.col("_first") == F.shiftleft("_pid", _POS_BITS)) | (F.col("_last") == F.col("_end"))))
+    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (edges.withColumn("_off", F.sum("_n").over(before))
+                    .where(F.col("_off").isNotNull()).select("_pid", F.col("_last").alias("_until"), "_off"))
+    joined = numbered.join(F.broadcast(offsets), "_pid", "left")   # one row per partition
+    rank = F.col("_local") + F.when(F.col("_pos") <= F.col("_until"), F.col("_off")).otherwise(F.lit(0))
+    return joined.select(*df.columns, rank.cast("long").alias(out))

@@ -9,12 +9,12 @@
   ``b += tau*sign(err)`` (the bias is a constant-1 feature).
 
   The update is sequential by definition.  ``pa_fit`` trains one global model
-  by iterative parameter mixing (McDonald et al., NAACL 2010): every partition
-  folds its rows starting from the broadcast current weights, Spark averages
-  the per-partition weights weighted by row count (the driver receives one
-  row), and the next epoch starts from the average.  With one
-  partition and one epoch it is exactly the sequential fold.
-  ``pa_fit_groups`` runs one exact sequential fold per entity.
+  by iterative parameter mixing (McDonald et al., NAACL 2010): every shard
+  (a stated expression of the row) folds its rows from the current weights,
+  Spark averages the shards' weights by row count (the driver receives one
+  row), and the next epoch starts from the average.  With one shard and one
+  epoch it is exactly the sequential fold.  ``pa_fit_groups`` runs one exact
+  sequential fold per entity, or shards and mixes every entity on request.
 
 Predictions of both models are native column expressions; nothing is
 collected per row.
@@ -22,8 +22,9 @@ collected per row.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
@@ -32,7 +33,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import FEATURES, LABELS
-from .ranking import DEFAULT_HOT_ROWS, HOT_ROWS_CONF, hot_keys, order_slices
 
 PA_C = 1.0
 PA_EPSILON = 0.1
@@ -108,136 +108,177 @@ def pa_step(w: list[float], b: float, x: Sequence[float], y: float, c: float = P
     return [wi + step * xi for wi, xi in zip(w, x)], b + step
 
 
-def _fold_batches(batches: Iterator[pd.DataFrame], features: Sequence[str], label: str,
-                  w: list[float], b: float, c: float, epsilon: float) -> tuple[list[float], float, int]:
-    n = 0
-    for pdf in batches:
-        xs = pdf[list(features)].to_numpy(dtype="float64").tolist()
-        ys = pdf[label].to_numpy(dtype="float64").tolist()
-        for x, y in zip(xs, ys):
-            w, b = pa_step(w, b, x, y, c, epsilon)
-        n += len(ys)
-    return w, b, n
+def _fold_batch(xs: np.ndarray, ys: np.ndarray, starts: np.ndarray, sizes: np.ndarray, w: np.ndarray, b: np.ndarray,
+                c: float, epsilon: float) -> None:
+    """Fold the rows of several groups into ``w`` and ``b`` (one row per group,
+    changed in place): step j of all groups at once while many have a j-th
+    row, then the few long groups one by one.  Both take the same operations
+    in the same order as :func:`pa_step`."""
+    live = np.argsort(-sizes, kind="stable")
+    j = 0
+    while len(live) >= 16:
+        at = starts[live] + j
+        x, y = xs[at], ys[at]
+        pred, sq = np.zeros(len(live)), np.zeros(len(live))
+        for i in range(xs.shape[1]):
+            pred += w[live, i] * x[:, i]
+            sq += x[:, i] * x[:, i]
+        err = y - (pred + b[live])
+        step = np.minimum(c, np.maximum(0.0, np.abs(err) - epsilon) / (sq + 1.0)) * np.where(err > 0, 1.0, -1.0)
+        hit = np.abs(err) > epsilon
+        w[live[hit]] += step[hit, None] * x[hit]
+        b[live[hit]] += step[hit]
+        j += 1
+        live = live[sizes[live] > j]
+    for g in live.tolist():
+        gw, gb = w[g].tolist(), float(b[g])
+        for at in range(int(starts[g]) + j, int(starts[g] + sizes[g])):
+            gw, gb = pa_step(gw, gb, xs[at].tolist(), float(ys[at]), c, epsilon)
+        w[g], b[g] = gw, gb
+
+
+def _fold_groups(data: DataFrame, groups: Sequence[str], order: Sequence[str], feats: list[str], label: str,
+                 c: float, epsilon: float) -> DataFrame:
+    """Sequential PA fold per ``groups`` value over rows clustered by the
+    groups and sorted by ``order``: ``(groups..., w, b, n)``.  A group starts
+    from its columns ``_w0``, ``_b0``.  Null keys form a group."""
+    groups = list(groups)
+    data = (data.select(*groups, *order, *feats, label, "_w0", "_b0").repartition(*groups)
+            .sortWithinPartitions(*groups, *order)
+            .withColumn("_key", F.to_json(F.struct(*groups)))   # one comparable key, nulls included
+            .select("_key", *groups, *feats, label, "_w0", "_b0"))
+    schema = ", ".join(f"{g} {data.schema[g].dataType.simpleString()}" for g in groups)
+
+    def fold(batches):
+        last = None   # (key, group values, w, b, n) of the group that may go on in the next batch
+
+        def emit(rows):
+            cols = {g: pd.Series([r[1][i] for r in rows], dtype=object) for i, g in enumerate(groups)}
+            cols.update({"w": [list(map(float, r[2])) for r in rows], "b": [float(r[3]) for r in rows],
+                         "n": [int(r[4]) for r in rows]})
+            return pd.DataFrame(cols)
+
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            keys = pdf["_key"].to_numpy(dtype=object)
+            first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+            sizes = np.diff(np.append(first, len(keys)))
+            xs, ys = pdf[feats].to_numpy(dtype="float64"), pdf[label].to_numpy(dtype="float64")
+            w = np.array([list(v) for v in pdf["_w0"].iloc[first]], dtype="float64").reshape(len(first), len(feats))
+            b = pdf["_b0"].iloc[first].to_numpy(dtype="float64").copy()
+            done = np.zeros(len(first), dtype=np.int64)
+            if last is not None and last[0] == keys[0]:
+                w[0], b[0], done[0] = last[2], last[3], last[4]
+            elif last is not None:
+                yield emit([last])
+            _fold_batch(xs, ys, first, sizes, w, b, c, epsilon)
+            values = list(zip(*[pdf[g].iloc[first].astype(object).where(pdf[g].iloc[first].notna(), None).tolist()
+                                for g in groups]))
+            rows = [(keys[at], values[i], w[i], b[i], done[i] + sizes[i]) for i, at in enumerate(first.tolist())]
+            if len(rows) > 1:
+                yield emit(rows[:-1])
+            last = rows[-1]
+        if last is not None:
+            yield emit([last])
+
+    return data.mapInPandas(fold, f"{schema}, w array<double>, b double, n long")
+
+
+def _mix(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Row-weighted average of shard models per ``keys`` (one model without keys)."""
+    keys = list(keys)
+
+    def mean(c):   # one shard's model stays as it is
+        return F.when(F.count(F.lit(1)) == 1, F.max(c)).otherwise(F.sum(F.col(c) * F.col("n")) / F.sum("n"))
+
+    per_i = (parts.select(*keys, "n", F.posexplode("w").alias("i", "wi"))
+             .groupBy(*keys, "i").agg(mean("wi").alias("wi")))
+    w = (per_i.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("i", "wi"))).alias("_w"))
+         .select(*keys, F.col("_w.wi").alias("w")))
+    bn = parts.groupBy(*keys).agg(mean("b").alias("b"), F.sum("n").alias("n"))
+    if not keys:
+        return w.crossJoin(bn)   # one row each
+    bn = bn.select(*[F.col(k).alias(f"_{k}") for k in keys], "b", "n")
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return w.join(bn, same).select(*keys, "w", "b", "n")
+
+
+def shard_of(columns: Sequence[str], shards: int) -> Column:
+    """The stated shard of a row: a hash of its ``columns``, whatever partition it is read in."""
+    return F.pmod(F.xxhash64(*columns), F.lit(int(shards))).cast("int")
 
 
 def pa_fit(df: DataFrame, features: Sequence[str] = FEATURES, label: str = "label", *,
-           order: Sequence[str] = (), epochs: int = 1, c: float = PA_C, epsilon: float = PA_EPSILON,
-           partitions: int | None = None) -> tuple[list[float], float, int]:
+           order: Sequence[str] = (), shard: Column | None = None, epochs: int = 1,
+           init: tuple[Sequence[float], float] | None = None, c: float = PA_C,
+           epsilon: float = PA_EPSILON) -> tuple[list[float], float, int]:
     """Global PA model by iterative parameter mixing; returns ``(w, b, n)``.
 
-    ``order`` sorts rows inside each partition (a stated, deterministic
-    update order); ``partitions`` optionally re-splits the input first.
+    Rows are dealt to shards by the expression ``shard`` (``shard_of`` makes
+    one; without it there is one shard, which is the plain sequential fold)
+    and folded per shard in the order of ``order``, so the model depends on the
+    rows, ``shard`` and ``order`` only, not on how the input is split.
+    ``init``: weights of an earlier call to go on from.
     """
     feats = list(features)
-    data = df.select(*order, *feats, label)
-    if partitions:
-        data = data.repartition(partitions)
-    if order:
-        data = data.sortWithinPartitions(*order)
-    data = data.select(*feats, label)
+    w, b, n = ([0.0] * len(feats), 0.0, 0) if init is None else (list(map(float, init[0])), float(init[1]), 0)
+    if len(w) != len(feats):
+        raise ValueError(f"init has {len(w)} weights for {len(feats)} features")
+    data = df.select(*order, *feats, label, (F.lit(0) if shard is None else shard).alias("_shard"))
     if epochs > 1:
         data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    w, b, total = [0.0] * len(feats), 0.0, 0
     try:
         for _ in range(epochs):
-            w0, b0 = list(w), b
-
-            def local(batches, w0=w0, b0=b0):
-                lw, lb, n = _fold_batches(batches, feats, label, list(w0), b0, c, epsilon)
-                yield pd.DataFrame({"w": [lw], "b": [lb], "n": [n]})
-
-            parts = (data.mapInPandas(local, "w array<double>, b double, n long").where("n > 0")
-                     .persist(StorageLevel.MEMORY_AND_DISK))   # one small row per partition
-            try:
-                total = parts.agg(F.sum("n").alias("t")).first()["t"] or 0
-                if total == 0:
-                    break
-                # row-weighted average reduced by Spark; the driver receives one row
-                share = F.col("n") / F.lit(float(total))   # exactly 1.0 for a single partition
-                row = parts.agg(
-                    F.array(*[F.sum(share * F.col("w")[i]) for i in range(len(feats))]).alias("w"),
-                    F.sum(share * F.col("b")).alias("b")).first()
-                w, b = list(row["w"]), row["b"]
+            start = data.withColumn("_w0", F.array(*[F.lit(v) for v in w])).withColumn("_b0", F.lit(b))
+            parts = _fold_groups(start, ["_shard"], order, feats, label, c, epsilon).persist(StorageLevel.MEMORY_AND_DISK)
+            try:   # one row per shard, averaged by Spark; the driver receives one row
+                row = _mix(parts, []).first()
             finally:
                 parts.unpersist()
+            if row is None or not row["n"]:
+                break
+            w, b, n = list(row["w"]), row["b"], row["n"]
     finally:
         if epochs > 1:
             data.unpersist()
-    return w, b, total
-
-
-def _fold_groups(data: DataFrame, groups: Sequence[str], order: Sequence[str], feats: list[str], label: str,
-                 c: float, epsilon: float) -> DataFrame:
-    """Sequential PA fold per ``groups`` value over rows clustered by the
-    groups and sorted by ``order``: ``(groups..., w, b, n)``."""
-    groups = list(groups)
-    data = (data.select(*groups, *order, *feats, label).repartition(*groups)
-            .sortWithinPartitions(*groups, *order).select(*groups, *feats, label))
-    schema = ", ".join(f"{g} {data.schema[g].dataType.simpleString()}" for g in groups)
-
-    def emit(key, w, b, n):
-        cols = {g: [v] for g, v in zip(groups, key)}
-        cols.update({"w": [w], "b": [b], "n": [n]})
-        return pd.DataFrame(cols)
-
-    def fold(batches):
-        cur, w, b, n = None, None, 0.0, 0
-        for pdf in batches:
-            keys = list(zip(*[pdf[g].tolist() for g in groups]))
-            xs = pdf[feats].to_numpy(dtype="float64").tolist()
-            ys = pdf[label].to_numpy(dtype="float64").tolist()
-            for key, x, y in zip(keys, xs, ys):
-                if key != cur:
-                    if cur is not None:
-                        yield emit(cur, w, b, n)
-                    cur, w, b, n = key, [0.0] * len(feats), 0.0, 0
-                w, b = pa_step(w, b, x, y, c, epsilon)
-                n += 1
-        if cur is not None:
-            yield emit(cur, w, b, n)
-
-    return data.mapInPandas(fold, f"{schema}, w array<double>, b double, n long")
+    return w, b, n
 
 
-def _mix(parts: DataFrame, entity: str) -> DataFrame:
-    """Row-weighted average of slice models per entity."""
-    per_i = (parts.select(entity, "n", F.posexplode("w").alias("i", "wi"))
-             .groupBy(entity, "i").agg((F.sum(F.col("wi") * F.col("n")) / F.sum("n")).alias("wi")))
-    w = (per_i.groupBy(entity).agg(F.sort_array(F.collect_list(F.struct("i", "wi"))).alias("_w"))
-         .select(entity, F.col("_w.wi").alias("w")))
-    bn = parts.groupBy(entity).agg((F.sum(F.col("b") * F.col("n")) / F.sum("n")).alias("b"),
-                                   F.sum("n").alias("n"))
-    return w.join(bn, entity).select(entity, "w", "b", "n")
+PA_METHODS = ("sequential", "mixed")
 
 
 def pa_fit_groups(df: DataFrame, entity: str, order: Sequence[str], features: Sequence[str] = FEATURES,
                   label: str = "label", c: float = PA_C, epsilon: float = PA_EPSILON,
-                  hot_rows: int | None = None) -> DataFrame:
+                  method: str = "sequential", shards: int = 16, init: DataFrame | None = None) -> DataFrame:
     """One PA model per entity: ``(entity, w, b, n)``.
 
-    Ordinary entities get the exact sequential fold: rows are clustered by
-    entity and sorted by ``(entity, order)`` inside each partition, and
-    ``mapInPandas`` streams the sorted partition carrying only the current
-    entity's weights (memory O(features), never a whole group).
+    ``method="sequential"`` is the exact fold of every entity's rows in the
+    order of ``order``: rows are clustered by entity, sorted, and streamed
+    carrying only open weights (memory O(features), never a whole group); an
+    entity is one task's work by definition.  ``method="mixed"`` deals the rows
+    of every entity to ``shards`` shards by a hash of the ``order`` columns,
+    folds those in parallel and averages them by rows: another algorithm, for
+    callers with huge entities.  The caller chooses; no size does.
 
-    An entity larger than ``hot_rows`` (default ``airlens.rank.hotGroupRows``,
-    found by the same sampled probe as :func:`rank_within`) would make one task
-    fold a huge group serially.  Such an entity is instead cut into
-    order-preserving slices that are folded in parallel and mixed by
-    row-weighted averaging (one epoch of parameter mixing).
+    ``init``: a weights table ``(entity, w, b)`` of an earlier call; entities
+    without a row in it start from zero.
     """
+    if method not in PA_METHODS:
+        raise ValueError(f"method must be one of {PA_METHODS}, got {method!r}")
     feats = list(features)
-    base = df.select(entity, *order, *feats, label)
-    if hot_rows is None:
-        hot_rows = int(df.sparkSession.conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))
-    hot, slices = hot_keys(base, [entity], hot_rows)
-    if hot is None:
-        return _fold_groups(base, [entity], order, feats, label, c, epsilon)
-    tagged = base.join(F.broadcast(hot.select(entity, F.lit(True).alias("_hot"))), entity, "left")
-    cold = _fold_groups(tagged.where(F.col("_hot").isNull()).drop("_hot"), [entity], order, feats, label, c, epsilon)
-    hot_df = order_slices(tagged.where(F.col("_hot")).drop("_hot"), [entity], order[0], slices)
-    parts = _fold_groups(hot_df, [entity, "_slice"], order, feats, label, c, epsilon)
-    return cold.unionByName(_mix(parts, entity))
+    data = df.select(entity, *order, *feats, label)
+    zero = F.array(*[F.lit(0.0) for _ in feats])
+    if init is None:
+        data = data.withColumn("_w0", zero).withColumn("_b0", F.lit(0.0))
+    else:
+        old = init.select(F.col(entity).alias("_entity"), F.col("w").alias("_w"), F.col("b").alias("_b"))
+        data = (data.join(old, F.col(entity).eqNullSafe(F.col("_entity")), "left")
+                    .withColumn("_w0", F.coalesce("_w", zero)).withColumn("_b0", F.coalesce("_b", F.lit(0.0))))
+    if method == "sequential":
+        return _fold_groups(data, [entity], order, feats, label, c, epsilon)
+    data = data.withColumn("_shard", shard_of(order, shards))
+    return _mix(_fold_groups(data, [entity, "_shard"], order, feats, label, c, epsilon), [entity])
 
 
 def pa_weights_frame(spark, w: Sequence[float], b: float, n: int) -> DataFrame:

@@ -188,10 +188,7 @@ def q_time_align_join(spark, sf):
 SERIES_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 
-@staged
 def _series_index(spark, sf):
-    """The events series index, built once per application (a user builds it
-    once and runs every lookup against it)."""
     ev = table(spark, sf, "events")
     return SeriesIndex(ev.select(F.col("event_type").alias("measurement"), "ts", "value"))
 
@@ -398,11 +395,8 @@ def _round_weather(df):
     return df.select(*[rnd(c, 6).alias(c) if c in MERGED_HEADER[12:18] else F.col(c) for c in df.columns])
 
 
-@staged
 def merged_frame(spark, sf):
-    """The merge job's (lazy) result over the staged files, built once per
-    application: its eager parts (weather segments, hot-key probes) are shared
-    by the queries that start from merged rows, as a user would share them."""
+    """The merge job's result over the staged files."""
     root = stage_sensor_files(spark, sf)
     return merge_files(spark, root + "/pollution", root + "/traffic", root + "/weather")
 
@@ -458,16 +452,12 @@ paw AS (SELECT user_id, arg_max(w1, rn) AS w1, arg_max(w2, rn) AS w2, arg_max(b,
         FROM fold GROUP BY user_id)"""
 
 
-@staged
 def _linear_model(spark, sf):
-    """Trained once per application and shared by the queries that use it."""
     return fit_linear(ml_frame(spark, sf), ML_FEATURES)
 
 
-@staged
 def _pa_groups(spark, sf):
-    """Per-user PA weights, folded once per application (checkpointed)."""
-    return pa_fit_groups(ml_frame(spark, sf), "user_id", ["event_id"], ML_FEATURES).checkpoint(eager=True)
+    return pa_fit_groups(ml_frame(spark, sf), "user_id", ["event_id"], ML_FEATURES)
 
 
 @register("feature_label", "SELECT sensor_id, Timestamp, " + ", ".join(f"CAST({f} AS DOUBLE) AS {f}" for f in FEATURES)
@@ -513,10 +503,18 @@ def q_pa_predict(spark, sf):
     return out.select("event_id", "label", rnd("pa_prediction").alias("pa_prediction"))
 
 
-@register("pa_fit_mixed", None)
+PA_SHARDS = 8
+
+
+@register("pa_fit_mixed", "WITH RECURSIVE " + _PA_SQL.replace(f"({_ML_SQL})", "sharded").replace("user_id", "shard").replace(
+    "sharded", f"(SELECT user_id % {PA_SHARDS} AS shard, event_id, x1, x2, label FROM ({_ML_SQL}))") + """
+SELECT round(sum(w1 * n) / sum(n), 4) AS w1, round(sum(w2 * n) / sum(n), 4) AS w2, round(sum(b * n) / sum(n), 4) AS b,
+       sum(n)::BIGINT AS n FROM paw""")
 def q_pa_fit_mixed(spark, sf):
-    w, b, n = pa_fit(ml_frame(spark, sf), ML_FEATURES, order=["event_id"], epochs=3)
-    return pa_weights_frame(spark, w, b, n)
+    w, b, n = pa_fit(ml_frame(spark, sf), ML_FEATURES, order=["event_id"], shard=F.pmod("user_id", F.lit(PA_SHARDS)))
+    out = pa_weights_frame(spark, w, b, n)
+    return out.select(rnd(F.element_at("w", 1)).alias("w1"), rnd(F.element_at("w", 2)).alias("w2"),
+                      rnd("b").alias("b"), "n")
 
 
 def _scored(spark, sf):
@@ -671,9 +669,6 @@ def q_region_profile_ingested(spark, sf):
 
 
 # --- skew: three keys, each a third of the table ----------------------------
-SKEW_HOT_ROWS = 1000   # every l_returnflag group is far above this: all take the sliced path
-
-
 @register("skewed_align", """
 WITH l AS (SELECT l_returnflag, l_orderkey AS left_order, l_linenumber AS left_line, l_partkey AS left_part,
                   row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey * 8 + l_linenumber,
@@ -695,7 +690,6 @@ def q_skewed_align(spark, sf):
             F.col("l_partkey").alias(f"{prefix}_part"))
 
     out = align_on_time(side("O", "left"), side("F", "right"), ["l_returnflag"],
-                        ["_leftp", "left_part", "_lefts"], ["_rightp", "right_part", "_rights"], k="k",
-                        hot_rows=SKEW_HOT_ROWS)
+                        ["_leftp", "left_part", "_lefts"], ["_rightp", "right_part", "_rights"], k="k")
     return out.select("l_returnflag", "k", "left_order", "left_line", "left_part",
                       "right_order", "right_line", "right_part")

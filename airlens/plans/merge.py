@@ -47,7 +47,8 @@ def merge(pollution: DataFrame, traffic: DataFrame, weather: DataFrame | SeriesI
     left = pollution.select("sensor_id", "ts", F.col("_pos").alias("_lpos"),
                             *POLLUTANTS, "latitude", "longitude")
     right = t.select("sensor_id", "ts", F.col("_pos").alias("_rpos"), "average_speed", "vehicle_count")
-    aligned = align_on_time(left, right, ["sensor_id", "ts"], ["_lpos"], ["_rpos"])
+    aligned = align_on_time(left, right, ["sensor_id", "ts"], ["_lpos"], ["_rpos"],
+                            small_groups=True)   # readings of one sensor at one instant
     index = weather if isinstance(weather, SeriesIndex) else SeriesIndex(weather, "measurement", "ts", "value")
     rows = index.attach(aligned, "ts", weather_columns)
     return assemble(rows, weather_columns)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -38,9 +40,31 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let the Python workers import this package, once per application.
+
+    Functions that run in workers refer to the package by name, so it is sent
+    along as a zip file through Spark's own file distribution.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_airlens_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    top = os.path.dirname(here)
+    fd, name = tempfile.mkstemp(prefix="airlens-", suffix=".zip")   # the driver's copy, which Spark serves to executors
+    with os.fdopen(fd, "wb") as f, zipfile.ZipFile(f, "w") as z:
+        for folder, _, files in os.walk(here):
+            for x in files:
+                if x.endswith(".py"):
+                    z.write(os.path.join(folder, x), os.path.relpath(os.path.join(folder, x), top))
+    sc.addPyFile(name)
+    sc._airlens_shipped = True
+
+
 def cluster_settings(total_cores: int, input_tb: float = 100.0) -> dict[str, str]:
     """Settings for a large cluster (pass them to ``spark-submit --conf``).
 

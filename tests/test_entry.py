@@ -13,4 +13,4 @@ def test_entry_runs(spark):
 def test_every_oracle_has_a_query():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"pa_fit_mixed"}
+    assert all(name in o for name in q if not name.startswith("op") and name != "pipeline")

@@ -79,11 +79,12 @@ def test_first_partner_file(spark):
     assert pairs == [(20, 1), (21, 1)]          # '7' does not match '007'
 
 
-@pytest.mark.parametrize("hot", [10**9, 3])
-def test_rank_within_matches_row_number(spark, hot):
-    rows = [("k1" if i % 4 else "k2", i * 7 % 23, i) for i in range(60)] + [("k3", 1, 1000)]
+@pytest.mark.parametrize("small", [True, False])
+def test_rank_within_matches_row_number(spark, small):
+    # ties in the first order column, a null key, and one key with most rows
+    rows = [(None if i % 5 == 4 else "k1" if i % 4 else "k2", i * 7 % 3, i) for i in range(400)] + [("k3", 1, 1000)]
     df = spark.createDataFrame(rows, "k string, o long, id long")
-    got = {r["id"]: r["rank"] for r in rank_within(df, ["k"], ["o", "id"], hot_rows=hot).collect()}
+    got = {r["id"]: r["rank"] for r in rank_within(df, ["k"], ["o", "id"], small_groups=small).collect()}
     w = Window.partitionBy("k").orderBy("o", "id")
     want = {r["id"]: r["rn"] for r in df.withColumn("rn", F.row_number().over(w)).collect()}
     assert got == want

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from airlens.functions.predicates import Box, Period
 from airlens.operators.align import align_on_time
 from airlens.operators.profile import profile
-from airlens.operators.ranking import HOT_ROWS_CONF
 from airlens.operators.series import SeriesIndex
 from airlens.plans.report import region_report
 from airlens.schemas import POLLUTION
@@ -51,16 +50,12 @@ def test_profile_invariant_under_repartitioning(spark):
 
 
 def test_hot_group_alignment_matches_brute_force(spark):
-    # one key holds most rows: exercised through the sliced path
+    # one key holds most rows
     left = [("hot", 1, i) for i in range(40)] + [("cold", 1, 100 + i) for i in range(3)]
     right = [("hot", 1, 1000 + i) for i in range(25)] + [("cold", 1, 2000 + i) for i in range(5)]
     ldf = spark.createDataFrame(left, "s string, t int, lp long")
     rdf = spark.createDataFrame(right, "s string, t int, rp long")
-    spark.conf.set(HOT_ROWS_CONF, "10")
-    try:
-        got = sorted((r["lp"], r["rp"]) for r in align_on_time(ldf, rdf, ["s", "t"], ["lp"], ["rp"]).collect())
-    finally:
-        spark.conf.unset(HOT_ROWS_CONF)
+    got = sorted((r["lp"], r["rp"]) for r in align_on_time(ldf, rdf, ["s", "t"], ["lp"], ["rp"]).collect())
     want = sorted(list(zip(range(40), range(1000, 1025))) + list(zip(range(100, 103), range(2000, 2003))))
     assert got == want
 
@@ -124,29 +119,11 @@ def test_uneven_points_keep_index_small_and_exact(spark):
         assert got[i] == pytest.approx(want)
 
 
-def test_series_index_with_hot_series_uses_time_slices(spark):
-    # every series is "hot": segments are numbered through timestamp quantile slices
+def test_series_index_with_one_series(spark):
     pts = spark.createDataFrame([("m", BASE + dt.timedelta(minutes=3 * i), float(i)) for i in range(200)],
                                 "measurement string, ts timestamp_ntz, value double")
-    spark.conf.set(HOT_ROWS_CONF, "10")
-    try:
-        idx = SeriesIndex(pts)
-    finally:
-        spark.conf.unset(HOT_ROWS_CONF)
+    idx = SeriesIndex(pts)
     rows = spark.createDataFrame([(1, BASE + dt.timedelta(minutes=301)), (2, BASE + dt.timedelta(minutes=3 * 150))],
                                  "id int, ts timestamp_ntz")
     got = {r["id"]: r["v"] for r in idx.lookup(rows, "ts", "m", "v").collect()}
     assert got[1] == pytest.approx(100 + 1 / 3) and got[2] == 150.0
-
-
-@pytest.mark.parametrize("slices", [2, 3, 7, 16])
-def test_binary_search_slices_equal_cut_counts(spark, slices):
-    from airlens.operators.ranking import order_slices
-    rows = [("a", float(v)) for v in [5, 1, 1, 9, 3, 3, 3, 7, 2, 8, 0, 6, 4, 4, 10, 11, 12, 1]] + [("b", None), ("b", 2.0)]
-    df = spark.createDataFrame(rows, "k string, v double")
-    out = order_slices(df, ["k"], "v", slices).collect()
-    cuts = {r["k"]: r["c"] for r in df.groupBy("k").agg(
-        F.percentile_approx("v", [i / slices for i in range(1, slices)], 10_000).alias("c")).collect()}
-    for r in out:
-        want = 0 if r["v"] is None else sum(1 for c in cuts[r["k"]] if c is not None and c < r["v"])
-        assert r["_slice"] == want
