@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airlens.llm import packing, token_counts, token_files
+from airlens.llm import chat, packing, token_counts, token_files
 from airlens.llm.common import table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,11 @@ def op1(spark, sf_dir):
     return token_files.encode_table(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=2)
 
 
+@register("op2_chat_format", chat.ORACLE)
+def op2(spark, sf_dir):
+    return chat.format_table(spark, chat.with_probe(table(spark, sf_dir, "conversations")), chat.TEMPLATE)
+
+
 @register("op3_token_counts")
 def op3(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), limit=4096)
