@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airlens.llm import chat, packing, token_counts, token_files
+from airlens.llm import chat, language, packing, token_counts, token_files
 from airlens.llm.common import table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,11 @@ def op3(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), limit=4096)
 
 
+@register("op7_language_id")
+def op7(spark, sf_dir):
+    return language.predict_table(table(spark, sf_dir, "documents"))
+
+
 @register("op8_best_fit_packing")
 def op8(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=0, capacity=2048)
