@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airlens.llm import chat, language, mixing, packing, token_counts, token_files
+from airlens.llm import chat, language, line_dedup, mixing, packing, token_counts, token_files
 from airlens.llm.common import table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,11 @@ def op3(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), limit=4096)
 
 
+@register("op4_line_dedup", line_dedup.ORACLE)
+def op4(spark, sf_dir):
+    return line_dedup.dedup_table(table(spark, sf_dir, "documents"))
+
+
 @register("op5_source_mix", mixing.ORACLE)
 def op5(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).drop("_h")
