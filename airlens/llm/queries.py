@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airlens.llm import chat, language, line_dedup, mixing, packing, token_counts, token_files
+from airlens.llm import chat, language, line_dedup, mixing, neighbours, packing, token_counts, token_files
 from airlens.llm.common import table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,8 @@ def op7(spark, sf_dir):
 @register("op8_best_fit_packing")
 def op8(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=0, capacity=2048)
+
+
+@register("op10_nearest_neighbours")
+def op10(spark, sf_dir):
+    return neighbours.search(table(spark, sf_dir, "embeddings"), k=10, every=100)
