@@ -27,7 +27,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from airlens.llm.common import slices
 
@@ -128,7 +128,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
     langs, weights = model
     shared = docs.sparkSession.sparkContext.broadcast((langs, weights))   # BINS x languages floats
     keep = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    schema = docs.select(*keep).schema.add("lang_pred", "string").add("score", "double")
+    schema = T.StructType([*docs.select(*keep).schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def predict(batches):
         langs, weights = shared.value

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airlens.llm import chat, language, line_dedup, mixing, neighbours, packing, token_counts, token_files
+from airlens.llm import chat, embedding_dedup, language, line_dedup, mixing, neighbours, packing, token_counts, token_files
 from airlens.llm.common import table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +47,11 @@ def op5(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).drop("_h")
 
 
+@register("op6_embedding_dedup")
+def op6(spark, sf_dir):
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 @register("op7_language_id")
 def op7(spark, sf_dir):
     return language.predict_table(table(spark, sf_dir, "documents"))
