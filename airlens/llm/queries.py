@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airlens.llm import chat, embedding_dedup, language, line_dedup, mixing, neighbours, packing, token_counts, token_files
+from airlens.llm import chat, embedding_dedup, language, line_dedup, mixing, neighbours, ngram_join, packing, token_counts, token_files
 from airlens.llm.common import table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,6 +62,11 @@ def op8(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=0, capacity=2048)
 
 
+@register("op9_ngram_jaccard")
+def op9(spark, sf_dir):
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), width=4, percent=85).drop("row")
+
+
 @register("op10_nearest_neighbours")
 def op10(spark, sf_dir):
     return neighbours.search(table(spark, sf_dir, "embeddings"), k=10, every=100)
