@@ -99,7 +99,7 @@ def frequent_tokens(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray
 
 
 def document_sets(docs: DataFrame, width: int, rule: Rule) -> DataFrame:
-    """(row, doc_id, n, digest, prefix) of every row of ``docs``; prefix for the longest match."""
+    """(row, doc_id, text_hash, n, digest, prefix) of every row of ``docs``; prefix for the longest match."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent_tokens(docs, width))   # FREQUENT entries
 
     def sets(batches):
@@ -118,11 +118,11 @@ def document_sets(docs: DataFrame, width: int, rule: Rule) -> DataFrame:
                 size = rule.prefix(n, MOST) * (n > 0)
                 kept = h[order][ragged(off[:-1], size)].view(np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)).astype(np.int32)), pa.array(kept))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), lists],
-                                                 names=["doc_id", "n", "digest", "prefix"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_hash"), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), lists],
+                                                 names=["doc_id", "text_hash", "n", "digest", "prefix"])
 
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        sets, "doc_id long, n long, digest binary, prefix array<long>")
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
+        sets, "doc_id long, text_hash long, n long, digest binary, prefix array<long>")
     return materialize(found.withColumn("row", F.monotonically_increasing_id()), "sets")
 
 
@@ -237,7 +237,8 @@ def remaining_pairs(rows: DataFrame, rule: Rule) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
-    """(doc_id, n_shingles, component_id, row) of every row of ``docs``."""
+    """(doc_id, n_shingles, component_id, text_hash, component) of every row of ``docs``;
+    ``component`` numbers components (null for empty sets), ``text_hash`` tells rows of one doc_id apart."""
     rule = Rule(percent)
     sets = document_sets(docs, width, rule)
     classes = materialize(sets.where("n > 0").groupBy("digest", "n").agg(F.min("row").alias("cls"), F.min("doc_id").alias("least")), "classes")
@@ -259,10 +260,33 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Da
         links, comp = merged(new)
     named = classes.select(F.col("digest").alias("_d"), "cls", "least")
     if comp is not None:
-        joined = named.join(comp, F.col("cls") == F.col("id"), "left").withColumn("comp", F.coalesce("component", "cls"))
-        lowest = joined.groupBy(F.col("comp").alias("_c")).agg(F.min("least").alias("component_id"))
-        named = joined.join(lowest, F.col("comp") == F.col("_c")).select("_d", "component_id")
+        named = named.join(comp, F.col("cls") == F.col("id"), "left").withColumn("component", F.coalesce("component", "cls"))
+        lowest = named.groupBy(F.col("component").alias("_c")).agg(F.min("least").alias("component_id"))
+        named = named.join(lowest, F.col("component") == F.col("_c")).select("_d", "component_id", "component")
     else:
-        named = named.select("_d", F.col("least").alias("component_id"))
-    return (sets.select("doc_id", "n", "digest", "row").join(named, F.when(F.col("n") > 0, F.col("digest")) == F.col("_d"), "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "row"))
+        named = named.select("_d", F.col("least").alias("component_id"), F.col("cls").alias("component"))
+    full = F.col("n") > 0
+    return (sets.select("doc_id", "text_hash", "n", "digest").join(named, F.when(full, F.col("digest")) == F.col("_d"), "left")
+            .select("doc_id", F.col("n").alias("n_shingles"), F.when(full, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+                    "text_hash", "component"))
+
+
+def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` with all their columns, of each component only the row
+    with the smallest doc_id (nulls first), then text hash. Rows with empty sets all stay."""
+    found = materialize(jaccard_components(docs, width, percent), "components")
+    first = found.where("component is not null").groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("k")).select("k.*")
+    empty = found.where("component is null").select("doc_id", "text_hash").distinct()
+    kept = materialize(first.withColumn("one", F.lit(True)).unionByName(empty.withColumn("one", F.lit(False))), "kept")
+    # rows that are the same in doc_id and text: only these have to meet to become one
+    again = found.where("component is not null").groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    keyed = docs.withColumn("_h", F.xxhash64("text"))
+    keys = kept.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_k"), "one")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_k"))
+    rows = keyed.join(_hint(keys), same)
+    again = materialize(again.select(F.col("doc_id").alias("_rid"), F.col("text_hash").alias("_rh")), "repeated")
+    if not again.isEmpty():
+        repeated = F.col("doc_id").cast("long").eqNullSafe(F.col("_rid")) & (F.col("_h") == F.col("_rh"))
+        single = rows.join(_hint(again), repeated, "left_anti")
+        rows = single.unionByName(rows.join(_hint(again), repeated, "left_semi").dropDuplicates(["doc_id", "_h"]))
+    return rows.select(*docs.columns)

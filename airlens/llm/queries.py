@@ -64,7 +64,7 @@ def op8(spark, sf_dir):
 
 @register("op9_ngram_jaccard")
 def op9(spark, sf_dir):
-    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), width=4, percent=85).drop("row")
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), width=4, percent=85).drop("text_hash", "component")
 
 
 @register("op10_nearest_neighbours")
