@@ -32,17 +32,21 @@ BLOCK, RESOLUTION = 16, 1000
 
 
 def quantize(shares: dict[str, float], resolution: int) -> dict[str, int]:
-    """Whole numbers that add up to ``resolution``, one at least for each source, by largest remainder."""
+    """Whole numbers that add up to ``resolution``, by largest remainder; a source
+    that would get none gets one from the largest."""
     if len(shares) > resolution:
         raise ValueError(f"{len(shares)} sources need a resolution above {resolution}")
     total = sum(shares.values())
     if any(v < 0 for v in shares.values()) or total <= 0:
         raise ValueError("weights must not be negative and must not all be zero")
-    spare = resolution - len(shares)
-    exact = {s: v / total * spare for s, v in shares.items()}
-    parts = {s: 1 + int(v) for s, v in exact.items()}
-    for s in sorted(shares, key=lambda s: (int(exact[s]) - exact[s], s))[:resolution - sum(parts.values())]:
+    exact = {s: v / total * resolution for s, v in shares.items()}
+    parts = {s: int(v + 1e-9) for s, v in exact.items()}
+    for s in sorted(shares, key=lambda s: (parts[s] - exact[s], s))[:resolution - sum(parts.values())]:
         parts[s] += 1
+    for s in sorted(shares):
+        if not parts[s]:
+            parts[max(sorted(shares), key=lambda x: parts[x])] -= 1
+            parts[s] = 1
     return parts
 
 
@@ -121,10 +125,10 @@ def mix_documents(docs: DataFrame, weights: dict[str, float] | None = None, bloc
 
 ORACLE = f"""
 WITH RECURSIVE n AS (SELECT coalesce(source, '') AS source, count(*) AS n FROM documents GROUP BY 1),
-share AS (SELECT source, n, sqrt(n) / sum(sqrt(n)) OVER () * ({RESOLUTION} - count(*) OVER ()) AS exact FROM n),
-floors AS (SELECT source, n, exact, floor(exact) AS low, {RESOLUTION} - count(*) OVER () - sum(floor(exact)) OVER () AS spare,
-                  row_number() OVER (ORDER BY floor(exact) - exact, source) AS rn FROM share),
-parts AS (SELECT source, n, (1 + low + CASE WHEN rn <= spare THEN 1 ELSE 0 END)::BIGINT AS p FROM floors),
+share AS (SELECT source, n, sqrt(n) / sum(sqrt(n)) OVER () * {RESOLUTION} AS exact FROM n),
+floors AS (SELECT source, n, exact, floor(exact + 1e-9) AS low, {RESOLUTION} - sum(floor(exact + 1e-9)) OVER () AS spare,
+                  row_number() OVER (ORDER BY floor(exact + 1e-9) - exact, source) AS rn FROM share),
+parts AS (SELECT source, n, (low + CASE WHEN rn <= spare THEN 1 ELSE 0 END)::BIGINT AS p FROM floors),
 lists AS (SELECT list(source ORDER BY source) AS names, list(p ORDER BY source) AS ps FROM parts),
 edf AS (
   SELECT 0::BIGINT AS t, NULL::VARCHAR AS source, NULL::BIGINT AS k, names, ps, list_transform(ps, lambda x: 0::BIGINT) AS done FROM lists

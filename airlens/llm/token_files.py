@@ -1,7 +1,7 @@
 """Operator 1: token ids in compressed files with short-document access.
 
 ``write_tokens`` encodes every document, appends an end id and writes shards in
-ascending (doc_id, text) order: a Parquet folder whose rows are shards of
+ascending doc_id order: a Parquet folder whose rows are shards of
 about ``shard_bytes`` of raw ids. A shard holds one zstandard frame per document
 (so one document is read without the others), the frames' end offsets, and
 the hash of the dictionary they need; the dictionary itself, trained on
@@ -15,7 +15,8 @@ the shards before it in its partition (kept in each shard) and of the
 documents before it in its shard.
 
 Defined cases: null or empty text gives the end id alone; rows with a null
-doc_id come first; repeated doc_ids are written once per row, ordered by text;
+doc_id come first; repeated doc_ids are written once per row, ordered by a hash
+of the text;
 other columns are ignored; an empty table gives empty files.
 """
 
@@ -120,7 +121,7 @@ def write_tokens(docs: DataFrame, out: str, path: str, end_id: int, shard_bytes:
 
     key = [F.col("doc_id"), F.xxhash64("text")]   # rows of one repeated doc_id can be told apart, too
     (docs.select("doc_id", F.col("text"))
-         .repartitionByRange(width(spark), *key).sortWithinPartitions("doc_id", "text")
+         .repartitionByRange(width(spark), *key).sortWithinPartitions(*key)
          .mapInArrow(encode, SHARD_SCHEMA).write.parquet(f"{out}/shards"))
     return out
 
