@@ -1,6 +1,7 @@
 r"""Operator 4 [native]: line dedup by a deletion-neighbourhood join.
 
-Lines are compared as sequences of lower-cased words. A line of at least
+Lines are compared lower-cased and trimmed, as sequences of the words between
+single blanks (two blanks in a row enclose an empty word). A line of at least
 ``min_words`` words goes if an earlier line (by doc_id, text hash, line number)
 is the same, and a line of at least ``near_words`` words also if an earlier one
 is within one word edit (a word replaced, inserted or left out). Two lines are
@@ -50,43 +51,44 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def words_of(line: Column) -> Column:
-    return F.filter(F.split(F.lower(line), r"[ \t\r\f\x0B]+"), lambda w: w != "")
-
-
 def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("doc_hash"), "text")
 
 
-def _lines(keyed: DataFrame, *more: Column) -> DataFrame:
-    """(doc_id, doc_hash, line_no, line) and ``more`` of every line."""
-    return keyed.select("doc_id", "doc_hash", *more, F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+def _lines(keyed: DataFrame) -> DataFrame:
+    """(doc_id, doc_hash, line_no, line) of every line, lower-cased and trimmed."""
+    lines = keyed.select("doc_id", "doc_hash", F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
+    return lines.select("doc_id", "doc_hash", "line_no", F.lower(F.trim("raw")).alias("line"))
+
+
+def _line_key() -> Column:
+    return F.struct(F.xxhash64("line").alias("a"), F.xxhash64(F.lit(1), "line").alias("b"))
 
 
-def _line_key(words: Column) -> Column:
-    return F.struct(F.xxhash64(words).alias("a"), F.xxhash64(F.lit(1), words).alias("b"))
+def _words() -> Column:
+    """The number of words: one more than blanks."""
+    return F.octet_length("line") - F.octet_length(F.replace(F.col("line"), F.lit(" "), F.lit(""))) + 1
 
 
-def _halves(words: Column, n: Column) -> Column:
+def _halves() -> Column:
     """Keys that two lines within one edit have in common: for the line's own
     length and the one below (a longer partner's view), the first and the second half."""
-    def pair(length: Column, side: int, half: Column) -> Column:
-        return F.xxhash64(length, F.lit(side), half)
+    def pair(length: Column) -> list[Column]:
+        first = F.floor(length / 2).cast("int")
+        return [F.xxhash64(length, F.lit(side), F.call_function("substring_index", F.col("line"), F.lit(" "), count))
+                for side, count in ((0, first), (1, first - length))]
 
-    first, less = F.floor(n / 2).cast("int"), F.floor((n - 1) / 2).cast("int")
-    return F.array(
-        pair(n, 0, F.slice(words, 1, first)), pair(n, 1, F.slice(words, first + 1, n - first)),
-        pair(n - 1, 0, F.slice(words, 1, less)), pair(n - 1, 1, F.slice(words, less + 2, n - less - 1)))
+    return F.array(*pair(F.col("n")), *pair(F.col("n") - 1))
 
 
 def distinct_lines(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
-    """One row per different line of at least ``min_words`` words: key, first place, copies, n, halves."""
-    lines = (_lines(_keyed(docs)).withColumn("words", words_of(F.col("line"))).withColumn("n", F.size("words"))
-             .where(F.col("n") >= min_words))
-    rows = lines.select(_line_key(F.col("words")).alias("key"), F.struct("doc_id", "doc_hash", "line_no").alias("place"), "n",
-                        F.when(F.col("n") >= near_words, _halves(F.col("words"), F.col("n"))).alias("halves"))
-    return rows.groupBy("key").agg(F.min("place").alias("place"), F.count(F.lit(1)).alias("copies"),
-                                   F.first("n").alias("n"), F.first("halves").alias("halves"))
+    """One row per different line of at least ``min_words`` words: id, key, first place, copies, n, halves."""
+    lines = _lines(_keyed(docs)).withColumn("n", _words()).where(F.col("n") >= min_words)
+    rows = lines.select(_line_key().alias("key"), F.struct("doc_id", "doc_hash", "line_no").alias("place"), "n",
+                        F.when(F.col("n") >= near_words, _halves()).alias("halves"))
+    merged = rows.groupBy("key").agg(F.min("place").alias("place"), F.count(F.lit(1)).alias("copies"),
+                                     F.first("n").alias("n"), F.first("halves").alias("halves"))
+    return materialize(merged.withColumn("id", F.monotonically_increasing_id()), "distinct-lines")
 
 
 def _after_prefix(a: Column, b: Column) -> Column:
@@ -107,69 +109,63 @@ def within_one_edit(a: Column, b: Column, at: Column) -> Column:
 
 
 def near_pairs(docs: DataFrame, distinct: DataFrame) -> DataFrame:
-    """(key, earlier) of lines and an earlier line within one edit (the lines themselves differ)."""
-    exploded = distinct.where("halves is not null").select("key", "place", "n", F.explode(F.array_distinct("halves")).alias("half"))
-    shared = exploded.groupBy("half").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("half")
-    wanted = small(exploded.join(shared, "half", "left_semi").select("key", "place", "n").distinct())
+    """(id, earlier) of lines and an earlier line within one edit (the lines themselves differ)."""
+    exploded = distinct.where("halves is not null").select("id", F.explode(F.array_distinct("halves")).alias("half"))
+    shared = small(exploded.groupBy("half").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("half"))
+    ids = small(exploded.join(shared, "half", "left_semi").select("id").distinct())
+    wanted = small(distinct.join(ids, "id", "left_semi").select("id", "place", "n"))
 
     # the words of these lines, from the documents that hold their first places
-    owners = wanted.select(F.col("place.doc_id").alias("_id"), F.col("place.doc_hash").alias("_hash")).distinct()
-    holding = _keyed(docs).join(F.broadcast(owners) if wanted.count() <= BROADCAST_ROWS else owners,
-                         F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("doc_hash") == F.col("_hash")), "left_semi")
-    here = F.struct("doc_id", "doc_hash", "line_no")
-    lines = _lines(holding).withColumn("words", words_of(F.col("line"))).where(F.size("words") > 0)
-    lines = lines.select(_line_key(F.col("words")).alias("key"), here.alias("at"), "words")
-    wanted_at = wanted.select(F.col("key").alias("_key"), "place", "n")
-    words = materialize(
-        lines.join(F.broadcast(wanted_at) if wanted.count() <= BROADCAST_ROWS else wanted_at,
-                   (F.col("key") == F.col("_key")) & F.col("at").eqNullSafe(F.col("place")))
-             .select("key", "place", "n", "words").dropDuplicates(["key"]), "near-words")
+    owners = small(wanted.select(F.col("place.doc_id").alias("_id"), F.col("place.doc_hash").alias("_hash")).distinct())
+    holding = _keyed(docs).join(owners, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("doc_hash") == F.col("_hash")), "left_semi")
+    at = F.struct("doc_id", "doc_hash", "line_no")
+    words = materialize(_lines(holding).select(at.alias("at"), "line").join(wanted, F.col("at").eqNullSafe(F.col("place")))
+                        .select("id", "place", "n", F.split("line", " ").alias("words")).dropDuplicates(["id"]), "near-words")
 
     # every variant's hash in linear time: words before the gap at their own places, words after it one place down
-    each = words.select("key", "place", "n", F.posexplode("words").alias("i", "word")).select(
-        "key", "place", "n", "i", F.xxhash64("word", "i").alias("own"), F.xxhash64("word", F.col("i") - 1).alias("down"))
-    line = Window.partitionBy("key")
+    each = words.select("id", "place", "n", F.posexplode("words").alias("i", "word")).select(
+        "id", "place", "n", "i", F.xxhash64("word", "i").alias("own"), F.xxhash64("word", F.col("i") - 1).alias("down"))
+    line = Window.partitionBy("id")
     upto = line.orderBy("i")
     variants = each.select(
-        "key", "place", "n", "i",
+        "id", "place", "n", "i",
         F.coalesce(F.bit_xor("own").over(upto.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
         .bitwiseXOR(F.bit_xor("down").over(line))
         .bitwiseXOR(F.bit_xor("down").over(upto.rowsBetween(Window.unboundedPreceding, 0))).alias("variant"))
     variants = materialize(variants, "variants")
-    whole = each.groupBy("key", "place", "n").agg(F.bit_xor("own").alias("whole"))
+    whole = each.groupBy("id", "place", "n").agg(F.bit_xor("own").alias("whole"))
 
     # one replacement apart: the same variant with the gap at the same place
     group = ["n", "i", "variant"]
-    first = variants.groupBy(*group).agg(F.min(F.struct("place", "key")).alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    replaced = (variants.join(first.select(*group, "first"), group).where(F.col("key") != F.col("first.key"))
-                .select("key", F.col("first.key").alias("earlier")))
+    first = variants.groupBy(*group).agg(F.min(F.struct("place", "id")).alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1")
+    replaced = (variants.join(first.select(*group, "first"), group).where(F.col("id") != F.col("first.id"))
+                .select("id", F.col("first.id").alias("earlier")))
     # one insertion apart: a line that is the variant of a longer one
-    longer = variants.select(F.col("key").alias("long_key"), F.col("place").alias("long_place"), (F.col("n") - 1).alias("n"), "variant").distinct()
-    shorter = whole.select(F.col("key").alias("short_key"), F.col("place").alias("short_place"), "n", F.col("whole").alias("variant"))
+    longer = variants.select(F.col("id").alias("long_id"), F.col("place").alias("long_place"), (F.col("n") - 1).alias("n"), "variant").distinct()
+    shorter = whole.select(F.col("id").alias("short_id"), F.col("place").alias("short_place"), "n", F.col("whole").alias("variant"))
     both = longer.join(shorter, ["n", "variant"])
-    inserted = both.where(F.col("short_place") < F.col("long_place")).select(F.col("long_key").alias("key"), F.col("short_key").alias("earlier"))
-    left_out = (both.where(F.col("long_place") < F.col("short_place")).groupBy("short_key")
-                .agg(F.min(F.struct("long_place", "long_key")).alias("first")).select(F.col("short_key").alias("key"), F.col("first.long_key").alias("earlier")))
+    inserted = both.where(F.col("short_place") < F.col("long_place")).select(F.col("long_id").alias("id"), F.col("short_id").alias("earlier"))
+    left_out = (both.where(F.col("long_place") < F.col("short_place")).groupBy("short_id")
+                .agg(F.min(F.struct("long_place", "long_id")).alias("first")).select(F.col("short_id").alias("id"), F.col("first.long_id").alias("earlier")))
     pairs = replaced.unionByName(inserted).unionByName(left_out).distinct()
 
-    own = words.select(F.col("key").alias("_a"), F.col("words").alias("wa"))
-    other = words.select(F.col("key").alias("_b"), F.col("words").alias("wb"))
-    checked = (pairs.join(own, F.col("key") == F.col("_a")).join(other, F.col("earlier") == F.col("_b"))
+    own = words.select(F.col("id").alias("_a"), F.col("words").alias("wa"))
+    other = words.select(F.col("id").alias("_b"), F.col("words").alias("wb"))
+    checked = (pairs.join(own, F.col("id") == F.col("_a")).join(other, F.col("earlier") == F.col("_b"))
                .withColumn("differ", _after_prefix(F.col("wa"), F.col("wb")))
                .where(within_one_edit(F.col("wa"), F.col("wb"), F.col("differ"))))
-    return checked.select("key", "earlier")
+    return checked.select("id", "earlier")
 
 
 def dropped_lines(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
     """(doc_id, doc_hash, lines) of documents that lose lines; ``lines`` are their numbers from 0."""
-    distinct = materialize(distinct_lines(docs, min_words, near_words), "distinct-lines")
-    near = near_pairs(docs, distinct).select("key").distinct()
-    gone = near.select("key", F.lit(None).cast(distinct.schema["place"].dataType).alias("place"))
-    again = distinct.where("copies > 1").join(near, "key", "left_anti").select("key", "place")
-    rule = small(gone.unionByName(again)).withColumnRenamed("key", "_key")
-    lines = (_lines(_keyed(docs)).withColumn("words", words_of(F.col("line"))).where(F.size("words") >= min_words)
-             .select("doc_id", "doc_hash", "line_no", _line_key(F.col("words")).alias("key")))
-    # all copies of a near line go; of a repeated line all but the first
+    distinct = distinct_lines(docs, min_words, near_words)
+    near = near_pairs(docs, distinct).select("id").distinct()
+    # a line near an earlier one goes wherever it stands, a repeated one everywhere but at its first place
+    marked = distinct.join(small(near.withColumnRenamed("id", "_near")), F.col("id") == F.col("_near"), "left")
+    rule = small(marked.where("_near is not null or copies > 1")
+                 .select(F.col("key").alias("_key"), F.when(F.col("_near").isNull(), F.col("place")).alias("place")))
+    lines = _lines(_keyed(docs)).select("doc_id", "doc_hash", "line_no", _line_key().alias("key"))
     hits = (lines.join(rule, F.col("key") == F.col("_key"))
             .where(F.col("place").isNull() | ~F.struct("doc_id", "doc_hash", "line_no").eqNullSafe(F.col("place"))))
     return hits.groupBy("doc_id", "doc_hash").agg(F.collect_set("line_no").alias("lines"))
@@ -185,7 +181,8 @@ def dedup_documents(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
     joined = docs.join(drop, same, "left")
     return joined.select(*[text.alias("text") if c == "text" else F.col(c) for c in docs.columns],
-                         F.when(F.col("text").isNull(), 0).otherwise(F.size(all_lines)).cast("long").alias("n_lines"),
+                         F.coalesce(F.octet_length("text") - F.octet_length(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) + 1,
+                                    F.lit(0)).cast("long").alias("n_lines"),
                          F.coalesce(F.size("_drop"), F.lit(0)).cast("long").alias("n_dropped"))
 
 
@@ -195,7 +192,7 @@ def dedup_table(docs: DataFrame) -> DataFrame:
 
 ORACLE = rf"""
 WITH lines AS (
-  SELECT doc_id, line, i - 1 AS line_no, list_filter(string_split_regex(lower(line), '[ \t\r\f\x0B]+'), lambda w: w <> '') AS w
+  SELECT doc_id, line, i - 1 AS line_no, string_split(lower(trim(line)), ' ') AS w
   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)),
 d AS (SELECT w, len(w) AS n, min((doc_id, line_no)) AS place FROM lines WHERE len(w) >= {MIN_WORDS} GROUP BY w),
 v AS (SELECT w, n, place, i, hash(w[1:i - 1] || w[i + 1:]) AS v, len(w) - 1 AS vn
