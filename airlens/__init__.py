@@ -18,7 +18,7 @@ from .plans.merge import merge, merge_files, write_merged
 from .plans.report import region_readings, region_report, report_lines
 from .plans.train import load_models, train, train_files
 from .session import build_session, cluster_settings, ensure_checkpoint_dir
-from .sinks.results import compact_block, create_result_table, drop_result_table, latest_results, read_results
+from .sinks.results import create_result_table, drop_result_table, latest_results, read_results
 from .sources.records import read_merged, read_pollution, read_records, read_traffic
 from .sources.weather import read_weather
 from .streaming.replay import replay
@@ -27,7 +27,7 @@ from .streaming.score import stream_score
 from .streaming.sources import decode, file_lines, topic_lines
 
 __all__ = [
-    "align_on_time", "Box", "build_session", "cluster_settings", "compact_block", "compare", "comparison_lines",
+    "align_on_time", "Box", "build_session", "cluster_settings", "compare", "comparison_lines",
     "create_result_table", "decode", "drop_result_table", "ensure_checkpoint_dir", "feature_label",
     "file_lines", "first_group", "fit_linear", "ingest_readings", "latest_results", "load_linear",
     "load_models", "load_pa", "merge", "merge_files", "pa_fit", "pa_fit_groups", "pair_first", "Period",

@@ -39,7 +39,8 @@ def pair_first(left: DataFrame, right: DataFrame, entity: str | Sequence[str], g
 
 
 def align_on_time(left: DataFrame, right: DataFrame, keys: Sequence[str], left_order: Sequence,
-                  right_order: Sequence, k: str = "_k", small_groups: bool = False) -> DataFrame:
+                  right_order: Sequence, k: str = "_k", small_groups: bool = False,
+                  left_group: Sequence[str] = ()) -> DataFrame:
     """Join ``left`` and ``right`` on ``keys`` pairing duplicates by position.
 
     ``left_order`` / ``right_order`` state the order of duplicates on each side
@@ -47,9 +48,11 @@ def align_on_time(left: DataFrame, right: DataFrame, keys: Sequence[str], left_o
     Rows without a partner at the same key and position are dropped, and so
     are rows with a null key (they have no partner).  ``small_groups``: no key
     has many rows, so a plain window numbers them (see :func:`rank_within`).
+    ``left_group``: columns that split the left side into series (files) of
+    their own, each of which is aligned with the whole right side.
     """
     keys = list(keys)
     left, right = left.dropna(subset=keys), right.dropna(subset=keys)
-    lr = rank_within(left, keys, left_order, out=k, small_groups=small_groups)
+    lr = rank_within(left, [*keys, *left_group], left_order, out=k, small_groups=small_groups)
     rr = rank_within(right, keys, right_order, out=k, small_groups=small_groups)
     return lr.join(rr, [*keys, k], "inner")

@@ -335,12 +335,13 @@ def compare(scored: DataFrame, label: str = "label",
 
 
 def comparison_lines(scored: DataFrame, label: str = "label",
-                     predictions: Sequence[str] = ("pa_prediction", "linear_prediction")) -> DataFrame:
+                     predictions: Sequence[str] = ("pa_prediction", "linear_prediction"),
+                     keep: Sequence[str] = ()) -> DataFrame:
     """Per-row text ``Real: %10f<TAB>PA: %10f<TAB>Linear: %10f`` (a column
     ``line``; rows are rendered by the executors, nothing is collected)."""
     names = {"pa_prediction": "PA", "linear_prediction": "Linear"}
     fmt = "\t".join(["Real: %10f"] + [f"{names.get(p, p)}: %10f" for p in predictions])
-    return scored.select(F.format_string(fmt, F.col(label), *[F.col(p) for p in predictions]).alias("line"))
+    return scored.select(*keep, F.format_string(fmt, F.col(label), *[F.col(p) for p in predictions]).alias("line"))
 
 
 def rmse_lines(summary: DataFrame, predictions: Sequence[str] = ("pa_prediction", "linear_prediction"),

@@ -84,8 +84,6 @@ class SeriesIndex:
         rows = (self.seg.groupBy(series)
                 .agg(F.min("s_ts").alias("first_ts"), F.max("s_ts").alias("last_ts"),
                      F.count(F.lit(1)).alias("n"),
-                     F.min_by("s_first", "s_ts").alias("first_v"),
-                     F.max_by("s_last", "s_ts").alias("last_v"),
                      F.min(micros_between("s_ts", "e_ts")).alias("min_len"))
                 .collect())
         self.bounds = {r[series]: r for r in rows}

@@ -22,9 +22,7 @@ from ..functions.columns import weekday_flags
 from ..functions.predicates import Box, Period
 from ..operators.align import align_on_time, pair_first
 from ..operators.profile import profile
-from ..operators.regression import (compare, feature_label, fit_linear, linear_coefficients, load_linear, load_pa,
-                                    pa_fit, pa_fit_groups, pa_weights_frame, predict_linear, predict_pa, save_linear,
-                                    save_pa)
+from ..operators.regression import (compare, comparison_lines, feature_label, fit_linear, linear_coefficients, load_linear, load_pa, pa_fit, pa_fit_groups, pa_weights_frame, predict_linear, predict_pa, rmse_lines, save_linear, save_pa)
 from ..operators.series import SeriesIndex
 from ..schemas import FEATURES, ISO_TS_FORMAT, MERGED_HEADER, POLLUTION_TS_FORMAT, WEEKDAY_COLUMNS, Layout
 from ..session import scratch_path
@@ -133,16 +131,27 @@ def q_profile_by_entity(spark, sf):
     return _rounded_profile(profile(li, LI_ATTRS, group_by=["l_returnflag"]))
 
 
-@register("report_lines", f"""
-WITH p AS ({_profile_sql(_BOX_SQL, digits=None)})
-SELECT DISTINCT NULL::VARCHAR AS attribute, 'count' AS kind, 'Total number of elements: ' || elements || '.' AS line FROM p
-UNION ALL SELECT attribute, 'range', attribute || ' range: [' || printf('%10f', min) || ', ' || printf('%10f', max) || '].' FROM p
-UNION ALL SELECT attribute, 'mean', attribute || ' mean: ' || printf('%10f', mean) || '.' FROM p
-UNION ALL SELECT attribute, 'std', attribute || ' standard deviation: ' || printf('%10f', std) || '.' FROM p
-""")
+def _lines_sql(where: str) -> str:
+    return f"""
+WITH p AS ({_profile_sql(where)})
+SELECT NULL::VARCHAR AS attribute, 'count' AS kind, 'Total number of elements: ' || coalesce(max(elements), 0) || '.' AS line FROM p
+UNION ALL SELECT NULL, 'empty', 'There are no elements so no further analysis can be made.' FROM p HAVING count(*) = 0
+UNION ALL SELECT attribute, 'range', attribute || ' range: [' || min || ', ' || max || '].' FROM p
+UNION ALL SELECT attribute, 'mean', attribute || ' mean: ' || mean || '.' FROM p
+UNION ALL SELECT attribute, 'std', attribute || ' standard deviation: ' || std || '.' FROM p"""
+
+
+@register("report_lines", _lines_sql(_BOX_SQL))
 def q_report_lines(spark, sf):
+    """Printed report; numbers rounded, as sums in another order differ in the last digits."""
+    li = table(spark, sf, "lineitem")
+    return report_lines(_rounded_profile(region_report(li, LI_BOX, LI_PERIOD, attributes=LI_ATTRS, **LI_GEO)))
+
+
+@register("report_lines_empty", _lines_sql(_BOX_SQL.replace("0.02 AND 0.06", "0.5 AND 0.6")))
+def q_report_lines_empty(spark, sf):
     li = table(spark, sf, "lineitem")
-    return report_lines(region_report(li, LI_BOX, LI_PERIOD, attributes=LI_ATTRS, **LI_GEO))
+    return report_lines(_rounded_profile(region_report(li, EMPTY_BOX, LI_PERIOD, attributes=LI_ATTRS, **LI_GEO)))
 
 
 # --- pairing and time alignment --------------------------------------------
@@ -326,18 +335,19 @@ POLLUTION_HEADER = "ozone,particulate_matter,carbon_monoxide,sulfur_dioxide,nitr
 
 
 @staged
-def stage_sensor_files(spark, sf) -> str:
-    """pollution<user>.csv from clicks, traffic<user>.csv from views (day
+def stage_sensor_files(spark, sf, parts: int = 1) -> str:
+    """pollution<user>.csv (or ``parts`` files p<i>_<user>.csv) from clicks, traffic<user>.csv from views (day
     resolution, so a user has duplicate times), and <measurement>.txt JSON
     lines from the event series (values below 1 written as missing)."""
     ev = table(spark, sf, "events").withColumn("k", F.get_json_object("props", "$.k").cast("double"))
     day = F.date_trunc("day", "ts").cast("timestamp_ntz")
     root = scratch_path(spark, "sensors")
     clicks = ev.where(F.col("event_type") == "click")
+    ident = F.col("user_id") if parts == 1 else F.concat(F.lit("p"), F.col("event_id") % parts, F.lit("_"), F.col("user_id"))
     stage_named_files(spark, clicks,
                       [F.col("value"), F.col("k"), F.col("event_id"), F.col("user_id"), F.hour("ts"),
                        F.col("k"), F.col("value"), F.date_format(day, POLLUTION_TS_FORMAT)],
-                      POLLUTION_HEADER, "event_id", F.col("user_id"), "pollution", "pollution",
+                      POLLUTION_HEADER, "event_id", ident, "pollution", "pollution",
                       root=root + "/pollution")
     views = ev.where(F.col("event_type") == "view")
     stage_named_files(spark, views,
@@ -358,7 +368,7 @@ def stage_sensor_files(spark, sf) -> str:
     return root
 
 
-def _merged_sql() -> str:
+def _merged_sql(parts: int = 1) -> str:
     def interp(kind):
         pts = (f"(SELECT date_trunc('second', ts) AS pt, min(value) AS pf, max(value) AS pl FROM ev "
                f"WHERE event_type = '{kind}' AND value >= 1 GROUP BY 1)")
@@ -366,19 +376,19 @@ def _merged_sql() -> str:
         last = f"(SELECT pl FROM {pts} ORDER BY pt DESC LIMIT 1)"
         c1 = "(date_diff('microsecond', m.t, f.pt) / 1000000.0)"
         c2 = "(date_diff('microsecond', b.pt, m.t) / 1000000.0)"
-        return (f"SELECT m.sensor_id, m.t, m.rk, round(CASE WHEN b.pt IS NULL THEN {first} "
+        return (f"SELECT m.sensor_id, m.t, m.part, m.rk, round(CASE WHEN b.pt IS NULL THEN {first} "
                 f"WHEN f.pt IS NULL THEN {last} WHEN b.pt = m.t THEN b.pl "
                 f"ELSE ({c1} * b.pl + {c2} * f.pf) / ({c1} + {c2}) END, 6) AS v "
                 f"FROM m ASOF LEFT JOIN {pts} b ON m.t >= b.pt ASOF LEFT JOIN {pts} f ON m.t <= f.pt")
     wcols = dict(zip(WEATHER_STANDIN, MERGED_HEADER[12:18]))
     ctes = ",\n".join(f"w_{m} AS ({interp(e)})" for m, e in WEATHER_STANDIN.items())
-    joins = " ".join(f"JOIN w_{m} USING (sensor_id, t, rk)" for m in WEATHER_STANDIN)
+    joins = " ".join(f"JOIN w_{m} USING (sensor_id, t, part, rk)" for m in WEATHER_STANDIN)
     flags = ", ".join(f"CAST(isodow(t) = {i + 1} AS INTEGER) AS {n}" for i, n in enumerate(WEEKDAY_COLUMNS))
     return f"""
 WITH ev AS (SELECT *, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k, date_trunc('day', ts) AS d FROM events),
 p AS (SELECT CAST(user_id AS VARCHAR) AS sensor_id, d AS t, value AS lat, k AS lon, value AS o3, k AS pm,
              CAST(event_id AS DOUBLE) AS co, CAST(user_id AS DOUBLE) AS so2, CAST(hour(ts) AS DOUBLE) AS no2,
-             row_number() OVER (PARTITION BY user_id, d ORDER BY event_id) AS rk
+             event_id % {parts} AS part, row_number() OVER (PARTITION BY user_id, d, event_id % {parts} ORDER BY event_id) AS rk
       FROM ev WHERE event_type = 'click'),
 tr AS (SELECT CAST(user_id AS VARCHAR) AS sensor_id, d AS t, value AS speed, CAST(CAST(k AS INTEGER) AS DOUBLE) AS cars,
               row_number() OVER (PARTITION BY user_id, d ORDER BY event_id) AS rk
@@ -406,6 +416,20 @@ def q_merged_rows(spark, sf):
     return _round_weather(merged_frame(spark, sf))
 
 
+@register("merged_multi_file", _merged_sql(parts=2))
+def q_merged_multi_file(spark, sf):
+    """Two pollution files per sensor: each is paired with the sensor's traffic file."""
+    root = stage_sensor_files(spark, sf, 2)
+    return _round_weather(merge_files(spark, root + "/pollution", root + "/traffic", root + "/weather"))
+
+
+@register("merged_parquet", _merged_sql())
+def q_merged_parquet(spark, sf):
+    out = scratch_path(spark, "merged-parquet")
+    write_merged(merged_frame(spark, sf), out, format="parquet")
+    return _round_weather(read_merged(spark, out, format="parquet"))
+
+
 @register("merged_roundtrip", _merged_sql())
 def q_merged_roundtrip(spark, sf):
     merged = merged_frame(spark, sf)
@@ -532,6 +556,25 @@ def q_model_compare(spark, sf):
                                      rnd("linear_prediction").alias("linear_prediction"))
 
 
+@register("comparison_lines", f"""WITH RECURSIVE {_OLS_SQL}, {_PA_SQL}
+SELECT d.event_id, 'Real: ' || printf('%10f', d.label) || chr(9) || 'PA: ' || printf('%10f', round((paw.w1 * d.x1 + paw.w2 * d.x2) + paw.b, 4))
+       || chr(9) || 'Linear: ' || printf('%10f', round(b0 + b1 * d.x1 + b2 * d.x2, 4)) AS line
+FROM pd d JOIN paw USING (user_id), coef""")
+def q_comparison_lines(spark, sf):
+    scored = _scored(spark, sf)
+    rounded = scored.select("event_id", "label", rnd("pa_prediction").alias("pa_prediction"), rnd("linear_prediction").alias("linear_prediction"))
+    return comparison_lines(rounded, keep=["event_id"])
+
+
+@register("rmse_lines", f"""WITH RECURSIVE {_OLS_SQL}, {_PA_SQL},
+r AS (SELECT round(sqrt(avg(pow(d.label - ((paw.w1 * d.x1 + paw.w2 * d.x2) + paw.b), 2))), 4) AS pa,
+             round(sqrt(avg(pow(d.label - (b0 + b1 * d.x1 + b2 * d.x2), 2))), 4) AS linear FROM pd d JOIN paw USING (user_id), coef)
+SELECT 'PA - Root mean squared error: ' || pa AS line FROM r UNION ALL SELECT 'Linear - Root mean squared error: ' || linear FROM r""")
+def q_rmse_lines(spark, sf):
+    r = compare(_scored(spark, sf))
+    return rmse_lines(r.select("elements", rnd("rmse_pa").alias("rmse_pa"), rnd("rmse_linear").alias("rmse_linear")))
+
+
 @register("rmse", f"""WITH RECURSIVE {_OLS_SQL}, {_PA_SQL}
 SELECT count(*)::BIGINT AS elements,
        round(sqrt(avg(pow(d.label - ((paw.w1 * d.x1 + paw.w2 * d.x2) + paw.b), 2))), 4) AS rmse_pa,
@@ -658,10 +701,22 @@ def q_stream_window_profile(spark, sf):
 @staged
 def stage_ingested_lineitem(spark, sf) -> str:
     out = scratch_path(spark, "lineitem-ingested")
-    ingest_readings(table(spark, sf, "lineitem"), out, ts="l_shipdate", lat="l_discount", long="l_tax")
+    ingest_readings(table(spark, sf, "lineitem"), out, ts="l_shipdate", lat="l_discount", long="l_tax", cell=0.01)
     return out
 
 
+@register("ingest_twice", "SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate, CASE WHEN l_orderkey % 3 = 0 THEN 'b' ELSE 'a' END AS batch FROM lineitem")
+def q_ingest_twice(spark, sf):
+    """Two drops into the same months, the second one retried: every row once."""
+    out = scratch_path(spark, "ingest-twice")
+    li = table(spark, sf, "lineitem")
+    geo = dict(ts="l_shipdate", lat="l_discount", long="l_tax", cell=0.01)
+    ingest_readings(li.where("l_orderkey % 3 <> 0"), out, batch="a", **geo)
+    for _ in range(2):
+        ingest_readings(li.where("l_orderkey % 3 = 0"), out, batch="b", **geo)
+    return read_ingested(spark, out).select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate", "batch")
+
+
 @register("region_profile_ingested", _profile_sql(_BOX_SQL))
 def q_region_profile_ingested(spark, sf):
     li = read_ingested(spark, stage_ingested_lineitem(spark, sf))

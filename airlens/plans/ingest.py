@@ -8,20 +8,24 @@ time and sorted by ``(latitude, longitude)`` inside each file, so
   only the months of the period are listed and read (partition pruning), and
 * the box predicate skips row groups by their min/max statistics.
 
-The rows are range-partitioned on ``(month, latitude, longitude)`` before the
-write, which balances the tasks even when one month or place dominates.
+Rows are dealt to tasks by a hash of the month and a map cell, so a month spreads
+over as many tasks as it has cells.  Every ingest adds to what is there: files
+lie under ``month=.../batch=.../`` and a retry of a batch replaces that batch only.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.predicates import Box, Period, in_region, ntz_literal
 from ..operators.profile import profile
 from ..schemas import POLLUTANT_LABELS, POLLUTANTS
 
-PART = "month"
+PART, BATCH = "month", "batch"
 
 
 def month_of(ts: Column) -> Column:
@@ -29,15 +33,26 @@ def month_of(ts: Column) -> Column:
 
 
 def ingest_readings(readings: DataFrame, out: str, *, ts: str = "ts", lat: str = "latitude",
-                    long: str = "longitude", mode: str = "overwrite") -> None:
-    """Write ``readings`` as parquet under ``out/month=YYYY-MM-01/``."""
-    (readings.withColumn(PART, month_of(F.col(ts)))
-     .repartitionByRange(PART, lat, long).sortWithinPartitions(PART, lat, long)
-     .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(out))
+                    long: str = "longitude", batch: str | None = None, cell: float = 0.1) -> str:
+    """Add ``readings`` as parquet under ``out/month=YYYY-MM-01/batch=<batch>/``
+    and return the batch's name.
+
+    ``batch`` names the drop (default: a new name); ingesting a batch again
+    replaces its own rows and no others.  ``cell`` is the width of the map
+    cells, in degrees, that rows are dealt out by."""
+    batch = batch or uuid.uuid4().hex[:16]
+    place = [F.floor(F.col(c).cast("double") / F.lit(cell)) for c in (lat, long)]
+    (readings.withColumn(PART, month_of(F.col(ts))).withColumn(BATCH, F.lit(batch))
+     .repartition(PART, *place).sortWithinPartitions(PART, lat, long)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART, BATCH).parquet(out))
+    return batch
 
 
 def read_ingested(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """All ingested readings; ``month`` and ``batch`` are columns (``batch`` stays text)."""
+    schema = spark.read.parquet(path).schema
+    kept = T.StructType([T.StructField(f.name, T.StringType()) if f.name == BATCH else f for f in schema.fields])
+    return spark.read.schema(kept).parquet(path)
 
 
 def period_partitions(period: Period) -> Column:

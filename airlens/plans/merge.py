@@ -1,14 +1,13 @@
 """Merge job: pollution x traffic per sensor and time, plus weather.
 
 1. traffic rows are restricted to the first traffic file of each sensor id;
-2. pollution and traffic rows are aligned on ``(sensor_id, ts)``, duplicate
-   timestamps pairing by position;
+2. every pollution file is aligned with its sensor's traffic file on the time,
+   duplicate timestamps pairing by position;
 3. the six weather measurements are interpolated at each row's time;
 4. weekday flags are derived and the 23 merged columns assembled.
 
-Everything is one lazy DataFrame except two small eager steps: the hot-key
-probe of the alignment and the checkpointed weather segments (a table the
-size of the weather series, used six times).
+Everything is one lazy DataFrame except the weather segments (a table the
+size of the weather series), which are written once.
 """
 
 from __future__ import annotations
@@ -18,36 +17,33 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import entity_from_path, weekday_flags
+from ..functions.columns import weekday_flags
 from ..operators.align import align_on_time, first_group
 from ..operators.series import SeriesIndex
 from ..schemas import MERGED_HEADER, MERGED_SEP, POLLUTANTS, TRAFFIC, WEATHER_COLUMNS, WEEKDAY_COLUMNS
-from ..sources.records import first_file_per_entity, parse_records, read_lines, read_pollution, read_traffic
+from ..sources.records import read_first_files, read_pollution
 from ..sources.weather import read_weather
 
 ID_PATTERN = r"(\d+)\.csv"
 
 
-def with_position(df: DataFrame, col: str = "_pos") -> DataFrame:
-    """Record position: increases along each input split, i.e. file order."""
-    return df.withColumn(col, F.monotonically_increasing_id())
-
-
 def merge(pollution: DataFrame, traffic: DataFrame, weather: DataFrame | SeriesIndex,
           weather_columns: Mapping[str, str] = WEATHER_COLUMNS, traffic_is_first_file: bool = False) -> DataFrame:
     """Merged rows ``(sensor_id, Timestamp, ..., Nitrogen_dioxide)``.
 
-    ``pollution``: ``sensor_id, ts, <5 pollutants>, latitude, longitude, _pos``;
+    ``pollution``: ``sensor_id, ts, <5 pollutants>, latitude, longitude, _pos`` and, if a
+    sensor has several files, ``file_path``: each is paired with the traffic file;
     ``traffic``: ``sensor_id, file_path, ts, average_speed, vehicle_count, _pos``;
     ``weather``: ``(measurement, ts, value)`` points or a prepared SeriesIndex.
     ``traffic_is_first_file``: the traffic rows already come from one file per
     sensor (chosen from the listing), so the row-level first-file step is skipped.
     """
     t = traffic if traffic_is_first_file else first_group(traffic, "sensor_id", "file_path")
-    left = pollution.select("sensor_id", "ts", F.col("_pos").alias("_lpos"),
+    file = F.col("file_path") if "file_path" in pollution.columns else F.lit("")
+    left = pollution.select("sensor_id", "ts", F.col("_pos").alias("_lpos"), file.alias("_lfile"),
                             *POLLUTANTS, "latitude", "longitude")
     right = t.select("sensor_id", "ts", F.col("_pos").alias("_rpos"), "average_speed", "vehicle_count")
-    aligned = align_on_time(left, right, ["sensor_id", "ts"], ["_lpos"], ["_rpos"],
+    aligned = align_on_time(left, right, ["sensor_id", "ts"], ["_lpos"], ["_rpos"], left_group=["_lfile"],
                             small_groups=True)   # readings of one sensor at one instant
     index = weather if isinstance(weather, SeriesIndex) else SeriesIndex(weather, "measurement", "ts", "value")
     rows = index.attach(aligned, "ts", weather_columns)
@@ -77,29 +73,23 @@ def merge_files(spark: SparkSession, pollution_path: str, traffic_path: str, wea
 
     The first traffic file of each sensor is chosen from the file listing, so
     only those files are read and no pairing shuffle is needed."""
-    pollution = with_position(read_pollution(spark, pollution_path, entity_pattern=ID_PATTERN))
-    chosen = first_file_per_entity(spark, traffic_path, ID_PATTERN, glob="*csv")
-    names = [c.rsplit("/", 1)[-1] for c in chosen]
-    if len(set(names)) == len(names):
-        # one scan of the folder; the file-name predicate prunes files while
-        # planning (only the chosen files are opened)
-        lines = read_lines(spark, traffic_path, "*csv").where(F.col("_metadata.file_name").isin(names))
-        traffic = parse_records(lines.withColumn("sensor_id", entity_from_path(ID_PATTERN))
-                                .withColumn("file_path", F.col("_metadata.file_path")),
-                                TRAFFIC, keep=["sensor_id", "file_path"])
-    else:   # the same file name in several folders: name the files one by one
-        traffic = read_traffic(spark, chosen, entity_pattern=ID_PATTERN, with_path=True)
+    pollution = read_pollution(spark, pollution_path, entity_pattern=ID_PATTERN, with_path=True, position="_pos")
+    traffic = read_first_files(spark, traffic_path, TRAFFIC, ID_PATTERN, glob="*csv", position="_pos")
     weather = read_weather(spark, weather_path, weather_files)
-    return merge(pollution, with_position(traffic), weather, traffic_is_first_file=True)
+    return merge(pollution, traffic, weather, traffic_is_first_file=True)
 
 
-def write_merged(merged: DataFrame, out: str, mode: str = "overwrite") -> None:
+def write_merged(merged: DataFrame, out: str, mode: str = "overwrite", format: str = "csv") -> None:
     """One headed ``", "``-separated CSV set per sensor under
-    ``out/sensor_id=<id>/``.  Range partitioning on ``(sensor_id, Timestamp)``
-    keeps each sensor in few files while a very large sensor still spreads
-    over several tasks (hash partitioning on the id would not)."""
-    (merged.repartitionByRange("sensor_id", "Timestamp").sortWithinPartitions("sensor_id", "Timestamp")
-     .write.mode(mode).partitionBy("sensor_id")
-     .option("header", True).option("sep", MERGED_SEP)
+    ``out/sensor_id=<id>/`` (``format="parquet"``: the same rows as parquet).
+    Rows are dealt out by sensor and month: a sensor lies in few files, and a
+    very large one spreads over tasks."""
+    day = F.to_date("Timestamp")
+    writer = (merged.repartition("sensor_id", F.date_trunc("month", day)).sortWithinPartitions("sensor_id", "Timestamp")
+              .write.mode(mode).partitionBy("sensor_id"))
+    if format == "parquet":
+        writer.parquet(out)
+        return
+    (writer.option("header", True).option("sep", MERGED_SEP)
      .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
      .csv(out))

@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import fixed10
 from ..functions.predicates import Box, Period, in_region
 from ..operators.profile import profile
-from ..schemas import POLLUTANT_LABELS, POLLUTANTS
+from ..schemas import (POLLUTANT_LABELS, POLLUTANTS, REPORT_COUNT, REPORT_EMPTY, REPORT_MEAN, REPORT_RANGE,
+                       REPORT_STD)
 
 
 def region_readings(readings: DataFrame, box: Box, period: Period, *, lat: str = "latitude",
@@ -37,20 +37,21 @@ def report_lines(report: DataFrame) -> DataFrame:
     """The printed report as text rows ``(attribute, kind, line)``.
 
     One ``count`` line (no attribute: the count is the same for all), then per
-    attribute a ``range``, ``mean`` and ``std`` line; numbers are rendered
-    ``%10f``.  An empty report gives no lines.
+    attribute a ``range``, ``mean`` and ``std`` line with plain numbers.  An
+    empty report gives the count 0 and the message that there is nothing to
+    analyse.
     """
     a = F.col("attribute")
-    count = report.select(F.lit(None).cast("string").alias("attribute"), F.lit("count").alias("kind"),
-                          F.concat(F.lit("Total number of elements: "), F.col("elements").cast("string"),
-                                   F.lit(".")).alias("line")).distinct()
+    number = lambda c: F.col(c).cast("double").cast("string")
+    counted = report.agg(F.coalesce(F.max("elements"), F.lit(0)).alias("n"))
+    head = counted.select(F.lit(None).cast("string").alias("attribute"), F.inline(F.filter(F.array(
+        F.struct(F.lit("count").alias("kind"), F.concat(F.lit(REPORT_COUNT), F.col("n").cast("string"), F.lit(".")).alias("line")),
+        F.struct(F.when(F.col("n") == 0, F.lit("empty")).alias("kind"), F.lit(REPORT_EMPTY).alias("line"))),
+        lambda x: x.kind.isNotNull())))
     rows = F.array(
         F.struct(F.lit("range").alias("kind"),
-                 F.concat(a, F.lit(" range: ["), fixed10("min"), F.lit(", "), fixed10("max"),
-                          F.lit("].")).alias("line")),
-        F.struct(F.lit("mean").alias("kind"),
-                 F.concat(a, F.lit(" mean: "), fixed10("mean"), F.lit(".")).alias("line")),
-        F.struct(F.lit("std").alias("kind"),
-                 F.concat(a, F.lit(" standard deviation: "), fixed10("std"), F.lit(".")).alias("line")),
+                 F.concat(a, F.lit(REPORT_RANGE), number("min"), F.lit(", "), number("max"), F.lit("].")).alias("line")),
+        F.struct(F.lit("mean").alias("kind"), F.concat(a, F.lit(REPORT_MEAN), number("mean"), F.lit(".")).alias("line")),
+        F.struct(F.lit("std").alias("kind"), F.concat(a, F.lit(REPORT_STD), number("std"), F.lit(".")).alias("line")),
     )
-    return count.unionByName(report.select("attribute", F.inline(rows)))
+    return head.unionByName(report.select("attribute", F.inline(rows)))

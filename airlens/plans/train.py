@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from ..operators.regression import (feature_label, fit_linear, load_linear, load_pa, pa_fit, pa_weights_frame,
                                     save_linear, save_pa, shard_of, target_index)
-from ..schemas import FEATURES, MERGED
+from ..schemas import FEATURES
 from ..sources.records import read_merged
-from ..streaming.sources import decode, file_lines
 
 MODELS = ("pa", "linear")
 
@@ -51,9 +50,11 @@ def train(merged: DataFrame, k, *, models: Sequence[str] = MODELS, pa_path: str
     return out
 
 
-def train_files(spark: SparkSession, merged_path: str, k, pa_path: str, linear_path: str, **kw) -> dict:
-    """``train`` on merged files written by ``write_merged``."""
-    return train(read_merged(spark, merged_path), k, pa_path=pa_path, linear_path=linear_path, **kw)
+def train_files(spark: SparkSession, merged_path: str, k, pa_path: str, linear_path: str, format: str = "csv",
+                **kw) -> dict:
+    """``train`` on merged files: what ``write_merged`` wrote (text or parquet)
+    or a flat folder of ``merged<id>.csv`` files."""
+    return train(read_merged(spark, merged_path, format=format), k, pa_path=pa_path, linear_path=linear_path, **kw)
 
 
 def load_models(spark: SparkSession, pa_path: str | None = None, linear_path: str | None = None) -> dict:
@@ -63,9 +64,3 @@ def load_models(spark: SparkSession, pa_path: str | None = None, linear_path: st
     if linear_path:
         out["linear"] = load_linear(linear_path)
     return out
-
-
-def merged_record_stream(spark: SparkSession, folder: str, k, files_per_batch: int | None = None) -> DataFrame:
-    """Replayed merged lines -> ``features..., label`` for target ``k``."""
-    rows = decode(file_lines(spark, folder, None, files_per_batch), MERGED)
-    return feature_label(rows, k)

@@ -8,7 +8,7 @@ pollution timestamp is "the last field").
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # --- fixed values (must equal the reference's for identical results) -------
 # Human-readable attribute labels used in the region report and result table.
@@ -22,14 +22,19 @@ MERGED_HEADER = [
     "Dew_point", "Humidity", "Pressure", "Temperature", "Wind_direction", "Wind_speed",
     "Ozone", "Particulate_matter", "Carbon_monoxide", "Sulfur_dioxide", "Nitrogen_dioxide",
 ]
-# Timestamp formats: pollution records, traffic records / weather keys, date arguments.
+# Timestamp formats: pollution records, traffic records / weather keys.
 POLLUTION_TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 ISO_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
-DATE_FORMAT = "yyyy-MM-dd"
 # Merged files separate fields with a comma and a blank.
 MERGED_SEP = ", "
 # Marker that identifies header lines (case-insensitive substring).
 HEADER_MARKER = "timestamp"
+# Texts of the printed region report, after or around the attribute's label.
+REPORT_COUNT = "Total number of elements: "
+REPORT_EMPTY = "There are no elements so no further analysis can be made."
+REPORT_RANGE = " range: ["
+REPORT_MEAN = " mean: "
+REPORT_STD = " standard deviation: "
 # --- end of fixed values -----------------------------------------------------
 
 POLLUTANTS = ["ozone", "particulate_matter", "carbon_monoxide", "sulfur_dioxide", "nitrogen_dioxide"]
@@ -47,7 +52,6 @@ class Layout:
     ts: tuple[int, str, str] | None        # (position, column name, datetime pattern)
     header_field: int                      # position tested for the header marker
     sep: str = ","
-    extra: dict = field(default_factory=dict, compare=False)
 
     @property
     def columns(self) -> list[str]:

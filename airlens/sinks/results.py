@@ -46,83 +46,58 @@ def table_location(spark: SparkSession, name: str) -> str:
     return rows[0]["data_type"]
 
 
-def write_results(rows: DataFrame, target: str, is_table: bool = False, batch_id: int | None = None) -> None:
-    """Idempotent append of one batch's rows to a table name or a folder.
+class ResultWriter:
+    """Idempotent append of batches to a table name or a folder.
 
-    One write job; the batch's single file lands at
+    One write job per batch; its single file lands at
     ``batch_block=<id // BLOCK>/batch-<id>.parquet``, replacing the file of an
-    earlier attempt of the same batch (see :func:`write_batch_files`).  For a
-    catalog table the block partition is registered (idempotent, cheap).
+    earlier attempt of the same batch (see :func:`write_batch_files`).  A
+    table's location is looked up once, and its partition is registered only
+    when a batch opens a new block; readers refresh (:func:`read_results`).
     """
-    spark = rows.sparkSession
-    if batch_id is None:
-        batch_id = int(rows.select(F.max("batch_id")).first()[0] or 0)
-    root = (table_location(spark, target) if is_table else target).rstrip("/")
-    block = rows.select(*RESULT_COLUMNS).withColumn("batch_block", F.lit(batch_id // BLOCK).cast("long"))
-    write_batch_files(block, root, batch_id, "batch_block")
-    if is_table:
-        spark.sql(f"ALTER TABLE {target} ADD IF NOT EXISTS PARTITION (batch_block = {batch_id // BLOCK})")
-        spark.catalog.refreshTable(target)
 
+    def __init__(self, spark: SparkSession, target: str, is_table: bool = False):
+        self.target, self.is_table, self.block = target, is_table, None
+        self.root = (table_location(spark, target) if is_table else target).rstrip("/")
 
-def compact_block(spark: SparkSession, target: str, block: int, next_batch_id: int,
-                  is_table: bool = False) -> int:
-    """Rewrite a finished block's per-batch files as one file; returns the
-    number of files replaced.
+    def write(self, rows: DataFrame, batch_id: int) -> None:
+        block = batch_id // BLOCK
+        tagged = rows.select(*RESULT_COLUMNS).withColumn("batch_block", F.lit(block).cast("long"))
+        write_batch_files(tagged, self.root, batch_id, "batch_block")
+        if self.is_table and block != self.block:
+            rows.sparkSession.sql(f"ALTER TABLE {self.target} ADD IF NOT EXISTS PARTITION (batch_block = {block})")
+        self.block = block
 
-    ``next_batch_id`` (the stream's next batch) must lie beyond the block, so
-    no batch of it can still be retried.  The compacted file is moved in under
-    a hidden name, the batch files are removed, then it is renamed into place:
-    readers may briefly miss the block's rows but never see them twice.
-    """
-    if next_batch_id < (block + 1) * BLOCK:
-        raise ValueError(f"block {block} is not finished (next batch {next_batch_id})")
-    root = (table_location(spark, target) if is_table else target).rstrip("/")
-    jvm = spark.sparkContext._jvm
-    Path = jvm.org.apache.hadoop.fs.Path
-    fs = Path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    block_dir = Path(f"{root}/batch_block={block}")
-    if not fs.exists(block_dir):
-        return 0
-    batch_files = [st.getPath() for st in fs.listStatus(block_dir) if st.getPath().getName().startswith("batch-")]
-    if len(batch_files) <= 1:
-        return 0
-    staging = f"{root}/_staging/block-{block}"
-    (spark.read.parquet(*[p.toString() for p in batch_files]).select(*RESULT_COLUMNS)
-     .coalesce(1).write.mode("overwrite").parquet(staging))
-    part = [st.getPath() for st in fs.listStatus(Path(staging)) if st.getPath().getName().startswith("part-")][0]
-    hidden = Path(f"{root}/batch_block={block}/_block-{block:012d}.parquet")
-    fs.rename(part, hidden)
-    for f in batch_files:
-        fs.delete(f, False)
-    fs.rename(hidden, Path(f"{root}/batch_block={block}/block-{block:012d}.parquet"))
-    fs.delete(Path(staging), True)
-    if is_table:
-        spark.catalog.refreshTable(target)
-    return len(batch_files)
+
+def write_results(rows: DataFrame, target: str, is_table: bool = False, batch_id: int | None = None) -> None:
+    """Append one batch (see :class:`ResultWriter`)."""
+    if batch_id is None:
+        batch_id = int(rows.select(F.max("batch_id")).first()[0] or 0)
+    ResultWriter(rows.sparkSession, target, is_table).write(rows, batch_id)
 
 
-def write_batch_files(rows: DataFrame, root: str, batch_id: int, by: str) -> None:
-    """One file per value of ``by`` for this batch:
-    ``<root>/<by>=<v>/batch-<id>.parquet``, replacing an earlier attempt's
-    files, so a retried batch never duplicates rows and partitions grow with
-    the values of ``by`` (e.g. days), not with batches."""
+def write_batch_files(rows: DataFrame, root: str, batch_id: int, by: str, single: bool = True) -> None:
+    """This batch's files as ``<root>/<by>=<v>/batch-<id>[-<n>].parquet``,
+    replacing an earlier attempt's, so a retried batch never duplicates rows
+    and partitions grow with the values of ``by`` (blocks, days), not with
+    batches.  ``single``: the rows are few and make one file per value."""
     spark = rows.sparkSession
     root = root.rstrip("/")
     staging = f"{root}/_staging/batch-{batch_id:012d}"
-    rows.coalesce(1).write.mode("overwrite").partitionBy(by).parquet(staging)
+    (rows.coalesce(1) if single else rows).write.mode("overwrite").partitionBy(by).parquet(staging)
     Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     fs = Path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     for d in fs.listStatus(Path(staging)):
-        if not d.isDirectory() or not d.getPath().getName().startswith(f"{by}="):
+        name = d.getPath().getName()
+        if not d.isDirectory() or not name.startswith(f"{by}="):
             continue
-        for st in fs.listStatus(d.getPath()):
-            if st.getPath().getName().startswith("part-"):
-                dest = Path(f"{root}/{d.getPath().getName()}/batch-{batch_id:012d}.parquet")
-                fs.mkdirs(dest.getParent())
-                if fs.exists(dest):
-                    fs.delete(dest, False)
-                fs.rename(st.getPath(), dest)
+        fs.mkdirs(Path(f"{root}/{name}"))
+        for old in fs.globStatus(Path(f"{root}/{name}/batch-{batch_id:012d}*.parquet")):
+            fs.delete(old.getPath(), False)
+        parts = [st.getPath() for st in fs.listStatus(d.getPath()) if st.getPath().getName().startswith("part-")]
+        for i, part in enumerate(parts):
+            suffix = "" if len(parts) == 1 else f"-{i:05d}"
+            fs.rename(part, Path(f"{root}/{name}/batch-{batch_id:012d}{suffix}.parquet"))
     fs.delete(Path(staging), True)
 
 

@@ -15,11 +15,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import BAD_ROW_MODES, entity_from_path, field_at, is_blank, is_header, parse, to_ts
 from ..schemas import MERGED, POLLUTION, TRAFFIC, Layout
 
 
+#: Up to so many chosen files are named in the scan's predicate.
+MAX_LISTED = 1000
+
+
 def read_lines(spark: SparkSession, path: str | Sequence[str], glob: str | None = "*.csv") -> DataFrame:
     """Text lines of every matching file directly under ``path`` (non-recursive).
 
@@ -88,15 +93,24 @@ def parse_records(lines: DataFrame, layout: Layout, bad_rows: str = "fail",
 
 def read_records(spark: SparkSession, path, layout: Layout, *, glob: str | None = "*.csv",
                  bad_rows: str = "fail", entity_pattern: str | None = None,
-                 entity_col: str = "sensor_id", with_path: bool = False) -> DataFrame:
+                 entity_col: str = "sensor_id", with_path: bool = False, position: str | None = None) -> DataFrame:
     """Scan delimited files with ``layout``.
 
     ``entity_pattern``: regular expression whose first group, found in the file
     path, becomes ``entity_col`` (text: leading zeros are significant).
-    ``with_path`` keeps the source path as ``file_path``.
+    ``with_path`` keeps the source path as ``file_path``; ``position`` names a
+    column that orders the records of a file as they stand in it.
     """
-    lines = read_lines(spark, path, glob)
+    return _read(read_lines(spark, path, glob), layout, bad_rows, entity_pattern, entity_col, with_path, position)
+
+
+def _read(lines: DataFrame, layout: Layout, bad_rows: str, entity_pattern: str | None, entity_col: str,
+          with_path: bool, position: str | None) -> DataFrame:
     extra = []
+    if position:   # the block of the file that a task reads, then the line within the task
+        lines = lines.withColumn(position, F.struct(F.col("_metadata.file_block_start").alias("block"),
+                                                    F.monotonically_increasing_id().alias("line")))
+        extra.append(position)
     if entity_pattern:
         lines = lines.withColumn(entity_col, entity_from_path(entity_pattern))
         extra.append(entity_col)
@@ -118,15 +132,41 @@ def read_traffic(spark: SparkSession, path, **kw) -> DataFrame:
     return read_records(spark, path, TRAFFIC, **kw)
 
 
-def read_merged(spark: SparkSession, path, glob: str | None = None, partitioned: bool = True,
-                **kw) -> DataFrame:
-    """Merged training rows written by :func:`airlens.plans.merge.write_merged`
-    (or by hand with the same ``", "`` layout).  Files in ``sensor_id=...``
-    sub-directories are found through partition discovery; the id stays text
-    so leading zeros survive."""
-    reader = spark.read.schema("value string, sensor_id string") if partitioned else spark.read
+def read_first_files(spark: SparkSession, path, layout: Layout, pattern: str, *, glob: str | None = "*.csv",
+                     bad_rows: str = "fail", position: str | None = None) -> DataFrame:
+    """Records of the first file (in path order) of every entity only, with
+    ``sensor_id`` and ``file_path``.  The choice is made from the file listing
+    that Spark holds to plan the scan: a few files become a predicate that
+    leaves the others unopened, many become a table that is semi-joined."""
+    chosen = [re.sub("^file:/+", "file:/", c) for c in first_file_per_entity(spark, path, pattern, glob)]
+    lines = read_lines(spark, path, glob)
+
+    def plain(c):   # a listing and a scan write a local path with different numbers of slashes
+        return F.regexp_replace(c, "^file:/+", "file:/")
+
+    if len(chosen) <= MAX_LISTED:
+        lines = lines.where(plain(F.col("_metadata.file_path")).isin(chosen)) if chosen else lines.where(F.lit(False))
+        return _read(lines, layout, bad_rows, pattern, "sensor_id", True, position)
+    rows = _read(lines, layout, bad_rows, pattern, "sensor_id", True, position)
+    listed = spark.createDataFrame([(c,) for c in chosen], "_chosen string")
+    return rows.join(listed, plain(F.col("file_path")) == F.col("_chosen"), "left_semi")
+
+
+def read_merged(spark: SparkSession, path: str, glob: str | None = None, format: str = "csv", **kw) -> DataFrame:
+    """Merged training rows as :func:`airlens.plans.merge.write_merged` writes
+    them, or a flat folder of ``<name><id>.csv`` files with the same ``", "``
+    layout.  The sensor id comes from the ``sensor_id=<id>`` folder, else from
+    the file name, and stays text so leading zeros survive.  ``format`` may be
+    ``parquet`` for the parquet twin."""
+    if format == "parquet":
+        typed = spark.read.parquet(path).schema
+        fields = [T.StructField("sensor_id", T.StringType()) if f.name == "sensor_id" else f for f in typed.fields]
+        return spark.read.schema(T.StructType(fields)).parquet(path)
+    reader = spark.read.schema("value string").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    lines = reader.text(path)
-    keep = [c for c in lines.columns if c != "value"]
-    return parse_records(lines, MERGED, kw.pop("bad_rows", "fail"), keep=keep)
+    file = F.col("_metadata.file_path")
+    folder = F.regexp_extract(file, "/sensor_id=([^/]+)/", 1)
+    named = F.regexp_extract(file, r"(\d+)\.csv$", 1)
+    sensor = F.when(folder != "", F.when(folder != "__HIVE_DEFAULT_PARTITION__", folder)).when(named != "", named)
+    return parse_records(reader.text(path).withColumn("sensor_id", sensor), MERGED, kw.pop("bad_rows", "fail"), keep=["sensor_id"])

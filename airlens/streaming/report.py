@@ -24,7 +24,7 @@ from ..functions.predicates import Box, Period, in_region
 from ..operators.profile import profile_aggs, unpivot_profile, wide_columns
 from ..plans.report import region_report
 from ..schemas import POLLUTANT_LABELS, POLLUTANTS
-from ..sinks.results import result_rows, write_batch_files, write_results
+from ..sinks.results import ResultWriter, result_rows, write_batch_files
 
 
 def _trigger(writer, trigger):
@@ -68,9 +68,11 @@ def stream_region_report(readings: DataFrame, box: Box, period: Period, target:
     if labels is None:
         labels = POLLUTANT_LABELS if list(attributes) == POLLUTANTS else list(attributes)
 
+    sink = ResultWriter(readings.sparkSession, target, is_table)
+
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         rep = region_report(batch, box, period, attributes=attributes, labels=labels, lat=lat, long=long, ts=ts)
-        write_results(result_rows(rep, batch_id), target, is_table, batch_id)
+        sink.write(result_rows(rep, batch_id), batch_id)
 
     w = readings.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
     return start(_trigger(w, trigger), readings.sparkSession, partitions)

@@ -6,7 +6,10 @@ Spark ML prediction (``model.transform``), then append
 
 * the per-row comparison ``(batch_id, label, pa_prediction, linear_prediction)``
   when ``rows_target`` is given, and
-* one ``(batch_id, elements, rmse_pa, rmse_linear)`` row per non-empty batch.
+* one ``(batch_id, elements, rmse_pa, rmse_linear)`` row per non-empty batch,
+
+both as files named by the batch inside blocks of batches (the result table's
+layout), so folders do not grow with batches.
 
 Either model may be omitted (the "Spark model only" consumer).
 """
@@ -22,6 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.regression import compare, predict_linear, predict_pa
 from ..schemas import FEATURES
+from ..sinks.results import BLOCK, write_batch_files
 from .report import _trigger, start
 
 WEIGHTS_BROADCAST_ROWS = 200_000   # 15 doubles each: about 30 MB at the limit
@@ -62,15 +66,19 @@ def stream_score(records: DataFrame, target: str, checkpoint: str, *, linear: Li
         pa_weights = pa_weights.repartition(width, entity).persist()
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        scored = score(batch, linear, pa_weights, features, entity).withColumn("batch_id", F.lit(batch_id))
+        scored = score(batch, linear, pa_weights, features, entity).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        block = F.lit(batch_id // BLOCK).cast("long").alias("batch_block")
         if rows_target:
             scored = scored.persist()
-            (scored.select("batch_id", *keep, "label", *preds).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(rows_target))
-        (compare(scored, "label", preds, group_by=["batch_id"]).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(target))
-        if rows_target:
-            scored.unpersist()
+        try:
+            if rows_target:
+                write_batch_files(scored.select("batch_id", *keep, "label", *preds, block), rows_target, batch_id,
+                                  "batch_block", single=False)
+            summary = compare(scored, "label", preds, group_by=["batch_id"])
+            write_batch_files(summary.select("*", block), target, batch_id, "batch_block")
+        finally:
+            if rows_target:
+                scored.unpersist()
 
     w = records.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
     return start(_trigger(w, trigger), records.sparkSession, partitions)

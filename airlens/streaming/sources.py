@@ -48,9 +48,10 @@ def topic_lines(spark: SparkSession, bootstrap_servers: str, topic: str, **optio
     return r.load().select(F.col("value").cast("string").alias("value"))
 
 
-def decode(lines: DataFrame, layout: Layout, bad_rows: str = "drop") -> DataFrame:
+def decode(lines: DataFrame, layout: Layout, bad_rows: str = "fail") -> DataFrame:
     """Typed records from a stream of lines.  Blank lines and header lines are
-    dropped; malformed records are dropped by default so that one bad message
-    cannot stop the stream (``bad_rows="fail"`` restores fail-fast)."""
+    dropped.  A malformed record stops the stream by default; ``bad_rows``
+    ``drop`` discards such records and ``quarantine`` marks them (``_bad``,
+    ``_line``), for callers who choose so."""
     keep = [c for c in lines.columns if c != "value"]
     return parse_records(lines, layout, bad_rows, keep=keep)

@@ -4,9 +4,13 @@ import math
 
 from airlens.plans import driver_queries as D
 from airlens.plans.merge import merge_files, write_merged
-from airlens.plans.train import load_models, merged_record_stream, train_files
+from airlens.operators.regression import feature_label
+from airlens.plans.train import load_models, train_files
+from airlens.schemas import MERGED
+from airlens.sources.records import read_merged
 from airlens.streaming.replay import replay
 from airlens.streaming.score import stream_score
+from airlens.streaming.sources import decode, file_lines
 
 SF = "/root/testdata/sf0.001"
 
@@ -29,7 +33,7 @@ def test_merge_train_replay_score(spark, tmp_path):
     replayed = str(tmp_path / "replayed")
     replay(spark, out + "/*", str(tmp_path / "ck-replay"), sink="files", path=replayed,
            files_per_batch=None, header_field=0).awaitTermination()
-    records = merged_record_stream(spark, replayed, 0)
+    records = feature_label(decode(file_lines(spark, replayed, None), MERGED), 0)
     target = str(tmp_path / "scores")
     stream_score(records, target, str(tmp_path / "ck-score"), linear=loaded["linear"],
                  pa_weights=loaded["pa"]).awaitTermination()
@@ -62,3 +66,39 @@ def test_stream_jobs_from_folders(spark, tmp_path, write_files):
                      folder=replayed).awaitTermination()        # the "Spark model only" consumer
     res = spark.read.parquet(str(tmp_path / "scores")).collect()
     assert sum(r["elements"] for r in res) == merged.count() and "rmse_pa" not in res[0].asDict()
+
+
+def test_train_on_flat_files_and_on_parquet(spark, tmp_path):
+    root = D.stage_sensor_files(spark, SF)
+    merged = merge_files(spark, root + "/pollution", root + "/traffic", root + "/weather")
+    out, flat, twin = (str(tmp_path / n) for n in ("merged", "flat", "twin"))
+    write_merged(merged, out)
+    write_merged(merged, twin, format="parquet")
+    (tmp_path / "flat").mkdir()
+    for i, f in enumerate((tmp_path / "merged").glob("sensor_id=*/*.csv")):   # what a user has: merged<id>.csv
+        (tmp_path / "flat" / f"{i}_merged{f.parent.name.split('=')[1]}.csv").write_text(f.read_text())
+    key = ["sensor_id", "Timestamp", "Ozone", "Average_speed"]
+    rows = [sorted(tuple(r) for r in df.select(*key).collect()) for df in
+            (read_merged(spark, out), read_merged(spark, flat), read_merged(spark, twin, format="parquet"))]
+    assert rows[0] == rows[1] == rows[2] and len(rows[0]) == merged.count()
+    fits = [train_files(spark, p, 0, str(tmp_path / f"pa{i}"), str(tmp_path / f"lin{i}"), format=f)["pa"].first()
+            for i, (p, f) in enumerate(((out, "csv"), (flat, "csv"), (twin, "parquet")))]
+    assert fits[0]["n"] == len(rows[0])
+    assert fits[0]["w"] == fits[1]["w"] == fits[2]["w"]
+
+
+def test_second_ingest_keeps_the_first(spark, tmp_path):
+    import datetime as dt
+
+    from airlens.plans.ingest import ingest_readings, read_ingested
+
+    def drop(days):
+        return spark.createDataFrame([(dt.datetime(2014, m, d), 56.0 + d / 100, 10.0) for m, d in days],
+                                     "ts timestamp_ntz, latitude double, longitude double")
+    out = str(tmp_path / "ingested")
+    ingest_readings(drop([(7, d) for d in range(1, 11)]), out, batch="001")
+    ingest_readings(drop([(7, 1), (8, 1)]), out, batch="002")
+    assert read_ingested(spark, out).count() == 12
+    ingest_readings(drop([(7, 1), (8, 1)]), out, batch="002")    # a retry replaces its own rows
+    assert read_ingested(spark, out).count() == 12
+    assert {r["batch"] for r in read_ingested(spark, out).select("batch").collect()} == {"001", "002"}

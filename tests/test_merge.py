@@ -124,8 +124,8 @@ def test_merged_record_and_roundtrip(spark, write_files, tmp_path):
     same = {m: "dewptm.txt" for m in ("dewptm", "hum", "pressurem", "tempm", "wdird", "wspdm")}
     from airlens.plans import merge as M
     merged = M.merge(
-        M.with_position(M.read_pollution(spark, p, entity_pattern=M.ID_PATTERN)),
-        M.with_position(read_traffic(spark, t, entity_pattern=M.ID_PATTERN, with_path=True)),
+        M.read_pollution(spark, p, entity_pattern=M.ID_PATTERN, position="_pos"),
+        read_traffic(spark, t, entity_pattern=M.ID_PATTERN, with_path=True, position="_pos"),
         read_weather(spark, w, same))
     rows = merged.orderBy("Timestamp").collect()
     assert len(rows) == 2
@@ -171,6 +171,25 @@ def test_first_traffic_file_from_listing(spark, write_files):
     assert [r["Average_speed"] for r in rows] == [56.0, 98.0]     # b_traffic12.csv: first id-12 path
 
 
+def test_every_pollution_file_pairs_with_the_traffic_file(spark, write_files):
+    p = write_files({"pollution12.csv": POLLUTION, "second_pollution12.csv": POLLUTION.replace("\n2,", "\n7,")}, "p4")
+    t = write_files({"traffic12.csv": TRAFFIC}, "t4")
+    w = write_files({f"{m}.txt": WEATHER for m in ("dewptm", "hum", "pressurem", "tempm", "wdird", "wspdm")}, "w4")
+    rows = sorted((r["Timestamp"], r["Ozone"], r["Average_speed"]) for r in merge_files(spark, p, t, w).collect())
+    assert rows == [(ts("00:00"), 2.0, 56.0), (ts("00:00"), 7.0, 56.0), (ts("00:05"), 4.0, 57.0), (ts("00:05"), 4.0, 57.0)]
+
+
+def test_many_chosen_files_are_joined(spark, write_files, monkeypatch):
+    from airlens.sources import records
+    t = write_files({f"{n}traffic{i}.csv": TRAFFIC for i in range(6) for n in ("a_", "b_")}, "t5")
+    few = records.read_first_files(spark, t, records.TRAFFIC, r"(\d+)\.csv", position="_pos")
+    monkeypatch.setattr(records, "MAX_LISTED", 2)
+    many = records.read_first_files(spark, t, records.TRAFFIC, r"(\d+)\.csv", position="_pos")
+    key = ["sensor_id", "file_path", "average_speed", "ts"]
+    assert sorted(map(tuple, few.select(*key).collect())) == sorted(map(tuple, many.select(*key).collect()))
+    assert few.count() == 24 and all("/a_traffic" in r["file_path"] for r in few.collect())
+
+
 def test_null_time_gives_null_and_keeps_row(spark, weather_index):
     q = spark.createDataFrame([(1, ts("00:25")), (2, None)], "id int, ts timestamp_ntz")
     got = {r["id"]: r["v"] for r in weather_index.lookup(q, "ts", "dewptm", "v").collect()}
@@ -182,7 +201,7 @@ def test_merged_reader_accepts_both_separators(spark, write_files):
     row = "2014-08-15 00:00:00, 56.1, 10.1, 56, 7, 0, 0, 0, 0, 1, 0, 0, 10.0, 10.0, 10.0, 10.0, 10.0, 10.0, 2, 10, 40, 50, 60"
     d = write_files({"merged1.csv": ", ".join(MERGED_HEADER) + "\n" + row + "\n",
                      "merged2.csv": ",".join(MERGED_HEADER) + "\n" + row.replace(", ", ",") + "\n"}, "mixed")
-    rows = read_merged(spark, d, partitioned=False).collect()
+    rows = read_merged(spark, d).drop("sensor_id").collect()
     assert len(rows) == 2 and rows[0] == rows[1] and rows[0]["Nitrogen_dioxide"] == 60.0
 
 

@@ -45,7 +45,7 @@ def test_alignment_join_reuses_window_partitioning(spark):
                                                     F.col("event_id").alias("r"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = plan_of(align_on_time(left, right, ["h"], ["l"], ["r"]))
+        plan = plan_of(align_on_time(left, right, ["h"], ["l"], ["r"], small_groups=True))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # one hash exchange per side feeds both the window and the join

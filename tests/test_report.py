@@ -75,8 +75,11 @@ def test_report_lines(spark, write_files):
     lines = {(r["attribute"], r["kind"]): r["line"] for r in report_lines(region_report(df, BOX, PERIOD)).collect()}
     assert lines[(None, "count")] == "Total number of elements: 8."
     assert sum(1 for k in lines if k[1] == "count") == 1
-    assert lines[("Ozone", "range")] == "Ozone range: [  2.000000,   9.000000]."
-    assert lines[("Ozone", "std")] == "Ozone standard deviation:   2.000000."
+    assert lines[("Ozone", "range")] == "Ozone range: [2.0, 9.0]."
+    assert lines[("Ozone", "std")] == "Ozone standard deviation: 2.0."
+    none = region_report(df, Box(1.0, 2.0, 10.1, 10.2), PERIOD)
+    assert sorted((r["kind"], r["line"]) for r in report_lines(none).collect()) == [
+        ("count", "Total number of elements: 0."), ("empty", "There are no elements so no further analysis can be made.")]
 
 
 def test_profile_is_one_aggregation(spark, write_files):

@@ -2,6 +2,9 @@
 
 import os
 
+import pytest
+from pyspark.sql import functions as F
+
 from airlens.functions.predicates import Box, Period
 from airlens.schemas import POLLUTION
 from airlens.sinks.results import create_result_table, drop_result_table, latest_results, read_results
@@ -83,23 +86,70 @@ def test_retried_batch_replaces_its_rows(spark, tmp_path):
     assert [(r["batch_id"], r["elements"]) for r in rows] == [(7, 2)]
 
 
-def test_compact_finished_block(spark, tmp_path):
+def test_retried_batch_replaces_its_files(spark, tmp_path):
     import datetime as dt
 
-    import pytest
-    from airlens.sinks.results import BLOCK, RESULT_DDL, compact_block, write_results
+    from airlens.sinks.results import RESULT_DDL, ResultWriter, write_batch_files
     schema = RESULT_DDL.replace(", batch_block BIGINT", "")
     out = str(tmp_path / "results")
-    for b in range(3):
+    sink = ResultWriter(spark, out)
+    for b in (0, 1, 1, 2):
         rows = spark.createDataFrame([(dt.datetime(2024, 1, 1), b + 1, 1.0, 2.0, 1.5, 0.5, s, b)
                                       for s in ("Ozone", "Nitrogen dioxide")], schema)
-        write_results(rows, out, batch_id=b)
-    before = sorted(tuple(r) for r in read_results(spark, out).select("batch_id", "substance", "elements").collect())
+        sink.write(rows, b)
+    got = sorted(tuple(r) for r in read_results(spark, out).select("batch_id", "substance", "elements").collect())
+    assert got == sorted((b, s, b + 1) for b in range(3) for s in ("Ozone", "Nitrogen dioxide"))
+    wide = spark.range(40).withColumn("part", F.lit(0))
+    many = str(tmp_path / "many")
+    write_batch_files(wide.repartition(4), many, 7, "part", single=False)
+    write_batch_files(wide.repartition(2), many, 7, "part", single=False)   # a retry that is split otherwise
+    assert spark.read.parquet(many).count() == 40
+
+
+def test_bad_lines_fail_drop_or_go_to_quarantine(spark, tmp_path, write_files):
+    from pyspark.errors import StreamingQueryException
+
+    from airlens.functions.predicates import Box, Period
+    from airlens.plans.apps import stream_report_job
+    from tests.test_report import HEADER, ROWS
+    src = write_files({"pollution1.csv": HEADER + ROWS + "bad,1,2\n"}, "bad-in")
+    box, period = Box(56.1, 56.2, 10.1, 10.2), Period.of("2014-08-15", "2014-09-15")
+
+    def run(name, **kw):
+        stream_report_job(spark, box, period, "bad_" + name, str(tmp_path / name), str(tmp_path / ("ck-" + name)),
+                          folder=src, **kw).awaitTermination()
+        return read_results(spark, "bad_" + name, True).where("substance = 'Ozone'").first()["elements"]
+
+    with pytest.raises(StreamingQueryException, match="fewer than"):
+        run("fail")
+    assert run("drop", bad_rows="drop") == 8
+    aside = str(tmp_path / "aside")
+    assert run("quarantine", bad_rows="quarantine", quarantine=aside, interval=None) == 8
+    for q in spark.streams.active:
+        q.awaitTermination(60)
+    assert [r["value"] for r in spark.read.text(aside).collect()] == ["bad,1,2"]
     with pytest.raises(ValueError):
-        compact_block(spark, out, 0, next_batch_id=3)
-    assert compact_block(spark, out, 0, next_batch_id=BLOCK) == 3
-    after = sorted(tuple(r) for r in read_results(spark, out).select("batch_id", "substance", "elements").collect())
-    assert after == before and len(list((tmp_path / "results" / "batch_block=0").glob("*.parquet"))) == 1
+        run("none", bad_rows="quarantine")
+
+
+def test_interval_trigger_runs_batches(spark, tmp_path, write_files):
+    import time
+
+    from airlens.functions.predicates import Box, Period
+    from airlens.plans.apps import stream_report_job
+    from tests.test_report import HEADER, ROWS
+    src = write_files({"pollution1.csv": HEADER + ROWS}, "interval-in")
+    q = stream_report_job(spark, Box(56.1, 56.2, 10.1, 10.2), Period.of("2014-08-15", "2014-09-15"), "interval_t",
+                          str(tmp_path / "iv"), str(tmp_path / "ck-iv"), folder=src, interval=1)
+    try:
+        deadline = time.time() + 60
+        while time.time() < deadline and not (q.lastProgress or {}).get("batchId", -1) >= 0:
+            time.sleep(0.3)
+        q.processAllAvailable()
+        assert q.isActive
+    finally:
+        q.stop()
+    assert read_results(spark, "interval_t", True).where("substance = 'Ozone'").first()["elements"] == 8
 
 
 def test_stream_score_large_weights_path_matches_broadcast(spark, tmp_path, monkeypatch):
