@@ -1,6 +1,6 @@
 """Connected components of an edge table by large-star and small-star rounds.
 
-Every round is two aggregations with map-side combination and two joins; rounds
+Every round is two aggregations with map-side combination and two joins, written once; rounds
 grow with the logarithm of the longest chain. Edges stay in tables; only their
 count and a checksum reach the driver, to see that a round changed nothing.
 """
@@ -34,6 +34,6 @@ def components(edges: DataFrame) -> DataFrame:
         if not row.n or (row.n, row.h) == mark:
             break
         mark = (row.n, row.h)
-        pairs = materialize(_star(materialize(_star(pairs, True), "large-star"), False), "small-star")
+        pairs = materialize(_star(_star(pairs, True), False), "stars")
     tops = pairs.select(F.col("b").alias("id")).distinct()
     return pairs.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(tops.select("id", F.col("id").alias("component")))

@@ -12,13 +12,15 @@ Links are wanted for components, so pairs that cannot change them are not
 made. First, stars: in a posting list every class is paired with one leader of
 its size range only, the likeliest leader of each class is verified on whole
 sets, and found links merge components; this repeats with other leaders while
-it finds links. That takes work linear in the postings and leaves little of a
-large group of near copies. Then every pair of classes that shares enough
+it links many classes. That takes work linear in the postings and leaves little of a
+large group of near copies (the rounds only save work). Then every pair of classes that shares enough
 prefix tokens, fits in size and still lies in two components is verified. So no
 link that matters is lost, and a group of copies is never paired with itself.
 
-Whole sets are made for the documents in question only. A leader that many
-classes ask for is split over tasks.
+Before whole sets are compared, short signatures (token parities, whose
+difference never exceeds that of the sets) rule most pairs out; whole sets are
+made for the documents of the pairs left only. A leader that many classes ask
+for is split over tasks.
 
 Defined cases: null, empty or blank text has an empty set and links with nothing;
 rows with equal doc_id and repeated rows are documents of their own (with one
@@ -35,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from airlens.llm.common import materialize, ragged, slices
+from airlens.llm.common import materialize, slices
 from airlens.llm.components import components
 from airlens.llm.shingles import shingle_sets
 from airlens.llm.vectors import Groups
@@ -45,7 +47,12 @@ MOST = 3
 SUMMARY, FREQUENT = 65536, 262144
 #: Rows of at most 16 bytes up to which a counted table is broadcast.
 BROADCAST_ROWS = 500_000
-STAR_ROUNDS, LEADER_ROWS = 6, 512
+#: Stars go on for so many rounds at most, while a round links a class in STAR_GAIN.
+STAR_ROUNDS, STAR_GAIN, LEADER_ROWS = 6, 20, 512
+#: Bytes of text that are made into sets at once.
+SLICE = 4 << 20
+#: Bits of a set's signature.
+SIGNATURE = 1024
 #: Cost of one verification in postings read.
 VERIFY = 20.0
 
@@ -80,7 +87,7 @@ def frequent_tokens(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray
     def summarise(batches):
         keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 h, _ = shingle_sets(part.column("text"), width)
                 u, c = np.unique(h, return_counts=True)
                 keys, at = np.unique(np.concatenate([keys, u[c > 1]]), return_inverse=True)
@@ -98,31 +105,62 @@ def frequent_tokens(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray
     return tokens[order], counts[order]
 
 
+class Order:
+    """The global order of tokens: rare before frequent, then by hash (hashes are scrambled, so random to texts)."""
+
+    BITS = 22
+
+    def __init__(self, tokens: np.ndarray, counts: np.ndarray):
+        self.tokens, self.counts = tokens, counts
+        self.maybe = np.zeros(1 << self.BITS, bool)
+        self.maybe[tokens & np.uint64((1 << self.BITS) - 1)] = True
+
+    def ranks(self, h: np.ndarray) -> np.ndarray:
+        """A token's count if it is frequent, else 0."""
+        rank = np.zeros(len(h), np.int64)
+        at = np.flatnonzero(self.maybe[h & np.uint64((1 << self.BITS) - 1)])
+        if len(at):
+            found = np.minimum(np.searchsorted(self.tokens, h[at]), len(self.tokens) - 1)
+            rank[at] = np.where(self.tokens[found] == h[at], self.counts[found], 0)
+        return rank
+
+    def first(self, own: np.ndarray, rank: np.ndarray, size: int) -> np.ndarray:
+        """The first ``size`` tokens of a sorted set."""
+        return own[:size] if not rank.any() else own[np.argsort(rank, kind="stable")[:size]]
+
+
+def signatures(h: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """For each set the parity of its tokens in SIGNATURE bins, as 64-bit words. Two sets'
+    signatures differ in at most as many bits as the sets differ in tokens."""
+    n = len(off) - 1
+    doc_of = np.repeat(np.arange(n), np.diff(off))
+    odd = np.bincount(doc_of * SIGNATURE + (h >> np.uint64(40)).astype(np.int64) % SIGNATURE, minlength=n * SIGNATURE) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).reshape(n, SIGNATURE // 64)
+
+
 def document_sets(docs: DataFrame, width: int, rule: Rule) -> DataFrame:
-    """(row, doc_id, text_hash, n, digest, prefix) of every row of ``docs``; prefix for the longest match."""
+    """(row, doc_id, text_hash, n, digest, prefix, sig) of every row of ``docs``; prefix for the longest match."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent_tokens(docs, width))   # FREQUENT entries
 
     def sets(batches):
-        tokens, counts = shared.value
+        order = Order(*shared.value)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 h, off = shingle_sets(part.column("text"), width)
                 n = np.diff(off)
                 digests = [hashlib.blake2b(h[a:b].tobytes(), digest_size=16).digest() for a, b in zip(off, off[1:])]
-                rank = np.zeros(len(h), np.int64)
-                if len(tokens) and len(h):
-                    at = np.minimum(np.searchsorted(tokens, h), len(tokens) - 1)
-                    rank = np.where(tokens[at] == h, counts[at], 0)
-                doc_of = np.repeat(np.arange(len(n)), n)
-                order = np.lexsort((h, rank, doc_of))   # hashes are scrambled, so their order is random to texts
+                rank = order.ranks(h)
                 size = rule.prefix(n, MOST) * (n > 0)
-                kept = h[order][ragged(off[:-1], size)].view(np.int64)
-                lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)).astype(np.int32)), pa.array(kept))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_hash"), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), lists],
-                                                 names=["doc_id", "text_hash", "n", "digest", "prefix"])
+                kept = [order.first(h[a:b], rank[a:b], k) for a, b, k in zip(off, off[1:], size)]
+                lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)).astype(np.int32)),
+                                                 pa.array(np.concatenate(kept).view(np.int64)))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("text_hash"), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), lists,
+                     pa.array(list(signatures(h, off)), pa.list_(pa.int64()))],
+                    names=["doc_id", "text_hash", "n", "digest", "prefix", "sig"])
 
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
-        sets, "doc_id long, text_hash long, n long, digest binary, prefix array<long>")
+        sets, "doc_id long, text_hash long, n long, digest binary, prefix array<long>, sig array<long>")
     return materialize(found.withColumn("row", F.monotonically_increasing_id()), "sets")
 
 
@@ -153,30 +191,56 @@ def postings(sets: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
                        .select("token", "cls", "n", "match"), "prefixes")
 
 
-def whole_sets(docs: DataFrame, sets: DataFrame, listed: DataFrame, width: int) -> DataFrame:
-    """(cls, n, set) of the classes in posting lists, from the texts of one document each."""
-    wanted = materialize(listed.select("cls").distinct(), "wanted")
-    owners = materialize(sets.join(_hint(wanted), F.col("row") == F.col("cls")).select("cls", F.col("doc_id").alias("_id"), "digest"), "owners")
+def close(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs (a, b, ...) whose signatures do not rule out a link: linked sets differ in
+    at most (100 - percent) / (100 + percent) of their sizes' sum."""
+    one = sets.select(F.col("row").alias("_a"), F.col("n").alias("_na"), F.col("sig").alias("_sa"))
+    two = sets.select(F.col("row").alias("_b"), F.col("n").alias("_nb"), F.col("sig").alias("_sb"))
+    both = pairs.join(one, F.col("a") == F.col("_a")).join(two, F.col("b") == F.col("_b"))
+    differ = F.aggregate(F.zip_with("_sa", "_sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    return both.where(differ * (100 + rule.percent) <= (F.col("_na") + F.col("_nb")) * (100 - rule.percent)).select(*pairs.columns)
+
+
+def whole_sets(docs: DataFrame, sets: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(cls, set) of the classes ``wanted`` (cls), made again from the text of one document each."""
+    owners = materialize(sets.join(_hint(wanted), F.col("row") == F.col("cls")).select("cls", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_h")), "owners")
 
     def rebuild(batches):
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 h, off = shingle_sets(part.column("text"), width)
                 lists = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(h.view(np.int64)))
-                digests = [hashlib.blake2b(h[a:b].tobytes(), digest_size=16).digest() for a, b in zip(off, off[1:])]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists, pa.array(digests, pa.binary())], names=["doc_id", "set", "digest"])
+                yield pa.RecordBatch.from_arrays([part.column("cls"), lists], names=["cls", "set"])
+
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    text = keyed.join(_hint(owners), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_h")))
+    made = text.select("cls", "text").mapInArrow(rebuild, "cls long, set array<long>")
+    return materialize(made.dropDuplicates(["cls"]), "whole-sets")
 
-    ids = owners.select("_id").distinct()
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(_hint(ids), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    made = text.mapInArrow(rebuild, "doc_id long, set array<long>, digest binary")
-    own = owners.select("cls", F.col("digest").alias("_d"), "_id")
-    return materialize(made.join(_hint(own), (F.col("digest") == F.col("_d")) & F.col("doc_id").eqNullSafe(F.col("_id")))
-                       .select("cls", "set").dropDuplicates(["cls"]), "whole-sets")
 
+class WholeSets:
+    """Whole sets of the classes asked for so far; a class is made once."""
 
-def verify(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    def __init__(self, docs: DataFrame, sets: DataFrame, width: int):
+        self.docs, self.sets, self.width, self.have = docs, sets, width, None
+
+    def of(self, pairs: DataFrame) -> DataFrame:
+        wanted = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
+        if self.have is not None:
+            wanted = wanted.join(self.have.select("cls"), "cls", "left_anti")
+        wanted = materialize(wanted, "wanted")
+        if not wanted.isEmpty():
+            new = whole_sets(self.docs, self.sets, wanted, self.width)
+            self.have = new if self.have is None else self.have.unionByName(new)
+        return self.have
+
+
+def verify(pairs: DataFrame, whole: WholeSets, rule: Rule) -> DataFrame:
     """The pairs (a, b) that are linked. b's set is held while the sets of its a's stream past."""
     pairs = materialize(pairs, "pairs")
+    if pairs.isEmpty():
+        return pairs
+    sets = whole.of(pairs)
     share = pairs.groupBy(F.col("b").alias("_b")).agg(F.ceil(F.count(F.lit(1)) / LEADER_ROWS).cast("int").alias("parts"))
     asked = pairs.join(share, F.col("b") == F.col("_b")).withColumn("part", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int")).select("a", "b", "part")
     members = sets.join(_hint(asked), F.col("cls") == F.col("a")).select("b", "part", F.lit(1).alias("kind"), "cls", "set")
@@ -215,8 +279,8 @@ def _with_component(listed: DataFrame, comp: DataFrame | None) -> DataFrame:
     return rows.join(mixed, "token", "left_semi")
 
 
-def star_pairs(rows: DataFrame, rule: Rule, turn: int) -> DataFrame:
-    """For every class the leader it has most tokens in common with, of another component and a size that fits."""
+def star_pairs(rows: DataFrame, sets: DataFrame, rule: Rule, turn: int) -> DataFrame:
+    """For every class the close leader it has most tokens in common with, of another component and a size that fits."""
     rows = rows.withColumn("bucket", rule.bucket(F.col("n")))
     leaders = rows.groupBy(F.col("token").alias("_t"), F.col("bucket").alias("_b")).agg(
         F.min(F.struct(F.xxhash64("cls", F.lit(turn)).alias("h"), F.col("cls").alias("cls"), F.col("n").alias("n"), F.col("comp").alias("comp"))).alias("l"))
@@ -224,16 +288,16 @@ def star_pairs(rows: DataFrame, rule: Rule, turn: int) -> DataFrame:
     met = (near.join(leaders, (F.col("token") == F.col("_t")) & (F.col("at") == F.col("_b")))
            .where((F.col("comp") != F.col("l.comp")) & rule.fits(F.col("n"), F.col("l.n"))))
     counted = met.groupBy(F.col("cls").alias("a"), F.col("l.cls").alias("b")).agg(F.count(F.lit(1)).alias("c"))
-    return counted.groupBy("a").agg(F.max_by("b", F.struct("c", "b")).alias("b"))
+    return close(counted, sets, rule).groupBy("a").agg(F.max_by("b", F.struct("c", "b")).alias("b"))
 
 
-def remaining_pairs(rows: DataFrame, rule: Rule) -> DataFrame:
-    """All pairs in two components that share enough prefix tokens."""
+def remaining_pairs(rows: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """All close pairs in two components that share enough prefix tokens."""
     other = rows.select(F.col("token").alias("_t"), F.col("cls").alias("b"), F.col("n").alias("m"), F.col("match").alias("_match"), F.col("comp").alias("_comp"))
     met = rows.join(other, (F.col("token") == F.col("_t")) & (F.col("cls") < F.col("b")) & (F.col("comp") != F.col("_comp"))
                     & rule.fits(F.col("n"), F.col("m")))
     counted = met.groupBy(F.col("cls").alias("a"), "b").agg(F.count(F.lit(1)).alias("c"), F.first(F.least("match", "_match")).alias("need"))
-    return counted.where("c >= need").select("a", "b")
+    return close(counted.where("c >= need").select("a", "b"), sets, rule)
 
 
 def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
@@ -243,19 +307,22 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Da
     sets = document_sets(docs, width, rule)
     classes = materialize(sets.where("n > 0").groupBy("digest", "n").agg(F.min("row").alias("cls"), F.min("doc_id").alias("least")), "classes")
     listed = postings(sets, classes, rule)
-    whole = whole_sets(docs, sets, listed, width)
+    whole = WholeSets(docs, sets, width)
     links, comp = None, None
 
     def merged(new):
         both = new if links is None else links.unionByName(new)
         return both, components(both)
 
+    members = listed.select("cls").distinct().count()
     for turn in range(STAR_ROUNDS):
-        new = verify(star_pairs(_with_component(listed, comp), rule, turn), whole, rule)
-        if new.isEmpty():
+        new = verify(star_pairs(_with_component(listed, comp), sets, rule, turn), whole, rule)
+        found = new.count()
+        if found:
+            links, comp = merged(new)
+        if found * STAR_GAIN < members:   # little is left of large groups
             break
-        links, comp = merged(new)
-    new = verify(remaining_pairs(_with_component(listed, comp), rule), whole, rule)
+    new = verify(remaining_pairs(_with_component(listed, comp), sets, rule), whole, rule)
     if not new.isEmpty():
         links, comp = merged(new)
     named = classes.select(F.col("digest").alias("_d"), "cls", "least")

@@ -21,14 +21,17 @@ _BYTE = _RNG.integers(0, 2 ** 64, 256, dtype=np.uint64)[_LOWER]
 _BASE = int(_RNG.integers(0, 2 ** 63, dtype=np.uint64)) * 2 + 1
 _INVERSE = pow(_BASE, -1, 2 ** 64)
 _FACTORS = _RNG.integers(0, 2 ** 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Bytes of text whose words are hashed at once.
+_BLOCK = 1 << 19
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2 ** 64."""
-    size = 1 << max(16, (n - 1).bit_length())
+    size = 1 << max(20, (n - 1).bit_length())
     if size not in _POWERS:
-        _POWERS.clear()
+        for longer in [k for k in _POWERS if k > 1 << 20]:   # those of one very long word
+            del _POWERS[longer]
         _POWERS[size] = tuple(np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(size - 1, b, np.uint64)]))
                               for b in (np.uint64(_BASE), np.uint64(_INVERSE)))
     return _POWERS[size]
@@ -62,10 +65,17 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     last = last[last >= 0]
     ends_here[last] = inside[last]
     starts, ends = np.flatnonzero(starts_here), np.flatnonzero(ends_here) + 1
-    power, inverse = _powers(n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE[data] * power[:n], out=sums[1:])
-    hashes = _scramble((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    hashes = np.empty(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):   # block by block, as the sums take eight bytes for each byte of text
+        base = starts[i]
+        j = max(i + 1, int(np.searchsorted(ends, base + _BLOCK, "right")))
+        a, b = starts[i:j] - base, ends[i:j] - base
+        power, inverse = _powers(int(b[-1]) + 1)
+        sums = np.zeros(int(b[-1]) + 1, np.uint64)
+        np.cumsum(_BYTE[data[base:base + b[-1]]] * power[:b[-1]], out=sums[1:])
+        hashes[i:j] = _scramble((sums[b] - sums[a]) * inverse[a] + (b - a).astype(np.uint64))
+        i = j
     return hashes, np.searchsorted(starts, offsets)
 
 
@@ -76,20 +86,18 @@ def shingle_sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     n_docs = len(count)
     if len(words) == 0:
         return np.zeros(0, np.uint64), np.zeros(n_docs + 1, np.int64)
-    total = np.maximum(count - width + 1, 0)
     h = np.zeros(max(0, len(words) - width + 1), np.uint64)
     for k in range(width):
         h += words[k:k + len(h)] * _FACTORS[k]
-    doc_of = np.repeat(np.arange(n_docs), total)
-    at = np.repeat(off[:-1] - (np.cumsum(total) - total), total) + np.arange(int(total.sum()))
-    hashes = _scramble(h[at]) if len(at) else np.zeros(0, np.uint64)
-    short = np.flatnonzero((count > 0) & (count < width))
-    if len(short):
-        each = [np.bitwise_xor.reduce(_scramble(words[off[d]:off[d + 1]] * _FACTORS[width:width + count[d]] + np.uint64(count[d]))) for d in short]
-        hashes, doc_of = np.concatenate([hashes, np.array(each, np.uint64)]), np.concatenate([doc_of, short])
-    order = np.lexsort((hashes, doc_of))
-    hashes, doc_of = hashes[order], doc_of[order]
-    new = np.ones(len(hashes), bool)
-    new[1:] = (hashes[1:] != hashes[:-1]) | (doc_of[1:] != doc_of[:-1])
-    hashes, doc_of = hashes[new], doc_of[new]
-    return hashes, np.searchsorted(doc_of, np.arange(n_docs + 1))
+    h = _scramble(h)
+    sets, sizes = [], np.zeros(n_docs + 1, np.int64)
+    for d in np.flatnonzero(count).tolist():   # sorting many short runs costs less than one long sort
+        a, n = off[d], count[d]
+        if n < width:
+            own = np.bitwise_xor.reduce(_scramble(words[a:a + n] * _FACTORS[width:width + n] + np.uint64(n)), keepdims=True)
+        else:
+            own = np.sort(h[a:a + n - width + 1])
+            own = own[np.concatenate([[True], own[1:] != own[:-1]])]
+        sets.append(own)
+        sizes[d + 1] = len(own)
+    return np.concatenate(sets), np.cumsum(sizes)
