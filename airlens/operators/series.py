@@ -16,7 +16,7 @@ The interval join is an equi join on time buckets: each segment is exploded
 into the buckets it overlaps (bucket width = mean gap of the series, so the
 explosion is at most about twice the number of points) and the lookup side
 computes its one bucket.  The segment side is broadcast only when its row
-count, known exactly from the checkpointed segment table, is under a limit;
+count, known exactly from the written segment table, is under a limit;
 otherwise it is a shuffle join that AQE may still turn into a broadcast.
 """
 
@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import micros_between, seconds_between
+from ..session import scratch_path
 from .ranking import rank_within
 
 MAX_CANDIDATES = 64   # segments one level-0 bucket may meet before the robust layout is used
@@ -54,7 +55,7 @@ def segments(points: DataFrame, series: str = "measurement", ts: str = "ts", val
 
 
 class SeriesIndex:
-    """Segments of every series, checkpointed once, plus per-series bounds.
+    """Segments of every series, written once, plus per-series bounds.
 
     The bounds (one row per series) and the bucket levels present (one row per
     series and level, a few dozen at most) are collected to the driver and
@@ -80,7 +81,11 @@ class SeriesIndex:
         self.series = series
         self.broadcast_rows = broadcast_rows or int(
             spark.conf.get(BROADCAST_ROWS_CONF, str(DEFAULT_BROADCAST_ROWS)))
-        self.seg = segments(points, series, ts, value).checkpoint(eager=True)
+        # written once, in folders by series: a lookup reads its own series only
+        made = segments(points, series, ts, value)
+        path = scratch_path(spark, "segments")
+        made.write.partitionBy(series).parquet(path)
+        self.seg = spark.read.schema(made.schema).parquet(path)
         rows = (self.seg.groupBy(series)
                 .agg(F.min("s_ts").alias("first_ts"), F.max("s_ts").alias("last_ts"),
                      F.count(F.lit(1)).alias("n"),

@@ -663,16 +663,20 @@ def q_stream_replay(spark, sf):
     return parse_records(spark.read.text(out), ORDERS_LAYOUT)
 
 
+@staged
+def stage_ml_chunks(spark, sf) -> str:
+    return stage_stream_chunks(spark, ml_frame(spark, sf), [F.col(c) for c in ("user_id", "event_id", "x1", "x2", "label")],
+                               "event_id", _chunk(), "ml-chunks")
+
+
 @register("stream_score", f"""WITH RECURSIVE {_OLS_SQL}, {_PA_SQL}
 SELECT CAST(d.event_id // {CHUNK_ROWS} AS BIGINT) AS batch_id, count(*)::BIGINT AS elements,
        round(sqrt(avg(pow(d.label - ((paw.w1 * d.x1 + paw.w2 * d.x2) + paw.b), 2))), 4) AS rmse_pa,
        round(sqrt(avg(pow(d.label - (b0 + b1 * d.x1 + b2 * d.x2), 2))), 4) AS rmse_linear
 FROM pd d JOIN paw USING (user_id), coef GROUP BY 1""")
 def q_stream_score(spark, sf):
-    data = ml_frame(spark, sf)
     linear, weights = _linear_model(spark, sf), _pa_groups(spark, sf)
-    src = stage_stream_chunks(spark, data, [F.col(c) for c in ("user_id", "event_id", "x1", "x2", "label")],
-                              "event_id", _chunk(), "ml-chunks")
+    src = stage_ml_chunks(spark, sf)
     records = decode(file_lines(spark, src, "*.csv", max_files_per_trigger=1), ML_LAYOUT, bad_rows="fail")
     target = scratch_path(spark, "scores")
     stream_score(records, target, scratch_path(spark, "ck-score"), linear=linear, pa_weights=weights,
@@ -698,7 +702,6 @@ def q_stream_window_profile(spark, sf):
 
 
 # --- ingested layout: the same report with partition pruning -----------------
-@staged
 def stage_ingested_lineitem(spark, sf) -> str:
     out = scratch_path(spark, "lineitem-ingested")
     ingest_readings(table(spark, sf, "lineitem"), out, ts="l_shipdate", lat="l_discount", long="l_tax", cell=0.01)
@@ -748,3 +751,10 @@ def q_skewed_align(spark, sf):
                         ["_leftp", "left_part", "_lefts"], ["_rightp", "right_part", "_rights"], k="k")
     return out.select("l_returnflag", "k", "left_order", "left_line", "left_part",
                       "right_order", "right_line", "right_part")
+
+
+def stage_all(spark, sf) -> None:
+    """Make the file copies that stand in for a user's files (once per application)."""
+    for stage in (stage_orders, stage_traffic, stage_event_chunks, stage_ml_chunks, stage_sensor_files):
+        stage(spark, sf)
+    stage_sensor_files(spark, sf, 2)

@@ -9,7 +9,6 @@ the driver.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -61,21 +60,9 @@ def flatten_to_named_files(spark: SparkSession, src: str, dst: str, prefix: str,
     """Move the single part file of each ``src/_file=<id>/`` directory to
     ``dst/<prefix><id><ext>`` (the naming the sensor readers expect).
 
-    Only file-system metadata operations on the driver; one per file (plain
-    ``os.rename`` for a local folder, the Hadoop file system API otherwise).
+    Only file-system metadata operations on the driver, one per file, through
+    the Hadoop file system API whatever the path.
     """
-    if src.startswith("file:") or src.startswith("/"):
-        local_src, local_dst = src.removeprefix("file:"), dst.removeprefix("file:")
-        os.makedirs(local_dst, exist_ok=True)
-        for d in sorted(os.listdir(local_src)):
-            if not d.startswith("_file="):
-                continue
-            ident = d.split("=", 1)[1]
-            parts = [f for f in os.listdir(os.path.join(local_src, d)) if f.startswith("part-") and f.endswith(".csv")]
-            if len(parts) != 1:   # the writer clusters each file's rows into one task
-                raise RuntimeError(f"expected one part file in {d}, found {len(parts)}")
-            os.rename(os.path.join(local_src, d, parts[0]), os.path.join(local_dst, f"{prefix}{ident}{ext}"))
-        return dst
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     src_path = jvm.org.apache.hadoop.fs.Path(src)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -97,8 +98,9 @@ def cluster_settings(total_cores: int, input_tb: float = 100.0) -> dict[str, str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) do we make one of our own.
+    The cluster names it in ``spark.checkpoint.dir``.  Only in local mode,
+    where driver and executors are one process, is one made when it is unset;
+    on a cluster that is an error, as executors would not share the folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -106,6 +108,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current.rsplit("/", 1)[0] if _is_spark_subdir(current) else current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="airlens-ckpt-")
     sc.setCheckpointDir(configured)
     return configured

@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.errors import PySparkException
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window
@@ -207,7 +208,7 @@ def test_merged_reader_accepts_both_separators(spark, write_files):
 
 def test_weather_malformed_line_fails_or_is_dropped(spark, write_files):
     d = write_files({"dewptm.txt": WEATHER + "\n" + '{"2014-08-15T01:00:00": "3"\n'}, "badweather")
-    with pytest.raises(Exception):
+    with pytest.raises(PySparkException, match="MALFORMED_RECORD|Malformed"):
         read_weather(spark, d, {"dewptm": "dewptm.txt"}).collect()
     ok = read_weather(spark, d, {"dewptm": "dewptm.txt"}, mode="drop").collect()
     assert sorted(r["value"] for r in ok) == [10.0, 16.0]

@@ -2,6 +2,7 @@
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.errors import PySparkException
 from pyspark.sql.utils import CapturedException
 
 from airlens.functions.predicates import Box, Period
@@ -92,7 +93,7 @@ def test_short_record_fails_even_without_ansi(spark, write_files):
     path = write_files({"p.csv": HEADER + ROWS + "1,2,2014-08-15 00:00:00\n"}, "short")
     spark.conf.set("spark.sql.ansi.enabled", "false")
     try:
-        with pytest.raises(Exception, match="fewer than 8 fields"):
+        with pytest.raises(PySparkException, match="fewer than 8 fields"):
             read_pollution(spark, path).collect()
         assert report(spark, path, bad_rows="drop")["Ozone"]["elements"] == 8
     finally:
