@@ -50,7 +50,7 @@ BROADCAST_ROWS = 500_000
 #: Stars go on for so many rounds at most, while a round links a class in STAR_GAIN.
 STAR_ROUNDS, STAR_GAIN, LEADER_ROWS = 6, 20, 512
 #: Bytes of text that are made into sets at once.
-SLICE = 4 << 20
+SLICE = 2 << 20
 #: Bits of a set's signature.
 SIGNATURE = 1024
 #: Cost of one verification in postings read.
@@ -169,11 +169,11 @@ def _hint(df: DataFrame) -> DataFrame:
 
 
 def postings(sets: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
-    """(token, cls, n, match): the chosen prefixes' tokens that several classes have."""
+    """(token, cls, n, place, match): the chosen prefixes' tokens that several classes have; place counts from 0."""
     one = sets.join(_hint(classes.select(F.col("cls").alias("row"))), "row", "left_semi")
     tokens = one.select(F.col("row").alias("cls"), "n", F.posexplode("prefix").alias("place", "token"))
-    several = materialize(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "several")
-    listed = materialize(tokens.join(_hint(several), "token").select("token", "cls", "n", "place", "df"), "postings")
+    several = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    listed = materialize(tokens.join(several, "token").select("token", "cls", "n", "place", "df"), "postings")
     # cost of each match length: postings read, and candidates that may remain, each of which shares l tokens
     least = F.ceil(F.col("n") * rule.percent / 100)
 
@@ -188,7 +188,7 @@ def postings(sets: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
         match = F.when((F.col(f"c{m}") <= best) & ((F.lit(m) <= F.col("least")) | F.lit(m == 1)), F.lit(m)).otherwise(match)
     choice = choice.select("_c", match.alias("match"))
     return materialize(listed.join(choice, F.col("cls") == F.col("_c")).where(F.col("place") < F.col("n") - least + F.col("match"))
-                       .select("token", "cls", "n", "match"), "prefixes")
+                       .select("token", "cls", "n", "place", "match"), "prefixes")
 
 
 def close(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
@@ -281,9 +281,11 @@ def _with_component(listed: DataFrame, comp: DataFrame | None) -> DataFrame:
 
 def star_pairs(rows: DataFrame, sets: DataFrame, rule: Rule, turn: int) -> DataFrame:
     """For every class the close leader it has most tokens in common with, of another component and a size that fits."""
+    # every other turn the leader is the one with least before the token: what copies were made of has nothing rare of its own
     rows = rows.withColumn("bucket", rule.bucket(F.col("n")))
+    first = F.col("place") if turn % 2 == 0 else F.lit(0)
     leaders = rows.groupBy(F.col("token").alias("_t"), F.col("bucket").alias("_b")).agg(
-        F.min(F.struct(F.xxhash64("cls", F.lit(turn)).alias("h"), F.col("cls").alias("cls"), F.col("n").alias("n"), F.col("comp").alias("comp"))).alias("l"))
+        F.min(F.struct(first.alias("p"), F.xxhash64("cls", F.lit(turn)).alias("h"), F.col("cls").alias("cls"), F.col("n").alias("n"), F.col("comp").alias("comp"))).alias("l"))
     near = rows.select("*", F.explode(F.array(F.col("bucket") - 1, F.col("bucket"), F.col("bucket") + 1)).alias("at"))
     met = (near.join(leaders, (F.col("token") == F.col("_t")) & (F.col("at") == F.col("_b")))
            .where((F.col("comp") != F.col("l.comp")) & rule.fits(F.col("n"), F.col("l.n"))))
@@ -291,12 +293,33 @@ def star_pairs(rows: DataFrame, sets: DataFrame, rule: Rule, turn: int) -> DataF
     return close(counted, sets, rule).groupBy("a").agg(F.max_by("b", F.struct("c", "b")).alias("b"))
 
 
+def merged_tokens(rows: DataFrame) -> DataFrame:
+    """One row for all tokens that the same classes have, with the first of their places and
+    their number (``weight``): long common passages meet once, not at every token."""
+    sets = rows.groupBy("token").agg(F.struct(F.bit_xor(F.xxhash64("cls")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "cls")).alias("y"),
+                                              F.count(F.lit(1)).alias("c")).alias("list"))
+    return rows.join(sets, "token").groupBy(F.col("list").alias("token"), "cls").agg(
+        F.min("place").alias("place"), F.count(F.lit(1)).alias("weight"), *[F.first(c).alias(c) for c in ("n", "match", "comp")])
+
+
 def remaining_pairs(rows: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """All close pairs in two components that share enough prefix tokens."""
-    other = rows.select(F.col("token").alias("_t"), F.col("cls").alias("b"), F.col("n").alias("m"), F.col("match").alias("_match"), F.col("comp").alias("_comp"))
-    met = rows.join(other, (F.col("token") == F.col("_t")) & (F.col("cls") < F.col("b")) & (F.col("comp") != F.col("_comp"))
-                    & rule.fits(F.col("n"), F.col("m")))
-    counted = met.groupBy(F.col("cls").alias("a"), "b").agg(F.count(F.lit(1)).alias("c"), F.first(F.least("match", "_match")).alias("need"))
+    """All close pairs in two components that share enough prefix tokens.
+
+    A pair meets at a token only if the token can be among the first ``need``
+    they have in common: at places i and j that leaves room for at most
+    need - 1 + min(n - i, m - j) common tokens. The smaller set (m) needs
+    fewer of its tokens listed for that than the larger one."""
+    p, whole = rule.percent, 100 + rule.percent
+    rows = materialize(merged_tokens(rows), "merged-tokens")
+    other = (rows.where((F.col("n") - F.col("place") + F.col("match") - 1) * whole >= 2 * p * F.col("n"))
+             .select(F.col("token").alias("_t"), F.col("cls").alias("b"), F.col("n").alias("m"), F.col("place").alias("_place"),
+                     F.col("match").alias("_match"), F.col("comp").alias("_comp")))
+    need = F.least("match", "_match")
+    room = F.least(F.col("n") - F.col("place"), F.col("m") - F.col("_place")) + need - 1
+    larger = (F.col("m") < F.col("n")) | ((F.col("m") == F.col("n")) & (F.col("b") < F.col("cls")))
+    met = rows.join(other, (F.col("token") == F.col("_t")) & larger & (F.col("comp") != F.col("_comp"))
+                    & rule.fits(F.col("n"), F.col("m")) & (room * whole >= p * (F.col("n") + F.col("m"))))
+    counted = met.groupBy(F.col("cls").alias("a"), "b").agg(F.sum("weight").alias("c"), F.first(need).alias("need"))
     return close(counted.where("c >= need").select("a", "b"), sets, rule)
 
 
