@@ -13,6 +13,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+_OP6 = """
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (SELECT vec_id AS d, vec_id AS r FROM embeddings UNION SELECT reach.d, l.b FROM reach JOIN l ON l.a = reach.r)
+SELECT d AS vec_id, (SELECT count(*) FROM l WHERE l.a = d)::BIGINT AS n_links, min(r) AS component_id, min(r) = d AS kept
+FROM reach GROUP BY d"""
+
+_OP9 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                                     ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS sh FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 85 * (nx.n + ny.n - c)),
+e AS (SELECT x AS a, y AS b FROM l UNION ALL SELECT y, x FROM l),
+reach AS (SELECT doc_id AS d, doc_id AS r FROM documents UNION SELECT reach.d, e.b FROM reach JOIN e ON e.a = reach.r)
+SELECT d AS doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r) AS component_id
+FROM reach LEFT JOIN n ON n.doc_id = d GROUP BY d"""
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
@@ -47,7 +72,7 @@ def op5(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).drop("_h")
 
 
-@register("op6_embedding_dedup")
+@register("op6_embedding_dedup", _OP6)
 def op6(spark, sf_dir):
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
 
@@ -62,7 +87,7 @@ def op8(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=0, capacity=2048)
 
 
-@register("op9_ngram_jaccard")
+@register("op9_ngram_jaccard", _OP9)
 def op9(spark, sf_dir):
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), width=4, percent=85).drop("text_hash", "component")
 
