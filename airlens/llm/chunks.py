@@ -22,7 +22,7 @@ from airlens.llm.common import ragged, utf8
 MAX_KEY = 64
 #: Entries of a worker's cache. A full cache keeps what came first (mostly the
 #: frequent pre-tokens) until most of a slice misses it; then it starts anew.
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 700_000
 
 
 _MARK = np.isin(np.arange(256), np.frombuffer(b",.!?;:", np.uint8))
@@ -53,11 +53,9 @@ def cut(texts: pa.Array, marks: bool = False) -> tuple[pa.Array, np.ndarray]:
         start[at[plain | ((before == 0xC3) & (p1[at] != 0x97) & (p1[at] != 0xB7))]] = True
     first = offsets[:-1]
     start[first[first < n]] = True
-    count = np.zeros(n + 1, np.int64)
-    np.cumsum(start, out=count[1:])
     where = np.append(np.flatnonzero(start), n).astype(np.int32)
     chunks = pa.Array.from_buffers(pa.binary(), len(where) - 1, [None, pa.py_buffer(where), pa.py_buffer(np.ascontiguousarray(data))])
-    return chunks, count[offsets]
+    return chunks, np.searchsorted(where[:-1], offsets)
 
 
 class Tokenizer:

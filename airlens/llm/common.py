@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from airlens.session import scratch_path
 
 #: Bytes of text that a worker handles at once inside a batch.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 3 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,27 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hash_sample(df: DataFrame, size: int, *key: str) -> DataFrame:
+    """At most ``size`` rows, those with the smallest hashes of ``key``. Tasks pass on
+    only rows below a bound that about twice as many are expected under, so what
+    reaches the driver does not grow with the tasks."""
+    n, span = df.count(), 1 << 40
+    bound = span if n <= 2 * size else span * 2 * size // n
+    keyed = df.withColumn("_h", F.pmod(F.xxhash64(*key), F.lit(span)))
+    return keyed.where(F.col("_h") < bound).orderBy("_h").limit(size)
+
+
+def most_frequent(counts: DataFrame, size: int):
+    """About the ``size`` rows of (key, n) with the largest n, as Arrow; rows below an
+    approximate quantile of n stay where they are."""
+    counts = materialize(counts, "counts")
+    rows = counts.count()
+    if rows > size:
+        edge = counts.agg(F.percentile_approx("n", 1 - size / rows, 1_000_000).alias("e")).first().e
+        counts = counts.where(F.col("n") > edge)
+    return counts.toArrow()
+
+
 def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
