@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from airlens.llm.common import materialize
+from airlens.llm.common import hash_sample, materialize
 from airlens.llm.components import components
 from airlens.llm.vectors import Groups, matrix, prepared
 
@@ -185,7 +185,7 @@ def _shards(nodes: DataFrame, dim: int, overlap: int) -> DataFrame:
     """Nodes with the centres they are dealt to, one row for each: (grp, block, ..., shards)."""
     spark = nodes.sparkSession
     n = nodes.count()
-    sample = nodes.select("vec").orderBy(F.xxhash64("node")).limit(SAMPLE).collect()
+    sample = hash_sample(nodes.select("node", "vec"), SAMPLE, "node").select("vec").collect()
     c = spark.sparkContext.broadcast(centres(unit(np.array([r.vec for r in sample], np.float64)), n))
 
     def assign(batches):
@@ -311,7 +311,7 @@ def _found(node, links, other) -> pa.RecordBatch:
 def audit(nodes: DataFrame, found: DataFrame, dim: int, threshold: float) -> float:
     """The share of the true links of ``AUDIT`` nodes that were found (1.0 if they have none)."""
     spark = nodes.sparkSession
-    sample = nodes.orderBy(F.xxhash64("rep", "node")).limit(AUDIT).collect()
+    sample = hash_sample(nodes, AUDIT, "rep", "node").collect()
     if not sample:
         return 1.0
     asked = spark.sparkContext.broadcast((np.array([r.node for r in sample]), [r.label for r in sample],

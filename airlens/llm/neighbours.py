@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from airlens.llm.common import materialize
+from airlens.llm.common import hash_sample, materialize
 from airlens.llm.vectors import Groups, list_column, matrix, prepared
 
 TABLES, CELL_ROWS = 2, 64
@@ -132,8 +132,7 @@ def fit(rows: DataFrame, dim: int, k: int) -> Hashing:
     spark = rows.sparkSession
     n = rows.count()
     hashing = Hashing(dim, n)
-    keyed = rows.withColumn("_h", F.xxhash64("vec_id", "vec")).orderBy("_h")
-    sample = keyed.limit(SAMPLE).collect()
+    sample = hash_sample(rows, SAMPLE, "vec_id", "vec").collect()
     if not sample:
         return hashing
     hashing.fit_widths(np.array([r.vec for r in sample]))

@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from airlens.llm.chunks import MAX_KEY, ChunkEncoder, cut, tokenizer
-from airlens.llm.common import slices
+from airlens.llm.common import most_frequent, slices
 
 SUMMARY, FREQUENT = 4096, 32768
 
@@ -51,9 +51,8 @@ def frequent_chunks(docs: DataFrame, path: str, size: int = FREQUENT) -> list[by
             yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())],
                                              names=["chunk", "n"])
 
-    rows = (docs.select("text").mapInArrow(summarise, "chunk binary, n long")
-                .groupBy("chunk").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "chunk").limit(size).collect())
-    return [bytes(r.chunk) for r in rows]
+    found = most_frequent(docs.select("text").mapInArrow(summarise, "chunk binary, n long").groupBy("chunk").agg(F.sum("n").alias("n")), size)
+    return sorted(found.column("chunk").to_pylist())
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = 4096) -> DataFrame:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from airlens.llm.chunks import ChunkEncoder
-from airlens.llm.common import crc32_u32, slices, width
+from airlens.llm.common import crc32_u32, hash_sample, slices, width
 from airlens.session import scratch_path
 
 SHARD_SCHEMA = T.StructType([
@@ -59,8 +59,8 @@ def train_dictionary(docs: DataFrame, path: str, end_id: int) -> bytes:
     """A zstandard dictionary from a bounded sample; empty where there is too little to train on."""
     import zstandard
 
-    rows = (docs.select(F.substring("text", 1, SAMPLE_CHARS).alias("text"), F.xxhash64("doc_id", "text").alias("h"))
-                .where("text is not null and text <> ''").orderBy("h").limit(SAMPLE_DOCS).collect())
+    some = hash_sample(docs.select("doc_id", "text"), SAMPLE_DOCS, "doc_id").where("text is not null and text <> ''")
+    rows = some.select(F.substring("text", 1, SAMPLE_CHARS).alias("text")).collect()
     enc = ChunkEncoder(path)
     samples = []
     for r in rows:
