@@ -53,7 +53,7 @@ def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence, out: str =
     # at most two groups of a partition go over its edge: its first and its last
     groups = (rows.groupBy("_pid", *keys)
                   .agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"), F.max("_pos").alias("_last")))
-    ends = rows.groupBy("_pid").agg(F.max("_pos").alias("_end"))
+    ends = groups.groupBy("_pid").agg(F.max("_last").alias("_end"))
     edges = (groups.join(F.broadcast(ends), "_pid")   # one row per partition
                    .where((F.col("_first") == F.shiftleft("_pid", _POS_BITS)) | (F.col("_last") == F.col("_end"))))
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
