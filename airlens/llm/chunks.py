@@ -109,6 +109,12 @@ def tokenizer(path: str) -> Tokenizer:
     return _TOKENIZERS[path]
 
 
+def release() -> None:
+    """Give up this worker's caches: for operators that do not use them and follow one that did."""
+    for cache in _CACHES.values():
+        cache.clear()
+
+
 class ChunkEncoder:
     """Ids or token counts of texts through the worker's cache of pre-tokens."""
 

@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from airlens.llm.chunks import release
 from airlens.llm.common import slices
 
 BINS = 1 << 17
@@ -106,6 +107,7 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     near = rows.where(F.pmod("_h", F.lit(span)) < F.element_at(bound, F.col("lang")))
 
     def features(batches):
+        release()
         for batch in batches:
             keep = [(l, h, present(t).tobytes()) for l, h, t in
                     zip(*(batch.column(c).to_pylist() for c in ("lang", "_h", "text"))) if _LETTER.search(t)]
@@ -131,6 +133,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
     schema = T.StructType([*docs.select(*keep).schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def predict(batches):
+        release()
         langs, weights = shared.value
         for batch in batches:
             for part in slices(batch, "text", 2 << 20):

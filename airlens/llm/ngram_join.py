@@ -37,6 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from airlens.llm.chunks import release
 from airlens.llm.common import materialize, slices
 from airlens.llm.components import components
 from airlens.llm.shingles import shingle_sets
@@ -85,6 +86,7 @@ def frequent_tokens(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray
     """(tokens, counts), sorted by token: what is frequent inside a task of any size, by summaries of
     SUMMARY tokens at most; the FREQUENT most frequent are kept. It sets an order only."""
     def summarise(batches):
+        release()
         keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for batch in batches:
             for part in slices(batch, "text", SLICE):
@@ -143,6 +145,7 @@ def document_sets(docs: DataFrame, width: int, rule: Rule) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(frequent_tokens(docs, width))   # FREQUENT entries
 
     def sets(batches):
+        release()
         order = Order(*shared.value)
         for batch in batches:
             for part in slices(batch, "text", SLICE):

@@ -28,6 +28,8 @@ from airlens.llm.chunks import ChunkEncoder
 from airlens.llm.common import crc32_u32, materialize, slices
 from airlens.operators.ranking import rank_within
 
+#: Entries of a worker's cache of pre-tokens here.
+CACHE_ENTRIES = 150_000
 PIECES = "row_key long, doc_id long, piece int, start long, length long, ids_crc32 long"
 RUNS = "length long, rank_from long, rank_to long, per_bin long, first_bin long, offset long"
 
@@ -35,9 +37,9 @@ RUNS = "length long, rank_from long, rank_to long, per_bin long, first_bin long,
 def cut_documents(docs: DataFrame, path: str, end_id: int, capacity: int) -> DataFrame:
     """One row per piece; ``row_key`` tells rows of one doc_id apart."""
     def pieces(batches):
-        enc = ChunkEncoder(path)
+        enc = ChunkEncoder(path, entries=CACHE_ENTRIES)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 1 << 20):
                 ids, off = enc.encode(part.column("text"))
                 keys, doc_ids = part.column("row_key").to_pylist(), part.column("doc_id").to_pylist()
                 out = []

@@ -22,6 +22,8 @@ from airlens.llm import language, line_dedup, mixing, ngram_join, packing
 from airlens.llm.common import materialize, table, tokenizer_path
 from airlens.session import ensure_checkpoint_dir, ship_package
 
+#: Documents that a Python worker is handed at once.
+ARROW_ROWS = "2000"
 #: A document goes if its best language has a lower score (one in four is chance with four languages).
 MIN_SCORE = 0.3
 
@@ -58,6 +60,7 @@ def _ready(fn):
     def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         ensure_checkpoint_dir(spark)
         ship_package(spark)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
         return fn(spark, docs, sf_dir)
     return stage
 

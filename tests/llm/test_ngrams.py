@@ -55,12 +55,12 @@ def changed(rng, text, n):
     return " ".join(w)
 
 
-@pytest.mark.parametrize("seed,width,percent", [(1, 4, 85), (2, 5, 80), (3, 1, 60)])
+@pytest.mark.parametrize("seed,width,percent", [(1, 4, 85), (2, 5, 80)])
 def test_components_equal_brute_force(spark, seed, width, percent):
     rng = random.Random(seed)
     base = [" ".join(f"w{rng.randrange(300)}" for _ in range(rng.choice([1, 3, 5, 30, 120, 200]))) for _ in range(12)]
     common = " ".join(f"c{i}" for i in range(40))   # a passage that many texts share
-    texts = [changed(rng, rng.choice(base), rng.randrange(5)) for _ in range(220)]
+    texts = [changed(rng, rng.choice(base), rng.randrange(5)) for _ in range(160)]
     texts = [t + " " + common if rng.random() < 0.4 else t for t in texts]
     df = spark.createDataFrame([(i * 3, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(5)
     assert compare(df, width, percent) > 50
