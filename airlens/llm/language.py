@@ -77,14 +77,19 @@ def fit(sample: list[tuple[str, np.ndarray]]) -> tuple[list[str], np.ndarray]:
             taken[lang] += 1
             marks.append(i)
     m = len(marks)
-    phi = np.zeros((BINS, m), np.float32)   # normalised presence of the landmarks
+    used = np.unique(np.concatenate([sample[i][1] for i in marks]))   # other bins have no part in any kernel value
+    at = np.full(BINS, len(used), np.int64)
+    at[used] = np.arange(len(used))
+    phi = np.zeros((len(used) + 1, m), np.float32)   # normalised presence of the landmarks; the last row is empty
     for j, i in enumerate(marks):
-        phi[sample[i][1], j] = 1 / np.sqrt(len(sample[i][1]))
-    k_nm = np.concatenate([scores([b for _, b in sample[a:a + 64]], phi) for a in range(0, len(sample), 64)]).astype(np.float64)
+        phi[at[sample[i][1]], j] = 1 / np.sqrt(len(sample[i][1]))
+    k_nm = np.concatenate([scores([at[b] for _, b in sample[a:a + 8]], phi) for a in range(0, len(sample), 8)]).astype(np.float64)
     k_mm = k_nm[marks]
     y = np.array([[1.0 if lang == c else -1.0 for c in langs] for lang, _ in sample])
     a = k_nm.T @ k_nm + RIDGE * (k_mm + k_mm.T) / 2 + 1e-8 * np.eye(m)
-    return langs, (phi @ np.linalg.solve(a, k_nm.T @ y)).astype(np.float32)
+    weights = np.zeros((BINS, len(langs)), np.float32)
+    weights[used] = phi[:-1] @ np.linalg.solve(a, k_nm.T @ y)
+    return langs, weights
 
 
 def held_out():
