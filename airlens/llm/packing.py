@@ -9,7 +9,9 @@ fixes sets that provably dominate every other set with the same item
 is a list of runs, "so many sequences alike, holding these lengths"; every run
 takes the next pieces of a length by their rank inside that length, so a piece
 finds its sequence and place by a range lookup on (length, rank). Ranks come
-from ``rank_within``, which spreads a length that most pieces have.
+from ``rank_within``, which spreads a length that most pieces have; with
+``stored_order`` they follow the documents' order in their files (or, for a
+frame that is no table of files, its own order), so the sequences fill in it.
 
 Defined cases: null or empty text is the end id alone (one token); rows with
 null or repeated doc_ids are documents of their own; other columns are
@@ -30,31 +32,44 @@ from airlens.operators.ranking import rank_within
 
 #: Entries of a worker's cache of pre-tokens here.
 CACHE_ENTRIES = 150_000
-PIECES = "row_key long, doc_id long, piece int, start long, length long, ids_crc32 long"
+PIECES = "row_key long, doc_id long, file string, row long, piece int, start long, length long, ids_crc32 long"
 RUNS = "length long, rank_from long, rank_to long, per_bin long, first_bin long, offset long"
 
 
-def cut_documents(docs: DataFrame, path: str, end_id: int, capacity: int) -> DataFrame:
-    """One row per piece; ``row_key`` tells rows of one doc_id apart."""
+def in_stored_order(docs: DataFrame) -> DataFrame:
+    """``docs`` with file and row: where each stands in the files (a frame of
+    another kind is written first, in the order of its partitions)."""
+    if docs._jdf.queryExecution().analyzed().nodeName() != "LogicalRelation":
+        docs = materialize(docs.select("doc_id", "text"), "ordered")
+    return docs.select("doc_id", "text", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+
+
+def cut_documents(docs: DataFrame, path: str, end_id: int, capacity: int, stored_order: bool = False) -> DataFrame:
+    """One row per piece; ``row_key`` tells rows of one doc_id apart, (file, row) is
+    the document's place, null without ``stored_order``."""
     def pieces(batches):
         enc = ChunkEncoder(path, entries=CACHE_ENTRIES)
         for batch in batches:
             for part in slices(batch, "text", 1 << 20):
                 ids, off = enc.encode(part.column("text"))
-                keys, doc_ids = part.column("row_key").to_pylist(), part.column("doc_id").to_pylist()
+                keys, doc_ids, files, at = (part.column(c).to_pylist() for c in ("row_key", "doc_id", "file", "row"))
                 out = []
                 for k, doc_id in enumerate(doc_ids):
                     own = np.append(ids[off[k]:off[k + 1]], np.uint32(end_id))
                     first = len(own) % capacity or capacity
                     cuts = [0, *range(first, len(own) + 1, capacity)]
                     for j, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                        out.append((keys[k], doc_id, j, a, b - a, crc32_u32(own[a:b])))
+                        out.append((keys[k], doc_id, files[k], at[k], j, a, b - a, crc32_u32(own[a:b])))
                 cols = list(zip(*out))
-                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+                kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)],
-                                                 names=["row_key", "doc_id", "piece", "start", "length", "ids_crc32"])
+                                                 names=["row_key", "doc_id", "file", "row", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.xxhash64("text").alias("row_key"), F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(pieces, PIECES)
+    if stored_order:
+        docs = in_stored_order(docs)
+    else:
+        docs = docs.select("doc_id", "text", F.lit(None).cast("string").alias("file"), F.lit(None).cast("long").alias("row"))
+    return docs.select(F.xxhash64("text").alias("row_key"), F.col("doc_id").cast("long").alias("doc_id"), "file", "row", "text").mapInArrow(pieces, PIECES)
 
 
 class Stock:
@@ -229,13 +244,15 @@ def runs(patterns: list[tuple[int, tuple[int, ...]]]) -> list[tuple[int, int, in
     return out
 
 
-def pack(docs: DataFrame, path: str, end_id: int, capacity: int = 2048) -> DataFrame:
+def pack(docs: DataFrame, path: str, end_id: int, capacity: int = 2048, stored_order: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) per piece."""
     spark = docs.sparkSession
-    pieces = materialize(cut_documents(docs, path, end_id, capacity), "pieces")
+    pieces = materialize(cut_documents(docs, path, end_id, capacity, stored_order), "pieces")
     hist = {r.length: r.n for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}   # capacity rows at most
     rows = runs(plan(hist, capacity))
-    ranked = rank_within(pieces, ["length"], ["doc_id", "row_key", "piece"], out="rank")
+    # file names count their parts with five digits at least, so a longer name is a later part
+    place = [F.length("file"), "file", "row"] if stored_order else []
+    ranked = rank_within(pieces, ["length"], [*place, "doc_id", "row_key", "piece"], out="rank")
     # all runs of a length in one row, by ascending rank: at most ``capacity`` rows
     table = (spark.createDataFrame(rows, RUNS) if rows else spark.createDataFrame([], RUNS))
     by_length = table.groupBy(F.col("length").alias("_length")).agg(

@@ -11,7 +11,8 @@ one's ``docs``. All but the last return the columns of ``documents``.
 3. ngram_jaccard: of every group of near copies one document stays;
 4. source_mix: documents in the order of the target mixture, all of them: the
    files written from it are the mixture in turn;
-5. best_fit_packing: pieces of at most 2048 tokens, their sequences and places.
+5. best_fit_packing: pieces of at most 2048 tokens, their sequences and places;
+   pieces of a length are taken in the order of the files, so in the mixture's.
 """
 
 from __future__ import annotations
@@ -53,7 +54,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), end_id=0, capacity=2048)
+    return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), end_id=0, capacity=2048, stored_order=True)
 
 
 def _ready(fn):

@@ -5,7 +5,8 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from airlens.llm import language, line_dedup
+from airlens.llm import language, line_dedup, mixing
+from airlens.llm.common import materialize
 from airlens.llm.queries import ORACLES, QUERIES
 from tests.llm.test_lines import brute as brute_lines
 from tests.llm.test_ngrams import brute as brute_groups
@@ -66,3 +67,18 @@ def test_stages_take_hard_rows(spark, hard, nothing):
         for name, stage in corpus_pipeline.STAGES:
             docs = spark.createDataFrame(stage(spark, docs, SF).collect(), docs.schema) if name != "best_fit_packing" else stage(spark, docs, SF)
         docs.count()
+
+
+def test_the_mixture_decides_the_sequences(spark):
+    docs = spark.createDataFrame([(i, f"text {i % 7}", "en", f"s{i % 3}", 6) for i in range(3000)],
+                                 "doc_id long, text string, lang string, source string, n_chars long").repartition(5)
+    stage, places = dict(corpus_pipeline.STAGES)["best_fit_packing"], []
+    for weights in ({"s0": 0.8, "s1": 0.1, "s2": 0.1}, {"s0": 0.1, "s1": 0.1, "s2": 0.8}):
+        mixed = mixing.mix_documents(docs, weights)
+        order = [r.doc_id for r in mixed.collect()]
+        for frame in (materialize(mixed, "mixed"), mixed):
+            out = stage(spark, frame, SF).collect()
+            assert {r.length for r in out} == {out[0].length}
+            assert [r.doc_id for r in sorted(out, key=lambda r: (r.sequence_id, r.offset))] == order
+        places.append({r.doc_id: (r.sequence_id, r.offset) for r in out})
+    assert places[0] != places[1]
