@@ -9,8 +9,10 @@ made to run both ways. The adjacency lists a node got in its shards are united.
 Then every node is searched for in its shards: a greedy search goes from the
 shard's medoids (and the node itself, where it is in the graph) to the
 neighbourhood, and expands every node in range until none is left. A found pair
-counts only if its cosine in double precision reaches the threshold. A pair
-that shares several shards counts in the first. What leaves a task is linear in the
+counts only if its cosine in double precision reaches the threshold, and for both
+of its nodes, whichever search found it. A pair that shares several shards counts
+in the first; there such pairs are compared exactly, as are those of two blocks, so
+none that another search may find is left out. What leaves a task is linear in the
 nodes: a number of links and one edge for each, not the pairs.
 
 ``audit`` compares the links of a bounded sample of nodes with brute force over
@@ -148,6 +150,33 @@ def range_search(x: np.ndarray, adj: np.ndarray, starts: np.ndarray, q: np.ndarr
     return inside
 
 
+def exact_range(x: np.ndarray, q: np.ndarray, reach: float) -> np.ndarray:
+    """The mask of ``range_search`` from all products. Those at the threshold are taken
+    one by one, which gives the same for (a, b) as for (b, a)."""
+    s = q @ x.T
+    inside = s >= reach
+    row, col = np.nonzero(np.abs(s - reach) < 1e-9)
+    inside[row, col] = np.einsum("ij,ij->i", x[col], q[row]) >= reach
+    return inside
+
+
+def _share(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether rows of a and b (padded lists, -1 for none) have a number in common."""
+    ids = np.unique(b[b >= 0])
+    if not len(ids):
+        return np.zeros((len(a), len(b)), bool)
+
+    def ones(lists):
+        out = np.zeros((len(lists), len(ids)), np.float32)
+        row, col = np.nonzero(lists >= 0)
+        at = np.minimum(np.searchsorted(ids, lists[row, col]), len(ids) - 1)
+        known = ids[at] == lists[row, col]
+        out[row[known], at[known]] = 1
+        return out
+
+    return ones(a) @ ones(b).T > 0
+
+
 def _padded(lists: list[np.ndarray]) -> np.ndarray:
     out = np.full((len(lists), max([1, *map(len, lists)])), -1, np.int64)
     for i, v in enumerate(lists):
@@ -240,16 +269,32 @@ def search_links(nodes: DataFrame, dim: int, threshold: float, overlap: int) ->
     asked = (dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("to"))
              .withColumn("grp", _group(F.col("to"))).withColumn("kind", F.lit(1)).withColumn("adj", F.lit(None).cast("array<long>")).select(*columns))
 
+    def count(out, who, inside, q_before, before, copies, ids, sets):
+        first = inside & ~_share(q_before, before)   # counted in an earlier shard if both are there
+        for i in np.flatnonzero(inside.any(axis=1)):
+            hit = np.flatnonzero(inside[i])
+            sets.join(hit)
+            out[0].append(int(who[i]))
+            out[1].append(int(copies[first[i]].sum()))
+            out[2].append(int(ids[hit[0]]))
+
     def search(batches):
         key, held, ready = None, [], None
 
         def close():
             if ready is None:
                 return None
-            sets, ids = ready[-1], ready[0]
+            ids, x, adj, starts, copies, shards, sets, found, centre = ready
+            before = np.where(shards < centre, shards, -1)
+            out = ([], [], [])
+            for a in range(0, len(ids), BATCH):   # found from either side is found
+                inside = found[a:a + BATCH] | found[:, a:a + BATCH].T
+                count(out, ids[a:a + BATCH], inside, before[a:a + BATCH], before, copies, ids, sets)
             tops = np.array([sets.top(i) for i in range(len(ids))])
             moved = np.flatnonzero(tops != np.arange(len(ids)))
-            return _found(ids[moved], np.zeros(len(moved), np.int64), ids[tops[moved]])
+            return _found(np.concatenate([np.array(out[0], np.int64), ids[moved]]),
+                          np.concatenate([np.array(out[1], np.int64), np.zeros(len(moved), np.int64)]),
+                          np.concatenate([np.array(out[2], np.int64), ids[tops[moved]]]))
 
         for (k, kind), part in Groups(batches, "grp", "kind"):
             if k != key:
@@ -274,27 +319,28 @@ def search_links(nodes: DataFrame, dim: int, threshold: float, overlap: int) ->
                     at = np.minimum(np.searchsorted(ids, a), len(ids) - 1)
                     local.append(at[ids[at] == a])
                 shards = _padded([np.array(col["shards"][i].as_py()) for i in order.tolist()])
-                ready = (ids, x, _padded(local), medoids(x), col["copies"].to_numpy()[order], shards, _Sets(len(ids)))
-            ids, x, adj, starts, copies, shards, sets = ready
+                ready = (ids, x, _padded(local), medoids(x), col["copies"].to_numpy()[order], shards, _Sets(len(ids)),
+                         np.zeros((len(ids), len(ids)), bool), int(part.column("centre")[0].as_py()))
+            ids, x, adj, starts, copies, shards, sets, found, centre = ready
             q, who = unit(matrix(part.column("vec"), dim)), part.column("node").to_numpy()
-            centre = int(part.column("centre")[0].as_py())
-            q_shards = part.column("shards").to_pylist()
+            q_shards = _padded([np.array(v) for v in part.column("shards").to_pylist()])
+            before, after = (np.where(shards < centre, shards, -1), np.where(shards > centre, shards, -1))
             for a in range(0, len(q), BATCH):
                 at = np.minimum(np.searchsorted(ids, who[a:a + BATCH]), len(ids) - 1)
-                own = np.where(ids[at] == who[a:a + BATCH], at, -1)
-                inside = range_search(x, adj, starts, q[a:a + BATCH], own, threshold)
-                inside[np.flatnonzero(own >= 0), own[own >= 0]] = False
-                out = ([], [], [])
-                for i in np.flatnonzero(inside.any(axis=1)):
-                    hit = np.flatnonzero(inside[i])
-                    earlier = [s for s in q_shards[a + i] if s < centre]   # counted there if the other is there too
-                    first = ~np.isin(shards[hit], earlier).any(axis=1) if earlier else np.ones(len(hit), bool)
-                    sets.join(hit)
-                    out[0].append(int(who[a + i]))
-                    out[1].append(int(copies[hit[first]].sum()))
-                    out[2].append(int(ids[hit[0]]))
-                if out[0]:
-                    yield _found(*map(np.array, out))
+                here = ids[at] == who[a:a + BATCH]
+                near, theirs = q[a:a + BATCH], q_shards[a:a + BATCH]
+                exact = exact_range(x, near, threshold)
+                if here.any():
+                    row = np.flatnonzero(here)
+                    inside = range_search(x, adj, starts, near[row], at[row], threshold)
+                    inside |= exact[row] & _share(np.where(theirs[row] > centre, theirs[row], -1), after)
+                    inside[np.arange(len(row)), at[row]] = False
+                    found[at[row]] = inside
+                if not here.all():
+                    row, out = np.flatnonzero(~here), ([], [], [])
+                    count(out, who[a:a + BATCH][row], exact[row], np.where(theirs[row] < centre, theirs[row], -1), before, copies, ids, sets)
+                    if out[0]:
+                        yield _found(*map(np.array, out))
         last = close()
         if last is not None:
             yield last

@@ -128,3 +128,25 @@ def test_blocks_of_hot_cells_find_the_same(spark, monkeypatch):
     want = brute_near([(i, [float(np.float32(x)) for x in v], l) for i, v, l in rows], 10, 100)
     hits = sum(len({x[1] for x in got[q]} & {x[1] for x in want[q]}) for q in want)
     assert set(got) == set(want) and hits >= 0.9 * sum(map(len, want.values()))
+
+
+@pytest.mark.parametrize("block", [E.BLOCK_NODES, 40])
+def test_links_count_whoever_found_them(spark, monkeypatch, block):
+    def one_sided(x, adj, starts, q, own, reach):   # of a pair only one node's search finds the other
+        inside = q @ x.T >= reach
+        return inside & (np.arange(len(x))[None, :] < own[:, None])
+
+    monkeypatch.setattr(E, "range_search", one_sided)
+    monkeypatch.setattr(E, "SHARD_NODES", 60)
+    monkeypatch.setattr(E, "BLOCK_NODES", block)
+    prepared, dim = E.prepared(frame(spark, make(4, 500)), "label")
+    nodes = E.nodes_of(prepared.where("label is not null").select("vec_id", "vec", "label"))
+    rows = {r.node: r for r in nodes.collect()}
+    shards = {r.node: set(r.shards) for r in E._shards(nodes, dim, 2).collect()}
+    u = {n: np.array(r.vec) / np.linalg.norm(r.vec) for n, r in rows.items()}
+    want = {a: sum(rows[b].copies for b in rows if a != b and rows[a].label == rows[b].label and shards[a] & shards[b] and u[a] @ u[b] >= 0.93)
+            for a in rows}
+    got = dict.fromkeys(rows, 0)
+    for r in E.search_links(nodes, dim, 0.93, 2).collect():
+        got[r.node] += r.links
+    assert len(set().union(*shards.values())) > 3 and got == want and any(want.values())
