@@ -16,8 +16,10 @@ none that another search may find is left out. What leaves a task is linear in t
 nodes: a number of links and one edge for each, not the pairs.
 
 ``audit`` compares the links of a bounded sample of nodes with brute force over
-all; below ``RECALL`` the shards are made to overlap more, and the whole is done
-again. Shards above ``BLOCK_NODES`` are split into blocks, each with its own
+all, node by node, those with few links also on their own; below ``RECALL`` the
+shards are made to overlap more, and the whole is done again. If that does not do,
+``exact_links`` compares every node with all shards of its label that can hold a
+link of it by their centre's distance. Shards above ``BLOCK_NODES`` are split into blocks, each with its own
 graph that all nodes of the shard are searched in, so memory stays bounded.
 
 Defined cases: vectors without vec_id or label, and vectors that are null,
@@ -40,6 +42,8 @@ SAMPLE, SHARD_NODES, MAX_CENTRES, BLOCK_NODES = 16384, 1000, 1024, 4096
 NEAREST, RANDOM, DEGREE, ALPHA = 32, 16, 12, 1.2
 MEDOIDS, BEAM, SLACK, BATCH = 8, 16, 0.03, 256
 AUDIT, RECALL = 256, 0.98
+#: Nodes of at most so many links are audited on their own too.
+FEW = 8
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -355,7 +359,8 @@ def _found(node, links, other) -> pa.RecordBatch:
 
 
 def audit(nodes: DataFrame, found: DataFrame, dim: int, threshold: float) -> float:
-    """The share of the true links of ``AUDIT`` nodes that were found (1.0 if they have none)."""
+    """The share of the true links of ``AUDIT`` nodes that were found (1.0 if they have none):
+    the mean over nodes with links, or over those with few if that is less."""
     spark = nodes.sparkSession
     sample = hash_sample(nodes, AUDIT, "rep", "node").collect()
     if not sample:
@@ -376,8 +381,100 @@ def audit(nodes: DataFrame, found: DataFrame, dim: int, threshold: float) -> flo
 
     truth = nodes.mapInArrow(brute, "node long, links long, other long").groupBy("node").agg(F.sum("links").alias("true"))
     have = found.groupBy(F.col("node").alias("_n")).agg(F.sum("links").alias("have"))
-    row = truth.join(have, F.col("node") == F.col("_n"), "left").agg(F.sum("true").alias("t"), F.sum(F.coalesce("have", F.lit(0))).alias("h")).first()
-    return row.h / row.t if row.t else 1.0
+    share = F.least(F.coalesce("have", F.lit(0)) / F.col("true"), F.lit(1.0))
+    row = (truth.join(have, F.col("node") == F.col("_n"), "left").where(F.col("true") > 0)
+           .agg(F.avg(share).alias("all"), F.avg(F.when(F.col("true") <= FEW, share)).alias("few")).first())
+    return min(1.0 if x is None else x for x in row)
+
+
+def exact_links(nodes: DataFrame, dim: int, threshold: float) -> DataFrame:
+    """What ``search_links`` returns, with every link: a node is compared with all nodes
+    of a shard if its angle to the centre is within the shard's radius and the threshold's."""
+    spark = nodes.sparkSession
+    sample = hash_sample(nodes.select("node", "vec"), SAMPLE, "node").select("vec").collect()
+    c = spark.sparkContext.broadcast(unit(centres(unit(np.array([r.vec for r in sample], np.float64)), nodes.count())))
+
+    def angles(column):
+        return np.arccos(np.clip(unit(matrix(column, dim)) @ c.value.T, -1, 1))
+
+    def assign(batches):
+        for batch in batches:
+            if batch.num_rows:
+                far = angles(batch.column("vec"))
+                own = far.argmin(axis=1)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own, pa.int32()), pa.array(far[np.arange(len(own)), own])],
+                                                 names=[*batch.schema.names, "centre", "angle"])
+
+    columns = ["node", "label", "copies", "vec"]
+    fields = [nodes.schema[x] for x in columns]
+    dealt = materialize(nodes.select(*columns).mapInArrow(
+        assign, T.StructType([*fields, T.StructField("centre", T.IntegerType()), T.StructField("angle", T.DoubleType())])), "homes")
+    limit = np.full(len(c.value), -np.inf)
+    for r in dealt.groupBy("centre").agg(F.max("angle").alias("radius")).collect():   # a row per centre
+        limit[r.centre] = r.radius + np.arccos(min(1.0, max(-1.0, threshold))) + 1e-6
+    limits = spark.sparkContext.broadcast(limit)
+
+    def reach(batches):
+        for batch in batches:
+            if batch.num_rows:
+                near = angles(batch.column("vec")) <= limits.value
+                to = [np.flatnonzero(x).tolist() for x in near]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(to, pa.list_(pa.int32()))], names=[*batch.schema.names, "to"])
+
+    blocks = dealt.groupBy(F.col("label").alias("_l"), F.col("centre").alias("_c")).agg(
+        F.ceil(F.count(F.lit(1)) / BLOCK_NODES).cast("int").alias("blocks"))
+
+    def with_blocks(df):
+        return df.join(blocks, (F.col("label") == F.col("_l")) & (F.col("centre") == F.col("_c")))
+
+    held = with_blocks(dealt).withColumn("grp", _group(F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))).withColumn("kind", F.lit(0))
+    reached = nodes.select(*columns).mapInArrow(reach, T.StructType([*fields, T.StructField("to", T.ArrayType(T.IntegerType()))]))
+    asked = (with_blocks(reached.select(*columns, F.explode("to").alias("centre")))
+             .select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+             .withColumn("grp", _group(F.col("block"))).withColumn("kind", F.lit(1)))
+
+    def compare(batches):
+        key, kept, ready = None, [], None
+
+        def close():
+            ids, x, copies, sets = ready
+            tops = np.array([sets.top(i) for i in range(len(ids))])
+            moved = np.flatnonzero(tops != np.arange(len(ids)))
+            return _found(ids[moved], np.zeros(len(moved), np.int64), ids[tops[moved]])
+
+        for (k, kind), part in Groups(batches, "grp", "kind"):
+            if k != key:
+                if ready is not None:
+                    yield close()
+                key, kept, ready = k, [], None
+            if kind == 0:
+                kept.append(part)
+                continue
+            if not kept:   # a block that got no node
+                continue
+            if ready is None:
+                t = pa.Table.from_batches(kept).combine_chunks()
+                ids = t.column("node").to_numpy()
+                ready = (ids, unit(matrix(t.column("vec").combine_chunks(), dim)), t.column("copies").to_numpy(), _Sets(len(ids)))
+            ids, x, copies, sets = ready
+            q, who = unit(matrix(part.column("vec"), dim)), part.column("node").to_numpy()
+            for a in range(0, len(q), BATCH):
+                inside = exact_range(x, q[a:a + BATCH], threshold) & (who[a:a + BATCH, None] != ids[None, :])
+                out = ([], [], [])
+                for i in np.flatnonzero(inside.any(axis=1)):
+                    hit = np.flatnonzero(inside[i])
+                    sets.join(hit)
+                    out[0].append(int(who[a + i]))
+                    out[1].append(int(copies[hit].sum()))
+                    out[2].append(int(ids[hit[0]]))
+                if out[0]:
+                    yield _found(*map(np.array, out))
+        if ready is not None:
+            yield close()
+
+    parts = [df.select("grp", "kind", "node", "copies", "vec") for df in (held, asked)]
+    both = parts[0].unionByName(parts[1]).repartition("grp").sortWithinPartitions("grp", "kind", "node")
+    return materialize(both.mapInArrow(compare, "node long, links long, other long"), "links")
 
 
 def near_duplicates(embeddings: DataFrame, threshold: float = 0.93) -> DataFrame:
@@ -394,6 +491,8 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.93) -> DataFrame
         found = search_links(nodes, dim, threshold, overlap)
         if audit(nodes, found, dim, threshold) >= RECALL:
             break
+    else:
+        found = exact_links(nodes, dim, threshold)
     joined = components(found.select(F.col("node").alias("a"), F.col("other").alias("b")))
     least = (joined.join(nodes.select("node", "rep"), F.col("id") == F.col("node")).groupBy(F.col("component").alias("_c"))
              .agg(F.min("rep").alias("least")))

@@ -150,3 +150,24 @@ def test_links_count_whoever_found_them(spark, monkeypatch, block):
     for r in E.search_links(nodes, dim, 0.93, 2).collect():
         got[r.node] += r.links
     assert len(set().union(*shards.values())) > 3 and got == want and any(want.values())
+
+
+def test_a_group_with_many_links_hides_no_small_pairs(spark):
+    hot = [(i, [1.0] * 7 + [1.0 + i / 10000], 1) for i in range(100)]
+    pairs = [(1000 + i, [float(x) for x in np.random.default_rng(i // 2).normal(size=8) + (i % 2) * 0.001], 2) for i in range(60)]
+    prepared, dim = E.prepared(frame(spark, hot + pairs), "label")
+    nodes = E.nodes_of(prepared.where("label is not null").select("vec_id", "vec", "label"))
+    found = spark.createDataFrame([(r.node, 99, 0) for r in nodes.collect() if r.label == 1], "node long, links long, other long")
+    assert E.audit(nodes, found, dim, 0.999) < E.RECALL
+
+
+@pytest.mark.parametrize("block", [E.BLOCK_NODES, 40])
+def test_links_are_exact_if_no_overlap_finds_them(spark, monkeypatch, block):
+    lost = lambda nodes, *_: spark.createDataFrame([], "node long, links long, other long")
+    monkeypatch.setattr(E, "search_links", lost)
+    monkeypatch.setattr(E, "SHARD_NODES", 60)
+    monkeypatch.setattr(E, "BLOCK_NODES", block)
+    rows = make(6, 500)
+    want = brute_links(rows, 0.93)
+    got = E.near_duplicates(frame(spark, rows), 0.93).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == want
