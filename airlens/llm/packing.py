@@ -160,13 +160,13 @@ def reduce_dominated(hist: dict[int, int], capacity: int) -> tuple[list[tuple[in
         two = len(low) >= 2 and low[0] + low[1] <= room
         three = len(low) >= 3 and sum(low) <= room
         if not two or (not three and stock.best_pair(room, w) <= k):
-            if not two and k != w:
+            if not two and k != w and k not in low[:2]:
                 # while k lasts, and while the two smallest stay, the same holds for the next pair
                 n = min(stock.count[w], stock.count[k])
-                if k in low[:2]:
-                    n = 1
             else:
-                n = 1
+                # three pieces of a length beside w are all that the conditions look at: the same
+                # holds for the next pair while there are four of w and of k
+                n = max(1, (stock.count[w] - 2) // 2 if k == w else min(stock.count[w], stock.count[k]) - 3)
             fixed.append((n, (w, k)))
             stock.take(w, n)
             stock.take(k, n)

@@ -130,6 +130,18 @@ def test_reduction_keeps_an_optimum(capacity, items):
     assert held == Counter(items)
 
 
+@pytest.mark.parametrize("hist", [{1500: 100000, 500: 100000, 200: 10}, {900: 100001, 300: 20}, {1500: 100000, 500: 70000, 300: 50}])
+def test_the_plan_does_not_grow_with_the_pieces(hist):
+    fixed, rest = packing.reduce_dominated(hist, 2048)
+    assert len(fixed) < 50
+    assert len(packing.runs(packing.plan(hist, 2048))) < 100
+    held = Counter(rest)
+    for n, lengths in fixed:
+        for w in lengths:
+            held[w] += n
+    assert held == Counter(hist)
+
+
 def check_packing(docs, capacity):
     path = tokenizer_path("byte_bpe_50k.json")
     got = packing.pack(docs, path, 0, capacity).collect()
