@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airlens.llm import chat, embedding_dedup, language, line_dedup, mixing, neighbours, ngram_join, packing, token_counts, token_files
+from airlens.llm import chat, embedding_dedup, language, line_dedup, merkle, mixing, neighbours, ngram_join, packing, token_counts, token_files
 from airlens.llm.common import table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,8 @@ def op9(spark, sf_dir):
 @register("op10_nearest_neighbours")
 def op10(spark, sf_dir):
     return neighbours.search(table(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
+@register("op11_merkle_manifest", merkle.ORACLE)
+def op11(spark, sf_dir):
+    return merkle.manifest(table(spark, sf_dir, "documents"))
