@@ -106,3 +106,11 @@ def crc32_u32(ids: np.ndarray) -> int:
 def source_key(column: str = "source"):
     """A null source is a source of its own."""
     return F.coalesce(F.col(column), F.lit(""))
+
+
+def crc32_sql(column: str) -> str:
+    """DuckDB SQL for the unsigned crc32 of an integer column's decimal text."""
+    bits = "lambda x, _: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END"
+    one = f"lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [b::BIGINT FOR b IN range(8)]), {bits})"
+    text = f"[ascii(c)::BIGINT FOR c IN string_split({column}::VARCHAR, '')]"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {text}), {one}), 4294967295::BIGINT)"

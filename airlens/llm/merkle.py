@@ -28,7 +28,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from airlens.llm.common import materialize
+from airlens.llm.common import crc32_sql, materialize
 from airlens.operators.ranking import rank_within
 
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
@@ -194,14 +194,10 @@ def _sql_leaf(n_chars: str) -> str:
     return "sha256(" + " || ".join(_sql_field(n_chars if c == "n_chars" else c) for c in FIELDS) + ")"
 
 
-_SQL_CRC = """list_reduce(list_prepend(4294967295::BIGINT, [ascii(c)::BIGINT FOR c IN string_split(doc_id::VARCHAR, '')]),
-    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [b::BIGINT FOR b IN range(8)]),
-    lambda x, b: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END))"""
-
 ORACLE = f"""
 WITH RECURSIVE d AS (
   SELECT *, coalesce('=' || lang, '') AS tree, {_sql_leaf('n_chars')} AS leaf,
-         CASE WHEN xor({_SQL_CRC}, 4294967295::BIGINT) % {TAMPER} = 0 AND n_chars IS NOT NULL THEN {_sql_leaf('(n_chars + 1)')} END AS changed
+         CASE WHEN {crc32_sql('doc_id')} % {TAMPER} = 0 AND n_chars IS NOT NULL THEN {_sql_leaf('(n_chars + 1)')} END AS changed
   FROM documents),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM d),
 up(tree, level, pos, h, n) AS (
