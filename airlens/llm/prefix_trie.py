@@ -9,9 +9,10 @@ its leaves, and cumulative arrays over the preorder give members and savings.
 
 Nodes that reach over a shard's edge are those on the common prefix of the conversations on both
 sides of it: the shard's spine. Shards hand on partial figures for spines, all others are final. Equal
-spine nodes are merged by their path, their own leaves and savings are added to their ancestors,
-and the nodes below get the merged parent by (shard, number), so no key is hot. Only one row per shard is
-broadcast: how deep its two spines are.
+spine nodes are merged by a digest of their path, their own leaves and savings are added up to the root, and the
+nodes below get the merged parent by (shard, number), so no key is hot. Spines are as long as what two neighbouring
+shards have in common and as many as shards: one task adds them up, in time linear in their nodes. Only one row
+per shard is broadcast: how deep its two spines are.
 
 Memory: a task holds one shard, of about SHARD_TURNS turns. A single conversation is one row of 52
 bytes a turn, without its texts. The digest of a node's ends is sequential by definition: for a spine
@@ -43,7 +44,7 @@ CHUNK = 8192
 NOTHING = hashlib.sha256(b"").hexdigest()
 
 ENCODED = ("kind int, shard int, no long, parent long, conv_id long, depth long, parent_conv_id long, n_convs long, n_children long, "
-           "n_leaves long, saved_tokens long, last long, ends string, path binary")
+           "n_leaves long, saved_tokens long, last long, ends string, path binary, above binary")
 NODE, SPINE, ENDS = 0, 1, 2
 COLUMNS = ("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
 
@@ -130,19 +131,24 @@ class Shard:
         self.parent[0] = -1
         self.children = np.bincount(self.parent[1:], minlength=self.n)
 
-    def spine(self, left: int, right: int) -> np.ndarray:
-        """Which nodes are on a prefix shared with a neighbouring shard."""
-        found = np.zeros(self.n, bool)
-        found[:left + 1] = True   # the first conversation's path comes first
-        node = int(self.end[-1])
+    def spine(self, left: int, right: int) -> dict[int, tuple[bytes, bytes | None]]:
+        """The nodes on a prefix shared with a neighbouring shard: digests of their path and their parent's."""
+        found = chain(range(left + 1), self.digests)   # the first conversation's path comes first
+        path, node = [], int(self.end[-1])
         while node >= 0:
-            found[node] |= self.depth[node] <= right
+            path.append(node)
             node = int(self.parent[node])
-        return found
+        return found | chain(path[::-1][:right + 1], self.digests[self.off[-2]:])
 
-    def path(self, node: int) -> bytes:
-        first = self.off[self.maker[node]]
-        return self.digests[first:first + self.depth[node]].tobytes()
+
+def chain(nodes, digests: np.ndarray) -> dict[int, tuple[bytes, bytes | None]]:
+    """Digests by node for ``nodes``, a path from the root, with ``digests`` of its turns."""
+    found, above = {}, None
+    for i, node in enumerate(nodes):
+        own = bytes(DIGEST) if above is None else hashlib.blake2b(above + digests[i - 1].tobytes(), digest_size=DIGEST).digest()
+        found[int(node)] = (own, above)
+        above = own
+    return found
 
 
 def _batch(kind: int, shard: int, n: int, **columns) -> pa.RecordBatch:
@@ -159,7 +165,9 @@ def _batch(kind: int, shard: int, n: int, **columns) -> pa.RecordBatch:
 
 def encode_shard(number: int, trie: Shard, left: int, right: int):
     """Batches of ENCODED: final nodes, partial figures of spine nodes, and the ids that end at these."""
-    spine = trie.spine(left, right)
+    shared = trie.spine(left, right)
+    spine = np.zeros(trie.n, bool)
+    spine[list(shared)] = True
     own = np.where(spine, 0, (trie.members - 1) * trie.last)
     saved = within(own, trie.size)
     childless = trie.size == 1
@@ -173,7 +181,7 @@ def encode_shard(number: int, trie: Shard, left: int, right: int):
         if not spine[node]:
             ends[node] = hashlib.sha256(",".join(map(str, trie.ids[a:b].tolist())).encode()).hexdigest()
             continue
-        chunks += [(trie.path(node), i, ",".join(map(str, trie.ids[i:min(b, i + CHUNK)].tolist()))) for i in range(a, b, CHUNK)]
+        chunks += [(shared[int(node)][0], i, ",".join(map(str, trie.ids[i:min(b, i + CHUNK)].tolist()))) for i in range(a, b, CHUNK)]
     under = spine[up] & (trie.parent >= 0)
     done = np.flatnonzero(~spine)
     for part in np.array_split(done, max(1, len(done) // 50_000)):
@@ -183,7 +191,8 @@ def encode_shard(number: int, trie: Shard, left: int, right: int):
     half = np.flatnonzero(spine)
     if len(half):
         yield _batch(SPINE, number, len(half), no=half, conv_id=trie.least[half], depth=trie.depth[half], n_convs=trie.members[half], n_children=children[half],
-                     n_leaves=leaves[half], saved_tokens=saved[half], last=trie.last[half], path=pa.array([trie.path(v) for v in half], pa.binary()))
+                     n_leaves=leaves[half], saved_tokens=saved[half], last=trie.last[half],
+                     path=pa.array([shared[int(v)][0] for v in half], pa.binary()), above=pa.array([shared[int(v)][1] for v in half], pa.binary()))
     for part in (chunks[i:i + 50] for i in range(0, len(chunks), 50)):
         yield _batch(ENDS, number, len(part), no=np.array([c[1] for c in part]), ends=pa.array([c[2] for c in part]), path=pa.array([c[0] for c in part], pa.binary()))
 
@@ -236,20 +245,39 @@ def _ends(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows])], names=["path", "ends_sha256"])
 
 
+def added_up(nodes: DataFrame) -> DataFrame:
+    """(path, leaf, own): sums over the subtree of every node of (path, above, depth, leaf, own), in one task."""
+    def climb(batches):
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        rows = pa.Table.from_batches(held).sort_by([("depth", "descending")])
+        paths, above = rows.column("path").to_pylist(), rows.column("above").to_pylist()
+        place = {p: i for i, p in enumerate(paths)}
+        leaf, own = rows.column("leaf").to_pylist(), rows.column("own").to_pylist()
+        for i, p in enumerate(above):   # the deepest first
+            if p is not None:
+                leaf[place[p]] += leaf[i]
+                own[place[p]] += own[i]
+        for i in range(0, len(paths), 10_000):
+            yield pa.RecordBatch.from_arrays([pa.array(paths[i:i + 10_000], pa.binary()), pa.array(leaf[i:i + 10_000], pa.int64()), pa.array(own[i:i + 10_000], pa.int64())],
+                                             names=["path", "leaf", "own"])
+
+    return nodes.select("path", "above", "depth", "leaf", "own").coalesce(1).mapInArrow(climb, "path binary, leaf long, own long")
+
+
 def merge_spines(encoded: DataFrame) -> DataFrame:
     """Spine nodes with their whole figures, one row for each path."""
     total = [F.sum(c).alias(c) for c in ("n_convs", "n_children", "n_leaves", "saved_tokens")]
-    merged = encoded.where(F.col("kind") == SPINE).groupBy("path").agg(F.min("conv_id").alias("conv_id"), F.max("depth").alias("depth"), F.max("last").alias("last"), *total)
-    merged = materialize(merged, "merged-spines")
-    prefix = lambda k: F.expr(f"substring(path, 1, {DIGEST} * ({k}))")
-    below = merged.where("depth > 0").groupBy(prefix("depth - 1").alias("_p")).agg(F.count(F.lit(1)).alias("more"))
+    merged = encoded.where(F.col("kind") == SPINE).groupBy("path").agg(F.min("conv_id").alias("conv_id"), F.max("depth").alias("depth"), F.max("last").alias("last"),
+                                                                       F.max("above").alias("above"), *total)
+    below = merged.where("depth > 0").groupBy(F.col("above").alias("_p")).agg(F.count(F.lit(1)).alias("more"))
     merged = merged.join(below, F.col("path") == F.col("_p"), "left").withColumn("n_children", F.col("n_children") + F.coalesce("more", F.lit(0))).drop("_p", "more")
-    added = (merged.select("path", "depth", F.expr("CAST(n_children = 0 AS BIGINT) AS leaf"), ((F.col("n_convs") - 1) * F.col("last")).alias("own"))
-             .select("path", F.explode(F.expr("sequence(0L, depth)")).alias("up"), "leaf", "own")
-             .groupBy(prefix("up").alias("_p")).agg(F.sum("leaf").alias("leaf"), F.sum("own").alias("own")))
+    merged = materialize(merged.withColumn("leaf", (F.col("n_children") == 0).cast("long")).withColumn("own", (F.col("n_convs") - 1) * F.col("last")), "merged-spines")
+    added = added_up(merged).withColumnRenamed("path", "_p")
     parents = merged.select(F.col("path").alias("_q"), F.col("conv_id").alias("parent_conv_id"))
     ends = joined_ends(encoded.where(F.col("kind") == ENDS)).withColumnRenamed("path", "_e")
-    whole = (merged.join(added, F.col("path") == F.col("_p")).join(parents, (F.col("depth") > 0) & (prefix("depth - 1") == F.col("_q")), "left")
+    whole = (merged.drop("leaf", "own").join(added, F.col("path") == F.col("_p")).join(parents, F.col("above") == F.col("_q"), "left")
              .join(ends, F.col("path") == F.col("_e"), "left"))
     return materialize(whole.select("path", "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", (F.col("n_leaves") + F.col("leaf")).alias("n_leaves"),
                                     (F.col("saved_tokens") + F.col("own")).alias("saved_tokens"), F.coalesce("ends_sha256", F.lit(NOTHING)).alias("ends_sha256")), "whole-spines")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airlens.llm import chat, embedding_dedup, language, line_dedup, merkle, mixing, neighbours, ngram_join, packing, prefix_trie, token_counts, token_files
+from airlens.llm import chat, embedding_dedup, language, line_dedup, merkle, mixing, neighbours, ngram_join, packing, pii, prefix_trie, token_counts, token_files
 from airlens.llm.common import table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,8 @@ def op11(spark, sf_dir):
 @register("op13_prefix_trie", prefix_trie.ORACLE)
 def op13(spark, sf_dir):
     return prefix_trie.prefix_nodes(table(spark, sf_dir, "conversations"))
+
+
+@register("op12_personal_data")
+def op12(spark, sf_dir):
+    return pii.personal_data(table(spark, sf_dir, "documents"))
