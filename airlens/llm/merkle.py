@@ -121,8 +121,8 @@ def steps(ranked: DataFrame) -> tuple[DataFrame, str | None]:
         under = lowest.join(way, (F.col("tree") == F.col("_t")) & (F.shiftright("page", PAGE_LEVELS * (t - 1)) == F.col("_p")))
         rows.append(under.select("tree", "page", F.lit(t).alias("tier"), "at", "levels", no_hash.alias("subroot")))
     # the tree of subroots: its leaves are ranked by tree, its pages follow the tree's own
-    heads = materialize(rank_within(tops, [], ["tree"], out="rank").select("tree", "hash", (F.col("rank") - 1).alias("pos")), "subroots")
-    upper, root = build(heads.select(F.lit("").alias("tree"), "pos", "hash"))
+    heads = materialize(rank_within(tops, [], ["tree"], out="rank").select("tree", "hash", (F.col("rank") - 1).alias("pos"), F.lit("").alias("all")), "subroots")
+    upper, root = build(heads.select(F.col("all").alias("tree"), "pos", "hash"))
     own = tiers[0].select("tree", F.lit(1).alias("t"))
     for t, tier in enumerate(tiers[1:], 2):
         own = own.unionByName(tier.select("tree", F.lit(t).alias("t")))

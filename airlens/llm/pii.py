@@ -110,7 +110,7 @@ _SPELT_DOT = r"\s?[(\[{]\s?(?:dot|DOT|\.)\s?[)\]}]\s?|\s(?:dot|DOT)\s"
 _DOMAIN_OTHER = re.compile(rf"[A-Za-z0-9-]{{1,63}}(?:(?:{_SPELT_DOT}|\.)[A-Za-z0-9-]{{1,63}}){{1,8}}")
 _IP_OTHER = re.compile(rf"(?<![0-9])[0-9]{{1,3}}(?:(?:{_SPELT_DOT})[0-9]{{1,3}}){{3}}(?![0-9])")
 _CARD_OTHER = re.compile(r"(?<![0-9])[0-9]{4}([./_  ‐-―]| {2}| - )[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}(?![0-9])")
-_PHONE_OTHER = re.compile(r"(?<![0-9+.,/-])(?:00[0-9]{1,3}[ .-]?)?\(?[0-9]{2,4}\)?[ ./-]{1,2}[0-9]{3,4}[ ./-][0-9]{3,4}(?![ ./-]?[0-9])")
+_PHONE_OTHER = re.compile(r"(?<![0-9+.,/-])(?<![0-9][ .,/-])(?:00[0-9]{1,3}[ .-]?)?\(?[0-9]{2,4}\)?[ ./-]{1,2}[0-9]{3,4}[ ./-][0-9]{3,4}(?![ ./-]?[0-9])")
 
 
 def other_notations(text: str):
