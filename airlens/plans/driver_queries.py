@@ -23,6 +23,7 @@ from ..functions.predicates import Box, Period
 from ..operators.align import align_on_time, pair_first
 from ..operators.profile import profile
 from ..operators.regression import (compare, comparison_lines, feature_label, fit_linear, linear_coefficients, load_linear, load_pa, pa_fit, pa_fit_groups, pa_weights_frame, predict_linear, predict_pa, rmse_lines, save_linear, save_pa)
+from ..operators.scan import attach_scan
 from ..operators.series import SeriesIndex
 from ..schemas import FEATURES, ISO_TS_FORMAT, MERGED_HEADER, POLLUTION_TS_FORMAT, WEEKDAY_COLUMNS, Layout
 from ..session import scratch_path
@@ -253,6 +254,15 @@ def q_weather_wide(spark, sf):
     return res.select("event_id", "ts", *[rnd(f"v_{k}", 6).alias(f"v_{k}") for k in SERIES_TYPES])
 
 
+@register("weather_scan", _wide_sql())
+def q_weather_scan(spark, sf):
+    """All series in one ordered scan over readings and points."""
+    ev = table(spark, sf, "events")
+    points = ev.select(F.col("event_type").alias("measurement"), "ts", "value")
+    res = attach_scan(ev.select("event_id", "ts"), "ts", points, {k: f"v_{k}" for k in SERIES_TYPES})
+    return res.select("event_id", "ts", *[rnd(f"v_{k}", 6).alias(f"v_{k}") for k in SERIES_TYPES])
+
+
 @register("json_points", """
 SELECT event_id, key, CAST(json_extract_string(props, '$."' || key || '"') AS DOUBLE) AS value
 FROM (SELECT event_id, props, unnest(json_keys(props)) AS key FROM events)

@@ -6,8 +6,7 @@
 3. the six weather measurements are interpolated at each row's time;
 4. weekday flags are derived and the 23 merged columns assembled.
 
-Everything is one lazy DataFrame except the weather segments (a table the
-size of the weather series), which are written once.
+Everything is one lazy DataFrame; times are read once beforehand, to cut them into buckets.
 """
 
 from __future__ import annotations
@@ -19,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import weekday_flags
 from ..operators.align import align_on_time, first_group
+from ..operators.scan import attach_scan
 from ..operators.series import SeriesIndex
 from ..schemas import MERGED_HEADER, MERGED_SEP, POLLUTANTS, TRAFFIC, WEATHER_COLUMNS, WEEKDAY_COLUMNS
 from ..sources.records import read_first_files, read_pollution
@@ -45,8 +45,10 @@ def merge(pollution: DataFrame, traffic: DataFrame, weather: DataFrame | SeriesI
     right = t.select("sensor_id", "ts", F.col("_pos").alias("_rpos"), "average_speed", "vehicle_count")
     aligned = align_on_time(left, right, ["sensor_id", "ts"], ["_lpos"], ["_rpos"], left_group=["_lfile"],
                             small_groups=True)   # readings of one sensor at one instant
-    index = weather if isinstance(weather, SeriesIndex) else SeriesIndex(weather, "measurement", "ts", "value")
-    rows = index.attach(aligned, "ts", weather_columns)
+    if isinstance(weather, SeriesIndex):
+        rows = weather.attach(aligned, "ts", weather_columns)
+    else:   # aligned rows have times of pollution readings, which are cheaper to read
+        rows = attach_scan(aligned, "ts", weather, weather_columns, times=left)
     return assemble(rows, weather_columns)
 
 

@@ -25,12 +25,13 @@ def explode_points(lines: DataFrame, json_col: str, keep: list[str] | tuple = ()
     the key), else ``(keep..., key, value)``.  Non-string JSON values are taken
     as their text, so ``{"k": 69}`` gives value 69.0.
     """
-    # fail mode raises on a malformed line (FAILFAST) instead of reading it as
+    # a malformed line is null here: fail mode raises on it, others read it as
     # an empty object; blank lines carry nothing and are skipped
-    opts = {"mode": "FAILFAST"} if mode == "fail" else {}
     lines = lines.where(F.length(F.trim(F.col(json_col))) > 0)
-    entries = lines.select(*keep, F.explode(F.from_json(F.col(json_col), "map<string,string>", opts))
-                           .alias("key", "_raw"))
+    parsed = F.from_json(F.col(json_col), "map<string,string>")
+    if mode == "fail":
+        parsed = F.when(parsed.isNull(), F.raise_error(F.concat(F.lit("Malformed JSON object: "), F.col(json_col)))).otherwise(parsed)
+    entries = lines.select(*keep, F.explode(parsed).alias("key", "_raw"))
     entries = entries.where(F.col("_raw").isNotNull() & (F.trim(F.col("_raw")) != ""))
     cols: list[Column] = [F.col(c) for c in keep] + [F.col("key")]
     if key_is_time:
