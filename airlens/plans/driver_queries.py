@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import weekday_flags
 from ..functions.predicates import Box, Period
 from ..operators.align import align_on_time, pair_first
+from ..operators.gram import fit_all
 from ..operators.profile import profile
 from ..operators.regression import (compare, comparison_lines, feature_label, fit_linear, linear_coefficients, load_linear, load_pa, pa_fit, pa_fit_groups, pa_weights_frame, predict_linear, predict_pa, rmse_lines, save_linear, save_pa)
 from ..operators.scan import attach_scan
@@ -34,6 +35,9 @@ from ..streaming.replay import replay
 from ..streaming.report import stream_region_report, stream_window_profile
 from ..streaming.score import stream_score
 from ..streaming.sources import decode, file_lines
+from ..streaming.train import latest_weights, stream_pa_fit
+from .bucketed import align_bucketed, ingest_bucketed
+from .cube import ingest_cube, region_report_cube
 from .ingest import ingest_readings, read_ingested, region_report_ingested
 from .merge import merge_files, write_merged
 from .report import region_readings, region_report, report_lines
@@ -194,6 +198,27 @@ def q_time_align_join(spark, sf):
     return out.select("h", "k", "left_id", "left_value", "right_id", "right_value")
 
 
+@register("aligned_bucketed", """
+WITH l AS (SELECT l_suppkey AS sensor_id, date_trunc('month', l_shipdate) AS ts, l_orderkey, l_linenumber, l_quantity,
+                  row_number() OVER (PARTITION BY l_suppkey, date_trunc('month', l_shipdate) ORDER BY l_orderkey, l_linenumber, l_partkey) AS k FROM lineitem),
+     r AS (SELECT o_custkey AS sensor_id, date_trunc('month', o_orderdate) AS ts, o_orderkey, o_totalprice,
+                  row_number() OVER (PARTITION BY o_custkey, date_trunc('month', o_orderdate) ORDER BY o_orderkey) AS k FROM orders)
+SELECT sensor_id, CAST(ts AS TIMESTAMP) AS ts, k, l_orderkey, l_linenumber, l_quantity, o_orderkey, o_totalprice FROM l JOIN r USING (sensor_id, ts, k)""")
+def q_aligned_bucketed(spark, sf):
+    """Two bucketed tables aligned without an exchange."""
+    month = lambda c: F.date_trunc("month", c).cast("timestamp_ntz").alias("ts")
+    li = table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("sensor_id"), month("l_shipdate"), "l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    orders = table(spark, sf, "orders").select(F.col("o_custkey").alias("sensor_id"), month("o_orderdate"), "o_orderkey", "o_totalprice")
+    names = []
+    for rows in (li, orders):
+        path = scratch_path(spark, "bucketed")
+        names.append("bucketed_" + path.rsplit("-", 1)[1])
+        ingest_bucketed(rows, names[-1], path, buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    out = align_bucketed(spark, *names, left_order=["l_orderkey", "l_linenumber", "l_partkey"], right_order=["o_orderkey"], k="k",
+                         left_columns=["l_orderkey", "l_linenumber", "l_partkey", "l_quantity"], right_columns=["o_orderkey", "o_totalprice"])
+    return out.select("sensor_id", "ts", F.col("k").cast("long").alias("k"), "l_orderkey", "l_linenumber", "l_quantity", "o_orderkey", "o_totalprice")
+
+
 # --- as-of lookups and interpolation against a sparse series ----------------
 SERIES_TYPES = ["click", "error", "purchase", "signup", "view"]
 
@@ -518,6 +543,28 @@ def q_linear_predict(spark, sf):
     return out.select("event_id", "label", rnd("linear_prediction").alias("linear_prediction"))
 
 
+ALL_TARGETS = {"by_hour": "hour(ts) / 10.0", "by_day": "day(ts) / 10.0", "by_minute": "minute(ts) / 10.0",
+               "by_user": "user_id / 10.0", "by_event": "event_id / 1000.0"}
+
+
+@register("linear_fit_all", "WITH d AS (SELECT value / 100.0::DOUBLE AS x1, CAST(json_extract_string(props, '$.k') AS DOUBLE) / 100.0::DOUBLE AS x2, "
+          + ", ".join(f"({e})::DOUBLE AS {t}" for t, e in ALL_TARGETS.items()) + " FROM events)\n" + "\nUNION ALL\n".join(f"""
+SELECT '{t}' AS target, elements, round(my - b1 * m1 - b2 * m2, 4) AS intercept, round(b1, 4) AS coef_x1, round(b2, 4) AS coef_x2,
+       round(sqrt(greatest(g - b1 * e - b2 * f, 0)), 4) AS rmse
+FROM (SELECT *, (c * e - b * f) / (a * c - b * b) AS b1, (a * f - b * e) / (a * c - b * b) AS b2 FROM (
+  SELECT covar_pop(x1, x1) AS a, covar_pop(x1, x2) AS b, covar_pop(x2, x2) AS c, covar_pop(x1, {t}) AS e, covar_pop(x2, {t}) AS f,
+         var_pop({t}) AS g, avg(x1) AS m1, avg(x2) AS m2, avg({t}) AS my, count(*)::BIGINT AS elements FROM d))""" for t in ALL_TARGETS))
+def q_linear_fit_all(spark, sf):
+    """Five targets from one scan."""
+    ev = table(spark, sf, "events")
+    data = ev.select((F.col("value") / 100.0).alias("x1"), (F.get_json_object("props", "$.k").cast("double") / 100.0).alias("x2"),
+                     *[F.expr(e).cast("double").alias(t) for t, e in ALL_TARGETS.items()])
+    m = fit_all(data, ML_FEATURES, list(ALL_TARGETS))
+    rows = [(t, m.elements, *[round(float(x), 4) for x in (m.intercepts[i], *m.coefficients[:, i], (m.residuals[i] / m.elements) ** 0.5)])
+            for i, t in enumerate(m.targets)]
+    return spark.createDataFrame(rows, "target string, elements long, intercept double, coef_x1 double, coef_x2 double, rmse double")
+
+
 @register("pa_fit_entity", f"""WITH RECURSIVE {_PA_SQL}
 SELECT user_id, round(w1, 4) AS w1, round(w2, 4) AS w2, round(b, 4) AS b, n FROM paw""")
 def q_pa_fit_entity(spark, sf):
@@ -695,6 +742,17 @@ def q_stream_score(spark, sf):
                                              rnd("rmse_pa").alias("rmse_pa"), rnd("rmse_linear").alias("rmse_linear"))
 
 
+@register("stream_pa_fit", f"""WITH RECURSIVE {_PA_SQL}
+SELECT user_id, round(w1, 4) AS w1, round(w2, 4) AS w2, round(b, 4) AS b, n FROM paw""")
+def q_stream_pa_fit(spark, sf):
+    """Weights kept as state across micro-batches: those of the sequential fold."""
+    records = decode(file_lines(spark, stage_ml_chunks(spark, sf), "*.csv", max_files_per_trigger=8), ML_LAYOUT, bad_rows="fail")
+    target = scratch_path(spark, "stream-weights")
+    stream_pa_fit(records, target, scratch_path(spark, "ck-train"), "user_id", ["event_id"], ML_FEATURES).awaitTermination()
+    w = latest_weights(spark, target, "user_id")
+    return w.select("user_id", rnd(F.element_at("w", 1)).alias("w1"), rnd(F.element_at("w", 2)).alias("w2"), rnd("b").alias("b"), "n")
+
+
 @register("stream_window_profile",
           _stream_profile_sql("date_trunc('day', ts)", "window_start").replace("substance", "attribute"))
 def q_stream_window_profile(spark, sf):
@@ -736,6 +794,15 @@ def q_region_profile_ingested(spark, sf):
     return _rounded_profile(region_report_ingested(li, LI_BOX, LI_PERIOD, attributes=LI_ATTRS, **LI_GEO))
 
 
+@register("region_profile_cube", _profile_sql(_BOX_SQL))
+def q_region_profile_cube(spark, sf):
+    """The report from month-and-cell moments; raw rows only of the cells that the box or the period cuts."""
+    out, cube = scratch_path(spark, "lineitem-readings"), scratch_path(spark, "lineitem-cube")
+    geo = dict(ts="l_shipdate", lat="l_discount", long="l_tax", cell=0.01)
+    ingest_cube(table(spark, sf, "lineitem"), out, cube, attributes=LI_ATTRS, **geo)
+    return _rounded_profile(region_report_cube(spark, out, cube, LI_BOX, LI_PERIOD, attributes=LI_ATTRS, **geo))
+
+
 # --- skew: three keys, each a third of the table ----------------------------
 @register("skewed_align", """
 WITH l AS (SELECT l_returnflag, l_orderkey AS left_order, l_linenumber AS left_line, l_partkey AS left_part,
