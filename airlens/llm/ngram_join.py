@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from airlens.llm.chunks import release
-from airlens.llm.common import materialize, slices
+from airlens.llm.common import materialize, most_frequent, slices
 from airlens.llm.components import components
 from airlens.llm.shingles import shingle_sets
 from airlens.llm.vectors import Groups
@@ -54,6 +54,8 @@ STAR_ROUNDS, STAR_GAIN, LEADER_ROWS = 6, 20, 512
 SLICE = 2 << 20
 #: Bits of a set's signature.
 SIGNATURE = 1024
+#: Words of 64 bits of the small signature that rows of posting lists carry.
+FOLD = 4
 #: Cost of one verification in postings read.
 VERIFY = 20.0
 
@@ -100,8 +102,8 @@ def frequent_tokens(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray
         if len(keys):
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["token", "n"])
 
-    rows = (docs.select("text").mapInArrow(summarise, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-            .where("n >= 4").orderBy(F.desc("n"), "token").limit(FREQUENT).toPandas())
+    counted = docs.select("text").mapInArrow(summarise, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where("n >= 4")
+    rows = most_frequent(counted, FREQUENT).to_pandas()
     tokens, counts = rows["token"].to_numpy(np.int64).view(np.uint64), rows["n"].to_numpy(np.int64)
     order = np.argsort(tokens)
     return tokens[order], counts[order]
@@ -302,26 +304,45 @@ def merged_tokens(rows: DataFrame) -> DataFrame:
     sets = rows.groupBy("token").agg(F.struct(F.bit_xor(F.xxhash64("cls")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "cls")).alias("y"),
                                               F.count(F.lit(1)).alias("c")).alias("list"))
     return rows.join(sets, "token").groupBy(F.col("list").alias("token"), "cls").agg(
-        F.min("place").alias("place"), F.count(F.lit(1)).alias("weight"), *[F.first(c).alias(c) for c in ("n", "match", "comp")])
+        F.min("place").alias("place"), F.min("earlier").alias("earlier"), F.count(F.lit(1)).alias("weight"), *[F.first(c).alias(c) for c in ("n", "match", "comp")])
+
+
+def folded(sets: DataFrame) -> DataFrame:
+    """(_c, fold): signatures of FOLD words. Parities of several bins together are parities again,
+    so two of them differ in no more bits than the sets differ in tokens."""
+    words = SIGNATURE // 64
+    bits = [F.col("sig")[k] for k in range(words)]
+    fold = []
+    for k in range(FOLD):
+        word = bits[k]
+        for more in bits[k + FOLD::FOLD]:
+            word = word.bitwiseXOR(more)
+        fold.append(word)
+    return sets.select(F.col("row").alias("_c"), F.array(*fold).alias("fold"))
 
 
 def remaining_pairs(rows: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """All close pairs in two components that share enough prefix tokens.
 
-    A pair meets at a token only if the token can be among the first ``need``
-    they have in common: at places i and j that leaves room for at most
-    need - 1 + min(n - i, m - j) common tokens. The smaller set (m) needs
-    fewer of its tokens listed for that than the larger one."""
+    A pair meets at a token only if the token can be among the first ``need`` they have in common. At places
+    i and j, as the o-th of them, it leaves room for o - 1 + min(n - i, m - j) common tokens; and o is at most
+    one more than the listed tokens that either has before it, as earlier common tokens are listed too. The
+    smaller set (m) needs fewer of its tokens listed for that than the larger one. A pair whose small signatures
+    differ in more bits than linked sets differ in tokens does not meet either."""
     p, whole = rule.percent, 100 + rule.percent
-    rows = materialize(merged_tokens(rows), "merged-tokens")
-    other = (rows.where((F.col("n") - F.col("place") + F.col("match") - 1) * whole >= 2 * p * F.col("n"))
-             .select(F.col("token").alias("_t"), F.col("cls").alias("b"), F.col("n").alias("m"), F.col("place").alias("_place"),
-                     F.col("match").alias("_match"), F.col("comp").alias("_comp")))
+    rows = rows.withColumn("earlier", F.row_number().over(Window.partitionBy("cls").orderBy("place")) - 1)   # of one document's prefix
+    rows = merged_tokens(rows).join(folded(sets), F.col("cls") == F.col("_c")).drop("_c")
+    rows = materialize(rows.withColumn("slack", F.least(F.col("match") - 1, F.col("earlier"))).drop("earlier"), "merged-tokens")
+    other = (rows.where((F.col("n") - F.col("place") + F.col("slack")) * whole >= 2 * p * F.col("n"))
+             .select(F.col("token").alias("_t"), F.col("cls").alias("b"), F.col("n").alias("m"), F.col("place").alias("_place"), F.col("slack").alias("_slack"),
+                     F.col("match").alias("_match"), F.col("comp").alias("_comp"), F.col("fold").alias("_fold")))
     need = F.least("match", "_match")
-    room = F.least(F.col("n") - F.col("place"), F.col("m") - F.col("_place")) + need - 1
+    room = F.least(F.col("n") - F.col("place"), F.col("m") - F.col("_place")) + F.least("slack", "_slack")
     larger = (F.col("m") < F.col("n")) | ((F.col("m") == F.col("n")) & (F.col("b") < F.col("cls")))
+    differ = sum((F.bit_count(F.col("fold")[k].bitwiseXOR(F.col("_fold")[k])) for k in range(1, FOLD)), F.bit_count(F.col("fold")[0].bitwiseXOR(F.col("_fold")[0])))
     met = rows.join(other, (F.col("token") == F.col("_t")) & larger & (F.col("comp") != F.col("_comp"))
-                    & rule.fits(F.col("n"), F.col("m")) & (room * whole >= p * (F.col("n") + F.col("m"))))
+                    & rule.fits(F.col("n"), F.col("m")) & (room * whole >= p * (F.col("n") + F.col("m")))
+                    & (differ * whole <= (F.col("n") + F.col("m")) * (100 - p)))
     counted = met.groupBy(F.col("cls").alias("a"), "b").agg(F.sum("weight").alias("c"), F.first(need).alias("need"))
     return close(counted.where("c >= need").select("a", "b"), sets, rule)
 
