@@ -15,12 +15,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import weekday_flags
 from ..functions.predicates import Box, Period
 from ..operators.align import align_on_time, pair_first
+from ..operators.audit import order_audit
 from ..operators.gram import fit_all
 from ..operators.profile import profile
 from ..operators.regression import (compare, comparison_lines, feature_label, fit_linear, linear_coefficients, load_linear, load_pa, pa_fit, pa_fit_groups, pa_weights_frame, predict_linear, predict_pa, rmse_lines, save_linear, save_pa)
@@ -28,17 +29,19 @@ from ..operators.scan import attach_scan
 from ..operators.series import SeriesIndex
 from ..schemas import FEATURES, ISO_TS_FORMAT, MERGED_HEADER, POLLUTION_TS_FORMAT, WEEKDAY_COLUMNS, Layout
 from ..session import scratch_path
+from ..sinks.keyed import create_keyed_table, upsert
 from ..sinks.results import create_result_table, latest_results, read_results
 from ..sources.records import parse_records, read_merged, read_records, read_traffic
 from ..sources.weather import explode_points
-from ..streaming.replay import replay
+from ..streaming.replay import replay, replay_lines
 from ..streaming.report import stream_region_report, stream_window_profile
 from ..streaming.score import stream_score
 from ..streaming.sources import decode, file_lines
+from ..streaming.timed import BATCH as REPLAY_BATCH, replay_timed
 from ..streaming.train import latest_weights, stream_pa_fit
 from .bucketed import align_bucketed, ingest_bucketed
 from .cube import ingest_cube, region_report_cube
-from .ingest import ingest_readings, read_ingested, region_report_ingested
+from .ingest import ingest_on_curve, ingest_readings, read_ingested, region_report_ingested
 from .merge import merge_files, write_merged
 from .report import region_readings, region_report, report_lines
 from .staging import spread, stage_named_files, stage_stream_chunks, stage_table
@@ -803,6 +806,51 @@ def q_region_profile_cube(spark, sf):
     return _rounded_profile(region_report_cube(spark, out, cube, LI_BOX, LI_PERIOD, attributes=LI_ATTRS, **geo))
 
 
+@register("region_profile_curve", _profile_sql(_BOX_SQL))
+def q_region_profile_curve(spark, sf):
+    """The report over files cut by a space-filling curve."""
+    out = scratch_path(spark, "lineitem-curve")
+    ingest_on_curve(table(spark, sf, "lineitem"), out, ts="l_shipdate", lat="l_discount", long="l_tax", bits=3)
+    return _rounded_profile(region_report_ingested(read_ingested(spark, out), LI_BOX, LI_PERIOD, attributes=LI_ATTRS, **LI_GEO))
+
+
+@register("order_audit", """
+SELECT CAST(o_custkey % 7 AS VARCHAR) AS sensor_id, count(*)::BIGINT AS readings, count(*) FILTER (o_orderdate < ahead)::BIGINT AS out_of_order
+FROM (SELECT *, lag(o_orderdate) OVER (PARTITION BY o_custkey % 7 ORDER BY o_orderkey) AS ahead FROM orders) GROUP BY 1""")
+def q_order_audit(spark, sf):
+    o = table(spark, sf, "orders")
+    root = stage_named_files(spark, o, _order_fields(), ORDERS_HEADER, "o_orderkey", F.col("o_custkey") % 7, "orders", "orders-by-customer")
+    rows = read_records(spark, root, ORDERS_LAYOUT, entity_pattern=r"(\d+)\.csv", position="_pos")
+    return order_audit(rows, file="sensor_id")
+
+
+@register("keyed_results", """
+SELECT event_type AS substance, date_trunc('hour', ts) AS timestamp, arg_max(value, (event_id % 2) * 1000000000 + event_id) AS mean,
+       arg_max(event_id, (event_id % 2) * 1000000000 + event_id) AS elements, max(event_id % 2)::BIGINT AS write_id FROM events GROUP BY 1, 2""")
+def q_keyed_results(spark, sf):
+    """Two writes of results by (substance, hour), the second one twice: the last write of a key stays."""
+    ev = table(spark, sf, "events").select(F.col("event_type").alias("substance"), _trunc("hour").alias("timestamp"), F.col("value").alias("mean"), F.col("event_id").alias("elements"))
+    path = scratch_path(spark, "keyed")
+    name = "keyed_" + path.rsplit("-", 1)[1]
+    create_keyed_table(spark, name, "substance STRING, timestamp TIMESTAMP_NTZ, mean DOUBLE, elements BIGINT", path)
+    for write in (0, 1, 1):
+        upsert(ev.where(F.col("elements") % 2 == write), name, write, tie=["elements"])
+    return spark.table(name).select("substance", "timestamp", "mean", "elements", "write_id")
+
+
+@register("stream_replay_timed", "SELECT *, TRUE AS in_order FROM (" + _ORDERS_SQL + ")")
+def q_stream_replay_timed(spark, sf):
+    """Orders replayed by event time; ``in_order``: no earlier batch holds a later record."""
+    lines = replay_lines(spark.read.text(stage_orders(spark, sf)))
+    messages = parse_records(lines, ORDERS_LAYOUT, keep=["value"]).select("ts", "value")
+    out = scratch_path(spark, "replayed-timed")
+    replay_timed(messages, out, scratch_path(spark, "ck-timed"), batches=6)
+    found = parse_records(spark.read.text(out), ORDERS_LAYOUT, keep=[REPLAY_BATCH])
+    ends = found.groupBy(REPLAY_BATCH).agg(F.min("ts").alias("_lo"), F.max("ts").alias("_hi"))   # one row per batch
+    ends = ends.select(F.col(REPLAY_BATCH).alias("_b"), F.coalesce(F.lag("_hi").over(Window.orderBy(REPLAY_BATCH)) <= F.col("_lo"), F.lit(True)).alias("in_order"))
+    return found.join(F.broadcast(ends), F.col(REPLAY_BATCH) == F.col("_b")).drop(REPLAY_BATCH, "_b")
+
+
 # --- skew: three keys, each a third of the table ----------------------------
 @register("skewed_align", """
 WITH l AS (SELECT l_returnflag, l_orderkey AS left_order, l_linenumber AS left_line, l_partkey AS left_part,
