@@ -172,15 +172,17 @@ def dropped_lines(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int =
 
 
 def dedup_documents(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
-    """``docs`` with all its columns, the text without the dropped lines, and n_lines, n_dropped."""
+    """``docs`` with all its columns, the text without the dropped lines, and n_lines, n_dropped
+    (in place of columns of these names, if it has any)."""
     drop = small(dropped_lines(docs, min_words, near_words)).select(F.col("doc_id").alias("_id"), F.col("doc_hash").alias("_hash"), F.col("lines").alias("_drop"))
     all_lines = F.split("text", "\n")
     kept = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.col("_drop"))
     text = F.when(F.col("_drop").isNull(), F.col("text")).otherwise(
         F.array_join(F.transform(kept, lambda i: F.get(all_lines, i)), "\n"))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
-    joined = docs.join(drop, same, "left")
-    return joined.select(*[text.alias("text") if c == "text" else F.col(c) for c in docs.columns],
+    packed = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))   # names of other columns are theirs
+    joined = packed.join(drop, same, "left")
+    return joined.select(*[text.alias("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns if c not in ("n_lines", "n_dropped")],
                          F.coalesce(F.octet_length("text") - F.octet_length(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) + 1,
                                     F.lit(0)).cast("long").alias("n_lines"),
                          F.coalesce(F.size("_drop"), F.lit(0)).cast("long").alias("n_dropped"))

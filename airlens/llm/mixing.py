@@ -117,10 +117,10 @@ def mix_documents(docs: DataFrame, weights: dict[str, float] | None = None, bloc
     Rows alike in doc_id and text stand together, at the first of their places."""
     order = (mix(docs.select("doc_id", "source", "text"), weights, block, resolution)
              .groupBy(F.col("doc_id").alias("_id"), F.col("_h").alias("_key")).agg(F.min("position").alias("_position")))
-    keyed = docs.withColumn("_h", F.xxhash64("text"))
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("_h"), F.struct(*docs.columns).alias("row"))   # names of other columns are theirs
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_key"))
     return (keyed.join(order, same).repartitionByRange(width(docs.sparkSession), "_position")
-                 .sortWithinPartitions("_position").select(*docs.columns))
+                 .sortWithinPartitions("_position").select("row.*"))
 
 
 ORACLE = f"""

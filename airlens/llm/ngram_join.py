@@ -394,7 +394,7 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     kept = materialize(first.withColumn("one", F.lit(True)).unionByName(empty.withColumn("one", F.lit(False))), "kept")
     # rows that are the same in doc_id and text: only these have to meet to become one
     again = found.where("component is not null").groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    keyed = docs.withColumn("_h", F.xxhash64("text"))
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("_h"), F.struct(*docs.columns).alias("row"))   # names of other columns are theirs
     keys = kept.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_k"), "one")
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_k"))
     rows = keyed.join(_hint(keys), same)
@@ -403,4 +403,4 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
         repeated = F.col("doc_id").cast("long").eqNullSafe(F.col("_rid")) & (F.col("_h") == F.col("_rh"))
         single = rows.join(_hint(again), repeated, "left_anti")
         rows = single.unionByName(rows.join(_hint(again), repeated, "left_semi").dropDuplicates(["doc_id", "_h"]))
-    return rows.select(*docs.columns)
+    return rows.select("row.*")

@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -82,3 +83,15 @@ def test_the_mixture_decides_the_sequences(spark):
             assert [r.doc_id for r in sorted(out, key=lambda r: (r.sequence_id, r.offset))] == order
         places.append({r.doc_id: (r.sequence_id, r.offset) for r in out})
     assert places[0] != places[1]
+
+
+def test_columns_of_any_name_pass_the_stages(spark, sample):
+    """Names that stages use themselves: every kept row has its own values in them."""
+    names = ["one", "_id", "_h", "_position", "_had", "n_lines", "row", "had"]
+    docs = sample.select("*", *[F.concat(F.lit(n), F.col("doc_id")).alias(n) for n in names])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = materialize(stage(spark, docs, SF), name)
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes
+        assert out.where(" OR ".join(f"`{n}` <> concat('{n}', doc_id)" for n in names)).count() == 0
+        assert 0 < out.count() <= docs.count()
+        docs = out
