@@ -39,10 +39,10 @@ def _has_words(text: str):
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    had = docs.withColumn("_had", F.coalesce(_has_words("text"), F.lit(False)))
-    clean = line_dedup.dedup_documents(had)
-    clean = clean.where(~F.col("_had") | _has_words("text"))
-    return clean.select(*[F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+    packed = docs.select("doc_id", "text", F.coalesce(_has_words("text"), F.lit(False)).alias("had"), F.struct(*docs.columns).alias("row"))
+    clean = line_dedup.dedup_documents(packed).where(~F.col("had") | _has_words("text"))
+    own = {"text": F.col("text"), "n_chars": F.length("text")}
+    return clean.select(*[own.get(c, F.col("row")[c]).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
