@@ -227,8 +227,7 @@ SERIES_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 
 def _series_index(spark, sf):
-    ev = table(spark, sf, "events")
-    return SeriesIndex(ev.select(F.col("event_type").alias("measurement"), "ts", "value"))
+    return SeriesIndex(_event_points(spark, sf))
 
 
 def _points_sql(kind: str) -> str:
@@ -252,11 +251,14 @@ def _asof_sql(kind: str, out: str, how: str) -> str:
             f"FROM events e ASOF LEFT JOIN {p} b ON e.ts >= b.pt ASOF LEFT JOIN {p} f ON e.ts <= f.pt")
 
 
+def _event_points(spark, sf):
+    return table(spark, sf, "events").select(F.col("event_type").alias("measurement"), "ts", "value")
+
+
 def _asof_query(how: str, out: str):
     def q(spark, sf):
-        idx = _series_index(spark, sf)
         ev = table(spark, sf, "events").select("event_id", "ts")
-        res = idx.lookup(ev, "ts", "purchase", out, how)
+        res = attach_scan(ev, "ts", _event_points(spark, sf), {"purchase": out}, how)
         return res.select("event_id", "ts", rnd(out, 6).alias(out) if how == "interpolate" else out)
     return q
 
@@ -286,8 +288,7 @@ def q_weather_wide(spark, sf):
 def q_weather_scan(spark, sf):
     """All series in one ordered scan over readings and points."""
     ev = table(spark, sf, "events")
-    points = ev.select(F.col("event_type").alias("measurement"), "ts", "value")
-    res = attach_scan(ev.select("event_id", "ts"), "ts", points, {k: f"v_{k}" for k in SERIES_TYPES})
+    res = attach_scan(ev.select("event_id", "ts"), "ts", _event_points(spark, sf), {k: f"v_{k}" for k in SERIES_TYPES})
     return res.select("event_id", "ts", *[rnd(f"v_{k}", 6).alias(f"v_{k}") for k in SERIES_TYPES])
 
 

@@ -26,7 +26,7 @@ from ..operators.profile import profile
 from ..operators.scan import _below
 from ..schemas import POLLUTANT_LABELS, POLLUTANTS
 
-PART, BATCH = "month", "batch"
+PART, BATCH, CURVE = "month", "batch", "__place_on_curve"
 
 
 def month_of(ts: Column) -> Column:
@@ -69,9 +69,9 @@ def ingest_on_curve(readings: DataFrame, out: str, *, ts: str = "ts", lat: str =
     quantiles = F.array(*[F.lit(i / cells) for i in range(1, cells)])
     found = readings.agg(*[F.percentile_approx(F.col(c).cast("double"), quantiles, 10_000).alias(n) for c, n in ((lat, "lat"), (long, "long"))]).first()
     key = curve_key(F.col(lat).cast("double"), F.col(long).cast("double"), sorted(found["lat"] or []), sorted(found["long"] or []), bits)
-    order = [F.col(PART), key, F.col(lat), F.col(long), F.col(ts)]
-    (readings.withColumn(PART, month_of(F.col(ts))).withColumn(BATCH, F.lit(batch))
-     .repartitionByRange(*([files] if files else []), *order).sortWithinPartitions(PART, key, lat, long)
+    order = [F.col(PART), F.col(CURVE), F.col(lat), F.col(long), F.col(ts)]
+    (readings.withColumn(PART, month_of(F.col(ts))).withColumn(BATCH, F.lit(batch)).withColumn(CURVE, key)
+     .repartitionByRange(*([files] if files else []), *order).sortWithinPartitions(PART, CURVE, lat, long).drop(CURVE)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART, BATCH).parquet(out))
     return batch
 

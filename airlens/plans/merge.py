@@ -83,15 +83,15 @@ def merge_files(spark: SparkSession, pollution_path: str, traffic_path: str, wea
 
 def write_merged(merged: DataFrame, out: str, mode: str = "overwrite", format: str = "csv") -> None:
     """One headed ``", "``-separated CSV set per sensor under
-    ``out/sensor_id=<id>/`` (``format="parquet"``: the same rows as parquet).
-    Rows are dealt out by sensor and month: a sensor lies in few files, and a
-    very large one spreads over tasks."""
-    day = F.to_date("Timestamp")
-    writer = (merged.repartition("sensor_id", F.date_trunc("month", day)).sortWithinPartitions("sensor_id", "Timestamp")
-              .write.mode(mode).partitionBy("sensor_id"))
+    ``out/sensor_id=<id>/``: rows are dealt out by sensor, and Spark splits the
+    partition of a very large one and joins small ones as it measures them.
+    ``format="parquet"``: the same rows as parquet, in ranges of sensor and time
+    without folders, so files do not grow with sensors and statistics find one."""
     if format == "parquet":
-        writer.parquet(out)
+        (merged.repartitionByRange("sensor_id", "Timestamp").sortWithinPartitions("sensor_id", "Timestamp")
+         .write.mode(mode).parquet(out))
         return
-    (writer.option("header", True).option("sep", MERGED_SEP)
+    (merged.hint("rebalance", "sensor_id").sortWithinPartitions("sensor_id", "Timestamp")
+     .write.mode(mode).partitionBy("sensor_id").option("header", True).option("sep", MERGED_SEP)
      .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
      .csv(out))
