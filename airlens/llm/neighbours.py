@@ -17,7 +17,8 @@ Work is dealt out by blocks of cells. Cells with many rows (copies) are split
 over several blocks, so a task holds one block of bounded size at a time, and
 queries stream past it; of a query and a block only the best k leave the task.
 A query that finds fewer than k rows (empty cells around it) is compared with
-all rows.
+all rows, and so is every query if no share reaches ``RECALL`` in the audit: in
+blocks of ``BLOCK_ROWS`` rows that the queries stream past.
 
 Defined cases: vectors that are null, zero, of another length than most, or
 hold null or non-finite components take no part, nor do rows without vec_id;
@@ -58,6 +59,7 @@ class Hashing:
         self.mix = rng.integers(1, 2 ** 61, size=(TABLES, self.k), dtype=np.int64) | 1
         self.widths = np.ones((TABLES, self.k))
         self.distance, self.share = 1.0, SHARES[-1]
+        self.reached = True   # the audited recall
 
     def fit_widths(self, sample: np.ndarray) -> None:
         for t in range(TABLES):
@@ -174,7 +176,8 @@ def fit(rows: DataFrame, dim: int, k: int) -> Hashing:
             for t in range(TABLES):
                 found |= np.isin(hashing.cells(x, t), hashing.visited(queries[j][1], t)[0])
             hit, total = hit + int(found.sum()), total + len(x)
-        if hit >= RECALL * total:
+        hashing.reached = hit >= RECALL * total
+        if hashing.reached:
             break
     return hashing
 
@@ -188,6 +191,9 @@ def search(embeddings: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
         return spark.createDataFrame([], out)
     rows = materialize(rows.dropDuplicates(["vec_id", "vec"]), "vectors")
     hashing = fit(rows, dim, k)
+    queries = rows.where(F.col("vec_id") % every == 0)
+    if not hashing.reached:
+        return exact(rows, queries, dim, k)
     shared = spark.sparkContext.broadcast(hashing)
     total = rows.count() * TABLES
 
@@ -223,7 +229,6 @@ def search(embeddings: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("vec"), pa.array([f.tolist() for f in found], pa.list_(pa.int64()))],
                                                  names=["vec_id", "vec", "cells"])
 
-    queries = rows.where(F.col("vec_id") % every == 0)
     probes = (queries.mapInArrow(probe, "vec_id long, vec array<double>, cells array<long>")
               .select("vec_id", "vec", F.explode("cells").alias("cell"))
               .join(split, F.col("cell") == F.col("_cell"), "left")
@@ -237,15 +242,23 @@ def search(embeddings: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
     short = queries.select("vec_id", "vec").join(
         found.groupBy(F.col("query_id").alias("_q")).agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= k),
         F.col("vec_id") == F.col("_q"), "left_anti")
-    everything = short.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(1).alias("kind"),
-                              F.lit(None).cast("array<long>").alias("cells"), "vec_id", "vec")
-    rest = _best(_ranked(indexed, everything, dim, k), k) if short.count() else None
-    if rest is None:
+    if short.isEmpty():
         return found
+    rest = exact(rows, short, dim, k)
     done = short.select(F.col("vec_id").alias("_q")).distinct()
     return found.join(done, F.col("query_id") == F.col("_q"), "left_anti").unionByName(rest)
 
 
+def exact(rows: DataFrame, queries: DataFrame, dim: int, k: int) -> DataFrame:
+    """The k nearest rows of each of ``queries`` (vec_id, vec), found by comparison with every row once."""
+    blocks = max(1, math.ceil(rows.count() / BLOCK_ROWS))
+    dealt = rows.select(F.pmod(F.xxhash64("vec_id", "vec"), F.lit(blocks)).cast("int").alias("block"), F.lit(0).alias("kind"),
+                        F.array(F.lit(0).cast("long")).alias("cells"), "vec_id", "vec")
+    asked = queries.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(1).alias("kind"),
+                           F.lit(None).cast("array<long>").alias("cells"), "vec_id", "vec")
+    return _best(_ranked(dealt, asked, dim, k), k)
+
+
 def _ranked(indexed: DataFrame, probes: DataFrame, dim: int, k: int) -> DataFrame:
     """The best k rows of every block for every query that visits it."""
     def scan(batches):

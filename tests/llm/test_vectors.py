@@ -119,6 +119,20 @@ def test_neighbours_defined_cases(spark):
     assert N.search(frame(spark, BAD[:7])).count() == 0
 
 
+def test_a_failed_audit_makes_all_queries_exact(spark, monkeypatch):
+    monkeypatch.setattr(N, "SHARES", (1e-9,))   # one cell is never enough
+    monkeypatch.setattr(N, "RECALL", 1.0)
+    monkeypatch.setattr(N, "CELL_ROWS", 2)
+    monkeypatch.setattr(N, "BLOCK_ROWS", 100)
+    rows = make(8, 600)
+    prepared, dim = N.prepared(frame(spark, rows))
+    assert not N.fit(prepared, dim, 10).reached
+    got = {}
+    for r in N.search(frame(spark, rows), 10, 20).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    assert {q: sorted(v) for q, v in got.items()} == brute_near(rows, 10, 20)
+
+
 def test_blocks_of_hot_cells_find_the_same(spark, monkeypatch):
     rows = [(i, [1.0] * 8, 1) for i in range(300)] + [(1000 + i, [1.0] * 7 + [1.0 + i / 1000], 1) for i in range(300)]
     monkeypatch.setattr(N, "BLOCK_ROWS", 64)
