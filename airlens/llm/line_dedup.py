@@ -1,9 +1,9 @@
 r"""Operator 4 [native]: line dedup by a deletion-neighbourhood join.
 
 Lines are compared lower-cased and trimmed, as sequences of the words between
-single blanks (two blanks in a row enclose an empty word). A line of at least
-``min_words`` words goes if an earlier line (by doc_id, text hash, line number)
-is the same, and a line of at least ``near_words`` words also if an earlier one
+single blanks (two blanks in a row enclose an empty word). A line that is not
+blank and has at least ``min_words`` words (one, so every such line) goes if an
+earlier line (by doc_id, text hash, line number) is the same, and a line of at least ``near_words`` words also if an earlier one
 is within one word edit (a word replaced, inserted or left out). Two lines are
 that close exactly if they have a common deletion variant (the line without
 one word, or the line itself); variants are joined by hash and every pair found
@@ -27,7 +27,7 @@ an array of variants:
 A table is broadcast only if its counted rows are at most ``BROADCAST_ROWS``;
 beyond that the same join shuffles.
 
-Defined cases: null text stays null with no lines; blank and short lines
+Defined cases: null text stays null with no lines; blank lines
 always stay; a row repeated as a whole counts as one document (both rows keep
 the same lines); null doc_ids come first; a document may be left with the empty
 text; other columns are carried along by ``dedup_documents``; an empty table
@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from airlens.llm.common import materialize
 
-MIN_WORDS, NEAR_WORDS = 4, 8
+MIN_WORDS, NEAR_WORDS = 1, 8
 #: Rows (of at most about 100 bytes) up to which a counted table is broadcast.
 BROADCAST_ROWS = 400_000
 
@@ -82,8 +82,8 @@ def _halves() -> Column:
 
 
 def distinct_lines(docs: DataFrame, min_words: int = MIN_WORDS, near_words: int = NEAR_WORDS) -> DataFrame:
-    """One row per different line of at least ``min_words`` words: id, key, first place, copies, n, halves."""
-    lines = _lines(_keyed(docs)).withColumn("n", _words()).where(F.col("n") >= min_words)
+    """One row per different line, not blank, of at least ``min_words`` words: id, key, first place, copies, n, halves."""
+    lines = _lines(_keyed(docs)).withColumn("n", _words()).where((F.col("line") != "") & (F.col("n") >= min_words))
     rows = lines.select(_line_key().alias("key"), F.struct("doc_id", "doc_hash", "line_no").alias("place"), "n",
                         F.when(F.col("n") >= near_words, _halves()).alias("halves"))
     merged = rows.groupBy("key").agg(F.min("place").alias("place"), F.count(F.lit(1)).alias("copies"),
@@ -196,14 +196,14 @@ ORACLE = rf"""
 WITH lines AS (
   SELECT doc_id, line, i - 1 AS line_no, string_split(lower(trim(line)), ' ') AS w
   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)),
-d AS (SELECT w, len(w) AS n, min((doc_id, line_no)) AS place FROM lines WHERE len(w) >= {MIN_WORDS} GROUP BY w),
+d AS (SELECT w, len(w) AS n, min((doc_id, line_no)) AS place FROM lines WHERE len(w) >= {MIN_WORDS} AND w <> [''] GROUP BY w),
 v AS (SELECT w, n, place, i, hash(w[1:i - 1] || w[i + 1:]) AS v, len(w) - 1 AS vn
       FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM d WHERE n >= {NEAR_WORDS})),
 f AS (SELECT w, n, place, hash(w) AS v FROM d WHERE n >= {NEAR_WORDS}),
 near AS (SELECT DISTINCT a.w FROM v a JOIN v b ON a.v = b.v AND a.n = b.n AND a.i = b.i AND b.place < a.place
          UNION SELECT a.w FROM v a JOIN f b ON a.v = b.v AND a.vn = b.n AND b.place < a.place
          UNION SELECT b.w FROM v a JOIN f b ON a.v = b.v AND a.vn = b.n AND a.place < b.place),
-marked AS (SELECT l.*, len(l.w) >= {MIN_WORDS} AND (d.place <> (l.doc_id, l.line_no) OR near.w IS NOT NULL) AS gone
+marked AS (SELECT l.*, len(l.w) >= {MIN_WORDS} AND l.w <> [''] AND (d.place <> (l.doc_id, l.line_no) OR near.w IS NOT NULL) AS gone
            FROM lines l LEFT JOIN d ON d.w = l.w LEFT JOIN near ON near.w = l.w)
 SELECT doc_id, count(line_no)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
        coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (NOT coalesce(gone, false)), '') AS text

@@ -35,7 +35,7 @@ def brute(docs, min_words, near_words):
         kept, lines = [], text.split("\n")
         for line in lines:
             w = line.strip(" ").lower().split(" ")
-            if len(w) < min_words:
+            if w == [""] or len(w) < min_words:
                 kept.append(line)
                 continue
             if not any(w == e or len(w) >= near_words and len(e) >= near_words and one_edit(w, e) for e in earlier):
@@ -76,6 +76,13 @@ def test_repeated_words_and_a_hot_line(spark):
     compare(spark, spark.createDataFrame(docs, "doc_id long, text string").repartition(4))
 
 
+def test_no_line_stays_twice(spark):
+    docs = [(i, f"Yes.\n\n  ok \nline {i % 5}\n```\n   \n{i}") for i in range(40)]
+    after = compare(spark, spark.createDataFrame(docs, "doc_id long, text string").repartition(4))
+    kept = [line.strip(" ").lower() for *_, text in after for line in text.split("\n") if line.strip(" ")]
+    assert len(kept) == len(set(kept)) == 3 + 5 + 40
+
+
 def test_defined_cases(spark, hard, nothing):
     compare(spark, hard)
     assert L.dedup_documents(nothing).count() == 0
