@@ -36,6 +36,8 @@ BINS = 1 << 17
 PER_LANGUAGE, LANDMARKS = 300, 64
 RIDGE, SHARPNESS = 1e-2, 4.0
 MAX_LANGUAGES = 1000
+#: Bytes of text that are scored at once, and of one text whose n-grams are made at once.
+SLICE, PIECE = 1 << 19, 1 << 18
 UND = "und"
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -47,14 +49,15 @@ _BLANKS = re.compile(rb" +")
 def present(text: str) -> np.ndarray:
     """The bins of the n-grams that occur in the whole text, each once."""
     raw = b" " + _BLANKS.sub(b" ", text.lower().encode("utf-8").translate(_FOLD)).strip() + b" "
-    b = np.frombuffer(raw, np.uint8).astype(np.uint32)
     seen = np.zeros(BINS, bool)
-    code = np.zeros(len(b), np.uint32)
-    for n in range(1, 5):
-        if len(b) < n:
-            break
-        code = (code[:len(b) - n + 1] << np.uint32(8)) | b[n - 1:]
-        seen[((code + np.uint32(n)) * np.uint32(2654435761)) >> np.uint32(15)] = True
+    for start in range(0, len(raw), PIECE):   # pieces overlap by the longest n-gram less one
+        b = np.frombuffer(raw[start:start + PIECE + 3], np.uint8).astype(np.uint32)
+        code = np.zeros(len(b), np.uint32)
+        for n in range(1, 5):
+            if len(b) < n:
+                break
+            code = (code[:len(b) - n + 1] << np.uint32(8)) | b[n - 1:]
+            seen[((code + np.uint32(n)) * np.uint32(2654435761)) >> np.uint32(15)] = True
     return np.flatnonzero(seen).astype(np.int32)
 
 
@@ -141,7 +144,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
         release()
         langs, weights = shared.value
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
+            for part in slices(batch, "text", SLICE):
                 texts = part.column("text").to_pylist()
                 names, probs = [UND] * len(texts), np.zeros(len(texts))
                 rows = [i for i, t in enumerate(texts) if langs and t and _LETTER.search(t)]
