@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import zlib
 
@@ -49,6 +50,29 @@ def most_frequent(counts: DataFrame, size: int):
     return counts.toArrow()
 
 
+def lean(fn):
+    """``fn`` for ``mapInArrow``, giving memory it has freed back to the system after each batch and at its
+    end: Python workers outlive their tasks, and what their allocators keep is missing to the stages that follow."""
+    def run(batches):
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)   # of the GNU C library
+
+        def give_back():
+            pa.default_memory_pool().release_unused()
+            if trim is not None:
+                trim(0)
+
+        def fed():
+            for batch in batches:
+                yield batch
+                del batch
+                give_back()
+
+        yield from fn(fed())
+        give_back()
+
+    return run
+
+
 def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -46,3 +46,39 @@ def test_weights_are_the_kernel_machine():
     q = language.present("the cat and the dog")
     kq = np.array([len(np.intersect1d(q, y)) / np.sqrt(len(q) * len(y)) for _, y in sample])
     assert f[0] == pytest.approx(kq @ alpha, abs=1e-3)
+
+
+def test_tables_train_what_the_kernel_machine_is(spark, sample):
+    """All texts as landmarks: predictions equal ridge regression on the full kernel matrix, by definition."""
+    known = sample.where("lang is not null and text is not null").where(~language.held_out()).collect()
+    texts = [(r.lang, language.present(r.text)) for r in known]
+    langs, model = language.train(sample, per_language=10 ** 6, landmarks=10 ** 6)
+    phi = np.zeros((len(texts), language.BINS), np.float32)
+    for i, (_, b) in enumerate(texts):
+        phi[i, b] = 1 / np.sqrt(len(b))
+    k = phi.astype(np.float64) @ phi.T.astype(np.float64)
+    y = np.array([[1.0 if l == c else -1.0 for c in langs] for l, _ in texts])
+    alpha = np.linalg.solve(k.T @ k + language.RIDGE * k + 1e-8 * np.eye(len(k)), k.T @ y)
+    assert len(known) <= language.MARKS and langs == sorted({l for l, _ in texts})
+    for r in sample.where(language.held_out()).limit(20).collect():
+        q = language.present(r.text)
+        kq = phi[:, q].sum(axis=1) / np.sqrt(len(q))
+        assert language.values([q], model)[0] == pytest.approx(kq @ alpha, abs=5e-3)
+
+
+def test_any_number_of_languages(spark, monkeypatch):
+    """More languages than landmarks, and no weight matrix: scored by kernels with the landmarks."""
+    monkeypatch.setattr(language, "WEIGHT_BYTES", 0)
+    docs = spark.createDataFrame([(i, f"word{i % 1300} zz{i % 1300 * 7919} common text", f"l{i % 1300:04d}") for i in range(2600)], "doc_id long, text string, lang string")
+    langs, (marks, coefficients) = language.train(docs)
+    assert 1024 < len(langs) <= 1300 and marks.shape == (language.MARKS, language.BINS // 64) and coefficients.shape == (language.MARKS, len(langs))
+    few = docs.where("doc_id < 50")
+    got = language.identify(few, (langs, (marks, coefficients))).collect()
+    folded = {r.doc_id: r for r in language.identify(few, (langs, language.folded(marks, coefficients))).collect()}
+    assert len(got) == 50 and all(r.lang_pred in langs and 0 <= r.score <= 1 for r in got)
+    assert all(r.score == pytest.approx(folded[r.doc_id].score, abs=1e-3) for r in got)
+
+
+def test_ties_go_to_the_first_name_and_equal_rows_count_once(spark):
+    docs = spark.createDataFrame([(i, "same words in both", lang) for i in range(1, 40) for lang in ("b", "a")] * 3, "doc_id long, text string, lang string")
+    assert {(r.lang_pred, r.score) for r in language.predict_table(docs).collect()} == {("a", 0.5)}
