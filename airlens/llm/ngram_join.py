@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from airlens.llm.chunks import release
-from airlens.llm.common import materialize, most_frequent, slices
+from airlens.llm.common import lean, materialize, most_frequent, slices
 from airlens.llm.components import components
 from airlens.llm.shingles import shingle_sets
 from airlens.llm.vectors import Groups
@@ -102,7 +102,7 @@ def frequent_tokens(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray
         if len(keys):
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["token", "n"])
 
-    counted = docs.select("text").mapInArrow(summarise, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where("n >= 4")
+    counted = docs.select("text").mapInArrow(lean(summarise), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where("n >= 4")
     rows = most_frequent(counted, FREQUENT).to_pandas()
     tokens, counts = rows["token"].to_numpy(np.int64).view(np.uint64), rows["n"].to_numpy(np.int64)
     order = np.argsort(tokens)
@@ -165,7 +165,7 @@ def document_sets(docs: DataFrame, width: int, rule: Rule) -> DataFrame:
                     names=["doc_id", "text_hash", "n", "digest", "prefix", "sig"])
 
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
-        sets, "doc_id long, text_hash long, n long, digest binary, prefix array<long>, sig array<long>")
+        lean(sets), "doc_id long, text_hash long, n long, digest binary, prefix array<long>, sig array<long>")
     return materialize(found.withColumn("row", F.monotonically_increasing_id()), "sets")
 
 
@@ -219,7 +219,7 @@ def whole_sets(docs: DataFrame, sets: DataFrame, wanted: DataFrame, width: int)
 
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
     text = keyed.join(_hint(owners), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_h")))
-    made = text.select("cls", "text").mapInArrow(rebuild, "cls long, set array<long>")
+    made = text.select("cls", "text").mapInArrow(lean(rebuild), "cls long, set array<long>")
     return materialize(made.dropDuplicates(["cls"]), "whole-sets")
 
 
@@ -269,7 +269,7 @@ def verify(pairs: DataFrame, whole: WholeSets, rule: Rule) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(hit, pa.int64()), pa.array([int(key[0])] * len(hit), pa.int64())], names=["a", "b"])
 
     rows = leaders.unionByName(members).repartition("b", "part").sortWithinPartitions("b", "part", "kind")
-    return materialize(rows.mapInArrow(compare, "a long, b long"), "linked")
+    return materialize(rows.mapInArrow(lean(compare), "a long, b long"), "linked")
 
 
 def _with_component(listed: DataFrame, comp: DataFrame | None) -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from airlens.llm.chunks import ChunkEncoder
-from airlens.llm.common import crc32_u32, materialize, slices
+from airlens.llm.common import crc32_u32, lean, materialize, slices
 from airlens.operators.ranking import rank_within
 
 #: Entries of a worker's cache of pre-tokens here.
@@ -69,7 +69,7 @@ def cut_documents(docs: DataFrame, path: str, end_id: int, capacity: int, stored
         docs = in_stored_order(docs)
     else:
         docs = docs.select("doc_id", "text", F.lit(None).cast("string").alias("file"), F.lit(None).cast("long").alias("row"))
-    return docs.select(F.xxhash64("text").alias("row_key"), F.col("doc_id").cast("long").alias("doc_id"), "file", "row", "text").mapInArrow(pieces, PIECES)
+    return docs.select(F.xxhash64("text").alias("row_key"), F.col("doc_id").cast("long").alias("doc_id"), "file", "row", "text").mapInArrow(lean(pieces), PIECES)
 
 
 class Stock:
