@@ -3,8 +3,8 @@
 Used by the stand-in queries and the tests: Spark renders each row as one
 line, adds header lines (at the top of every file and again in the middle)
 and whitespace-only lines, and writes ``*.csv`` part files into a fresh
-folder under the shared checkpoint location.  The data never passes through
-the driver.
+folder under the shared checkpoint location; files that need a name of their
+own are written by the tasks.  The data never passes through the driver.
 """
 
 from __future__ import annotations
@@ -15,8 +15,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from ..sinks.named import FILE, LINE, NO_IDENT, write_named
 
-LINE = "line"
+#: Rows that a staged file of a table gets at most (about); a file is sorted by one task.
+ROWS_PER_FILE = 500_000
 
 
 def write_lines(lines: DataFrame, out: str, files: int) -> str:
@@ -51,30 +53,16 @@ def stage_table(spark: SparkSession, df: DataFrame, fields: Sequence[Column], he
     return write_lines(rows.unionByName(marks), out, files)
 
 
+def files_for(df: DataFrame, least: int) -> int:
+    """How many files ``df`` is staged as: ``least``, more where they would hold over ``ROWS_PER_FILE`` rows."""
+    return max(least, -(-df.count() // ROWS_PER_FILE))
+
+
 def spread(key: Column, files: int) -> Column:
     """Deterministic file number for a key (hash spread, every row kept)."""
     return F.pmod(F.xxhash64(key), F.lit(files)).cast("int")
 
 
-def flatten_to_named_files(spark: SparkSession, src: str, dst: str, prefix: str, ext: str = ".csv") -> str:
-    """Move the single part file of each ``src/_file=<id>/`` directory to
-    ``dst/<prefix><id><ext>`` (the naming the sensor readers expect).
-
-    Only file-system metadata operations on the driver, one per file, through
-    the Hadoop file system API whatever the path.
-    """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    src_path = jvm.org.apache.hadoop.fs.Path(src)
-    fs = src_path.getFileSystem(conf)
-    fs.mkdirs(jvm.org.apache.hadoop.fs.Path(dst))
-    for st in fs.globStatus(jvm.org.apache.hadoop.fs.Path(src + "/_file=*/part-*.csv")):
-        p = st.getPath()
-        ident = p.getParent().getName().split("=", 1)[1]
-        fs.rename(p, jvm.org.apache.hadoop.fs.Path(f"{dst}/{prefix}{ident}{ext}"))
-    return dst
-
-
 def stage_named_files(spark: SparkSession, df: DataFrame, fields: Sequence[Column] | Column, header: str | None,
                       order: str, ident: Column, prefix: str, name: str, ext: str = ".csv",
                       root: str | None = None) -> str:
@@ -82,21 +70,15 @@ def stage_named_files(spark: SparkSession, df: DataFrame, fields: Sequence[Colum
     first.  ``fields`` is a list of columns joined by commas, or one column
     holding the whole line."""
     line = fields if isinstance(fields, Column) else F.concat_ws(",", *[f.cast("string") for f in fields])
-    rows = df.select(ident.cast("string").alias("_file"), F.col(order).cast("double").alias("_pos"),
-                     line.alias(LINE))
-    if header is not None:
-        heads = rows.select("_file").distinct().select("_file", F.lit(-1.0).alias("_pos"),
-                                                        F.lit(header).alias(LINE))
-        rows = rows.unionByName(heads)
-    tmp = scratch_path(spark, name + "-parts")
+    ident = ident.cast("string")
+    rows = df.select(F.when(ident != "", ident).otherwise(F.lit(NO_IDENT)).alias(FILE),
+                     F.col(order).cast("double").alias("_pos"), line.alias(LINE))
+    out = root or scratch_path(spark, name)
     # an explicit partition count keeps AQE from coalescing the many small
     # per-file outputs into one serial task
-    (rows.repartition(spark.sparkContext.defaultParallelism, "_file").sortWithinPartitions("_file", "_pos")
-     .select("_file", LINE).write.mode("overwrite").partitionBy("_file")
-     .option("sep", "\u0001").option("quote", "").option("escape", "")
-     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-     .csv(tmp))
-    return flatten_to_named_files(spark, tmp, root or scratch_path(spark, name), prefix, ext)
+    rows = rows.repartition(spark.sparkContext.defaultParallelism, "_file").sortWithinPartitions("_file", "_pos")
+    write_named(rows, out, header, prefix, ext)
+    return out
 
 
 def stage_stream_chunks(spark: SparkSession, df: DataFrame, fields: Sequence[Column] | Column, order: str,
@@ -109,9 +91,9 @@ def stage_stream_chunks(spark: SparkSession, df: DataFrame, fields: Sequence[Col
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(conf)
-    names = sorted(st.getPath().toString() for st in fs.listStatus(path) if st.getPath().getName().endswith(".csv"))
+    hadoop = path.getFileSystem(conf)
+    names = sorted(st.getPath().toString() for st in hadoop.listStatus(path) if st.getPath().getName().endswith(".csv"))
     base = 1_500_000_000_000
     for i, p in enumerate(names):
-        fs.setTimes(jvm.org.apache.hadoop.fs.Path(p), base + i * 1000, -1)
+        hadoop.setTimes(jvm.org.apache.hadoop.fs.Path(p), base + i * 1000, -1)
     return root

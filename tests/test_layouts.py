@@ -177,3 +177,26 @@ def test_timed_replay_keeps_time_order_and_goes_on_after_a_stop(spark):
         assert max(batches[k]) <= min(batches[k + 1])
     starts = [min(batches[k]) for k in range(4)]
     assert waited == pytest.approx([(b - a).total_seconds() / 100 for a, b in zip(starts, starts[1:])])
+
+
+def test_named_files_come_from_the_tasks(spark, tmp_path):
+    """No folder per file to be renamed by the driver; missing idents get a file that names no sensor."""
+    import os
+
+    from pyspark.sql import functions as F
+
+    from airlens.plans.staging import stage_named_files
+    rows = spark.createDataFrame([(i, None if i % 50 == 7 else str(i % 40), f"v{i}") for i in range(400)], "i long, s string, v string")
+    root = stage_named_files(spark, rows, [F.col("v"), F.col("i")], "v,timestamp", "i", F.col("s"), "t", "named", root=str(tmp_path / "named"))
+    names = sorted(n for n in os.listdir(root) if not n.startswith("."))
+    assert names == sorted([f"t{k}.csv" for k in range(40)] + ["t__HIVE_DEFAULT_PARTITION__.csv"])
+    for k in (0, 13, 39):
+        mine = [i for i in range(400) if i % 40 == k and i % 50 != 7]
+        assert (tmp_path / "named" / f"t{k}.csv").read_text() == "v,timestamp\n" + "".join(f"v{i},{i}\n" for i in mine)
+    assert not [d for d in os.listdir(tmp_path) if d != "named"]
+
+
+def test_staged_files_grow_in_number_not_in_rows(spark, monkeypatch):
+    from airlens.plans import staging
+    monkeypatch.setattr(staging, "ROWS_PER_FILE", 100)
+    assert [staging.files_for(spark.range(n), 3) for n in (0, 250, 301, 1000)] == [3, 3, 4, 10]
