@@ -55,15 +55,22 @@ def attach_scan(rows: DataFrame, ts: str, points: DataFrame, columns: Mapping[st
 
     ``times``: a frame whose column ``ts`` has times distributed like those of ``rows``, where
     that is cheaper to read than ``rows`` (it only sizes the buckets)."""
-    if how not in HOW:
-        raise ValueError(f"how must be one of {HOW}")
-    spark = rows.sparkSession
     ties = (points.where(F.col(point_ts).isNotNull() & F.col(value).isNotNull() & F.col(series).isin(list(columns)))
             .groupBy(F.col(series).alias("s"), F.col(point_ts).alias("ts"))
             .agg(F.min(value).cast("double").alias("first"), F.max(value).cast("double").alias("last")))
+    return scan_ties(rows, ts, ties, columns, how, times=times, point_times=points.select(F.col(point_ts).alias("ts")))
+
+
+def scan_ties(rows: DataFrame, ts: str, ties: DataFrame, columns: Mapping[str, str], how: str = "interpolate", *,
+              times: DataFrame | None = None, point_times: DataFrame | None = None) -> DataFrame:
+    """:func:`attach_scan` from points that are one row per series and time already: ``ties`` has
+    ``s, ts, first, last``; ``point_times`` has their times ``ts`` where those are cheaper to read."""
+    if how not in HOW:
+        raise ValueError(f"how must be one of {HOW}")
+    spark = rows.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     seen = (rows if times is None else times).select(_micros(F.col(ts)).alias("t"))
-    bounds = time_bounds(seen.unionByName(points.select(_micros(F.col(point_ts)).alias("t"))), buckets)
+    bounds = time_bounds(seen.unionByName((ties if point_times is None else point_times).select(_micros(F.col("ts")).alias("t"))), buckets)
 
     t = _micros("ts")
     low, high = _below(bounds, t, False), _below(bounds, t, True)

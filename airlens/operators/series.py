@@ -197,7 +197,18 @@ class SeriesIndex:
         return j.withColumn(out, F.when(t.isNotNull(), v)).select(*rows.columns, out)
 
     def attach(self, rows: DataFrame, ts: str, columns: Mapping, how: str = "interpolate") -> DataFrame:
-        """One looked-up column per series: ``columns`` maps series -> column."""
+        """One looked-up column per series: ``columns`` maps series -> column.
+
+        Where all those series' index rows may be broadcast together, the rows pass through one lookup after
+        the other without an exchange.  Otherwise every lookup would exchange the rows, with all values found
+        so far and once per bucket level; so they are exchanged once, with the points of all series' segments,
+        and scanned in order of time (:func:`airlens.operators.scan.scan_ties`)."""
+        if sum(self.exploded.get(name, 0) + 1 for name in columns) > self.broadcast_rows:
+            from .scan import scan_ties   # which imports HOW from here
+
+            ties = self.seg.where(F.col(self.series).isin(list(columns))).select(
+                F.col(self.series).alias("s"), F.col("s_ts").alias("ts"), F.col("s_first").alias("first"), F.col("s_last").alias("last"))
+            return scan_ties(rows, ts, ties, columns, how)
         for name, out in columns.items():
             rows = self.lookup(rows, ts, name, out, how)
         return rows
