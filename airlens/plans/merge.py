@@ -20,6 +20,7 @@ from ..functions.columns import weekday_flags
 from ..operators.align import align_on_time, first_group
 from ..operators.scan import attach_scan
 from ..operators.series import SeriesIndex
+from ..sinks.named import FILE, LINE, NO_IDENT, write_named
 from ..schemas import MERGED_HEADER, MERGED_SEP, POLLUTANTS, TRAFFIC, WEATHER_COLUMNS, WEEKDAY_COLUMNS
 from ..sources.records import read_first_files, read_pollution
 from ..sources.weather import read_weather
@@ -91,7 +92,27 @@ def write_merged(merged: DataFrame, out: str, mode: str = "overwrite", format: s
         (merged.repartitionByRange("sensor_id", "Timestamp").sortWithinPartitions("sensor_id", "Timestamp")
          .write.mode(mode).parquet(out))
         return
-    (merged.hint("rebalance", "sensor_id").sortWithinPartitions("sensor_id", "Timestamp")
-     .write.mode(mode).partitionBy("sensor_id").option("header", True).option("sep", MERGED_SEP)
-     .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
-     .csv(out))
+    if not _prepared(merged.sparkSession, out, mode):
+        return
+    names = [f.name for f in merged.schema.fields if f.name != "sensor_id"]
+    fields = [F.date_format(n, "yyyy-MM-dd HH:mm:ss") if n == "Timestamp" else F.col(n).cast("string") for n in names]
+    sensor = F.col("sensor_id").cast("string")
+    rows = merged.hint("rebalance", "sensor_id").sortWithinPartitions("sensor_id", "Timestamp").select(
+        F.when(sensor != "", sensor).otherwise(F.lit(NO_IDENT)).alias(FILE),
+        F.concat_ws(MERGED_SEP, *[F.coalesce(f, F.lit("")) for f in fields]).alias(LINE))
+    write_named(rows, out, MERGED_SEP.join(names), "sensor_id=", split=True)
+
+
+def _prepared(spark: SparkSession, out: str, mode: str) -> bool:
+    """Whether to write, by the modes of Spark's writers; ``overwrite`` removes what is there."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(out)
+    folder = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if mode not in ("append", "overwrite", "ignore", "error", "errorifexists"):
+        raise ValueError(f"unknown mode {mode!r}")
+    if mode == "append" or not folder.exists(path):
+        return True
+    if mode in ("error", "errorifexists"):
+        raise FileExistsError(out)
+    if mode == "overwrite":
+        folder.delete(path, True)
+    return mode == "overwrite"

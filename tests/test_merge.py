@@ -212,3 +212,46 @@ def test_weather_malformed_line_fails_or_is_dropped(spark, write_files):
         read_weather(spark, d, {"dewptm": "dewptm.txt"}).collect()
     ok = read_weather(spark, d, {"dewptm": "dewptm.txt"}, mode="drop").collect()
     assert sorted(r["value"] for r in ok) == [10.0, 16.0]
+
+
+def test_merged_csv_is_written_by_the_tasks(spark, tmp_path):
+    """Sensor folders as before, also for ids that a path cannot hold; the modes of Spark's writers."""
+    import os
+
+    from airlens.schemas import MERGED_HEADER
+    names = [n for n in MERGED_HEADER if n != "Timestamp"]
+    schema = "sensor_id string, Timestamp timestamp_ntz, " + ", ".join(f"{n} {'int' if n.endswith('day') else 'double'}" for n in names)
+    value = lambda i, n: None if n == "Ozone" else 1 if n.endswith("day") else i + 1e10
+    rows = spark.createDataFrame([(s, ts(f"00:{i:02d}"), *[value(i, n) for n in names]) for s in ("007", "a/b", None) for i in (2, 1)], schema)
+    out = str(tmp_path / "merged")
+    for _ in range(2):
+        write_merged(rows, out)      # overwritten, not added to
+    assert sorted(n for n in os.listdir(out) if n.startswith("sensor")) == ["sensor_id=007", "sensor_id=__HIVE_DEFAULT_PARTITION__", "sensor_id=a%2Fb"]
+    (part,) = os.listdir(f"{out}/sensor_id=007")
+    assert part.startswith("part-") and part.endswith(".csv") and not os.path.exists(f"{out}/sensor_id=007/.{part}.crc")
+    lines = open(f"{out}/sensor_id=007/{part}").read().splitlines()
+    spark_written = str(tmp_path / "spark")
+    (rows.where("sensor_id = '007'").coalesce(1).sortWithinPartitions("Timestamp").drop("sensor_id").write.option("header", True)
+     .option("sep", ", ").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(spark_written))
+    (theirs,) = [n for n in os.listdir(spark_written) if n.startswith("part-")]
+    assert lines == open(f"{spark_written}/{theirs}").read().splitlines()
+    write_merged(rows, out, mode="append")
+    assert len(os.listdir(f"{out}/sensor_id=007")) == 2
+    write_merged(rows, out, mode="ignore")
+    with pytest.raises(FileExistsError):
+        write_merged(rows, out, mode="error")
+
+
+def test_many_series_exchange_the_rows_once(spark):
+    """Beyond the broadcast limit all series are scanned together; values are those of the lookups."""
+    pts = spark.createDataFrame([(s, ts(f"{h:02d}:{m:02d}"), float(h * m + len(s))) for s in ("a", "bb", "ccc") for h in range(0, 24, 2) for m in (0, 0, 7, 31)],
+                                "measurement string, ts timestamp_ntz, value double")
+    rows = spark.createDataFrame([(i, None if i % 29 == 0 else ts(f"{i % 24:02d}:{i % 60:02d}")) for i in range(300)], "id int, ts timestamp_ntz")
+    columns = {"a": "va", "bb": "vb", "ccc": "vc", "none": "vn"}
+    small, large = SeriesIndex(pts), SeriesIndex(pts, broadcast_rows=1)
+    for how in ("interpolate", "backward", "forward"):
+        got, expected = large.attach(rows, "ts", columns, how), small.attach(rows, "ts", columns, how)
+        assert got.columns == expected.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Generate explode") == 0      # no row is multiplied by bucket levels
