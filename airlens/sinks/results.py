@@ -7,13 +7,15 @@ Layout: ``<location>/batch_block=<batch_id // BLOCK>/batch-<batch_id>.parquet``.
 * The catalog partitions by ``batch_block`` only, so partitions grow
   ``BLOCK`` times slower than batches (one per batch would mean millions of
   partitions a year at 5-second triggers).
+* Where files of a micro-batch are reported one by one, ``batch_id`` is the
+  number of the file; the file name and the block stay those of the micro-batch.
 * ``substance`` is a data column: result rows are tiny, and a substance filter
   still reaches the parquet scan.  Newest first is an ordinary sort.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ranking import rank_within
@@ -34,11 +36,11 @@ def drop_result_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def result_rows(profile: DataFrame, batch_id: int) -> DataFrame:
+def result_rows(profile: DataFrame, batch_id: int | Column) -> DataFrame:
     """Profile rows -> result rows stamped with the processing time."""
     return profile.select(F.current_timestamp().alias("timestamp"), F.col("elements").cast("long"),
                           "min", "max", "mean", "std", F.col("attribute").alias("substance"),
-                          F.lit(batch_id).cast("long").alias("batch_id"))
+                          (batch_id if isinstance(batch_id, Column) else F.lit(batch_id)).cast("long").alias("batch_id"))
 
 
 def table_location(spark: SparkSession, name: str) -> str:

@@ -61,18 +61,21 @@ def stream_region_report(readings: DataFrame, box: Box, period: Period, target:
                          trigger=None, attributes: Sequence[str] = POLLUTANTS,
                          labels: Sequence[str] | None = None, is_table: bool = False,
                          lat: str = "latitude", long: str = "longitude", ts: str = "ts",
-                         partitions="auto") -> StreamingQuery:
+                         partitions="auto", unit: str | None = None) -> StreamingQuery:
     """Start the per-batch report.  ``trigger``: seconds between batches, a
     processing-time string, or ``None`` for one pass over available data;
-    ``partitions``: see :func:`start`."""
+    ``partitions``: see :func:`start`.  ``unit``: a column of numbers (those of
+    the files); every unit of a micro-batch then gets a report of its own,
+    whose ``batch_id`` is the unit's number, from one aggregation."""
     if labels is None:
         labels = POLLUTANT_LABELS if list(attributes) == POLLUTANTS else list(attributes)
 
     sink = ResultWriter(readings.sparkSession, target, is_table)
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        rep = region_report(batch, box, period, attributes=attributes, labels=labels, lat=lat, long=long, ts=ts)
-        sink.write(result_rows(rep, batch_id), batch_id)
+        rep = region_report(batch, box, period, attributes=attributes, labels=labels, lat=lat, long=long, ts=ts,
+                            group_by=[unit] if unit else [])
+        sink.write(result_rows(rep, F.col(unit) if unit else F.lit(batch_id)), batch_id)
 
     w = readings.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
     return start(_trigger(w, trigger), readings.sparkSession, partitions)

@@ -10,14 +10,29 @@ from ..sources.records import parse_records
 
 
 def file_lines(spark: SparkSession, path: str, glob: str | None = "*.csv",
-               max_files_per_trigger: int | None = None) -> DataFrame:
-    """Lines of files appearing in ``path`` (oldest first), column ``value``."""
+               max_files_per_trigger: int | None = None, unit: str | None = None) -> DataFrame:
+    """Lines of files appearing in ``path`` (oldest first), column ``value``.
+    ``unit`` names a column with the number at the end of the file's name, for
+    results per file that do not depend on how many files a micro-batch takes."""
     r = spark.readStream.format("text").option("recursiveFileLookup", "false")
     if glob:
         r = r.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.load(path)
+    lines = r.load(path)
+    if unit is None:
+        return lines
+    number = F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)(?:\.[^.]*)?$", 1)
+    return lines.select("value", F.when(number != "", number).cast("long").alias(unit))
+
+
+def files_per_trigger(spark: SparkSession, path: str, least: int = 8, batches: int = 24, most: int = 400) -> int:
+    """Files to take at once from the folder ``path``, so that a pass over it costs the overhead of
+    about ``batches`` micro-batches however many files there are: ``least`` files at least, and
+    ``most`` at most, which bounds the rows of a micro-batch.  Only the listing is read."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = len(folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder))
+    return max(least, min(most, -(-files // batches)))
 
 
 KAFKA_PROVIDER = "org.apache.spark.sql.kafka010.KafkaSourceProvider"

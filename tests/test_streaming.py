@@ -191,3 +191,47 @@ def test_window_profile_append_mode_writes_closed_windows_once(spark, tmp_path):
     assert out["append"] and set(out["append"]) < set(out["update"])
     assert all(out["append"][k] == out["update"][k] for k in out["append"])
     assert len(list((tmp_path / "append").glob("day=*"))) == len(out["append"])
+
+
+def test_units_of_one_micro_batch_are_reported_one_by_one(spark, tmp_path):
+    from airlens.streaming.sources import files_per_trigger
+    src = stage(tmp_path, CHUNKS)
+    readings = decode(file_lines(spark, src, max_files_per_trigger=files_per_trigger(spark, src), unit="chunk"), POLLUTION)
+    out = str(tmp_path / "units")
+    q = stream_region_report(readings, BOX, PERIOD, out, str(tmp_path / "ck-units"), unit="chunk")
+    q.awaitTermination()
+    assert len([p for p in q.recentProgress if p["numInputRows"]]) == 1     # all three files at once
+    ozone = read_results(spark, out).where("substance = 'Ozone'").collect()
+    assert sorted((r["batch_id"], r["elements"], r["max"]) for r in ozone) == [(0, 2, 4.0), (2, 1, 6.0)]
+
+
+def test_micro_batches_do_not_grow_with_the_files(spark, tmp_path):
+    from airlens.streaming.sources import files_per_trigger
+    for n in (3, 2400):
+        (tmp_path / str(n)).mkdir()
+        for i in range(n):
+            (tmp_path / str(n) / f"chunk{i:06d}.csv").touch()
+    assert [files_per_trigger(spark, str(tmp_path / str(n))) for n in (3, 2400)] == [8, 100]
+    assert files_per_trigger(spark, str(tmp_path / "2400"), most=50) == 50
+
+
+def test_scoring_by_unit_trains_the_weights_once(spark, tmp_path):
+    from airlens.schemas import Layout
+    from airlens.streaming.score import stream_score
+    layout = Layout(fields=((0, "user_id", "long"), (1, "x1", "double"), (2, "label", "double")), ts=None, header_field=-1)
+    src = stage(tmp_path, ["1,1.0,3.0\n2,1.0,1.0\n", "1,2.0,4.0\n", "2,5.0,5.0\n"])
+    trained = spark.sparkContext.accumulator(0)
+
+    def train(batches):
+        for batch in batches:
+            trained.add(batch.num_rows)
+            yield batch
+
+    weights = spark.createDataFrame([(1, [2.0], 0.0), (2, [1.0], 0.0)], "user_id long, w array<double>, b double")
+    weights = weights.mapInArrow(train, weights.schema)
+    records = decode(file_lines(spark, src, max_files_per_trigger=2, unit="chunk"), layout)
+    out = str(tmp_path / "scores")
+    stream_score(records, out, str(tmp_path / "ck-s"), pa_weights=weights, features=["x1"], entity="user_id", unit="chunk").awaitTermination()
+    got = sorted((r["batch_id"], r["elements"], round(r["rmse_pa"], 6)) for r in spark.read.parquet(out).collect())
+    assert got == [(0, 2, round(0.5 ** 0.5, 6)), (1, 1, 0.0), (2, 1, 0.0)]
+    assert trained.value == 2
