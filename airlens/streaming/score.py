@@ -23,8 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.regression import compare, predict_linear, predict_pa
+from ..operators.regression import compare, load_pa, predict_linear, predict_pa, save_pa
 from ..schemas import FEATURES
+from ..session import scratch_path
 from ..sinks.results import BLOCK, write_batch_files
 from .report import _trigger, start
 
@@ -45,7 +46,9 @@ def score(records: DataFrame, linear: LinearRegressionModel | None = None, pa_we
 def stream_score(records: DataFrame, target: str, checkpoint: str, *, linear: LinearRegressionModel | None = None,
                  pa_weights: DataFrame | None = None, features: Sequence[str] = FEATURES,
                  entity: str | None = None, rows_target: str | None = None, keep: Sequence[str] = (),
-                 trigger=None, partitions="auto") -> StreamingQuery:
+                 trigger=None, partitions="auto", unit: str | None = None) -> StreamingQuery:
+    """Start scoring.  ``unit``: a column of numbers (those of the files); every unit of a
+    micro-batch is compared on its own, and its ``batch_id`` is the unit's number."""
     if linear is None and pa_weights is None:
         raise ValueError("at least one model is required")
     preds = [p for p, m in (("pa_prediction", pa_weights), ("linear_prediction", linear)) if m is not None]
@@ -53,20 +56,26 @@ def stream_score(records: DataFrame, target: str, checkpoint: str, *, linear: Li
         # a global model is one row of feature-count size: read it once
         row = pa_weights.select("w", "b").first()
         pa_weights = pa_weights.sparkSession.createDataFrame([(row["w"], row["b"])], "w array<double>, b double")
-    elif pa_weights is not None and pa_weights.count() <= WEIGHTS_BROADCAST_ROWS:
-        # micro-batch plans are not re-planned adaptively: broadcast the
-        # per-entity weights explicitly, but only after checking their size
-        pa_weights = F.broadcast(pa_weights)
     elif pa_weights is not None:
-        # too large to broadcast: hash-partition the weights once, as wide as
-        # the stream's shuffles, and keep them, so every micro-batch shuffles
-        # only its own rows against an already partitioned side
-        width = (records.sparkSession.sparkContext.defaultParallelism if partitions in (None, "auto")
-                 else int(partitions))
-        pa_weights = pa_weights.repartition(width, entity).persist()
+        # every micro-batch plans anew: without the copy each would train the weights again
+        saved = scratch_path(records.sparkSession, "stream-pa-weights")
+        save_pa(pa_weights, saved)
+        pa_weights = load_pa(records.sparkSession, saved)
+        if pa_weights.count() <= WEIGHTS_BROADCAST_ROWS:
+            # micro-batch plans are not re-planned adaptively: broadcast the
+            # per-entity weights explicitly, but only after checking their size
+            pa_weights = F.broadcast(pa_weights)
+        else:
+            # too large to broadcast: hash-partition the weights once, as wide as
+            # the stream's shuffles, and keep them, so every micro-batch shuffles
+            # only its own rows against an already partitioned side
+            width = (records.sparkSession.sparkContext.defaultParallelism if partitions in (None, "auto")
+                     else int(partitions))
+            pa_weights = pa_weights.repartition(width, entity).persist()
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        scored = score(batch, linear, pa_weights, features, entity).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        number = F.col(unit) if unit else F.lit(batch_id)
+        scored = score(batch, linear, pa_weights, features, entity).withColumn("batch_id", number.cast("long"))
         block = F.lit(batch_id // BLOCK).cast("long").alias("batch_block")
         if rows_target:
             scored = scored.persist()
