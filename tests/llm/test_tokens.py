@@ -50,6 +50,58 @@ def test_a_full_cache_changes_nothing(entries):
     assert [ids[a:b].tolist() for a, b in zip(off, off[1:])] == tokenizer(path).whole(texts)
 
 
+class Counting:
+    """A tokenizers library that counts the texts it is given."""
+
+    def __init__(self, lib):
+        self.lib, self.texts = lib, 0
+
+    def __getattr__(self, name):
+        return getattr(self.lib, name)
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += len(texts)
+        return self.lib.encode_batch_fast(texts, **options)
+
+
+def test_new_words_go_to_the_library_in_few_texts(monkeypatch):
+    path = tokenizer_path("byte_bpe_50k.json")
+    enc = ChunkEncoder(path, entries=0)
+    enc.ids = {}
+    counting = Counting(enc.tok.lib)
+    monkeypatch.setattr(enc.tok, "lib", counting)
+    texts = [" ".join(f"wörd{i * 37 + j}x" for j in range(500)) for i in range(0, 400, 20)]
+    ids, off = enc.encode(pa.array(texts))
+    assert counting.texts < 100   # of 10 000 words
+    assert [ids[a:b].tolist() for a, b in zip(off, off[1:])] == [e.ids for e in counting.lib.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+@pytest.mark.parametrize("name", FILES)
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(PARTS), min_size=1, max_size=5).map("".join), min_size=1, max_size=40))
+def test_pre_tokens_in_any_order_keep_their_ids(name, chunks):
+    tok = tokenizer(tokenizer_path(name))
+    raw = [c.encode() for c in chunks]
+    ids, off = tok.flat(raw)
+    assert [ids[a:b].tolist() for a, b in zip(off, off[1:])] == tok.pieces(raw)
+
+
+def test_a_token_across_pre_tokens_keeps_them_apart():
+    from tokenizers import AddedToken
+    from airlens.llm.chunks import Tokenizer
+
+    tok = Tokenizer(tokenizer_path("byte_bpe_50k.json"))
+    tok.lib.add_tokens([AddedToken("a b", normalized=False)])
+    tok.bytes_of = tok._bytes_of()
+    assert tok.bytes_of is not None and tok._joined([b"a", b" b"]) is None
+    ids, off = tok.flat([b"a", b" b", b" c"])
+    assert [ids[x:y].tolist() for x, y in zip(off, off[1:])] == tok.pieces([b"a", b" b", b" c"])
+
+
+def test_only_byte_level_ids_are_told_apart_by_bytes():
+    assert [tokenizer(tokenizer_path(n)).bytes_of is not None for n in FILES] == [False, True, False]
+
+
 def expect_files(rows, path, end):
     start, out = 0, []
     for doc_id, text in rows:
