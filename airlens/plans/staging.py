@@ -9,13 +9,15 @@ own are written by the tasks.  The data never passes through the driver.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from ..sinks.named import FILE, LINE, NO_IDENT, write_named
+from ..sinks.named import FILE, LINE, NO_IDENT, file_system, write_named
 
 #: Rows that a staged file of a table gets at most (about); a file is sorted by one task.
 ROWS_PER_FILE = 500_000
@@ -89,11 +91,14 @@ def stage_stream_chunks(spark: SparkSession, df: DataFrame, fields: Sequence[Col
     root = stage_named_files(spark, df, fields, header, order, F.lpad(chunk.cast("string"), 6, "0"),
                              "chunk", name)
     jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    hadoop = path.getFileSystem(conf)
-    names = sorted(st.getPath().toString() for st in hadoop.listStatus(path) if st.getPath().getName().endswith(".csv"))
-    base = 1_500_000_000_000
-    for i, p in enumerate(names):
-        hadoop.setTimes(jvm.org.apache.hadoop.fs.Path(p), base + i * 1000, -1)
+    Path, folder = jvm.org.apache.hadoop.fs.Path, jvm.org.apache.hadoop.fs.Path(root)
+    hadoop = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system, base = file_system(hadoop.makeQualified(folder).toString())
+    names = sorted(f.path for f in system.get_file_info(fs.FileSelector(base)) if f.path.endswith(".csv"))
+    for i, name in enumerate(names):
+        at = 1_500_000_000_000 + i * 1000
+        if isinstance(system, fs.LocalFileSystem):   # without calls to the JVM, which take far longer than the change
+            os.utime(name, ns=(at * 1_000_000, at * 1_000_000))
+        else:
+            hadoop.setTimes(Path(f"{root}/{name.rsplit('/', 1)[1]}"), at, -1)
     return root

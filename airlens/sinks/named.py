@@ -11,10 +11,9 @@ from __future__ import annotations
 
 import re
 import uuid
-from itertools import groupby
-from operator import itemgetter
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -32,7 +31,7 @@ def path_name(value: str) -> str:
     return _SPECIAL.sub(lambda m: f"%{ord(m.group()):02X}", value)
 
 
-def _folder(uri: str):
+def file_system(uri: str):
     """(pyarrow file system, path) of a qualified location."""
     if uri.startswith("file:"):
         return fs.LocalFileSystem(), re.sub("^file:/+", "/", uri)
@@ -56,7 +55,7 @@ def write_named(rows: DataFrame, root: str, header: str | None = None, prefix: s
     uri, call = hadoop.makeQualified(path).toString(), uuid.uuid4().hex
 
     def write(batches):
-        system, base = _folder(uri)
+        system, base = file_system(uri)
         tail = f"/part-{TaskContext.get().partitionId():05d}-{call}{ext}" if split else ext
         name = part = out = None
         files = 0
@@ -68,16 +67,19 @@ def write_named(rows: DataFrame, root: str, header: str | None = None, prefix: s
             system.move(part, f"{base}/{prefix}{path_name(name)}{tail}")
 
         for batch in batches:
-            for ident, run in groupby(zip(*(batch.column(i).to_pylist() for i in (0, 1))), key=itemgetter(0)):
+            runs = pc.run_end_encode(batch.column(0))   # a run of rows of one file is joined and written at once
+            ends = pa.concat_arrays([pa.array([0], pa.int32()), runs.run_ends])
+            texts = pc.binary_join(pa.ListArray.from_arrays(ends, pc.fill_null(batch.column(1), "")), "\n")
+            for ident, text in zip(runs.values.to_pylist(), texts):
+                head = ""
                 if out is None or ident != name:
                     if out is not None:
                         close()
                     name, files = ident, files + 1
                     part = f"{base}/_{uuid.uuid4().hex}"   # readers skip names with an underscore
                     out = system.open_output_stream(part)
-                    if header is not None:
-                        out.write(f"{header}\n".encode())
-                out.write("".join(f"{line or ''}\n" for _, line in run).encode())
+                    head = "" if header is None else f"{header}\n"
+                out.write(f"{head}{text}\n".encode())
         if out is not None:
             close()
         yield pa.RecordBatch.from_pydict({"files": pa.array([files], pa.int64())})

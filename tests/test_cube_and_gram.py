@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from airlens.functions.predicates import Box, Period
 from airlens.operators.gram import fit_all, merge
-from airlens.operators.regression import fit_linear, pa_fit_groups, predict_linear
+from airlens.operators.regression import fit_linear, pa_fit_groups, pa_step, predict_linear
 from airlens.plans.bucketed import DAY, align_bucketed, ingest_bucketed
 from airlens.plans.cube import ingest_cube, merge_moments, moment_columns, region_report_cube, split_cells, read_cube
 from airlens.plans.report import region_report
@@ -169,3 +169,28 @@ def test_stream_training_goes_on_after_a_restart(spark, tmp_path):
     df = spark.createDataFrame(rows, "sensor string, place long, x double, label double")
     want = {r.sensor: (r.w[0], r.b, r.n) for r in pa_fit_groups(df, "sensor", ["place"], ["x"]).collect()}
     assert got == want
+
+
+def test_stream_training_calls_the_fold_per_bucket_not_per_entity(spark, tmp_path):
+    # far more entities than buckets, ids no double holds, one of them null; the state has a value per bucket
+    rng = random.Random(7)
+    rows = [(rng.choice([None, *range(2 ** 60, 2 ** 60 + 700)]), i, rng.uniform(-1, 1), rng.uniform(-2, 2)) for i in range(3000)]
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for part in range(2):
+        path = folder / f"{part}.csv"
+        path.write_text("\n".join(f"{s},{i},{x!r},{y!r}" for s, i, x, y in rows[part * 1500:(part + 1) * 1500]))
+        os.utime(path, (1e9 + part, 1e9 + part))
+    records = decode(file_lines(spark, str(folder), "*.csv", max_files_per_trigger=1), ROWS, bad_rows="fail")
+    records = records.withColumn("sensor", F.when(F.col("sensor") != "None", F.col("sensor")).cast("long"))
+    target = scratch_path(spark, "w")
+    query = stream_pa_fit(records, target, scratch_path(spark, "ck"), "sensor", ["place"], ["x"], partitions=2)
+    query.awaitTermination()
+    assert [p["stateOperators"][0]["numRowsTotal"] <= 256 for p in query.recentProgress if p["numInputRows"]] == [True, True]
+    got = {r.sensor: (r.w[0], r.b, r.n) for r in latest_weights(spark, target, "sensor").collect()}
+    want = {}
+    for sensor, _, x, y in rows:
+        w, b, n = want.get(sensor, (0.0, 0.0, 0))
+        (w,), b = pa_step([w], b, [x], y)
+        want[sensor] = (w, b, n + 1)
+    assert got == want and None in got
