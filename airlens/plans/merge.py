@@ -7,6 +7,7 @@
 4. weekday flags are derived and the 23 merged columns assembled.
 
 Everything is one lazy DataFrame; times are read once beforehand, to cut them into buckets.
+:func:`merge_files` keeps the weather points, and the lines of very many small files, in columns, as they are read more than once.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from ..operators.scan import attach_scan
 from ..operators.series import SeriesIndex
 from ..sinks.named import FILE, LINE, NO_IDENT, write_named
 from ..schemas import MERGED_HEADER, MERGED_SEP, POLLUTANTS, TRAFFIC, WEATHER_COLUMNS, WEEKDAY_COLUMNS
+from ..session import kept
 from ..sources.records import read_first_files, read_pollution
 from ..sources.weather import read_weather
 
@@ -78,7 +80,7 @@ def merge_files(spark: SparkSession, pollution_path: str, traffic_path: str, wea
     only those files are read and no pairing shuffle is needed."""
     pollution = read_pollution(spark, pollution_path, entity_pattern=ID_PATTERN, with_path=True, position="_pos")
     traffic = read_first_files(spark, traffic_path, TRAFFIC, ID_PATTERN, glob="*csv", position="_pos")
-    weather = read_weather(spark, weather_path, weather_files)
+    weather = kept(read_weather(spark, weather_path, weather_files), "points")   # read for the buckets and for the lookup
     return merge(pollution, traffic, weather, traffic_is_first_file=True)
 
 

@@ -46,6 +46,7 @@ def write_named(rows: DataFrame, root: str, header: str | None = None, prefix: s
     All rows of a file stand in one partition, unless ``split``: then each partition
     writes ``root/<prefix><_file>/part-<partition>-<call><ext>``.  A file gets its name
     when it is whole, so a task tried again replaces what it left; with ``split`` the file ``_SUCCESS`` comes last.
+    Until then it stands in the folder it is for or in one of the task, as tasks hold each other up in a shared one.
     """
     spark = rows.sparkSession
     ship_package(spark)
@@ -58,12 +59,12 @@ def write_named(rows: DataFrame, root: str, header: str | None = None, prefix: s
         system, base = file_system(uri)
         tail = f"/part-{TaskContext.get().partitionId():05d}-{call}{ext}" if split else ext
         name = part = out = None
-        files = 0
+        files, own = 0, f"{base}/_{uuid.uuid4().hex}"   # readers skip names with an underscore
+        if not split:
+            system.create_dir(own)
 
         def close():
             out.close()
-            if split:
-                system.create_dir(f"{base}/{prefix}{path_name(name)}")
             system.move(part, f"{base}/{prefix}{path_name(name)}{tail}")
 
         for batch in batches:
@@ -76,12 +77,17 @@ def write_named(rows: DataFrame, root: str, header: str | None = None, prefix: s
                     if out is not None:
                         close()
                     name, files = ident, files + 1
-                    part = f"{base}/_{uuid.uuid4().hex}"   # readers skip names with an underscore
+                    folder = f"{base}/{prefix}{path_name(name)}" if split else own
+                    if split:
+                        system.create_dir(folder)
+                    part = f"{folder}/_{uuid.uuid4().hex}"
                     out = system.open_output_stream(part)
                     head = "" if header is None else f"{header}\n"
                 out.write(f"{head}{text}\n".encode())
         if out is not None:
             close()
+        if not split:
+            system.delete_dir(own)
         yield pa.RecordBatch.from_pydict({"files": pa.array([files], pa.int64())})
 
     rows.select(FILE, LINE).mapInArrow(write, "files long").agg(F.sum("files")).collect()   # one number

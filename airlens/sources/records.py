@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import BAD_ROW_MODES, entity_from_path, field_at, is_blank, is_header, parse, to_ts
 from ..schemas import MERGED, POLLUTION, TRAFFIC, Layout
+from .small import list_small, nested_lines
 
 
 #: Up to so many chosen files are named in the scan's predicate.
@@ -99,9 +100,11 @@ def read_records(spark: SparkSession, path, layout: Layout, *, glob: str | None
     ``entity_pattern``: regular expression whose first group, found in the file
     path, becomes ``entity_col`` (text: leading zeros are significant).
     ``with_path`` keeps the source path as ``file_path``; ``position`` names a
-    column that orders the records of a file as they stand in it.
+    column that orders the records of a file as they stand in it.  The lines of
+    a folder of very many small files are read here, once (see :mod:`.small`).
     """
-    return _read(read_lines(spark, path, glob), layout, bad_rows, entity_pattern, entity_col, with_path, position)
+    small = list_small(spark, path, glob)
+    return _read(read_lines(spark, path, glob) if small is None else small.lines(), layout, bad_rows, entity_pattern, entity_col, with_path, position)
 
 
 def _read(lines: DataFrame, layout: Layout, bad_rows: str, entity_pattern: str | None, entity_col: str,
@@ -137,7 +140,17 @@ def read_first_files(spark: SparkSession, path, layout: Layout, pattern: str, *,
     """Records of the first file (in path order) of every entity only, with
     ``sensor_id`` and ``file_path``.  The choice is made from the file listing
     that Spark holds to plan the scan: a few files become a predicate that
-    leaves the others unopened, many become a table that is semi-joined."""
+    leaves the others unopened, many become a table that is semi-joined.  Of
+    very many small files only the chosen ones are read, once (see :mod:`.small`)."""
+    small = list_small(spark, path, glob)
+    if small is not None:
+        first: dict[str, str] = {}
+        for name in sorted(small.names):
+            m = re.search(pattern, small.path(name))
+            if m and m.group(1) not in first:
+                first[m.group(1)] = name
+        small.names = sorted(first.values())
+        return _read(small.lines(), layout, bad_rows, pattern, "sensor_id", True, position)
     chosen = [re.sub("^file:/+", "file:/", c) for c in first_file_per_entity(spark, path, pattern, glob)]
     lines = read_lines(spark, path, glob)
 
@@ -162,11 +175,14 @@ def read_merged(spark: SparkSession, path: str, glob: str | None = None, format:
         typed = spark.read.parquet(path).schema
         fields = [T.StructField("sensor_id", T.StringType()) if f.name == "sensor_id" else f for f in typed.fields]
         return spark.read.schema(T.StructType(fields)).parquet(path)
-    reader = spark.read.schema("value string").option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
+    lines = nested_lines(spark, path, glob)
+    if lines is None:
+        reader = spark.read.schema("value string").option("recursiveFileLookup", "true")
+        if glob:
+            reader = reader.option("pathGlobFilter", glob)
+        lines = reader.text(path)
     file = F.col("_metadata.file_path")
     folder = F.regexp_extract(file, "/sensor_id=([^/]+)/", 1)
     named = F.regexp_extract(file, r"(\d+)\.csv$", 1)
     sensor = F.when(folder != "", F.when(folder != "__HIVE_DEFAULT_PARTITION__", folder)).when(named != "", named)
-    return parse_records(reader.text(path).withColumn("sensor_id", sensor), MERGED, kw.pop("bad_rows", "fail"), keep=["sensor_id"])
+    return parse_records(lines.withColumn("sensor_id", sensor), MERGED, kw.pop("bad_rows", "fail"), keep=["sensor_id"])

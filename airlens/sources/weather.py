@@ -28,7 +28,8 @@ def explode_points(lines: DataFrame, json_col: str, keep: list[str] | tuple = ()
     # a malformed line is null here: fail mode raises on it, others read it as
     # an empty object; blank lines carry nothing and are skipped
     lines = lines.where(F.length(F.trim(F.col(json_col))) > 0)
-    parsed = F.from_json(F.col(json_col), "map<string,string>")
+    lines = lines.withColumn("_parsed", F.from_json(F.col(json_col), "map<string,string>"))   # a column, so that it is parsed once
+    parsed = F.col("_parsed")
     if mode == "fail":
         parsed = F.when(parsed.isNull(), F.raise_error(F.concat(F.lit("Malformed JSON object: "), F.col(json_col)))).otherwise(parsed)
     entries = lines.select(*keep, F.explode(parsed).alias("key", "_raw"))
